@@ -8,7 +8,7 @@ no UDF, no explode, no shuffle. The whole text is always scored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of this library (not taken from anywhere): sentence and token patterns, and the
@@ -28,7 +28,6 @@ NEGATIVE_WORDS = (
     "mal", "mauvais", "triste", "peur", "malo", "mala", "miedo", "error", "odio", "nunca",
 )
 
-# Class of a sentence from (positive - negative) token count: <=-2, -1, 0, 1, >=2 -> 0..4.
 NO_SENTENCE = -1.0
 
 
@@ -39,13 +38,14 @@ def sentences(text: Column) -> Column:
 
 
 def sentence_class(sentence: Column) -> Column:
-    """Class 0..4 of one sentence."""
+    """Class 0..4 of one sentence: net = positive - negative tokens, clamped to [-2, 2], plus 2.
+
+    One split and one pass over the tokens; the net score is used once (no CASE that would repeat it).
+    """
     tokens = F.split(F.lower(sentence), TOKEN_SPLIT)
-    pos = F.size(F.filter(tokens, lambda t: t.isin(*POSITIVE_WORDS)))
-    neg = F.size(F.filter(tokens, lambda t: t.isin(*NEGATIVE_WORDS)))
-    net = pos - neg
-    return (F.when(net <= -2, 0).when(net == -1, 1).when(net == 0, 2).when(net == 1, 3)
-            .otherwise(4).cast("int"))
+    net = F.aggregate(tokens, F.lit(0), lambda acc, t: acc + F.when(t.isin(*POSITIVE_WORDS), 1)
+                      .when(t.isin(*NEGATIVE_WORDS), -1).otherwise(0))
+    return (F.least(F.greatest(net, F.lit(-2)), F.lit(2)) + 2).cast("int")
 
 
 def scored_sentences(text: Column) -> Column:
@@ -54,38 +54,60 @@ def scored_sentences(text: Column) -> Column:
         (i + 1).alias("pos"), F.char_length(s).alias("len"), sentence_class(s).alias("cls")))
 
 
-def _sum(scored: Column, fn) -> Column:
-    return F.aggregate(scored, F.lit(0).cast("bigint"), lambda acc, x: acc + fn(x).cast("bigint"))
+def sentiment_parts(text: Column) -> Column:
+    """One fold over the sentences: struct<n, wsum, lsum, csum, main_len, main_cls>.
+
+    Stage it as a column (``select``) and derive the means from that column: every mean reads the
+    parts several times, and an un-staged fold would be re-run for each read.
+    """
+    scored = F.transform(sentences(text), lambda s: F.struct(F.char_length(s).alias("len"),
+                                                             sentence_class(s).alias("cls")))
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("wsum"), F.lit(0).cast("bigint").alias("lsum"),
+                    F.lit(0).cast("bigint").alias("csum"), F.lit(0).alias("main_len"), F.lit(-1).alias("main_cls"))
+
+    def step(acc, x):
+        longer = x["len"] > acc["main_len"]
+        return F.struct((acc["n"] + 1).alias("n"),
+                        (acc["wsum"] + (x["cls"] * x["len"]).cast("bigint")).alias("wsum"),
+                        (acc["lsum"] + x["len"].cast("bigint")).alias("lsum"),
+                        (acc["csum"] + x["cls"].cast("bigint")).alias("csum"),
+                        F.when(longer, x["len"]).otherwise(acc["main_len"]).alias("main_len"),
+                        F.when(longer, x["cls"]).otherwise(acc["main_cls"]).alias("main_cls"))
+    return F.aggregate(scored, zero, step)
 
 
-def weighted_sentiment(scored: Column) -> Column:
+def weighted_from_parts(parts: Column) -> Column:
     """sum(class * length) / sum(length); -1 with no sentence. Integer sums, one division."""
-    return F.when(F.size(scored) == 0, F.lit(NO_SENTENCE)).otherwise(
-        _sum(scored, lambda x: x["cls"] * x["len"]) / _sum(scored, lambda x: x["len"]))
+    return F.when(parts["n"] == 0, F.lit(NO_SENTENCE)).otherwise(parts["wsum"] / parts["lsum"])
 
 
-def mean_sentiment(scored: Column) -> Column:
+def mean_from_parts(parts: Column) -> Column:
     """Plain mean of the classes; -1 with no sentence."""
-    return F.when(F.size(scored) == 0, F.lit(NO_SENTENCE)).otherwise(
-        _sum(scored, lambda x: x["cls"]) / F.size(scored))
+    return F.when(parts["n"] == 0, F.lit(NO_SENTENCE)).otherwise(parts["csum"] / parts["n"])
 
 
-def main_sentiment(scored: Column) -> Column:
+def main_from_parts(parts: Column) -> Column:
     """Class of the longest sentence, the first one on ties; -1 with no sentence."""
-    best = F.aggregate(scored, F.struct(F.lit(0).alias("len"), F.lit(-1).alias("cls")),
-                       lambda acc, x: F.when(x["len"] > acc["len"],
-                                             F.struct(x["len"].alias("len"), x["cls"].alias("cls")))
-                       .otherwise(acc))
-    return best["cls"].cast("int")
+    return parts["main_cls"].cast("int")
 
 
-def text_sentiment(text: Column) -> Column:
-    """The value stored on a post: the weighted mean."""
-    return weighted_sentiment(scored_sentences(text))
+def with_sentiment(df: DataFrame, text_col: str = "text", weighted: str | None = "sentiment",
+                   mean: str | None = None, main: str | None = None) -> DataFrame:
+    """Adds the chosen sentiment columns; the text is scored once."""
+    staged = df.withColumn("_sp", sentiment_parts(F.col(text_col)))
+    outs = []
+    if weighted:
+        outs.append(weighted_from_parts(F.col("_sp")).alias(weighted))
+    if mean:
+        outs.append(mean_from_parts(F.col("_sp")).alias(mean))
+    if main:
+        outs.append(main_from_parts(F.col("_sp")).alias(main))
+    return staged.select(*[c for c in df.columns], *outs)
 
 
 def sentiment_label(score: Column) -> Column:
-    """Label of a score on the 0..4 scale (<=0 and >=5 are not understood)."""
+    """Label of a score on the 0..4 scale (<=0 and >=5 are not understood). Pass a column, not
+    an expression: the score is read up to six times."""
     return (F.when(score <= 0, "not_understood").when(score < 1, "very_negative")
             .when(score < 2, "negative").when(score < 3, "neutral").when(score < 4, "positive")
             .when(score < 5, "very_positive").otherwise("not_understood"))

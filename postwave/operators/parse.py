@@ -12,27 +12,18 @@ from pyspark.sql import functions as F
 
 from postwave.functions import envelope as E
 from postwave.functions import sentiment as S
+from postwave.functions.exprs import once
 from postwave.functions.timekeys import parse_created_at
 
 POST_COLUMNS = ("id", "text", "user_id", "username", "name", "hashtags", "users", "party", "createdDate",
                 "in_reply_to_user_id", "source", "sentiment", "attachments", "json", "created_ts")
 
 
-def _once(c: Column, name: str) -> Column:
-    """Evaluate ``c`` exactly once per row.
-
-    A generator's output is never substituted back into the filters and joins below it, whereas a
-    plain projected column is (predicate pushdown inlines the alias); for ``from_json`` that would
-    parse the line again for every reference in the validity rule.
-    """
-    return F.explode(F.array(c)).alias(name)
-
-
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``env`` (parsed struct), ``sub`` (parsed entities and attachments) and ``reject_reason``."""
-    parsed = lines.select("*", _once(E.parse_envelope(F.col(value_col)), "env"))
+    parsed = lines.select("*", once(E.parse_envelope(F.col(value_col)), "env"))
     data = F.col("env")["data"]
-    parsed = parsed.select("*", _once(F.struct(E.entities(data).alias("ents"), E.attachments_map(data).alias("att")),
+    parsed = parsed.select("*", once(F.struct(E.entities(data).alias("ents"), E.attachments_map(data).alias("att")),
                                       "sub"))
     return parsed.withColumn("reject_reason", E.reject_reason(F.col("env"), F.col("sub.ents"), F.col("sub.att")))
 
@@ -53,7 +44,7 @@ def _post_columns(value: Column, env: Column, sub: Column, keep_null_tags: bool)
         data["created_at"].alias("createdDate"),
         E.reply_to(data).alias("in_reply_to_user_id"),
         data["source"].alias("source"),
-        S.text_sentiment(data["text"]).alias("sentiment"),
+        S.sentiment_parts(data["text"]).alias("_sentiment_parts"),
         E.attachment_count(sub["att"]).alias("attachments"),
         value.alias("json"),
         parse_created_at(data["created_at"]).alias("created_ts"),
@@ -62,8 +53,11 @@ def _post_columns(value: Column, env: Column, sub: Column, keep_null_tags: bool)
 
 def posts(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool = False) -> DataFrame:
     """The valid rows as the 14 post columns plus ``created_ts`` (event time)."""
-    return (parsed.where(F.col("reject_reason").isNull())
-            .select(*_post_columns(F.col(value_col), F.col("env"), F.col("sub"), keep_null_tags)))
+    cols = _post_columns(F.col(value_col), F.col("env"), F.col("sub"), keep_null_tags)
+    staged = parsed.where(F.col("reject_reason").isNull()).select(*cols)
+    # second projection: the sentiment fold runs once and its parts are read from the column
+    return staged.select(*[S.weighted_from_parts(F.col(c)).alias("sentiment") if c == "_sentiment_parts" else c
+                           for c in staged.columns])
 
 
 def rejects(parsed: DataFrame, value_col: str = "value") -> DataFrame:

@@ -114,15 +114,13 @@ def q_sentence_scores(spark, sf_dir):
 
 
 def q_doc_sentiment(spark, sf_dir):
-    d = _documents(spark, sf_dir).select("doc_id", S.scored_sentences(F.col("text")).alias("x"))
-    return d.select("doc_id", S.weighted_sentiment(F.col("x")).alias("sentiment"),
-                    S.mean_sentiment(F.col("x")).alias("mean_sentiment"),
-                    S.main_sentiment(F.col("x")).alias("main_sentiment"))
+    d = S.with_sentiment(_documents(spark, sf_dir), "text", "sentiment", "mean_sentiment", "main_sentiment")
+    return d.drop("text")
 
 
 def q_sentiment_label(spark, sf_dir):
-    d = _documents(spark, sf_dir).select(S.sentiment_label(S.text_sentiment(F.col("text"))).alias("label"))
-    return d.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    d = S.with_sentiment(_documents(spark, sf_dir), "text", "sentiment")
+    return d.groupBy(S.sentiment_label(F.col("sentiment")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_roster_load(spark, sf_dir):

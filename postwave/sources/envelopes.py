@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postwave.functions.exprs import once
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Batch: one row per line, column ``value``."""
@@ -24,23 +26,23 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return r.load(path)
 
 
-def unwrap_replay(value: Column) -> Column:
+def unwrap_replay(v: Column, value: Column) -> Column:
     """The string field ``tweet`` of a replay line; ``""`` when it is missing or not a string.
 
-    A line that is not a JSON object gives null (skipped by ``replay_envelopes``). The line is
-    parsed once into a VARIANT; only the ``tweet`` member is inspected further.
+    ``v`` is the line parsed once into a VARIANT (``try_parse_json``); a line that is not a JSON
+    object gives null (skipped by ``replay_envelopes``). Only the ``tweet`` member is inspected.
     """
-    v = F.try_parse_json(value)
     is_object = v.isNotNull() & F.startswith(F.ltrim(value), F.lit("{"))
     member = F.variant_get(v, "$.tweet", "variant")
     is_string = F.schema_of_variant(member) == F.lit("STRING")
-    return (F.when(~is_object | v.isNull(), F.lit(None).cast("string"))
+    return (F.when(~is_object, F.lit(None).cast("string"))
             .when(is_string, F.variant_get(v, "$.tweet", "string"))
             .otherwise(F.lit("")))
 
 
 def replay_envelopes(replay: DataFrame, value_col: str = "value") -> DataFrame:
     """Replay lines to envelope lines (column ``value``), unparsable lines skipped."""
-    out = replay.select(*[c for c in replay.columns if c != value_col],
-                        unwrap_replay(F.col(value_col)).alias("value"))
+    keep = [c for c in replay.columns if c != value_col]
+    parsed = replay.select(*keep, F.col(value_col).alias("_raw"), once(F.try_parse_json(F.col(value_col)), "_v"))
+    out = parsed.select(*keep, once(unwrap_replay(F.col("_v"), F.col("_raw")), "value"))
     return out.where(F.col("value").isNotNull())

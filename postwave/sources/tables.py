@@ -33,12 +33,16 @@ def posts_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events joined to their document: doc_id = event_id % N, N = number of documents.
 
     N is counted by a Spark job (from Parquet footers) and enters the plan as a literal. The join
-    is an equi-join on the document key; Spark broadcasts the documents only while they are under
-    ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise (documents grow with the data).
+    is an equi-join on the document key. Documents are hash-partitioned on ``doc_id`` first: that
+    is the distribution a sort-merge join needs anyway (so at scale it adds no shuffle), and when
+    Spark instead broadcasts the small events side (under ``autoBroadcastJoinThreshold``) the
+    per-post work after the join still runs in as many tasks as AQE gives the documents, not in one
+    task per input file.
     """
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     n_docs = docs.count()
+    docs = docs.repartition("doc_id")
     joined = events.join(docs, docs["doc_id"] == (events["event_id"] % F.lit(n_docs)), "inner")
     return joined.withColumn("k", _k(F.col("props")))
 
