@@ -173,4 +173,10 @@ ORACLE: dict[str, str] = {
                         f"AS error_envelopes FROM base"),
     "raw_landing": _q("SELECT id, id AS landed_id, user_id AS landed_author_id FROM posts"),
     "upsert_merge": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
+    "stream_ingest": _q("SELECT id, party, createdDate, user_id, attachments FROM posts"),
+    "stream_posts_by_hour": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
+    "stream_hashtags_by_hour": _q(f"SELECT {H}, hashtag, count(*) AS count FROM "
+                                  f"(SELECT {H}, unnest(hashtags) AS hashtag FROM hposts) GROUP BY ALL"),
+    "stream_last15": _q("SELECT party, recency, id FROM (SELECT party, id, row_number() OVER "
+                        "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS recency FROM posts) WHERE recency <= 15"),
 }

@@ -1,3 +1,67 @@
-"""Streaming queries registered for the check (filled in by the streaming module)."""
+"""Streaming queries registered for the check: ``(spark, sf_dir) -> DataFrame``.
 
-STREAM_QUERIES: dict = {}
+Each one lands the envelope lines Spark derives from the whole tables as text files in a fresh
+folder under the shared checkpoint folder, runs the streaming jobs with ``availableNow`` (several
+micro-batches, real checkpoints and sinks), and returns the sink table read back in batch. The
+watermark covers the month the test data spans, because files of one write have no guaranteed
+processing order; late-data dropping is tested separately (tests/test_streaming.py).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from postwave.operators import metrics as M
+from postwave.session import scratch_path
+from postwave.sources import tables
+from postwave.streaming import queries as SQ
+
+CHECK_WATERMARK = "31 days"
+
+
+def land_envelopes(spark: SparkSession, sf_dir: str, n_files: int = 8) -> str:
+    """Write the envelope lines as ``n_files`` text files, each holding one range of event time."""
+    path = scratch_path(spark, "envelopes")
+    lines = tables.envelope_lines(spark, sf_dir)
+    lines.repartitionByRange(n_files, "ts").select("value").write.mode("overwrite").text(path)
+    return path
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    src = land_envelopes(spark, sf_dir)
+    out = scratch_path(spark, "stream")
+    q = SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/rejects", f"{out}/ck_ingest", available_now=True,
+                        max_files_per_trigger=2)
+    q.awaitTermination()
+    return out
+
+
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _ingested(spark, sf_dir)
+    return spark.read.parquet(f"{out}/posts").select("id", "party", "createdDate", "user_id", "attachments")
+
+
+def _metric(spec: M.MetricSpec):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = _ingested(spark, sf_dir)
+        q = SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/{spec.name}", f"{out}/ck_{spec.name}",
+                            watermark=CHECK_WATERMARK, available_now=True)
+        q.awaitTermination()
+        return spark.read.parquet(f"{out}/{spec.name}").select("year", "month", "day", "hour", *spec.keys,
+                                                                spec.measure_name)
+    return run
+
+
+def q_stream_last15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _ingested(spark, sf_dir)
+    q = SQ.start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{out}/ck_last15", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/last15").where("scope = 'party'").select("party", "recency", "id")
+
+
+STREAM_QUERIES = {
+    "stream_ingest": q_stream_ingest,
+    "stream_posts_by_hour": _metric(M.POSTS_BY_HOUR_PARTY),
+    "stream_hashtags_by_hour": _metric(M.HASHTAGS_BY_HOUR),
+    "stream_last15": q_stream_last15,
+}
