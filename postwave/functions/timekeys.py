@@ -16,6 +16,22 @@ def parse_created_at(created_at: Column) -> Column:
     return F.try_to_timestamp(created_at)
 
 
+def utc_date(ts: Column) -> Column:
+    """UTC calendar date of a TIMESTAMP (for the ``date`` partition of landed tables)."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / F.lit(86400)).cast("int"))
+
+
+def iso_millis_utc(ts_ntz: Column) -> Column:
+    """A TIMESTAMP_NTZ holding UTC wall-clock time as ``yyyy-MM-ddTHH:mm:ss.SSSZ`` (truncated to ms).
+
+    Built from the fields, which are zone-free for NTZ; ``date_format`` would go through the
+    session zone and shift times that fall into a daylight-saving gap there.
+    """
+    ms = (F.date_part(F.lit("SECOND"), ts_ntz) * 1000).cast("int") % 1000
+    return F.format_string("%04d-%02d-%02dT%02d:%02d:%02d.%03dZ", F.year(ts_ntz), F.month(ts_ntz),
+                           F.dayofmonth(ts_ntz), F.hour(ts_ntz), F.minute(ts_ntz), F.second(ts_ntz), ms)
+
+
 def hour_key(ts: Column, prefix: str = "") -> list[Column]:
     """year, month, day, hour (UTC) of a TIMESTAMP, as four int columns."""
     secs = F.unix_seconds(ts)

@@ -1,8 +1,8 @@
 """Envelope lines to posts (P1-P8, P14, P16) and the quarantine split.
 
 ``parse_lines`` parses each line once; ``posts`` and ``rejects`` are two projections of the same
-parsed frame, so callers that need both should persist or land the parsed frame once (the
-streaming ingest does this by writing the posts table).
+parsed frame. ``classify`` gives both in one frame (a ``kind`` column) so an ingest job writes
+posts and quarantine in a single pass over the input, with no cache of the parsed lines.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.withColumn("reject_reason", E.reject_reason(F.col("env"), F.col("sub.ents"), F.col("sub.att")))
 
 
+POST_COLUMNS_STAGED = tuple("_sentiment_parts" if c == "sentiment" else c for c in POST_COLUMNS)
+
+
 def _post_columns(value: Column, env: Column, sub: Column, keep_null_tags: bool) -> list[Column]:
     data = env["data"]
     users = env["includes"]["users"]
@@ -70,6 +73,24 @@ def rejects(parsed: DataFrame, value_col: str = "value") -> DataFrame:
                     F.when(is_err, E.error_action(title)).alias("error_action")))
 
 
+CLASSIFIED_EXTRA = ("kind", "reason", "error_title", "error_action")
+
+
+def classify(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool = False) -> DataFrame:
+    """Every line once: post columns (null for rejects; ``json`` is the raw line for both) plus
+    ``kind`` ('post' or 'reject'), ``reason``, ``error_title`` and ``error_action``."""
+    valid = F.col("reject_reason").isNull()
+    cols = _post_columns(F.col(value_col), F.col("env"), F.col("sub"), keep_null_tags)
+    cols = [c if name == "json" else F.when(valid, c).alias(name) for c, name in zip(cols, POST_COLUMNS_STAGED)]
+    title = E.error_title(F.col("env")["errors"])
+    is_err = F.col("reject_reason") == F.lit("error_envelope")
+    staged = parsed.select(*cols, F.when(valid, F.lit("post")).otherwise(F.lit("reject")).alias("kind"),
+                           F.col("reject_reason").alias("reason"), F.when(is_err, title).alias("error_title"),
+                           F.when(is_err, E.error_action(title)).alias("error_action"))
+    return staged.select(*[S.weighted_from_parts(F.col(c)).alias("sentiment") if c == "_sentiment_parts" else c
+                           for c in staged.columns])
+
+
 def parse_posts(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return posts(parse_lines(lines, value_col), value_col)
 

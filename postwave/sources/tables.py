@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postwave.functions.timekeys import iso_millis_utc
+
 # Fixed values of the fixture.
 TRUNCATED_MOD, ERROR_MOD, NO_SOURCE_MOD = 29, 23, 17
 DISCONNECT_TITLE = "operational-disconnect"
@@ -59,7 +61,7 @@ def _post_json(b: DataFrame) -> Column:
     data = F.struct(
         sid.alias("id"),
         F.col("text").alias("text"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"),
+        iso_millis_utc(F.col("ts")).alias("created_at"),
         uid.alias("author_id"),
         F.when(eid % NO_SOURCE_MOD != 0, F.col("source")).alias("source"),
         F.when(n_att > 0, F.struct(

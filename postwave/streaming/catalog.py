@@ -30,7 +30,7 @@ def land_envelopes(spark: SparkSession, sf_dir: str, n_files: int = 8) -> str:
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     src = land_envelopes(spark, sf_dir)
     out = scratch_path(spark, "stream")
-    q = SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/rejects", f"{out}/ck_ingest", available_now=True,
+    q = SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/ck_ingest", available_now=True,
                         max_files_per_trigger=2)
     q.awaitTermination()
     return out
@@ -38,7 +38,7 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
 
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _ingested(spark, sf_dir)
-    return spark.read.parquet(f"{out}/posts").select("id", "party", "createdDate", "user_id", "attachments")
+    return SQ.read_posts(spark, f"{out}/posts").select("id", "party", "createdDate", "user_id", "attachments")
 
 
 def _metric(spec: M.MetricSpec):

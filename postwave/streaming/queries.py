@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from postwave.functions.timekeys import utc_date
 from postwave.operators import metrics as M
 from postwave.operators import parse
 from postwave.sinks import tables as sinks
 from postwave.sources.envelopes import stream_lines
 
-POSTS_SCHEMA = T.StructType([
+ENVELOPES_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("text", T.StringType()),
     T.StructField("user_id", T.StringType()), T.StructField("username", T.StringType()),
     T.StructField("name", T.StringType()), T.StructField("hashtags", T.ArrayType(T.StringType())),
@@ -34,7 +35,9 @@ POSTS_SCHEMA = T.StructType([
     T.StructField("in_reply_to_user_id", T.StringType()), T.StructField("source", T.StringType()),
     T.StructField("sentiment", T.DoubleType()), T.StructField("attachments", T.IntegerType()),
     T.StructField("json", T.StringType()), T.StructField("created_ts", T.TimestampType()),
-    T.StructField("epoch", T.LongType()), T.StructField("date", T.DateType()),
+    T.StructField("reason", T.StringType()), T.StructField("error_title", T.StringType()),
+    T.StructField("error_action", T.StringType()),
+    T.StructField("epoch", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("date", T.DateType()),
 ])
 
 
@@ -46,29 +49,58 @@ def _trigger(w, available_now: bool, interval: str | None):
     return w
 
 
-def start_ingest(spark: SparkSession, source_dir: str, posts_path: str, rejects_path: str, checkpoint: str,
+def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
                  available_now: bool = False, interval: str | None = None,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """S1 + K1/K2: envelope files -> posts table (by epoch and event date) and rejects table."""
+    """S1 + K1/K2: envelope files -> one table of every line, ``epoch=/kind=post|reject/date=``.
+
+    Posts (with the raw envelope in ``json``) and quarantined lines come out of one pass. A10: the
+    per-batch counts of lines, posts, rejects and error envelopes are observed metrics of the query
+    (``query.lastProgress['observedMetrics']['ingest_counts']``; totals via ``ingest_totals``)."""
     lines = stream_lines(spark, source_dir, max_files_per_trigger)
+    rows = parse.classify(parse.parse_lines(lines)).withColumn("date", utc_date(F.col("created_ts")))
+    rows = rows.observe("ingest_counts", F.count(F.lit(1)).alias("lines"),
+                        F.count_if(F.col("kind") == "post").alias("valid"),
+                        F.count_if(F.col("kind") == "reject").alias("rejected"),
+                        F.count_if(F.col("reason") == "error_envelope").alias("error_envelopes"))
 
     def land(batch: DataFrame, epoch_id: int) -> None:
-        parsed = parse.parse_lines(batch).persist()
-        posts = parse.posts(parsed).withColumn("date", F.to_date("created_ts"))
-        sinks.write_epoch(posts, posts_path, epoch_id, ("date",))
-        sinks.write_epoch(parse.rejects(parsed), rejects_path, epoch_id)
-        parsed.unpersist()
+        sinks.write_epoch(batch, table_path, epoch_id, ("kind", "date"))
 
-    w = lines.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    w = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
 
+def ingest_totals(query: StreamingQuery) -> dict[str, int]:
+    """A10: sums of the observed ingest counts over the query's recent progress reports."""
+    total: dict[str, int] = {}
+    for p in query.recentProgress:
+        m = (p.observedMetrics or {}).get("ingest_counts") if hasattr(p, "observedMetrics") else \
+            (p.get("observedMetrics") or {}).get("ingest_counts")
+        if m is None:
+            continue
+        for k in ("lines", "valid", "rejected", "error_envelopes"):
+            total[k] = total.get(k, 0) + int(m[k])
+    return total
+
+
+def read_posts(spark: SparkSession, table_path: str) -> DataFrame:
+    """Batch read of the posts in an ingest table (partition pruning on ``kind``)."""
+    return (spark.read.schema(ENVELOPES_SCHEMA).parquet(table_path).where(F.col("kind") == "post")
+            .select(*parse.POST_COLUMNS, "date"))
+
+
+def read_rejects(spark: SparkSession, table_path: str) -> DataFrame:
+    return (spark.read.schema(ENVELOPES_SCHEMA).parquet(table_path).where(F.col("kind") == "reject")
+            .select(F.col("json").alias("line"), "reason", "error_title", "error_action"))
+
+
 def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = "2 hours",
                  processing_time: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(POSTS_SCHEMA).format("parquet")
+    r = spark.readStream.schema(ENVELOPES_SCHEMA).format("parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.load(posts_path)
+    df = r.load(posts_path).where(F.col("kind") == "post").select(*parse.POST_COLUMNS)
     if processing_time:
         df = df.withColumn("created_ts", F.current_timestamp())
     if watermark:
@@ -108,7 +140,7 @@ def run_all(spark: SparkSession, source_dir: str, out_dir: str, watermark: str =
     ``out_dir/_checkpoints``. Returns the handles by name; stop them with ``stop_all`` (T6)."""
     out = out_dir.rstrip("/")
     ck = f"{out}/checkpoints"
-    handles = {"ingest": start_ingest(spark, source_dir, f"{out}/posts", f"{out}/rejects", f"{ck}/ingest",
+    handles = {"ingest": start_ingest(spark, source_dir, f"{out}/posts", f"{ck}/ingest",
                                       available_now=available_now)}
     if available_now:
         handles["ingest"].awaitTermination()

@@ -62,3 +62,16 @@ def test_spec_filter_is_pushed_to_parquet(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(attachments), Not(EqualTo(attachments,0))" in plan
     assert "ReadSchema: struct<party:string,attachments:int,created_ts:timestamp>" in plan
     assert q.count() == 1
+
+
+def test_iso_text_is_zone_free(spark):
+    from postwave.functions.timekeys import iso_millis_utc
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("select timestamp_ntz'2024-03-10 02:30:00.123456' t union all "
+                       "select timestamp_ntz'2024-01-01 00:00:07' t")
+        got = sorted(r[0] for r in df.select(iso_millis_utc(F.col("t"))).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2024-01-01T00:00:07.000Z", "2024-03-10T02:30:00.123Z"]

@@ -27,10 +27,13 @@ A3 = ["year", "month", "day", "hour", "party", "count"]
 
 def test_stream_equals_batch(spark, tmp_dir):
     src = land_envelopes(spark, SF_SMALL, n_files=4)
-    q = SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/rejects", f"{tmp_dir}/ck", available_now=True,
+    q = SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck", available_now=True,
                         max_files_per_trigger=1)
     q.awaitTermination()
     assert len([d for d in os.listdir(f"{tmp_dir}/posts") if d.startswith("epoch=")]) == 4
+    totals = SQ.ingest_totals(q)
+    counts = catalog.BATCH_QUERIES["ingest_counts"](spark, SF_SMALL).collect()[0].asDict()
+    assert totals == counts
     m = SQ.start_metric(spark, f"{tmp_dir}/posts", M.POSTS_BY_HOUR_PARTY, f"{tmp_dir}/a3", f"{tmp_dir}/ck3",
                         watermark="31 days", available_now=True)
     m.awaitTermination()
@@ -41,7 +44,7 @@ def test_stream_equals_batch(spark, tmp_dir):
     cols = ["party", "recency", "id"]
     assert rows(spark.read.parquet(f"{tmp_dir}/l15").where("scope = 'party'"), cols) == \
         rows(catalog.BATCH_QUERIES["last15_by_party"](spark, SF_SMALL), cols)
-    rej = spark.read.parquet(f"{tmp_dir}/rejects").groupBy("reason").count()
+    rej = SQ.read_rejects(spark, f"{tmp_dir}/posts").groupBy("reason").count()
     assert rows(rej, ["reason", "count"]) == rows(
         catalog.BATCH_QUERIES["rejected_posts"](spark, SF_SMALL).withColumnRenamed("n", "count"), ["reason", "count"])
 
@@ -55,7 +58,7 @@ def test_restart_and_late_rows(spark, tmp_dir):
     write_lines(src, "f1.txt", [_post(i, 10 + i % 3) for i in range(9)])       # hours 10, 11, 12
 
     def run():
-        SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/rej", f"{out}/ck_i", available_now=True).awaitTermination()
+        SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/ck_i", available_now=True).awaitTermination()
         SQ.start_metric(spark, f"{out}/posts", M.POSTS_BY_HOUR_PARTY, f"{out}/a3", f"{out}/ck_m",
                         watermark="1 hour", available_now=True).awaitTermination()
         return {r["hour"]: r["count"] for r in spark.read.parquet(f"{out}/a3").collect()}
@@ -86,8 +89,7 @@ def test_upsert_batch_is_idempotent(spark, tmp_dir):
 def test_processing_time_mode(spark, tmp_dir):
     src = f"{tmp_dir}/in"
     write_lines(src, "f1.txt", [_post(i, 3) for i in range(4)])
-    SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/rej", f"{tmp_dir}/ck_i",
-                    available_now=True).awaitTermination()
+    SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck_i", available_now=True).awaitTermination()
     SQ.start_metric(spark, f"{tmp_dir}/posts", M.POSTS_BY_HOUR_PARTY, f"{tmp_dir}/a3", f"{tmp_dir}/ck_m",
                     watermark=None, available_now=True, processing_time=True).awaitTermination()
     got = spark.read.parquet(f"{tmp_dir}/a3").collect()
