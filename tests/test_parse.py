@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postwave.operators import parse
-from tests.envelopes import REFERENCE_LITERAL_NO_SOURCE, envelope, user
+from tests.envelopes import LITERAL_NO_SOURCE, envelope, user
 
 
 def run(spark, lines):
@@ -61,7 +61,7 @@ def test_defaults_and_no_tag(spark):
     (envelope(rules=[{"id": 1, "tag": None}]), "null_rule_tag"),
     (envelope(users=[{"id": "10", "name": "x"}]), "incomplete_user"),
     (envelope(author="10", users=[user("11")]), "author_not_in_users"),
-    (REFERENCE_LITERAL_NO_SOURCE, "missing_required_field"),
+    (LITERAL_NO_SOURCE, "missing_required_field"),
 ])
 def test_reject_reasons(spark, line, reason):
     if '"includes": null' in line:
