@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 # lexicon. A sentence is a run of characters other than . ! ? and line breaks, with its closing
 # punctuation, trimmed of spaces; a token is a run of letters, compared in lower case.
 SENTENCE_PATTERN = "[^.!?\\r\\n]+[.!?]*"
-TOKEN_SPLIT = "[^\\p{L}]+"
+TOKEN_PATTERN = "\\p{L}+"
 
 POSITIVE_WORDS = (
     "gut", "super", "toll", "schön", "danke", "freude", "liebe", "stark", "erfolg", "hoffnung",
@@ -28,6 +28,7 @@ NEGATIVE_WORDS = (
     "mal", "mauvais", "triste", "peur", "malo", "mala", "miedo", "error", "odio", "nunca",
 )
 
+LEXICON_WORDS = POSITIVE_WORDS + NEGATIVE_WORDS
 NO_SENTENCE = -1.0
 
 
@@ -40,11 +41,12 @@ def sentences(text: Column) -> Column:
 def sentence_class(sentence: Column) -> Column:
     """Class 0..4 of one sentence: net = positive - negative tokens, clamped to [-2, 2], plus 2.
 
-    One split and one pass over the tokens; the net score is used once (no CASE that would repeat it).
+    Tokens are extracted once; a hash-set filter keeps only lexicon words, and the fold runs over
+    those few hits; the net score is used once (no CASE that would repeat it).
     """
-    tokens = F.split(F.lower(sentence), TOKEN_SPLIT)
-    net = F.aggregate(tokens, F.lit(0), lambda acc, t: acc + F.when(t.isin(*POSITIVE_WORDS), 1)
-                      .when(t.isin(*NEGATIVE_WORDS), -1).otherwise(0))
+    tokens = F.regexp_extract_all(F.lower(sentence), F.lit(TOKEN_PATTERN), F.lit(0))
+    hits = F.filter(tokens, lambda t: t.isin(*LEXICON_WORDS))
+    net = F.aggregate(hits, F.lit(0), lambda acc, t: acc + F.when(t.isin(*POSITIVE_WORDS), 1).otherwise(-1))
     return (F.least(F.greatest(net, F.lit(-2)), F.lit(2)) + 2).cast("int")
 
 

@@ -22,7 +22,7 @@ def _sentences(text: str) -> str:
 
 
 def _class(s: str) -> str:
-    toks = f"regexp_split_to_array(lower({s}), '{S.TOKEN_SPLIT}')"
+    toks = f"regexp_extract_all(lower({s}), '{S.TOKEN_PATTERN}')"
     pos = f"len(list_filter({toks}, lambda t: t IN ({_words(S.POSITIVE_WORDS)})))"
     neg = f"len(list_filter({toks}, lambda t: t IN ({_words(S.NEGATIVE_WORDS)})))"
     net = f"({pos} - {neg})"

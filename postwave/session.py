@@ -8,6 +8,44 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def _driver_memory() -> str:
+    """60% of physical memory, between 2 and 16 GiB (local mode runs everything in the driver)."""
+    if os.environ.get("POSTWAVE_DRIVER_MEMORY"):
+        return os.environ["POSTWAVE_DRIVER_MEMORY"]
+    try:
+        with open("/proc/meminfo") as f:
+            kb = int(next(line for line in f if line.startswith("MemTotal")).split()[1])
+        gib = max(2, min(16, int(kb / 1024 / 1024 * 0.6)))
+    except (OSError, StopIteration, ValueError):
+        gib = 4
+    return f"{gib}g"
+
+
+def cluster_conf(total_input_bytes: int | None = None) -> dict[str, str]:
+    """Settings for a large cluster (pass to the session builder or spark-submit).
+
+    AQE decides the reduce-side partition count from the real shuffle sizes (start high, coalesce
+    to ~256 MiB), splits skewed join partitions, and streaming state lives in RocksDB so large
+    hour x key state does not sit on the JVM heap.
+    """
+    initial = "8192"
+    if total_input_bytes:
+        initial = str(max(200, min(100_000, total_input_bytes // (128 << 20))))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": initial,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": initial,
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
 def build_session(master: str | None = None, app: str = "postwave", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """Local session with the settings the library assumes (UTC, AQE, no UI)."""
@@ -19,7 +57,7 @@ def build_session(master: str | None = None, app: str = "postwave", shuffle_part
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", _driver_memory()))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

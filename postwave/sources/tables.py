@@ -21,6 +21,8 @@ TRUNCATED_MOD, ERROR_MOD, NO_SOURCE_MOD = 29, 23, 17
 DISCONNECT_TITLE = "operational-disconnect"
 OTHER_ERROR_TITLE = "stream-reset"
 ROSTER_HEADER = "screen_name;user_id;name;party;location;created_at"
+POSTS_PER_TASK = 20_000
+MAX_TASKS = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,15 +38,19 @@ def posts_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     N is counted by a Spark job (from Parquet footers) and enters the plan as a literal. The join
     is an equi-join on the document key. Documents are hash-partitioned on ``doc_id`` first: that
-    is the distribution a sort-merge join needs anyway (so at scale it adds no shuffle), and when
-    Spark instead broadcasts the small events side (under ``autoBroadcastJoinThreshold``) the
-    per-post work after the join still runs in as many tasks as AQE gives the documents, not in one
-    task per input file.
+    is the distribution a sort-merge join needs anyway (so at scale it adds no shuffle). The
+    partition count comes from the number of events (one post each, ``POSTS_PER_TASK`` per task,
+    at least the cluster's parallelism): each document row fans out to several posts that are then
+    serialised, parsed and scored, so a byte-sized partitioning of the documents alone would put
+    far too much CPU work in one task. When Spark broadcasts the small events side instead (under
+    ``autoBroadcastJoinThreshold``), the post work still runs in that many tasks.
     """
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     n_docs = docs.count()
-    docs = docs.repartition("doc_id")
+    n_events = events.count()
+    parts = max(spark.sparkContext.defaultParallelism, min(MAX_TASKS, -(-n_events // POSTS_PER_TASK)))
+    docs = docs.repartition(parts, "doc_id")
     joined = events.join(docs, docs["doc_id"] == (events["event_id"] % F.lit(n_docs)), "inner")
     return joined.withColumn("k", _k(F.col("props")))
 

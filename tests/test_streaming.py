@@ -106,3 +106,19 @@ def test_run_all_and_stop(spark, tmp_dir):
     assert not spark.streams.active
     assert spark.read.parquet(f"{tmp_dir}/out/posts_by_hour_party").agg(F.sum("count")).collect()[0][0] == 12
     assert spark.read.parquet(f"{tmp_dir}/out/last15").where("scope = 'combined'").count() == 12
+
+
+def test_rocksdb_state_store(spark, tmp_dir):
+    from postwave.session import cluster_conf
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    src = f"{tmp_dir}/in"
+    write_lines(src, "f1.txt", [_post(i, 4 + i % 2) for i in range(6)])
+    try:
+        spark.conf.set(key, cluster_conf()[key])
+        SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck_i", available_now=True).awaitTermination()
+        SQ.start_metric(spark, f"{tmp_dir}/posts", M.POSTS_BY_HOUR_PARTY, f"{tmp_dir}/a3", f"{tmp_dir}/ck_m",
+                        watermark="1 hour", available_now=True).awaitTermination()
+    finally:
+        spark.conf.set(key, old)
+    assert {r["hour"]: r["count"] for r in spark.read.parquet(f"{tmp_dir}/a3").collect()} == {4: 3, 5: 3}
