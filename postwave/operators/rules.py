@@ -26,7 +26,7 @@ def roster_rules(roster: DataFrame, chunk_size: int = CHUNK_SIZE, tag_prefix: st
                  suffix: str = RULE_SUFFIX, n_parts: int | None = None) -> DataFrame:
     """(chunk, tag, n_accounts, rule) with chunk numbers 1.. in user_id order."""
     pos = global_position(roster.select("user_id", "screen_name"), ["user_id", "screen_name"], n_parts)
-    chunked = pos.withColumn("chunk", (F.floor(F.col("position") / F.lit(chunk_size)) + 1).cast("int"))
+    chunked = pos.withColumn("chunk", (F.expr(f"position div {int(chunk_size)}") + 1).cast("int"))
     grouped = chunked.groupBy("chunk").agg(
         F.sort_array(F.collect_list(F.struct("position", "screen_name"))).alias("m"))
     names = F.array_join(F.transform("m", lambda x: F.concat(F.lit("from:"), x["screen_name"])), " OR ")
