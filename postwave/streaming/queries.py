@@ -41,7 +41,9 @@ ENVELOPES_SCHEMA = T.StructType([
 ])
 
 
-def _trigger(w, available_now: bool, interval: str | None):
+def _trigger(w, available_now: bool, interval: str | None, name: str | None = None):
+    if name:
+        w = w.queryName(name)
     if available_now:
         return w.trigger(availableNow=True)
     if interval:
@@ -51,7 +53,7 @@ def _trigger(w, available_now: bool, interval: str | None):
 
 def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
                  available_now: bool = False, interval: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, name: str | None = None) -> StreamingQuery:
     """S1 + K1/K2: envelope files -> one table of every line, ``epoch=/kind=post|reject/date=``.
 
     Posts (with the raw envelope in ``json``) and quarantined lines come out of one pass. A10: the
@@ -68,7 +70,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
         sinks.write_epoch(batch, table_path, epoch_id, ("kind", "date"))
 
     w = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval).start()
+    return _trigger(w, available_now, interval, name).start()
 
 
 def ingest_totals(query: StreamingQuery) -> dict[str, int]:
@@ -95,11 +97,20 @@ def read_rejects(spark: SparkSession, table_path: str) -> DataFrame:
             .select(F.col("json").alias("line"), "reason", "error_title", "error_action"))
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` (on whatever file system it names) so a stream can start on a table that its
+    upstream query has not written yet."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = "2 hours",
                  processing_time: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(ENVELOPES_SCHEMA).format("parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    ensure_dir(spark, posts_path)
     df = r.load(posts_path).where(F.col("kind") == "post").select(*parse.POST_COLUMNS)
     if processing_time:
         df = df.withColumn("created_ts", F.current_timestamp())
@@ -110,7 +121,7 @@ def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = "
 
 def start_metric(spark: SparkSession, posts_path: str, spec: M.MetricSpec, table_path: str, checkpoint: str,
                  watermark: str | None = "2 hours", available_now: bool = False, interval: str | None = None,
-                 processing_time: bool = False) -> StreamingQuery:
+                 processing_time: bool = False, name: str | None = None) -> StreamingQuery:
     """A1-A7 (T1, T2, T4, T8, K3): windowed aggregate in update mode, upserted by key per batch."""
     grouped = M.windowed(posts_stream(spark, posts_path, watermark, processing_time), spec)
     keys = ["year", "month", "day", "hour", *spec.keys]
@@ -119,11 +130,11 @@ def start_metric(spark: SparkSession, posts_path: str, spec: M.MetricSpec, table
         sinks.upsert_by_key(M.with_hour_key(batch, spec), table_path, keys)
 
     w = grouped.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval or (None if available_now else spec.trigger)).start()
+    return _trigger(w, available_now, interval or (None if available_now else spec.trigger), name).start()
 
 
 def start_last_n(spark: SparkSession, posts_path: str, table_path: str, checkpoint: str,
-                 available_now: bool = False, interval: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, interval: str | None = None, name: str | None = None) -> StreamingQuery:
     """A8 + K4 (T3): append stream of (party, id, created_ts) merged into the stored top-n per batch."""
     src = posts_stream(spark, posts_path, watermark=None).select("party", "id", "created_ts")
 
@@ -131,23 +142,26 @@ def start_last_n(spark: SparkSession, posts_path: str, table_path: str, checkpoi
         sinks.merge_last_n(batch, table_path)
 
     w = src.writeStream.outputMode("append").foreachBatch(merge).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval).start()
+    return _trigger(w, available_now, interval, name).start()
 
 
 def run_all(spark: SparkSession, source_dir: str, out_dir: str, watermark: str = "2 hours",
-            available_now: bool = False) -> dict[str, StreamingQuery]:
+            available_now: bool = False, name_prefix: str = "",
+            interval: str | None = None) -> dict[str, StreamingQuery]:
     """T5: the ingest query plus one query per metric and the last-n query, each checkpointed under
-    ``out_dir/_checkpoints``. Returns the handles by name; stop them with ``stop_all`` (T6)."""
+    ``out_dir/checkpoints``. Triggers are each spec's refresh interval unless ``interval`` overrides
+    them. Returns the handles by name; stop them with ``stop_all`` (T6)."""
     out = out_dir.rstrip("/")
     ck = f"{out}/checkpoints"
     handles = {"ingest": start_ingest(spark, source_dir, f"{out}/posts", f"{ck}/ingest",
-                                      available_now=available_now)}
+                                      available_now=available_now, interval=interval, name=f"{name_prefix}ingest")}
     if available_now:
         handles["ingest"].awaitTermination()
     for spec in M.STANDARD_SPECS:
         handles[spec.name] = start_metric(spark, f"{out}/posts", spec, f"{out}/{spec.name}", f"{ck}/{spec.name}",
-                                          watermark, available_now)
-    handles["last15"] = start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{ck}/last15", available_now)
+                                          watermark, available_now, interval, name=f"{name_prefix}{spec.name}")
+    handles["last15"] = start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{ck}/last15", available_now,
+                                     interval, name=f"{name_prefix}last15")
     return handles
 
 

@@ -122,3 +122,20 @@ def test_rocksdb_state_store(spark, tmp_dir):
     finally:
         spark.conf.set(key, old)
     assert {r["hour"]: r["count"] for r in spark.read.parquet(f"{tmp_dir}/a3").collect()} == {4: 3, 5: 3}
+
+
+def test_run_all_continuous(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    handles = SQ.run_all(spark, src, f"{tmp_dir}/out", watermark="1 hour", name_prefix="t_", interval="1 second")
+    try:
+        assert {q.name for q in spark.streams.active} >= {"t_ingest", "t_posts_by_hour_party", "t_last15"}
+        write_lines(src, "a.txt", [_post(i, i % 3) for i in range(9)])
+        handles["ingest"].processAllAvailable()
+        for name in ("posts_by_hour_party", "last15"):
+            handles[name].processAllAvailable()
+        got = {r["hour"]: r["count"] for r in spark.read.parquet(f"{tmp_dir}/out/posts_by_hour_party").collect()}
+        assert got == {0: 3, 1: 3, 2: 3}
+        assert all(q.exception() is None for q in handles.values())
+    finally:
+        SQ.stop_all(spark)
