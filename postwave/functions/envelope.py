@@ -25,20 +25,11 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField(CORRUPT, T.StringType()),
 ])
 
-ENTITIES_SCHEMA = T.StructType([
-    T.StructField("hashtags", T.ArrayType(T.StructType([T.StructField("tag", T.StringType())]))),
-])
-
-USER_STRUCT = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("username", T.StringType()),
-    T.StructField("name", T.StringType()),
-])
+HASHTAGS_SCHEMA = T.ArrayType(STR_MAP)
 
 # The keys a post must carry inside ``data`` and inside every user object, and the
 # error title that means the stream was shut down for good.
 REQUIRED_DATA_KEYS = ("id", "text", "created_at", "author_id", "source")
-REQUIRED_USER_KEYS = ("id", "username", "name")
 DISCONNECT_TITLE = "operational-disconnect"
 
 
@@ -64,15 +55,23 @@ def party_tag(rules: Column) -> Column:
 
 
 def entities(data: Column) -> Column:
-    return F.from_json(data["entities"], ENTITIES_SCHEMA)
+    """``data.entities`` as an object of raw member texts (null when absent, null or not an object)."""
+    return F.from_json(data["entities"], STR_MAP)
+
+
+def hashtag_objects(ents: Column) -> Column:
+    """``entities.hashtags`` as a list of objects (null when absent, null, or not a list of objects)."""
+    return F.from_json(ents["hashtags"], HASHTAGS_SCHEMA)
 
 
-def hashtags(ents: Column, keep_null: bool = False) -> Column:
-    """Tags in order with duplicates; missing and empty tags dropped (null too unless kept)."""
-    tags = F.transform(F.coalesce(ents["hashtags"], F.array()), lambda h: h["tag"])
+def hashtags(tags: Column, keep_null: bool = False) -> Column:
+    """Tags in order with duplicates; a missing ``tag`` counts as empty and is dropped; a JSON
+    null tag is dropped too unless ``keep_null`` (the reference kept it)."""
+    raw = F.transform(F.coalesce(tags, F.array()),
+                      lambda h: F.when(F.map_contains_key(h, "tag"), h["tag"]).otherwise(F.lit("")))
     if keep_null:
-        return F.filter(tags, lambda t: t.isNull() | (t != F.lit("")))
-    return F.filter(tags, lambda t: t.isNotNull() & (t != F.lit("")))
+        return F.filter(raw, lambda t: t.isNull() | (t != F.lit("")))
+    return F.filter(raw, lambda t: t.isNotNull() & (t != F.lit("")))
 
 
 def attachments_map(data: Column) -> Column:
@@ -113,8 +112,9 @@ def error_action(title: Column) -> Column:
     return F.when(title == F.lit(DISCONNECT_TITLE), F.lit("stop")).otherwise(F.lit("reconnect"))
 
 
-def reject_reason(env: Column, ents: Column, att: Column) -> Column:
-    """First failing rule, or null for a valid post. ``ents``/``att``: parsed entities/attachments.
+def reject_reason(env: Column, ents: Column, att: Column, tags: Column) -> Column:
+    """First failing rule, or null for a valid post. ``ents``/``att``/``tags``: parsed entities,
+    attachments and hashtag objects.
 
     Order follows the reference's parse: an envelope that yields a post is a post even if it also
     carries ``errors``; one that does not and carries ``errors`` is an error envelope.
@@ -132,6 +132,7 @@ def reject_reason(env: Column, ents: Column, att: Column) -> Column:
         (rules.isNull(), "missing_matching_rules"),
         (~required_ok, "missing_required_field"),
         (F.map_contains_key(data, "entities") & ents.isNull(), "bad_entities"),
+        (F.map_contains_key(ents, "hashtags") & tags.isNull(), "bad_entities"),
         (F.map_contains_key(data, "attachments") & att.isNull(), "bad_attachments"),
         (has_key_in_any(rules, "tag") & rule_tag.isNull(), "null_rule_tag"),
         (~users_complete(users), "incomplete_user"),

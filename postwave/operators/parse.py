@@ -20,18 +20,21 @@ POST_COLUMNS = ("id", "text", "user_id", "username", "name", "hashtags", "users"
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``env`` (parsed struct), ``sub`` (parsed entities and attachments) and ``reject_reason``."""
+    """Adds ``env`` (parsed struct), ``sub`` (parsed entities and attachments), ``tags`` (hashtag
+    objects) and ``reject_reason``. Each JSON text is parsed exactly once."""
     parsed = lines.select("*", once(E.parse_envelope(F.col(value_col)), "env"))
     data = F.col("env")["data"]
     parsed = parsed.select("*", once(F.struct(E.entities(data).alias("ents"), E.attachments_map(data).alias("att")),
                                       "sub"))
-    return parsed.withColumn("reject_reason", E.reject_reason(F.col("env"), F.col("sub.ents"), F.col("sub.att")))
+    parsed = parsed.select("*", once(E.hashtag_objects(F.col("sub.ents")), "tags"))
+    return parsed.withColumn("reject_reason", E.reject_reason(F.col("env"), F.col("sub.ents"), F.col("sub.att"),
+                                                              F.col("tags")))
 
 
 POST_COLUMNS_STAGED = tuple("_sentiment_parts" if c == "sentiment" else c for c in POST_COLUMNS)
 
 
-def _post_columns(value: Column, env: Column, sub: Column, keep_null_tags: bool) -> list[Column]:
+def _post_columns(value: Column, env: Column, sub: Column, tags: Column, keep_null_tags: bool) -> list[Column]:
     data = env["data"]
     users = env["includes"]["users"]
     who = E.author(users, data["author_id"])
@@ -41,7 +44,7 @@ def _post_columns(value: Column, env: Column, sub: Column, keep_null_tags: bool)
         data["author_id"].alias("user_id"),
         who["username"].alias("username"),
         who["name"].alias("name"),
-        E.hashtags(sub["ents"], keep_null_tags).alias("hashtags"),
+        E.hashtags(tags, keep_null_tags).alias("hashtags"),
         E.users_list(users).alias("users"),
         E.party_tag(env["matching_rules"]).alias("party"),
         data["created_at"].alias("createdDate"),
@@ -56,7 +59,7 @@ def _post_columns(value: Column, env: Column, sub: Column, keep_null_tags: bool)
 
 def posts(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool = False) -> DataFrame:
     """The valid rows as the 14 post columns plus ``created_ts`` (event time)."""
-    cols = _post_columns(F.col(value_col), F.col("env"), F.col("sub"), keep_null_tags)
+    cols = _post_columns(F.col(value_col), F.col("env"), F.col("sub"), F.col("tags"), keep_null_tags)
     staged = parsed.where(F.col("reject_reason").isNull()).select(*cols)
     # second projection: the sentiment fold runs once and its parts are read from the column
     return staged.select(*[S.weighted_from_parts(F.col(c)).alias("sentiment") if c == "_sentiment_parts" else c
@@ -80,7 +83,7 @@ def classify(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool =
     """Every line once: post columns (null for rejects; ``json`` is the raw line for both) plus
     ``kind`` ('post' or 'reject'), ``reason``, ``error_title`` and ``error_action``."""
     valid = F.col("reject_reason").isNull()
-    cols = _post_columns(F.col(value_col), F.col("env"), F.col("sub"), keep_null_tags)
+    cols = _post_columns(F.col(value_col), F.col("env"), F.col("sub"), F.col("tags"), keep_null_tags)
     cols = [c if name == "json" else F.when(valid, c).alias(name) for c, name in zip(cols, POST_COLUMNS_STAGED)]
     title = E.error_title(F.col("env")["errors"])
     is_err = F.col("reject_reason") == F.lit("error_envelope")

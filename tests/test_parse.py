@@ -108,3 +108,22 @@ def test_each_line_parsed_once(spark):
     df = spark.createDataFrame([(envelope(),)], "value string")
     plan = parse.posts(parse.parse_lines(df))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(StructField(data") == 1
+
+
+@pytest.mark.parametrize("ents,reason", [
+    ({"hashtags": None}, "bad_entities"),
+    ({"hashtags": "x"}, "bad_entities"),
+    ({"hashtags": [{"tag": "a"}, 5]}, "bad_entities"),
+    ({"mentions": []}, None),
+    ({"hashtags": []}, None),
+])
+def test_entities_shapes(spark, ents, reason):
+    p, got = one(spark, envelope(entities=ents))
+    assert got == reason
+
+
+def test_keep_null_tags(spark):
+    df = spark.createDataFrame([(envelope(entities={"hashtags": [{"tag": None}, {"start": 1}, {"tag": "a"}]}),)],
+                               "value string")
+    p = parse.posts(parse.parse_lines(df), keep_null_tags=True).collect()[0]
+    assert p["hashtags"] == [None, "a"]          # null kept, missing tag dropped as empty
