@@ -85,12 +85,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or conf).rstrip("/")
 
 
+def _local_dir(uri: str) -> str | None:
+    """The local path of a ``file:`` URI or plain path; None for any other file system."""
+    if uri.startswith("file:"):
+        path = uri[len("file:"):]
+        return "/" + path.lstrip("/")
+    if "://" in uri:
+        return None
+    return os.path.abspath(uri)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for stream state, landed tables, etc."""
     root = checkpoint_root(spark)
-    base = root if "://" in root else os.path.abspath(root)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    local = _local_dir(root)
+    if local is not None:
+        os.makedirs(local, exist_ok=True)
+        return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
     import uuid
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
