@@ -19,7 +19,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -40,11 +39,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     sf = sf_dir.rsplit("sf", 1)[-1]
-    extra = {}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="postwave-bench-")
-    spark = build_session(master=f"local[{cpus}]", app="postwave-bench", shuffle_partitions=max(8, cpus * 2),
-                          extra=extra)
+    # scratch tables go under spark.checkpoint.dir (from the Spark defaults; a temporary folder
+    # only when a local session has none)
+    spark = build_session(master=f"local[{cpus}]", app="postwave-bench", shuffle_partitions=max(8, cpus * 2))
     times: dict[str, float] = {}
     counts: dict[str, int] = {}
 
