@@ -139,3 +139,17 @@ def test_run_all_continuous(spark, tmp_dir):
         assert all(q.exception() is None for q in handles.values())
     finally:
         SQ.stop_all(spark)
+
+
+def test_complete_mode_same_table(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    write_lines(src, "f1.txt", [_post(i, i % 4, party="p" + str(i % 2)) for i in range(12)])
+    SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck_i", available_now=True).awaitTermination()
+    out = {}
+    for mode in ("update", "complete"):
+        SQ.start_metric(spark, f"{tmp_dir}/posts", M.SOURCE_BY_HOUR_PARTY, f"{tmp_dir}/{mode}",
+                        f"{tmp_dir}/ck_{mode}", watermark=None, available_now=True,
+                        output_mode=mode).awaitTermination()
+        out[mode] = rows(spark.read.parquet(f"{tmp_dir}/{mode}"), ["year", "month", "day", "hour", "party",
+                                                                    "source", "count"])
+    assert out["update"] == out["complete"] and sum(r[-1] for r in out["update"]) == 12
