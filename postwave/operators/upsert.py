@@ -7,5 +7,7 @@ from pyspark.sql import DataFrame
 
 def upsert_merge(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Both sides shuffle once on the key (or the key side of ``new`` is broadcast if Spark finds it
-    small); no row of either side is dropped except the replaced old ones."""
+    small); no row of either side is dropped except the replaced old ones. ``new`` is read twice
+    (rows and keys): materialise it first when it is expensive to compute (the streaming sink
+    checkpoints each batch)."""
     return new.unionByName(old.join(new.select(*keys), keys, "left_anti").select(*new.columns))

@@ -17,6 +17,7 @@ from postwave.functions.timekeys import hour_key
 from postwave.operators import lastn, metrics as M, parse
 from postwave.operators.rules import roster_rules
 from postwave.operators.upsert import upsert_merge
+from postwave.session import checkpoint_root
 from postwave.sources import envelopes, roster, tables
 
 HOUR = ["year", "month", "day", "hour"]
@@ -159,11 +160,18 @@ def q_raw_landing(spark, sf_dir):
 
 
 def q_upsert_merge(spark, sf_dir):
-    """A3 kept by replace-by-key: an older run up to day 19, then a run from day 15 replacing its hours."""
+    """A3 kept by replace-by-key: an older run over days 1-19 and a newer run from day 15 on, whose
+    hours replace the older ones. Both runs' counts come from one parse and one aggregate, which is
+    checkpointed (hours x parties rows) because the merge reads the newer run twice."""
+    checkpoint_root(spark)
     p = posts(spark, sf_dir)
     day = F.dayofmonth(F.to_date(F.col("createdDate").substr(1, 10)))
-    old = M.metric_from_spec(p.where(day < 20), M.POSTS_BY_HOUR_PARTY)
-    new = M.metric_from_spec(p.where(day >= 15), M.POSTS_BY_HOUR_PARTY)
+    runs = (p.select(*hour_key(F.col("created_ts")), "party", (day < 20).alias("in_old"), (day >= 15).alias("in_new"))
+            .groupBy(*HOUR, "party")
+            .agg(F.count_if("in_old").alias("old_count"), F.count_if("in_new").alias("new_count"))
+            .checkpoint(eager=True))
+    old = runs.where("old_count > 0").select(*HOUR, "party", F.col("old_count").alias("count"))
+    new = runs.where("new_count > 0").select(*HOUR, "party", F.col("new_count").alias("count"))
     return upsert_merge(old, new, HOUR + ["party"])
 
 
