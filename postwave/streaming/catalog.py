@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postwave.operators import metrics as M
 from postwave.session import scratch_path
+from postwave.sinks.tables import read_last_n
 from postwave.sources import tables
 from postwave.streaming import queries as SQ
 
@@ -56,7 +57,7 @@ def q_stream_last15(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _ingested(spark, sf_dir)
     q = SQ.start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{out}/ck_last15", available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(f"{out}/last15").where("scope = 'party'").select("party", "recency", "id")
+    return read_last_n(spark, f"{out}/last15").where("scope = 'party'").select("party", "recency", "id")
 
 
 STREAM_QUERIES = {

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from postwave.functions.timekeys import utc_date
 from postwave.operators import metrics as M
 from postwave.operators import parse
+from postwave.sinks import fs
 from postwave.sinks import tables as sinks
 from postwave.sources.envelopes import stream_lines
 
@@ -74,7 +75,9 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
 
 
 def ingest_totals(query: StreamingQuery) -> dict[str, int]:
-    """A10: sums of the observed ingest counts over the query's recent progress reports."""
+    """A10: sums of the observed ingest counts over the progress reports Spark keeps for the query
+    (the last ``spark.sql.streaming.numRecentProgressUpdates``, 100 by default). Durable totals
+    come from the ingest table itself (count by ``kind`` / ``reason``)."""
     total: dict[str, int] = {}
     for p in query.recentProgress:
         m = (p.observedMetrics or {}).get("ingest_counts") if hasattr(p, "observedMetrics") else \
@@ -97,20 +100,12 @@ def read_rejects(spark: SparkSession, table_path: str) -> DataFrame:
             .select(F.col("json").alias("line"), "reason", "error_title", "error_action"))
 
 
-def ensure_dir(spark: SparkSession, path: str) -> None:
-    """Create ``path`` (on whatever file system it names) so a stream can start on a table that its
-    upstream query has not written yet."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
-
-
 def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = "2 hours",
                  processing_time: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(ENVELOPES_SCHEMA).format("parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    ensure_dir(spark, posts_path)
+    fs.ensure_dir(spark, posts_path)
     df = r.load(posts_path).where(F.col("kind") == "post").select(*parse.POST_COLUMNS)
     if processing_time:
         df = df.withColumn("created_ts", F.current_timestamp())
@@ -140,11 +135,12 @@ def start_metric(spark: SparkSession, posts_path: str, spec: M.MetricSpec, table
 
 def start_last_n(spark: SparkSession, posts_path: str, table_path: str, checkpoint: str,
                  available_now: bool = False, interval: str | None = None, name: str | None = None) -> StreamingQuery:
-    """A8 + K4 (T3): append stream of (party, id, created_ts) merged into the stored top-n per batch."""
+    """A8 + K4 (T3): append stream of (party, id, created_ts) merged into the stored top-n per batch;
+    read the result with ``sinks.tables.read_last_n``."""
     src = posts_stream(spark, posts_path, watermark=None).select("party", "id", "created_ts")
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        sinks.merge_last_n(batch, table_path)
+        sinks.merge_last_n(batch, table_path, epoch_id)
 
     w = src.writeStream.outputMode("append").foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval, name).start()

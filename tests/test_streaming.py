@@ -42,7 +42,7 @@ def test_stream_equals_batch(spark, tmp_dir):
     l15 = SQ.start_last_n(spark, f"{tmp_dir}/posts", f"{tmp_dir}/l15", f"{tmp_dir}/ckl", available_now=True)
     l15.awaitTermination()
     cols = ["party", "recency", "id"]
-    assert rows(spark.read.parquet(f"{tmp_dir}/l15").where("scope = 'party'"), cols) == \
+    assert rows(sinks.read_last_n(spark, f"{tmp_dir}/l15").where("scope = 'party'"), cols) == \
         rows(catalog.BATCH_QUERIES["last15_by_party"](spark, SF_SMALL), cols)
     rej = SQ.read_rejects(spark, f"{tmp_dir}/posts").groupBy("reason").count()
     assert rows(rej, ["reason", "count"]) == rows(
@@ -105,7 +105,7 @@ def test_run_all_and_stop(spark, tmp_dir):
     SQ.stop_all(spark)
     assert not spark.streams.active
     assert spark.read.parquet(f"{tmp_dir}/out/posts_by_hour_party").agg(F.sum("count")).collect()[0][0] == 12
-    assert spark.read.parquet(f"{tmp_dir}/out/last15").where("scope = 'combined'").count() == 12
+    assert sinks.read_last_n(spark, f"{tmp_dir}/out/last15").where("scope = 'combined'").count() == 12
 
 
 def test_rocksdb_state_store(spark, tmp_dir):
@@ -153,3 +153,22 @@ def test_complete_mode_same_table(spark, tmp_dir):
         out[mode] = rows(spark.read.parquet(f"{tmp_dir}/{mode}"), ["year", "month", "day", "hour", "party",
                                                                     "source", "count"])
     assert out["update"] == out["complete"] and sum(r[-1] for r in out["update"]) == 12
+
+
+def test_last_n_versions_survive_a_failed_batch(spark, tmp_dir):
+    schema = "party string, id string, created_ts timestamp"
+    t = lambda s: dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=s)
+    path = f"{tmp_dir}/l15"
+    for epoch in range(5):
+        batch = spark.createDataFrame([("p", str(epoch * 10 + i), t(epoch * 10 + i)) for i in range(10)], schema)
+        sinks.merge_last_n(batch, path, epoch)
+    # a batch that died after starting its write leaves an uncommitted folder behind
+    os.makedirs(f"{path}/v=5")
+    open(f"{path}/v=5/part-garbage.parquet", "w").close()
+    got = sinks.read_last_n(spark, path).where("scope = 'party'").orderBy("recency").collect()
+    assert [r["id"] for r in got] == [str(i) for i in range(49, 34, -1)]
+    # the retry of batch 5 reads version 4 and commits version 5
+    sinks.merge_last_n(spark.createDataFrame([("p", "50", t(50))], schema), path, 5)
+    got = sinks.read_last_n(spark, path).where("scope = 'party'").orderBy("recency").collect()
+    assert [r["id"] for r in got][:2] == ["50", "49"] and len(got) == 15
+    assert sorted(os.listdir(path)) == ["v=3", "v=4", "v=5"]
