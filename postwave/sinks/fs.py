@@ -38,3 +38,21 @@ def drop_versions(spark: SparkSession, path: str, keep: int) -> None:
     p, fs = _fs(spark, path)
     for v in complete_versions(spark, path)[:-keep]:
         fs.delete(jvm.org.apache.hadoop.fs.Path(p, f"v={v}"), True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def drop_older(spark: SparkSession, path: str, prefix: str, current: int) -> None:
+    """Delete the sub-folders ``<prefix>N`` of ``path`` with N < ``current``."""
+    jvm = spark.sparkContext._jvm
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        tail = name[len(prefix):]
+        if name.startswith(prefix) and tail.isdigit() and int(tail) < current:
+            fs.delete(st.getPath(), True)

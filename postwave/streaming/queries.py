@@ -127,7 +127,7 @@ def start_metric(spark: SparkSession, posts_path: str, spec: M.MetricSpec, table
     keys = ["year", "month", "day", "hour", *spec.keys]
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        sinks.upsert_by_key(M.with_hour_key(batch, spec), table_path, keys)
+        sinks.upsert_by_key(M.with_hour_key(batch, spec), table_path, keys, epoch_id)
 
     w = grouped.writeStream.outputMode(output_mode).foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval or (None if available_now else spec.trigger), name).start()

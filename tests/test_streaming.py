@@ -172,3 +172,22 @@ def test_last_n_versions_survive_a_failed_batch(spark, tmp_dir):
     got = sinks.read_last_n(spark, path).where("scope = 'party'").orderBy("recency").collect()
     assert [r["id"] for r in got][:2] == ["50", "49"] and len(got) == 15
     assert sorted(os.listdir(path)) == ["v=3", "v=4", "v=5"]
+
+
+def test_upsert_rerun_uses_staged_rows(spark, tmp_dir):
+    schema = "year int, month int, day int, hour int, party string, count long"
+    keys = ["year", "month", "day", "hour", "party"]
+    path = f"{tmp_dir}/t"
+    sinks.upsert_by_key(spark.createDataFrame([(2024, 1, 1, h, "a", 1) for h in range(3)], schema), path, keys, 0)
+    b1 = spark.createDataFrame([(2024, 1, 1, 1, "a", 9)], schema)
+    sinks.upsert_by_key(b1, path, keys, 1)
+    want = rows(spark.read.parquet(path), A3)
+    # simulate a crash inside batch 1's overwrite: the day folder is gone, batch 1 runs again
+    import shutil
+    shutil.rmtree(f"{path}/year=2024/month=1/day=1")
+    os.makedirs(f"{path}/_staged/epoch=1", exist_ok=True)
+    sinks.upsert_by_key(b1, path, keys, 1)
+    assert rows(spark.read.parquet(path), A3) == want == [(2024, 1, 1, 0, "a", 1), (2024, 1, 1, 1, "a", 9),
+                                                          (2024, 1, 1, 2, "a", 1)]
+    sinks.upsert_by_key(spark.createDataFrame([(2024, 1, 2, 0, "b", 2)], schema), path, keys, 2)
+    assert os.listdir(f"{path}/_staged") == ["epoch=2"]
