@@ -30,7 +30,8 @@ def test_stream_equals_batch(spark, tmp_dir):
     q = SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck", available_now=True,
                         max_files_per_trigger=1)
     q.awaitTermination()
-    assert len([d for d in os.listdir(f"{tmp_dir}/posts") if d.startswith("epoch=")]) == 4
+    assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 4
+    assert os.path.isdir(f"{tmp_dir}/posts/_spark_metadata")
     totals = SQ.ingest_totals(q)
     counts = catalog.BATCH_QUERIES["ingest_counts"](spark, SF_SMALL).collect()[0].asDict()
     assert totals == counts
