@@ -186,9 +186,9 @@ def test_upsert_rerun_uses_staged_rows(spark, tmp_dir):
     # simulate a crash inside batch 1's overwrite: the day folder is gone, batch 1 runs again
     import shutil
     shutil.rmtree(f"{path}/year=2024/month=1/day=1")
-    os.makedirs(f"{path}/_staged/epoch=1", exist_ok=True)
+    assert os.path.isdir(f"{path}__staged/epoch=1")
     sinks.upsert_by_key(b1, path, keys, 1)
     assert rows(spark.read.parquet(path), A3) == want == [(2024, 1, 1, 0, "a", 1), (2024, 1, 1, 1, "a", 9),
                                                           (2024, 1, 1, 2, "a", 1)]
     sinks.upsert_by_key(spark.createDataFrame([(2024, 1, 2, 0, "b", 2)], schema), path, keys, 2)
-    assert os.listdir(f"{path}/_staged") == ["epoch=2"]
+    assert os.listdir(f"{path}__staged") == ["epoch=2"]
