@@ -11,9 +11,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+ZONE_SUFFIX = "(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+
+
 def parse_created_at(created_at: Column) -> Column:
-    """ISO-8601 text with zone (``2021-05-09T09:38:08.000Z``) to TIMESTAMP; unparsable gives null."""
-    return F.try_to_timestamp(created_at)
+    """ISO-8601 text (``2021-05-09T09:38:08.000Z``) to TIMESTAMP; text without a zone is UTC (not
+    the session zone); unparsable text gives null."""
+    text = F.when(created_at.rlike(ZONE_SUFFIX), created_at).otherwise(F.concat(created_at, F.lit("Z")))
+    return F.try_to_timestamp(text)
 
 
 def utc_date(ts: Column) -> Column:

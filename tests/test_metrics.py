@@ -75,3 +75,16 @@ def test_iso_text_is_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == ["2024-01-01T00:00:07.000Z", "2024-03-10T02:30:00.123Z"]
+
+
+def test_created_at_without_zone_is_utc(spark):
+    from postwave.functions.timekeys import hour_key, parse_created_at
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        df = spark.createDataFrame([("2021-05-09T09:38:08",), ("2021-05-09T09:38:08.000Z",),
+                                    ("2021-05-09T11:38:08+02:00",), ("garbage",)], "c string")
+        got = [tuple(r) for r in df.select(*hour_key(parse_created_at(F.col("c")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[:3] == [(2021, 5, 9, 9)] * 3 and got[3] == (None, None, None, None)
