@@ -122,8 +122,8 @@ ORACLE: dict[str, str] = {
     "sentiment_by_hour_party": _q(f"SELECT {H}, party, round(avg(s.sentiment), 9) AS sentiment "
                                   f"FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
     "source_by_hour_party": _q(f"SELECT {H}, party, source, count(*) AS count FROM hposts GROUP BY ALL"),
-    "last15_by_party": _q("SELECT party, recency, id FROM (SELECT party, id, row_number() OVER "
-                          "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS recency FROM posts) WHERE recency <= 15"),
+    "last15_by_party": _q("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
+                          "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15"),
     "last15_combined": _q("SELECT CAST(row_number() OVER (ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency, id "
                           "FROM posts ORDER BY ts_ms DESC, id DESC LIMIT 15"),
     "parse_posts": _q("SELECT id, user_id, username, name, party, createdDate, in_reply_to_user_id, source, "
@@ -177,6 +177,6 @@ ORACLE: dict[str, str] = {
     "stream_posts_by_hour": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
     "stream_hashtags_by_hour": _q(f"SELECT {H}, hashtag, count(*) AS count FROM "
                                   f"(SELECT {H}, unnest(hashtags) AS hashtag FROM hposts) GROUP BY ALL"),
-    "stream_last15": _q("SELECT party, recency, id FROM (SELECT party, id, row_number() OVER "
-                        "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS recency FROM posts) WHERE recency <= 15"),
+    "stream_last15": _q("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
+                        "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15"),
 }
