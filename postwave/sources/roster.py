@@ -24,6 +24,21 @@ def _is_header(cells) -> F.Column:
     return (F.get(cells, 0) == F.lit("screen_name")) & (F.get(cells, 1) == F.lit("user_id"))
 
 
+def read_roster_lines(spark, path: str) -> DataFrame:
+    """Roster text files under ``path`` as (version, value): a file's version is its rank in file
+    name order, so rows of later files win in ``dedup_roster``. The name -> version table has one
+    row per file (small, broadcast)."""
+    lines = spark.read.text(path).withColumn("_file", F.input_file_name())
+    files = lines.select("_file").distinct()
+    versions = files.withColumn("version", F.row_number().over(Window.orderBy("_file")).cast("int"))
+    return lines.join(F.broadcast(versions), "_file").select("version", "value")
+
+
+def read_roster(spark, path: str) -> DataFrame:
+    """S3 + S4 from files: load, drop the header and short rows, one row per user_id."""
+    return dedup_roster(load_roster(read_roster_lines(spark, path)))
+
+
 def load_roster(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """S3: one row per roster line with six or more cells; other columns of ``lines`` are kept."""
     keep = [c for c in lines.columns if c != value_col]

@@ -46,3 +46,33 @@ def test_rules_text_and_chunks(spark):
     assert first.endswith(' lang:de -is:retweet","tag": "MdBList1"}]}')
     parsed = json.loads(rules[2]["rule"])
     assert parsed == {"add": [{"value": "from:name40 lang:de -is:retweet", "tag": "MdBList3"}]}
+
+
+def test_read_roster_files_later_file_wins(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/r")
+    with open(f"{tmp_dir}/r/a_2020.csv", "w") as f:
+        f.write(HEADER + "\nann;1;Ann;X;Bonn;2019\nben;2;Ben;Y;Ulm;2019\nshort;3;Short;Z;Kiel\n")
+    with open(f"{tmp_dir}/r/b_2021.csv", "w") as f:
+        f.write(HEADER + "\nann;1;Ann;W;Bonn;2021\n")
+    got = {r["user_id"]: r["party"] for r in roster.read_roster(spark, f"{tmp_dir}/r").collect()}
+    assert got == {"1": "W", "2": "Y"}
+    rules = roster_rules(roster.read_roster(spark, f"{tmp_dir}/r"), chunk_size=20).collect()
+    assert json.loads(rules[0]["rule"])["add"][0]["value"] == "from:ann OR from:ben lang:de -is:retweet"
+
+
+def test_global_position_with_ties(spark):
+    df = spark.range(0, 600).select((F.col("id") % 3).cast("string").alias("k"), F.col("id"))
+    pos = global_position(df, ["k"], n_parts=4).collect()
+    assert sorted(r["position"] for r in pos) == list(range(600))
+    by_pos = sorted(pos, key=lambda r: r["position"])
+    assert [r["k"] for r in by_pos] == sorted(r["k"] for r in pos)
+
+
+def test_hot_key_spreads_over_partitions(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+                                     .alias("k"), F.col("id"))
+    pos = global_position(df, ["k"], n_parts=6)
+    sizes = [r["n"] for r in pos.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 1000          # the 1,000 "hot" rows do not sit in one partition
+    assert sorted(r["position"] for r in pos.collect()) == list(range(3000))
