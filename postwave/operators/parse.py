@@ -57,13 +57,17 @@ def _post_columns(value: Column, env: Column, sub: Column, tags: Column, keep_nu
     ]
 
 
+def _finish_sentiment(staged: DataFrame) -> DataFrame:
+    """Second projection: the sentiment fold ran once into ``_sentiment_parts``; the mean reads the
+    parts from that column (Spark keeps the two projections apart because the fold is not cheap)."""
+    return staged.select(*[S.weighted_from_parts(F.col(c)).alias("sentiment") if c == "_sentiment_parts" else c
+                           for c in staged.columns])
+
+
 def posts(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool = False) -> DataFrame:
     """The valid rows as the 14 post columns plus ``created_ts`` (event time)."""
     cols = _post_columns(F.col(value_col), F.col("env"), F.col("sub"), F.col("tags"), keep_null_tags)
-    staged = parsed.where(F.col("reject_reason").isNull()).select(*cols)
-    # second projection: the sentiment fold runs once and its parts are read from the column
-    return staged.select(*[S.weighted_from_parts(F.col(c)).alias("sentiment") if c == "_sentiment_parts" else c
-                           for c in staged.columns])
+    return _finish_sentiment(parsed.where(F.col("reject_reason").isNull()).select(*cols))
 
 
 def rejects(parsed: DataFrame, value_col: str = "value") -> DataFrame:
@@ -76,9 +80,6 @@ def rejects(parsed: DataFrame, value_col: str = "value") -> DataFrame:
                     F.when(is_err, E.error_action(title)).alias("error_action")))
 
 
-CLASSIFIED_EXTRA = ("kind", "reason", "error_title", "error_action")
-
-
 def classify(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool = False) -> DataFrame:
     """Every line once: post columns (null for rejects; ``json`` is the raw line for both) plus
     ``kind`` ('post' or 'reject'), ``reason``, ``error_title`` and ``error_action``."""
@@ -87,11 +88,10 @@ def classify(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool =
     cols = [c if name == "json" else F.when(valid, c).alias(name) for c, name in zip(cols, POST_COLUMNS_STAGED)]
     title = E.error_title(F.col("env")["errors"])
     is_err = F.col("reject_reason") == F.lit("error_envelope")
-    staged = parsed.select(*cols, F.when(valid, F.lit("post")).otherwise(F.lit("reject")).alias("kind"),
-                           F.col("reject_reason").alias("reason"), F.when(is_err, title).alias("error_title"),
-                           F.when(is_err, E.error_action(title)).alias("error_action"))
-    return staged.select(*[S.weighted_from_parts(F.col(c)).alias("sentiment") if c == "_sentiment_parts" else c
-                           for c in staged.columns])
+    return _finish_sentiment(parsed.select(
+        *cols, F.when(valid, F.lit("post")).otherwise(F.lit("reject")).alias("kind"),
+        F.col("reject_reason").alias("reason"), F.when(is_err, title).alias("error_title"),
+        F.when(is_err, E.error_action(title)).alias("error_action")))
 
 
 def parse_posts(lines: DataFrame, value_col: str = "value") -> DataFrame:
