@@ -21,7 +21,7 @@ from postwave.functions.timekeys import hour_key
 class MetricSpec:
     name: str
     keys: tuple[str, ...]
-    measure: str = "count"            # "count" or "avg:<column>"
+    measure: str = "count"            # "count", "sum:<col>", "avg:<col>", "avg_scored:<col>"
     measure_name: str = "count"
     where: str | None = None
     explode: tuple[str, str] | None = None   # (array column, element name)
@@ -38,6 +38,9 @@ def _measure(spec: MetricSpec) -> Column:
         return F.avg(F.col(col)).alias(spec.measure_name)
     if kind == "sum":
         return F.sum(F.col(col)).alias(spec.measure_name)
+    if kind == "avg_scored":
+        # mean over the scored values (>= 0); -1 when the group has none
+        return F.coalesce(F.avg(F.when(F.col(col) >= 0, F.col(col))), F.lit(-1.0)).alias(spec.measure_name)
     raise ValueError(f"unknown measure {spec.measure}")
 
 
@@ -70,6 +73,9 @@ MEDIA_BY_KIND_HOUR_PARTY = MetricSpec("media_by_kind_hour_party", ("attachments"
 ACTIVE_USERS_BY_HOUR_PARTY = MetricSpec("active_users_by_hour_party", ("username", "party"), trigger="5 minutes")
 SENTIMENT_BY_HOUR_PARTY = MetricSpec("sentiment_by_hour_party", ("party",), measure="avg:sentiment",
                                      measure_name="sentiment", trigger="5 minutes")
+SCORED_SENTIMENT_BY_HOUR_PARTY = MetricSpec("scored_sentiment_by_hour_party", ("party",),
+                                            measure="avg_scored:sentiment", measure_name="sentiment",
+                                            trigger="5 minutes")
 SOURCE_BY_HOUR_PARTY = MetricSpec("source_by_hour_party", ("party", "source"), trigger="5 minutes")
 
 STANDARD_SPECS = (HASHTAGS_BY_HOUR, HASHTAGS_BY_HOUR_PARTY, POSTS_BY_HOUR_PARTY, MEDIA_BY_KIND_HOUR_PARTY,
@@ -89,11 +95,7 @@ def media_by_hour_party(per_kind: DataFrame) -> DataFrame:
 def sentiment_by_hour_party(posts: DataFrame, include_unscored: bool = True,
                             time_col: str = "created_ts") -> DataFrame:
     """A6. ``include_unscored`` keeps the -1 of texts with no sentence in the mean, as the
-    reference did; without it they are left out and an hour holding only such posts shows -1."""
-    src = posts if include_unscored else posts.where(F.col("sentiment") >= 0)
-    out = metric_from_spec(src, SENTIMENT_BY_HOUR_PARTY, time_col)
-    if not include_unscored:
-        keys = metric_from_spec(posts, POSTS_BY_HOUR_PARTY, time_col).drop("count")
-        out = keys.join(out, ["year", "month", "day", "hour", "party"], "left") \
-            .withColumn("sentiment", F.coalesce("sentiment", F.lit(-1.0)))
-    return out
+    reference did; without it they are left out and an hour holding only such posts shows -1.
+    Either way one aggregate over the posts."""
+    spec = SENTIMENT_BY_HOUR_PARTY if include_unscored else SCORED_SENTIMENT_BY_HOUR_PARTY
+    return metric_from_spec(posts, spec, time_col)

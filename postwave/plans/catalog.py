@@ -44,6 +44,11 @@ def q_sentiment_by_hour_party(spark, sf_dir):
     return out.withColumn("sentiment", F.round("sentiment", 9))
 
 
+def q_scored_sentiment_by_hour_party(spark, sf_dir):
+    out = M.sentiment_by_hour_party(posts(spark, sf_dir), include_unscored=False)
+    return out.withColumn("sentiment", F.round("sentiment", 9))
+
+
 def q_last15_by_party(spark, sf_dir):
     return lastn.last_n_by_party(posts(spark, sf_dir)).drop("ts")
 
@@ -183,6 +188,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "media_by_hour_party": q_media_by_hour_party,
     "active_users_by_hour_party": _metric(M.ACTIVE_USERS_BY_HOUR_PARTY),
     "sentiment_by_hour_party": q_sentiment_by_hour_party,
+    "scored_sentiment_by_hour_party": q_scored_sentiment_by_hour_party,
     "source_by_hour_party": _metric(M.SOURCE_BY_HOUR_PARTY),
     "last15_by_party": q_last15_by_party,
     "last15_combined": q_last15_combined,

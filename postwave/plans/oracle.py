@@ -121,6 +121,9 @@ ORACLE: dict[str, str] = {
     "active_users_by_hour_party": _q(f"SELECT {H}, username, party, count(*) AS count FROM hposts GROUP BY ALL"),
     "sentiment_by_hour_party": _q(f"SELECT {H}, party, round(avg(s.sentiment), 9) AS sentiment "
                                   f"FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
+    "scored_sentiment_by_hour_party": _q(
+        f"SELECT {H}, party, round(coalesce(avg(CASE WHEN s.sentiment >= 0 THEN s.sentiment END), -1.0), 9) "
+        f"AS sentiment FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
     "source_by_hour_party": _q(f"SELECT {H}, party, source, count(*) AS count FROM hposts GROUP BY ALL"),
     "last15_by_party": _q("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
                           "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15"),
