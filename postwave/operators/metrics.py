@@ -70,6 +70,9 @@ HASHTAGS_BY_HOUR_PARTY = MetricSpec("hashtags_by_hour_party", ("hashtag", "party
 POSTS_BY_HOUR_PARTY = MetricSpec("posts_by_hour_party", ("party",))
 MEDIA_BY_KIND_HOUR_PARTY = MetricSpec("media_by_kind_hour_party", ("attachments", "party"),
                                       where="attachments != 0", trigger="5 minutes")
+# A4 stage 2 in one aggregate: sum over posts of their kinds = sum over kinds of count x kinds
+MEDIA_BY_HOUR_PARTY = MetricSpec("media_by_hour_party", ("party",), measure="sum:attachments",
+                                 where="attachments != 0", trigger="5 minutes")
 ACTIVE_USERS_BY_HOUR_PARTY = MetricSpec("active_users_by_hour_party", ("username", "party"), trigger="5 minutes")
 SENTIMENT_BY_HOUR_PARTY = MetricSpec("sentiment_by_hour_party", ("party",), measure="avg:sentiment",
                                      measure_name="sentiment", trigger="5 minutes")
@@ -80,6 +83,8 @@ SOURCE_BY_HOUR_PARTY = MetricSpec("source_by_hour_party", ("party", "source"), t
 
 STANDARD_SPECS = (HASHTAGS_BY_HOUR, HASHTAGS_BY_HOUR_PARTY, POSTS_BY_HOUR_PARTY, MEDIA_BY_KIND_HOUR_PARTY,
                   ACTIVE_USERS_BY_HOUR_PARTY, SENTIMENT_BY_HOUR_PARTY, SOURCE_BY_HOUR_PARTY)
+# what the streaming application keeps: the seven, plus A4's per-(hour, party) value
+APP_SPECS = STANDARD_SPECS + (MEDIA_BY_HOUR_PARTY,)
 
 
 def media_by_hour_party(per_kind: DataFrame) -> DataFrame:

@@ -180,6 +180,8 @@ ORACLE: dict[str, str] = {
     "stream_posts_by_hour": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
     "stream_hashtags_by_hour": _q(f"SELECT {H}, hashtag, count(*) AS count FROM "
                                   f"(SELECT {H}, unnest(hashtags) AS hashtag FROM hposts) GROUP BY ALL"),
+    "stream_media_by_hour": _q(f"SELECT {H}, party, CAST(sum(attachments) AS BIGINT) AS count FROM hposts "
+                               f"WHERE attachments <> 0 GROUP BY ALL"),
     "stream_last15": _q("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
                         "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15"),
 }

@@ -64,5 +64,6 @@ STREAM_QUERIES = {
     "stream_ingest": q_stream_ingest,
     "stream_posts_by_hour": _metric(M.POSTS_BY_HOUR_PARTY),
     "stream_hashtags_by_hour": _metric(M.HASHTAGS_BY_HOUR),
+    "stream_media_by_hour": _metric(M.MEDIA_BY_HOUR_PARTY),
     "stream_last15": q_stream_last15,
 }

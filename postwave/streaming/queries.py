@@ -157,7 +157,7 @@ def run_all(spark: SparkSession, source_dir: str, out_dir: str, watermark: str =
                                       available_now=available_now, interval=interval, name=f"{name_prefix}ingest")}
     if available_now:
         handles["ingest"].awaitTermination()
-    for spec in M.STANDARD_SPECS:
+    for spec in M.APP_SPECS:
         handles[spec.name] = start_metric(spark, f"{out}/posts", spec, f"{out}/{spec.name}", f"{ck}/{spec.name}",
                                           watermark, available_now, interval, name=f"{name_prefix}{spec.name}")
     handles["last15"] = start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{ck}/last15", available_now,

@@ -88,3 +88,12 @@ def test_created_at_without_zone_is_utc(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got[:3] == [(2021, 5, 9, 9)] * 3 and got[3] == (None, None, None, None)
+
+
+def test_media_stage_two_as_one_aggregate(spark):
+    df = posts(spark, [("1", "a", "u", "s", [], 2, 0.0, ts(1)), ("2", "a", "u", "s", [], 2, 0.0, ts(1, 10)),
+                       ("3", "a", "u", "s", [], 1, 0.0, ts(1, 20)), ("4", "b", "u", "s", [], 0, 0.0, ts(1))])
+    two_stage = M.media_by_hour_party(M.metric_from_spec(df, M.MEDIA_BY_KIND_HOUR_PARTY))
+    one = M.metric_from_spec(df, M.MEDIA_BY_HOUR_PARTY)
+    assert {tuple(r) for r in one.collect()} == {tuple(r) for r in two_stage.collect()} == {(2024, 3, 31, 1, "a", 5)}
+    assert dict(one.dtypes)["count"] == "bigint"
