@@ -87,6 +87,16 @@ STANDARD_SPECS = (HASHTAGS_BY_HOUR, HASHTAGS_BY_HOUR_PARTY, POSTS_BY_HOUR_PARTY,
 APP_SPECS = STANDARD_SPECS + (MEDIA_BY_HOUR_PARTY,)
 
 
+def as_documents(metric: DataFrame, spec: MetricSpec, as_json: bool = False) -> DataFrame:
+    """The stored-document shape of a metric row: ``_id`` = {year, month, day, hour, *keys} plus the
+    measure (what a document-store writer in ``foreachBatch`` would send, replacing by ``_id``)."""
+    key = F.struct(*[F.col(c) for c in ("year", "month", "day", "hour", *spec.keys)]).alias("_id")
+    docs = metric.select(key, F.col(spec.measure_name))
+    if as_json:
+        return docs.select(F.to_json(F.struct("_id", spec.measure_name)).alias("document"))
+    return docs
+
+
 def media_by_hour_party(per_kind: DataFrame) -> DataFrame:
     """A4 stage 2: attachment kinds used per hour and party = sum(count * attachments).
 

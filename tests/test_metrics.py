@@ -97,3 +97,10 @@ def test_media_stage_two_as_one_aggregate(spark):
     one = M.metric_from_spec(df, M.MEDIA_BY_HOUR_PARTY)
     assert {tuple(r) for r in one.collect()} == {tuple(r) for r in two_stage.collect()} == {(2024, 3, 31, 1, "a", 5)}
     assert dict(one.dtypes)["count"] == "bigint"
+
+
+def test_as_documents(spark):
+    df = posts(spark, [("1", "a", "u1", "web", ["x"], 0, 2.0, ts(5))])
+    doc = M.as_documents(M.metric_from_spec(df, M.HASHTAGS_BY_HOUR_PARTY), M.HASHTAGS_BY_HOUR_PARTY, as_json=True)
+    assert doc.collect()[0]["document"] == ('{"_id":{"year":2024,"month":3,"day":31,"hour":5,"hashtag":"x",'
+                                           '"party":"a"},"count":1}')
