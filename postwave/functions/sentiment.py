@@ -28,7 +28,6 @@ NEGATIVE_WORDS = (
     "mal", "mauvais", "triste", "peur", "malo", "mala", "miedo", "error", "odio", "nunca",
 )
 
-LEXICON_WORDS = POSITIVE_WORDS + NEGATIVE_WORDS
 NO_SENTENCE = -1.0
 
 
@@ -38,15 +37,15 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != F.lit(""))
 
 
-def sentence_class(sentence: Column) -> Column:
+def sentence_class(sentence: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> Column:
     """Class 0..4 of one sentence: net = positive - negative tokens, clamped to [-2, 2], plus 2.
 
     Tokens are extracted once; a hash-set filter keeps only lexicon words, and the fold runs over
     those few hits; the net score is used once (no CASE that would repeat it).
     """
     tokens = F.regexp_extract_all(F.lower(sentence), F.lit(TOKEN_PATTERN), F.lit(0))
-    hits = F.filter(tokens, lambda t: t.isin(*LEXICON_WORDS))
-    net = F.aggregate(hits, F.lit(0), lambda acc, t: acc + F.when(t.isin(*POSITIVE_WORDS), 1).otherwise(-1))
+    hits = F.filter(tokens, lambda t: t.isin(*positive, *negative))
+    net = F.aggregate(hits, F.lit(0), lambda acc, t: acc + F.when(t.isin(*positive), 1).otherwise(-1))
     return (F.least(F.greatest(net, F.lit(-2)), F.lit(2)) + 2).cast("int")
 
 
@@ -56,14 +55,14 @@ def scored_sentences(text: Column) -> Column:
         (i + 1).alias("pos"), F.char_length(s).alias("len"), sentence_class(s).alias("cls")))
 
 
-def sentiment_parts(text: Column) -> Column:
+def sentiment_parts(text: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> Column:
     """One fold over the sentences: struct<n, wsum, lsum, csum, main_len, main_cls>.
 
     Stage it as a column (``select``) and derive the means from that column: every mean reads the
     parts several times, and an un-staged fold would be re-run for each read.
     """
     scored = F.transform(sentences(text), lambda s: F.struct(F.char_length(s).alias("len"),
-                                                             sentence_class(s).alias("cls")))
+                                                             sentence_class(s, positive, negative).alias("cls")))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("wsum"), F.lit(0).cast("bigint").alias("lsum"),
                     F.lit(0).cast("bigint").alias("csum"), F.lit(0).alias("main_len"), F.lit(-1).alias("main_cls"))
 
@@ -94,9 +93,12 @@ def main_from_parts(parts: Column) -> Column:
 
 
 def with_sentiment(df: DataFrame, text_col: str = "text", weighted: str | None = "sentiment",
-                   mean: str | None = None, main: str | None = None) -> DataFrame:
-    """Adds the chosen sentiment columns; the text is scored once."""
-    staged = df.withColumn("_sp", sentiment_parts(F.col(text_col)))
+                   mean: str | None = None, main: str | None = None,
+                   positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> DataFrame:
+    """Adds the chosen sentiment columns; the text is scored once. Word lists (lower case) may be
+    replaced; they travel inside the plan as hash sets, so their size is the caller's bound. Any other
+    scorer's output can equally replace the ``sentiment`` column of the posts before the metrics."""
+    staged = df.withColumn("_sp", sentiment_parts(F.col(text_col), positive, negative))
     outs = []
     if weighted:
         outs.append(weighted_from_parts(F.col("_sp")).alias(weighted))

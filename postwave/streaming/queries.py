@@ -116,13 +116,13 @@ def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = "
 def start_metric(spark: SparkSession, posts_path: str, spec: M.MetricSpec, table_path: str, checkpoint: str,
                  watermark: str | None = "2 hours", available_now: bool = False, interval: str | None = None,
                  processing_time: bool = False, name: str | None = None,
-                 output_mode: str = "update") -> StreamingQuery:
+                 output_mode: str = "update", max_files_per_trigger: int | None = None) -> StreamingQuery:
     """A1-A7 (T1, T2, T4, T8, K3): windowed aggregate, upserted by key per batch.
 
     ``output_mode="update"`` (default) sends only the buckets a batch changed; ``"complete"`` re-sends
     every bucket each trigger, as the reference did (state then never shrinks, watermark or not).
     Either way the sink replaces by key, so the table ends the same."""
-    grouped = M.windowed(posts_stream(spark, posts_path, watermark, processing_time), spec)
+    grouped = M.windowed(posts_stream(spark, posts_path, watermark, processing_time, max_files_per_trigger), spec)
     keys = ["year", "month", "day", "hour", *spec.keys]
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:

@@ -43,3 +43,10 @@ def test_whole_text_is_scored(spark):
     r = score(spark, [long_text])[0]
     assert r["n"] == 5001
     assert r["w"] > 2.0
+
+
+def test_custom_word_lists(spark):
+    df = spark.createDataFrame([(0, "Sonnig heute. Regen morgen!")], "i int, text string")
+    r = S.with_sentiment(df, "text", "w", positive=("sonnig",), negative=("regen",)).collect()[0]
+    # "Sonnig heute." -> +1 -> class 3 (len 13); "Regen morgen!" -> -1 -> class 1 (len 13)
+    assert r["w"] == (3 * 13 + 1 * 13) / 26
