@@ -21,11 +21,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--watermark", default="2 hours", help="how late a post may arrive (event time)")
     ap.add_argument("--interval", default=None, help="override every trigger interval, e.g. '30 seconds'")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    ap.add_argument("--strict", action="store_true", help="reject non-string values in string fields")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(master=args.master, app="postwave")
     handles = run_all(spark, args.source, args.out, watermark=args.watermark, available_now=args.available_now,
-                      interval=args.interval)
+                      interval=args.interval, strict=args.strict)
     try:
         if args.available_now:
             for q in handles.values():

@@ -27,6 +27,12 @@ ENVELOPE_SCHEMA = T.StructType([
 
 HASHTAGS_SCHEMA = T.ArrayType(STR_MAP)
 
+# strict mode: ``data`` values as VARIANT, so their JSON types can be checked
+STRICT_ENVELOPE_SCHEMA = T.StructType([
+    T.StructField("data", T.MapType(T.StringType(), T.VariantType())),
+    *[f for f in ENVELOPE_SCHEMA.fields if f.name != "data"],
+])
+
 # The keys a post must carry inside ``data`` and inside every user object, and the
 # error title that means the stream was shut down for good.
 REQUIRED_DATA_KEYS = ("id", "text", "created_at", "author_id", "source")
@@ -39,6 +45,28 @@ def parse_envelope(value: Column) -> Column:
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
+def parse_envelope_strict(value: Column) -> Column:
+    """Like ``parse_envelope`` but with ``data`` values as VARIANT (see ``strict_view``)."""
+    return F.from_json(value, STRICT_ENVELOPE_SCHEMA,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def strict_view(env_v: Column) -> Column:
+    """The usual envelope struct (``data`` as text values: strings as they are, other values as
+    JSON text) plus ``data_types``: the JSON type of every ``data`` value."""
+    as_text = F.transform_values(env_v["data"], lambda k, v: F.when(
+        F.schema_of_variant(v) == F.lit("STRING"), F.variant_get(v, "$", "string"))
+        .when(F.schema_of_variant(v) == F.lit("VOID"), F.lit(None).cast("string"))
+        .otherwise(F.to_json(v)))
+    types = F.transform_values(env_v["data"], lambda k, v: F.schema_of_variant(v))
+    return F.struct(as_text.alias("data"), env_v["includes"].alias("includes"),
+                    env_v["matching_rules"].alias("matching_rules"), env_v["errors"].alias("errors"),
+                    env_v[CORRUPT].alias(CORRUPT), types.alias("data_types"))
+
+
+STRING_DATA_KEYS = REQUIRED_DATA_KEYS + ("in_reply_to_user_id",)
+
+
 def last_value_of_key(maps: Column, key: str) -> Column:
     """Flatten a list of objects into one map where later objects win, then look up ``key``."""
     carrying = F.filter(maps, lambda m: F.map_contains_key(m, key))
@@ -112,7 +140,7 @@ def error_action(title: Column) -> Column:
     return F.when(title == F.lit(DISCONNECT_TITLE), F.lit("stop")).otherwise(F.lit("reconnect"))
 
 
-def reject_reason(env: Column, ents: Column, att: Column, tags: Column) -> Column:
+def reject_reason(env: Column, ents: Column, att: Column, tags: Column, strict: bool = False) -> Column:
     """First failing rule, or null for a valid post. ``ents``/``att``/``tags``: parsed entities,
     attachments and hashtag objects.
 
@@ -126,11 +154,19 @@ def reject_reason(env: Column, ents: Column, att: Column, tags: Column) -> Colum
     for key in REQUIRED_DATA_KEYS:
         required_ok = required_ok & data[key].isNotNull()
     rule_tag = last_value_of_key(rules, "tag")
+    strict_checks = []
+    if strict:
+        types = env["data_types"]
+        bad = F.lit(False)
+        for key in STRING_DATA_KEYS:
+            bad = bad | (F.map_contains_key(types, key) & ~types[key].isin("STRING", "VOID"))
+        strict_checks = [(bad, "non_string_field")]
     checks = [
         (data.isNull(), "missing_data"),
         (users.isNull(), "missing_users"),
         (rules.isNull(), "missing_matching_rules"),
         (~required_ok, "missing_required_field"),
+        *strict_checks,
         (F.map_contains_key(data, "entities") & ents.isNull(), "bad_entities"),
         (F.map_contains_key(ents, "hashtags") & tags.isNull(), "bad_entities"),
         (F.map_contains_key(data, "attachments") & att.isNull(), "bad_attachments"),

@@ -19,16 +19,23 @@ POST_COLUMNS = ("id", "text", "user_id", "username", "name", "hashtags", "users"
                 "in_reply_to_user_id", "source", "sentiment", "attachments", "json", "created_ts")
 
 
-def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_lines(lines: DataFrame, value_col: str = "value", strict: bool = False) -> DataFrame:
     """Adds ``env`` (parsed struct), ``sub`` (parsed entities and attachments), ``tags`` (hashtag
-    objects) and ``reject_reason``. Each JSON text is parsed exactly once."""
-    parsed = lines.select("*", once(E.parse_envelope(F.col(value_col)), "env"))
+    objects) and ``reject_reason``. Each JSON text is parsed exactly once.
+
+    ``strict=True`` also rejects posts whose ``data`` fields that must be strings hold another JSON
+    type (a numeric id), as the reference did; by default such values are read as their text."""
+    if strict:
+        parsed = lines.select("*", once(E.parse_envelope_strict(F.col(value_col)), "_env_v"))
+        parsed = parsed.select(*lines.columns, once(E.strict_view(F.col("_env_v")), "env"))
+    else:
+        parsed = lines.select("*", once(E.parse_envelope(F.col(value_col)), "env"))
     data = F.col("env")["data"]
     parsed = parsed.select("*", once(F.struct(E.entities(data).alias("ents"), E.attachments_map(data).alias("att")),
                                       "sub"))
     parsed = parsed.select("*", once(E.hashtag_objects(F.col("sub.ents")), "tags"))
     return parsed.withColumn("reject_reason", E.reject_reason(F.col("env"), F.col("sub.ents"), F.col("sub.att"),
-                                                              F.col("tags")))
+                                                              F.col("tags"), strict))
 
 
 POST_COLUMNS_STAGED = tuple("_sentiment_parts" if c == "sentiment" else c for c in POST_COLUMNS)

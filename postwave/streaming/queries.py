@@ -54,7 +54,8 @@ def _trigger(w, available_now: bool, interval: str | None, name: str | None = No
 
 def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
                  available_now: bool = False, interval: str | None = None,
-                 max_files_per_trigger: int | None = None, name: str | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, name: str | None = None,
+                 strict: bool = False) -> StreamingQuery:
     """S1 + K1/K2: envelope files -> one table of every line, partitioned ``kind=post|reject/date=``.
 
     Posts (with the raw envelope in ``json``) and quarantined lines come out of one pass, written
@@ -63,7 +64,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
     posts, rejects and error envelopes are observed metrics of the query
     (``query.lastProgress['observedMetrics']['ingest_counts']``; totals via ``ingest_totals``)."""
     lines = stream_lines(spark, source_dir, max_files_per_trigger)
-    rows = parse.classify(parse.parse_lines(lines)).withColumn("date", utc_date(F.col("created_ts")))
+    rows = parse.classify(parse.parse_lines(lines, strict=strict)).withColumn("date", utc_date(F.col("created_ts")))
     rows = rows.observe("ingest_counts", F.count(F.lit(1)).alias("lines"),
                         F.count_if(F.col("kind") == "post").alias("valid"),
                         F.count_if(F.col("kind") == "reject").alias("rejected"),
@@ -147,14 +148,15 @@ def start_last_n(spark: SparkSession, posts_path: str, table_path: str, checkpoi
 
 def run_all(spark: SparkSession, source_dir: str, out_dir: str, watermark: str = "2 hours",
             available_now: bool = False, name_prefix: str = "",
-            interval: str | None = None) -> dict[str, StreamingQuery]:
+            interval: str | None = None, strict: bool = False) -> dict[str, StreamingQuery]:
     """T5: the ingest query plus one query per metric and the last-n query, each checkpointed under
     ``out_dir/checkpoints``. Triggers are each spec's refresh interval unless ``interval`` overrides
     them. Returns the handles by name; stop them with ``stop_all`` (T6)."""
     out = out_dir.rstrip("/")
     ck = f"{out}/checkpoints"
     handles = {"ingest": start_ingest(spark, source_dir, f"{out}/posts", f"{ck}/ingest",
-                                      available_now=available_now, interval=interval, name=f"{name_prefix}ingest")}
+                                      available_now=available_now, interval=interval, name=f"{name_prefix}ingest",
+                                      strict=strict)}
     if available_now:
         handles["ingest"].awaitTermination()
     for spec in M.APP_SPECS:

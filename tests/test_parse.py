@@ -127,3 +127,20 @@ def test_keep_null_tags(spark):
                                "value string")
     p = parse.posts(parse.parse_lines(df), keep_null_tags=True).collect()[0]
     assert p["hashtags"] == [None, "a"]          # null kept, missing tag dropped as empty
+
+
+def test_strict_mode_rejects_non_string_fields(spark):
+    env = json.loads(envelope(entities={"hashtags": [{"tag": "h"}]}, attachments={"media_keys": ["m"]}))
+    env["data"]["id"] = 123
+    numeric = json.dumps(env)
+    reply = json.loads(envelope())
+    reply["data"]["in_reply_to_user_id"] = 5
+    good = envelope(entities={"hashtags": [{"tag": "h"}]}, attachments={"media_keys": ["m"]},
+                    extra_data={"in_reply_to_user_id": None})
+    df = spark.createDataFrame([(0, numeric), (1, json.dumps(reply)), (2, good)], "n int, value string")
+    strict = {r["n"]: r["reject_reason"] for r in parse.parse_lines(df, strict=True).collect()}
+    lenient = {r["n"]: r["reject_reason"] for r in parse.parse_lines(df).collect()}
+    assert strict == {0: "non_string_field", 1: "non_string_field", 2: None}
+    assert lenient == {0: None, 1: None, 2: None}
+    p = parse.posts(parse.parse_lines(df.where("n = 2"), strict=True)).collect()[0]
+    assert p["hashtags"] == ["h"] and p["attachments"] == 1 and p["in_reply_to_user_id"] is None
