@@ -182,6 +182,9 @@ ORACLE: dict[str, str] = {
                                   f"(SELECT {H}, unnest(hashtags) AS hashtag FROM hposts) GROUP BY ALL"),
     "stream_media_by_hour": _q(f"SELECT {H}, party, CAST(sum(attachments) AS BIGINT) AS count FROM hposts "
                                f"WHERE attachments <> 0 GROUP BY ALL"),
+    "stream_active_users_by_hour": _q(f"SELECT {H}, username, party, count(*) AS count FROM hposts GROUP BY ALL"),
+    "stream_sentiment_by_hour": _q(f"SELECT {H}, party, round(avg(s.sentiment), 9) AS sentiment "
+                                   f"FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
     "stream_last15": _q("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
                         "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15"),
 }

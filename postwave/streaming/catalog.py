@@ -10,6 +10,7 @@ processing order; late-data dropping is tested separately (tests/test_streaming.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postwave.operators import metrics as M
 from postwave.session import scratch_path
@@ -53,6 +54,11 @@ def _metric(spec: M.MetricSpec):
     return run
 
 
+def q_stream_sentiment_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _metric(M.SENTIMENT_BY_HOUR_PARTY)(spark, sf_dir)
+    return out.withColumn("sentiment", F.round("sentiment", 9))
+
+
 def q_stream_last15(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _ingested(spark, sf_dir)
     q = SQ.start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{out}/ck_last15", available_now=True)
@@ -65,5 +71,7 @@ STREAM_QUERIES = {
     "stream_posts_by_hour": _metric(M.POSTS_BY_HOUR_PARTY),
     "stream_hashtags_by_hour": _metric(M.HASHTAGS_BY_HOUR),
     "stream_media_by_hour": _metric(M.MEDIA_BY_HOUR_PARTY),
+    "stream_active_users_by_hour": _metric(M.ACTIVE_USERS_BY_HOUR_PARTY),
+    "stream_sentiment_by_hour": q_stream_sentiment_by_hour,
     "stream_last15": q_stream_last15,
 }
