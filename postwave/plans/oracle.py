@@ -180,6 +180,11 @@ ORACLE: dict[str, str] = {
     "stream_posts_by_hour": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
     "stream_hashtags_by_hour": _q(f"SELECT {H}, hashtag, count(*) AS count FROM "
                                   f"(SELECT {H}, unnest(hashtags) AS hashtag FROM hposts) GROUP BY ALL"),
+    "stream_hashtags_by_hour_party": _q(f"SELECT {H}, hashtag, party, count(*) AS count FROM "
+                                        f"(SELECT {H}, party, unnest(hashtags) AS hashtag FROM hposts) GROUP BY ALL"),
+    "stream_media_by_kind_hour": _q(f"SELECT {H}, attachments, party, count(*) AS count FROM hposts "
+                                    f"WHERE attachments <> 0 GROUP BY ALL"),
+    "stream_source_by_hour": _q(f"SELECT {H}, party, source, count(*) AS count FROM hposts GROUP BY ALL"),
     "stream_media_by_hour": _q(f"SELECT {H}, party, CAST(sum(attachments) AS BIGINT) AS count FROM hposts "
                                f"WHERE attachments <> 0 GROUP BY ALL"),
     "stream_active_users_by_hour": _q(f"SELECT {H}, username, party, count(*) AS count FROM hposts GROUP BY ALL"),

@@ -70,7 +70,10 @@ STREAM_QUERIES = {
     "stream_ingest": q_stream_ingest,
     "stream_posts_by_hour": _metric(M.POSTS_BY_HOUR_PARTY),
     "stream_hashtags_by_hour": _metric(M.HASHTAGS_BY_HOUR),
+    "stream_hashtags_by_hour_party": _metric(M.HASHTAGS_BY_HOUR_PARTY),
+    "stream_media_by_kind_hour": _metric(M.MEDIA_BY_KIND_HOUR_PARTY),
     "stream_media_by_hour": _metric(M.MEDIA_BY_HOUR_PARTY),
+    "stream_source_by_hour": _metric(M.SOURCE_BY_HOUR_PARTY),
     "stream_active_users_by_hour": _metric(M.ACTIVE_USERS_BY_HOUR_PARTY),
     "stream_sentiment_by_hour": q_stream_sentiment_by_hour,
     "stream_last15": q_stream_last15,
