@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postwave.llm import quality_rules, sentencepiece_bpe, warc_bundles
+from postwave.llm import html_extract, quality_rules, sentencepiece_bpe, url_rules, warc_bundles
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def model_path() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -32,10 +36,16 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), model_path())
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_rules": op1_url_rules,
     "op6_quality_rules": op6_quality_rules,
     "op7_warc_bundles": op7_warc_bundles,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 LLM_ORACLE: dict[str, str] = {
