@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postwave.llm import html_extract, quality_rules, sentencepiece_bpe, url_rules, warc_bundles
+from postwave.llm import (html_extract, line_chunks, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
+                          warc_bundles)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,16 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template_decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("n_hits").cast("long").alias("n_hits"), F.col("n_windows").cast("long").alias("n_windows"))
+
+
+def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_chunks.dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", F.col("__removed").alias("removed_lines"), F.length("text").cast("long").alias("n_chars"), "text")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -42,6 +54,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
+    "op2_template_decontamination": op2_template_decontamination,
+    "op3_line_chunks": op3_line_chunks,
     "op6_quality_rules": op6_quality_rules,
     "op7_warc_bundles": op7_warc_bundles,
     "op9_sentencepiece": op9_sentencepiece,
