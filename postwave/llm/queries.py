@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postwave.llm import (html_extract, line_chunks, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
+from postwave.llm import (html_extract, line_chunks, near_dup, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
                           warc_bundles)
 
 
@@ -36,6 +36,10 @@ def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.col("__removed").alias("removed_lines"), F.length("text").cast("long").alias("n_chars"), "text")
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_template_decontamination": op2_template_decontamination,
     "op3_line_chunks": op3_line_chunks,
+    "op4_near_dup": op4_near_dup,
     "op6_quality_rules": op6_quality_rules,
     "op7_warc_bundles": op7_warc_bundles,
     "op9_sentencepiece": op9_sentencepiece,
