@@ -70,6 +70,8 @@ def build(docs: DataFrame, id_col: str, text_col: str, name: str, extra: dict[st
     schema = (f"block long, ids array<{types['id']}>, digests array<binary>, "
               + "".join(f"`{k}` array<{types[k]}>, " for k in extra) + "sizes binary, data binary")
 
+    more = list(extra)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
@@ -85,7 +87,7 @@ def build(docs: DataFrame, id_col: str, text_col: str, name: str, extra: dict[st
             data = zstandard.ZstdCompressor(level=3).compress(b"".join(raw))
             number = uuid.uuid4().int >> 65
             return pa.RecordBatch.from_arrays([pa.array([number]), *lists, pa.array([pack(np.array([len(x) for x in raw], np.int64))], pa.binary()),
-                                               pa.array([data], pa.binary())], ["block", "ids", "digests", *extra, "sizes", "data"])
+                                               pa.array([data], pa.binary())], ["block", "ids", "digests", *more, "sizes", "data"])
 
         for part in slices(batches, "__text", block_bytes // 2):
             n = part.column(part.num_columns - 1).nbytes

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postwave.llm import (html_extract, line_chunks, near_dup, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
+from postwave.llm import (html_extract, katz_lm, line_chunks, near_dup, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
                           warc_bundles)
 
 
@@ -48,6 +48,10 @@ def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.archive_and_read(spark, table(spark, sf_dir, "pages"))
 
 
+def op8_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), model_path())
 
@@ -63,6 +67,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dup": op4_near_dup,
     "op6_quality_rules": op6_quality_rules,
     "op7_warc_bundles": op7_warc_bundles,
+    "op8_katz_lm": op8_katz_lm,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_html_extraction": op10_html_extraction,
 }
