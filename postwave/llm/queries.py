@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postwave.llm import (html_extract, katz_lm, line_chunks, near_dup, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
+from postwave.llm import (html_extract, importance, katz_lm, line_chunks, near_dup, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
                           warc_bundles)
 
 
@@ -40,6 +40,10 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
 
 
+def op5_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_template_decontamination": op2_template_decontamination,
     "op3_line_chunks": op3_line_chunks,
     "op4_near_dup": op4_near_dup,
+    "op5_importance": op5_importance,
     "op6_quality_rules": op6_quality_rules,
     "op7_warc_bundles": op7_warc_bundles,
     "op8_katz_lm": op8_katz_lm,
