@@ -171,9 +171,8 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_p
     Returned to the driver: one row per feature that ``min_pages`` (2 in 1000) of these pages show."""
     ready(pages.sparkSession)
     ident = F.col(f"`{id_col}`")
-    chosen = pages.select(F.xxhash64(ident).alias("h")).orderBy("h").limit(fit_pages).agg(F.max("h").alias("most"))
-    rows = (pages.select(F.xxhash64(ident).alias("h"), F.col(f"`{html_col}`").cast("string").alias("__html"))
-            .join(F.broadcast(chosen), F.col("h") <= F.col("most")).select("__html"))
+    most = pages.select(F.xxhash64(ident).alias("h")).orderBy("h").limit(fit_pages).agg(F.max("h")).first()[0]
+    rows = pages.where(F.xxhash64(ident) <= F.lit(most)).select(F.col(f"`{html_col}`").cast("string").alias("__html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "__html"):
