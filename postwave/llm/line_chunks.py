@@ -127,8 +127,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opt
                  .join(bad.withColumnRenamed("h", "bh"), F.col("span.h") == F.col("bh"), "left_anti").groupBy("__d", "__t").agg(F.collect_set("span").alias("__good")))
         same = F.col(f"`{id_col}`").eqNullSafe(F.col("__d")) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("__t"))
         marked = marked.join(spans, same, "left").drop("__d", "__t", "__spans").withColumnRenamed("__good", "__spans")
-    order = [*(c for c in names if c != text_col)]
-    src = marked.select(*[F.col(f"`{c}`") for c in order], F.col(f"`{text_col}`").cast("string").alias("__text"),
+    held = {c: f"__column{k}" for k, c in enumerate(names) if c != text_col}
+    order = list(held.values())
+    src = marked.select(*[F.col(f"`{c}`").alias(h) for c, h in held.items()], F.col(f"`{text_col}`").cast("string").alias("__text"),
                         F.transform(F.filter("__spans", lambda s: ~s["keep"]), lambda s: F.struct(s["first"], s["after"])).alias("__cut"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-2]) + ", __text string, __removed long"
 
@@ -151,7 +152,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opt
                                              order + ["__text", "__removed"])
 
     done = src.mapInArrow(run, schema)
-    return done.select(*[F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in names], "__removed")
+    return done.select(*[F.col(held.get(c, "__text")).alias(c) for c in names], "__removed")
 
 
 def dedup_stage(docs: DataFrame, **options) -> DataFrame:

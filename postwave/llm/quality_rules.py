@@ -142,8 +142,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     return src.mapInArrow(run, schema)
 
 
-def filter_stage(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns (Pipeline stage)."""
+def filter_stage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns, whatever their names (pipeline stage)."""
     names = docs.columns
-    judged = judge(docs, keep=tuple(names), **options)
-    return judged.where("kept").select(*names)
+    held = {c: f"__column{k}" for k, c in enumerate(names)}
+    judged = judge(docs.select(*[F.col(f"`{c}`").alias(h) for c, h in held.items()]), held[id_col], held[text_col],
+                   tuple(held.values()), **options)
+    return judged.where("kept").select(*[F.col(h).alias(c) for c, h in held.items()])

@@ -1,6 +1,6 @@
 """Benchmark decontamination by templates, with DataFrame functions only.
 
-Texts are canonicalised: numbers, names (capitalised words inside a sentence) and units after numbers
+Texts are canonicalised: numbers, names (words inside a sentence with one capital, then small letters) and units after numbers
 become typed placeholders, the rest lower-case words without punctuation. Windows of ``window``
 tokens of benchmark items are hash-joined with those of all documents. A document holds an item if it
 has at least ``min_share`` of the item's windows and its slot values are consistent: over all matched
@@ -37,7 +37,7 @@ def valued(text: Column) -> Column:
     t = F.translate(F.coalesce(text, F.lit("")), NUMBER + UNIT + NAME + POINT, "    ")
     has_number = t.rlike("\\p{N}")
     t = F.when(has_number, F.regexp_replace(t, "(\\p{N})[.,](\\p{N})", f"$1{POINT}$2")).otherwise(t)
-    t = F.regexp_replace(t, "([\\p{L}\\p{N},;] )(\\p{Lu}[\\p{L}\\p{M}]+)", f"$1{NAME}$2")
+    t = F.regexp_replace(t, "([\\p{L}\\p{N},;] )(\\p{Lu}[\\p{Ll}\\p{M}]+)", f"$1{NAME}$2")
     with_number = F.regexp_replace(F.concat(F.lower(F.regexp_replace(t, f"[\\p{{N}}{POINT}]+", f" {NUMBER}$0 ")), F.lit(" ")),
                                    f"({NUMBER}[\\p{{N}}{POINT}]+) +({UNITS})([^\\p{{L}}\\p{{M}}])", f"$1 {UNIT}$2$3")
     t = F.when(has_number, with_number).otherwise(F.lower(t))
