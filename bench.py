@@ -94,8 +94,8 @@ def main() -> None:
 
     def stream_a3():
         SQ.start_metric(spark, f"{s_out}/posts", M.POSTS_BY_HOUR_PARTY, f"{s_out}/a3", f"{s_out}/ck_a3",
-                        watermark="31 days", available_now=True).awaitTermination()
-        return spark.read.parquet(f"{s_out}/a3").count()
+                        available_now=True).awaitTermination()
+        return SQ.read_metric(spark, f"{s_out}/a3", M.POSTS_BY_HOUR_PARTY).count()
 
     timed("stream_ingest", stream_ingest)
     timed("stream_posts_by_hour_party", stream_a3)

@@ -3,7 +3,8 @@
     python -m postwave --source <folder of envelope files> --out <output folder> [--available-now]
 
 Runs until stopped (Ctrl-C stops every query), or once over what is there with --available-now.
-On a cluster, submit with spark-submit and pass the cluster settings (see postwave.session.cluster_conf).
+On a cluster, submit with spark-submit and pass the cluster settings (see postwave.session.cluster_conf);
+what is set there stays.
 """
 
 from __future__ import annotations
@@ -18,7 +19,12 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="postwave")
     ap.add_argument("--source", required=True, help="folder where envelope text files arrive")
     ap.add_argument("--out", required=True, help="folder for tables and checkpoints")
-    ap.add_argument("--watermark", default="2 hours", help="how late a post may arrive (event time)")
+    ap.add_argument("--watermark", default=None, help="drop posts later than this (event time); default: drop none")
+    ap.add_argument("--files-per-trigger", type=int, default=None, help="input files of one micro-batch at most")
+    ap.add_argument("--processing-time", action="store_true", help="hours of arrival instead of event time")
+    ap.add_argument("--output-mode", choices=("update", "complete"), default="update")
+    ap.add_argument("--state-partitions", type=int, default=None, help="state stores of each metric stream")
+    ap.add_argument("--replay", action="store_true", help="the input holds captured replay lines")
     ap.add_argument("--interval", default=None, help="override every trigger interval, e.g. '30 seconds'")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--strict", action="store_true", help="reject non-string values in string fields")
@@ -26,7 +32,9 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(master=args.master, app="postwave")
     handles = run_all(spark, args.source, args.out, watermark=args.watermark, available_now=args.available_now,
-                      interval=args.interval, strict=args.strict)
+                      interval=args.interval, strict=args.strict, max_files_per_trigger=args.files_per_trigger,
+                      processing_time=args.processing_time, output_mode=args.output_mode, replay=args.replay,
+                      state_partitions=args.state_partitions)
     try:
         if args.available_now:
             for q in handles.values():

@@ -27,10 +27,14 @@ ENVELOPE_SCHEMA = T.StructType([
 
 HASHTAGS_SCHEMA = T.ArrayType(STR_MAP)
 
-# strict mode: ``data`` values as VARIANT, so their JSON types can be checked
+# strict mode: values as VARIANT, so their JSON types can be checked
+VARIANT_MAP = T.MapType(T.StringType(), T.VariantType())
 STRICT_ENVELOPE_SCHEMA = T.StructType([
-    T.StructField("data", T.MapType(T.StringType(), T.VariantType())),
-    *[f for f in ENVELOPE_SCHEMA.fields if f.name != "data"],
+    T.StructField("data", VARIANT_MAP),
+    T.StructField("includes", T.StructType([T.StructField("users", T.ArrayType(VARIANT_MAP))])),
+    T.StructField("matching_rules", T.ArrayType(VARIANT_MAP)),
+    T.StructField("errors", T.ArrayType(STR_MAP)),
+    T.StructField(CORRUPT, T.StringType()),
 ])
 
 # The keys a post must carry inside ``data`` and inside every user object, and the
@@ -52,16 +56,23 @@ def parse_envelope_strict(value: Column) -> Column:
 
 
 def strict_view(env_v: Column) -> Column:
-    """The usual envelope struct (``data`` as text values: strings as they are, other values as
-    JSON text) plus ``data_types``: the JSON type of every ``data`` value."""
-    as_text = F.transform_values(env_v["data"], lambda k, v: F.when(
-        F.schema_of_variant(v) == F.lit("STRING"), F.variant_get(v, "$", "string"))
-        .when(F.schema_of_variant(v) == F.lit("VOID"), F.lit(None).cast("string"))
-        .otherwise(F.to_json(v)))
-    types = F.transform_values(env_v["data"], lambda k, v: F.schema_of_variant(v))
-    return F.struct(as_text.alias("data"), env_v["includes"].alias("includes"),
-                    env_v["matching_rules"].alias("matching_rules"), env_v["errors"].alias("errors"),
-                    env_v[CORRUPT].alias(CORRUPT), types.alias("data_types"))
+    """The usual envelope struct (values as text: strings as they are, others as JSON text) plus the
+    JSON types of the values of ``data``, each user and each rule."""
+    def as_text(m):
+        return F.transform_values(m, lambda k, v: F.when(
+            F.schema_of_variant(v) == F.lit("STRING"), F.variant_get(v, "$", "string"))
+            .when(F.schema_of_variant(v) == F.lit("VOID"), F.lit(None).cast("string"))
+            .otherwise(F.to_json(v)))
+
+    def types(m):
+        return F.transform_values(m, lambda k, v: F.schema_of_variant(v))
+
+    users, rules = env_v["includes"]["users"], env_v["matching_rules"]
+    includes = F.when(env_v["includes"].isNotNull(), F.struct(F.transform(users, as_text).alias("users")))
+    return F.struct(as_text(env_v["data"]).alias("data"), includes.alias("includes"),
+                    F.transform(rules, as_text).alias("matching_rules"), env_v["errors"].alias("errors"),
+                    env_v[CORRUPT].alias(CORRUPT), types(env_v["data"]).alias("data_types"),
+                    F.transform(users, types).alias("user_types"), F.transform(rules, types).alias("rule_types"))
 
 
 STRING_DATA_KEYS = REQUIRED_DATA_KEYS + ("in_reply_to_user_id",)
@@ -140,12 +151,16 @@ def error_action(title: Column) -> Column:
     return F.when(title == F.lit(DISCONNECT_TITLE), F.lit("stop")).otherwise(F.lit("reconnect"))
 
 
-def reject_reason(env: Column, ents: Column, att: Column, tags: Column, strict: bool = False) -> Column:
+def reject_reason(env: Column, ents: Column, att: Column, tags: Column, created_ts: Column,
+                  strict: bool = False) -> Column:
     """First failing rule, or null for a valid post. ``ents``/``att``/``tags``: parsed entities,
-    attachments and hashtag objects.
+    attachments and hashtag objects; ``created_ts``: the event time.
 
-    Order follows the reference's parse: an envelope that yields a post is a post even if it also
-    carries ``errors``; one that does not and carries ``errors`` is an error envelope.
+    An envelope that yields a post is a post even if it also carries ``errors``. One that carries
+    ``errors`` is an error envelope only if it lacks a part without which the parse breaks off (data,
+    includes, rules, the author, whole users, well-formed hashtags or attachments); where a value is merely missing or null
+    beside partial errors, it is an ordinary reject. A time that can't be read rejects the post, so
+    that every post that counts as valid is in the hourly metrics.
     """
     data = env["data"]
     users = env["includes"]["users"]
@@ -160,6 +175,10 @@ def reject_reason(env: Column, ents: Column, att: Column, tags: Column, strict:
         bad = F.lit(False)
         for key in STRING_DATA_KEYS:
             bad = bad | (F.map_contains_key(types, key) & ~types[key].isin("STRING", "VOID"))
+        not_text = lambda m, keys: F.lit(False) if not keys else F.exists(
+            F.array(*[F.coalesce(m[k], F.lit("STRING")) for k in keys]), lambda t: ~t.isin("STRING", "VOID"))
+        bad = bad | F.coalesce(F.exists(env["user_types"], lambda m: not_text(m, ("id", "username", "name"))), F.lit(False))
+        bad = bad | F.coalesce(~last_value_of_key(env["rule_types"], "tag").isin("STRING", "VOID"), F.lit(False))
         strict_checks = [(bad, "non_string_field")]
     checks = [
         (data.isNull(), "missing_data"),
@@ -173,6 +192,7 @@ def reject_reason(env: Column, ents: Column, att: Column, tags: Column, strict:
         (has_key_in_any(rules, "tag") & rule_tag.isNull(), "null_rule_tag"),
         (~users_complete(users), "incomplete_user"),
         (author(users, data["author_id"]).isNull(), "author_not_in_users"),
+        (created_ts.isNull(), "bad_created_at"),
     ]
     detail = F.lit(None).cast("string")
     for cond, reason in reversed(checks):
@@ -181,5 +201,15 @@ def reject_reason(env: Column, ents: Column, att: Column, tags: Column, strict:
     empty = (data.isNull() & env["includes"].isNull() & rules.isNull() & env["errors"].isNull())
     return (F.when(unparsable | empty, F.lit("malformed_json"))
             .when(detail.isNull(), F.lit(None).cast("string"))
-            .when(env["errors"].isNotNull(), F.lit("error_envelope"))
+            .when(env["errors"].isNotNull() & breaks_off(env, ents, att, tags), F.lit("error_envelope"))
             .otherwise(detail))
+
+
+def breaks_off(env: Column, ents: Column, att: Column, tags: Column) -> Column:
+    """Whether the envelope lacks a part that the parse can't do without."""
+    data, users, rules = env["data"], env["includes"]["users"], env["matching_rules"]
+    readable = users.isNotNull() & ~(F.map_contains_key(data, "entities") & ents.isNull()) & ~(
+        has_key_in_any(rules, "tag") & last_value_of_key(rules, "tag").isNull())
+    broken = ((F.map_contains_key(ents, "hashtags") & tags.isNull()) | (F.map_contains_key(data, "attachments") & att.isNull())
+              | ~users_complete(users) | author(users, F.coalesce(data["author_id"], F.lit(""))).isNull())
+    return data.isNull() | env["includes"].isNull() | rules.isNull() | (readable & F.coalesce(broken, F.lit(False)))

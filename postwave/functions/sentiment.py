@@ -49,10 +49,10 @@ def sentence_class(sentence: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_
     return (F.least(F.greatest(net, F.lit(-2)), F.lit(2)) + 2).cast("int")
 
 
-def scored_sentences(text: Column) -> Column:
+def scored_sentences(text: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> Column:
     """array<struct<pos:int, len:int, cls:int>>, one element per sentence."""
     return F.transform(sentences(text), lambda s, i: F.struct(
-        (i + 1).alias("pos"), F.char_length(s).alias("len"), sentence_class(s).alias("cls")))
+        (i + 1).alias("pos"), F.char_length(s).alias("len"), sentence_class(s, positive, negative).alias("cls")))
 
 
 def sentiment_parts(text: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> Column:

@@ -15,7 +15,7 @@ ZONE_SUFFIX = "(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 
 def parse_created_at(created_at: Column) -> Column:
-    """ISO-8601 text (``2021-05-09T09:38:08.000Z``) to TIMESTAMP; text without a zone is UTC (not
+    """ISO-8601 text (``2024-03-07T08:15:30.250Z``) to TIMESTAMP; text without a zone is UTC (not
     the session zone); unparsable text gives null."""
     text = F.when(created_at.rlike(ZONE_SUFFIX), created_at).otherwise(F.concat(created_at, F.lit("Z")))
     return F.try_to_timestamp(text)

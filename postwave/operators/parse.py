@@ -23,8 +23,8 @@ def parse_lines(lines: DataFrame, value_col: str = "value", strict: bool = False
     """Adds ``env`` (parsed struct), ``sub`` (parsed entities and attachments), ``tags`` (hashtag
     objects) and ``reject_reason``. Each JSON text is parsed exactly once.
 
-    ``strict=True`` also rejects posts whose ``data`` fields that must be strings hold another JSON
-    type (a numeric id), as the reference did; by default such values are read as their text."""
+    ``strict=True`` also rejects posts whose fields that must be strings (of ``data``, of a user, the
+    rule tag that counts) hold another JSON type; by default such values are read as their text."""
     if strict:
         parsed = lines.select("*", once(E.parse_envelope_strict(F.col(value_col)), "_env_v"))
         parsed = parsed.select(*lines.columns, once(E.strict_view(F.col("_env_v")), "env"))
@@ -35,7 +35,7 @@ def parse_lines(lines: DataFrame, value_col: str = "value", strict: bool = False
                                       "sub"))
     parsed = parsed.select("*", once(E.hashtag_objects(F.col("sub.ents")), "tags"))
     return parsed.withColumn("reject_reason", E.reject_reason(F.col("env"), F.col("sub.ents"), F.col("sub.att"),
-                                                              F.col("tags"), strict))
+                                                              F.col("tags"), parse_created_at(data["created_at"]), strict))
 
 
 POST_COLUMNS_STAGED = tuple("_sentiment_parts" if c == "sentiment" else c for c in POST_COLUMNS)
@@ -101,6 +101,11 @@ def classify(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool =
         F.when(is_err, E.error_action(title)).alias("error_action")))
 
 
+def raw_landing(posts_df: DataFrame) -> DataFrame:
+    """K2: id, raw envelope text, and the envelope parsed once more as VARIANT."""
+    return posts_df.select("id", "json", F.try_parse_json("json").alias("parsed"))
+
+
 def parse_posts(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return posts(parse_lines(lines, value_col), value_col)
 

@@ -7,6 +7,7 @@ doubles) so they can be compared with the DuckDB oracle in ``postwave.plans.orac
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from postwave.session import checkpoint_root
 from postwave.sources import envelopes, roster, tables
 
 HOUR = ["year", "month", "day", "hour"]
+# Word lists of the sentence checks: words that the documents hold, so that all classes occur.
+CHECK_WORDS = (("the", "und", "la", "que", "is", "est"), ("of", "der", "de", "en", "that", "les"))
 
 
 def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,17 +118,18 @@ def q_sentences(spark, sf_dir):
 
 
 def q_sentence_scores(spark, sf_dir):
-    d = _documents(spark, sf_dir).select("doc_id", F.explode(S.scored_sentences(F.col("text"))).alias("x"))
+    d = _documents(spark, sf_dir).select("doc_id", F.explode(S.scored_sentences(F.col("text"), *CHECK_WORDS)).alias("x"))
     return d.select("doc_id", F.col("x.pos").alias("pos"), F.col("x.len").alias("len"), F.col("x.cls").alias("cls"))
 
 
 def q_doc_sentiment(spark, sf_dir):
-    d = S.with_sentiment(_documents(spark, sf_dir), "text", "sentiment", "mean_sentiment", "main_sentiment")
+    d = S.with_sentiment(_documents(spark, sf_dir), "text", "sentiment", "mean_sentiment", "main_sentiment",
+                         positive=CHECK_WORDS[0], negative=CHECK_WORDS[1])
     return d.drop("text")
 
 
 def q_sentiment_label(spark, sf_dir):
-    d = S.with_sentiment(_documents(spark, sf_dir), "text", "sentiment")
+    d = S.with_sentiment(_documents(spark, sf_dir), "text", "sentiment", positive=CHECK_WORDS[0], negative=CHECK_WORDS[1])
     return d.groupBy(S.sentiment_label(F.col("sentiment")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -159,21 +163,35 @@ def q_ingest_counts(spark, sf_dir):
 
 
 def q_raw_landing(spark, sf_dir):
-    p = posts(spark, sf_dir).select("id", "json")
-    return p.select("id", F.get_json_object("json", "$.data.id").alias("landed_id"),
-                    F.get_json_object("json", "$.data.author_id").alias("landed_author_id"))
+    """K2: envelopes landed with a parsed copy (VARIANT) beside the raw text, read back from the table."""
+    path = f"{checkpoint_root(spark)}/raw-{uuid.uuid4().hex}"
+    parse.raw_landing(posts(spark, sf_dir)).write.option("compression", "zstd").parquet(path)
+    p = spark.read.parquet(path)
+    return p.select("id", F.variant_get("parsed", "$.data.id", "string").alias("landed_id"),
+                    F.variant_get("parsed", "$.data.author_id", "string").alias("landed_author_id"))
+
+
+def q_last15_documents(spark, sf_dir):
+    p = posts(spark, sf_dir).select("party", "id", "created_ts")
+    docs = lastn.as_lists(lastn.last_n_by_party(p)).unionByName(lastn.as_lists(lastn.last_n_combined(p), None))
+    return docs.select("scope", "party", F.array_join("tweetIds", ",").alias("tweet_ids"))
+
+
+def q_metric_documents(spark, sf_dir):
+    spec = M.POSTS_BY_HOUR_PARTY
+    return M.as_documents(M.metric_from_spec(posts(spark, sf_dir), spec), spec, as_json=True)
 
 
 def q_upsert_merge(spark, sf_dir):
-    """A3 kept by replace-by-key: an older run over days 1-19 and a newer run from day 15 on, whose
-    hours replace the older ones. Both runs' counts come from one parse and one aggregate, which is
+    """A3 kept by replace-by-key: an older run over days 1-19, with counts twice too high, and a newer
+    run from day 15 on, whose hours replace the older ones. Both runs' counts come from one parse and one aggregate, which is
     checkpointed (hours x parties rows) because the merge reads the newer run twice."""
     checkpoint_root(spark)
     p = posts(spark, sf_dir)
     day = F.dayofmonth(F.to_date(F.col("createdDate").substr(1, 10)))
     runs = (p.select(*hour_key(F.col("created_ts")), "party", (day < 20).alias("in_old"), (day >= 15).alias("in_new"))
             .groupBy(*HOUR, "party")
-            .agg(F.count_if("in_old").alias("old_count"), F.count_if("in_new").alias("new_count"))
+            .agg((F.count_if("in_old") * 2).alias("old_count"), F.count_if("in_new").alias("new_count"))
             .checkpoint(eager=True))
     old = runs.where("old_count > 0").select(*HOUR, "party", F.col("old_count").alias("count"))
     new = runs.where("new_count > 0").select(*HOUR, "party", F.col("new_count").alias("count"))
@@ -211,5 +229,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_unwrap": q_replay_unwrap,
     "ingest_counts": q_ingest_counts,
     "raw_landing": q_raw_landing,
+    "last15_documents": q_last15_documents,
+    "metric_documents": q_metric_documents,
     "upsert_merge": q_upsert_merge,
 }

@@ -8,6 +8,7 @@ building, parsing and validation are checked against SQL that never sees an enve
 from __future__ import annotations
 
 from postwave.functions import sentiment as S
+from postwave.plans.catalog import CHECK_WORDS
 from postwave.sources import tables as TB
 
 
@@ -21,18 +22,18 @@ def _sentences(text: str) -> str:
             f"lambda s: trim(s)), lambda s: s <> '')")
 
 
-def _class(s: str) -> str:
+def _class(s: str, positive=S.POSITIVE_WORDS, negative=S.NEGATIVE_WORDS) -> str:
     toks = f"regexp_extract_all(lower({s}), '{S.TOKEN_PATTERN}')"
-    pos = f"len(list_filter({toks}, lambda t: t IN ({_words(S.POSITIVE_WORDS)})))"
-    neg = f"len(list_filter({toks}, lambda t: t IN ({_words(S.NEGATIVE_WORDS)})))"
+    pos = f"len(list_filter({toks}, lambda t: t IN ({_words(positive)})))"
+    neg = f"len(list_filter({toks}, lambda t: t IN ({_words(negative)})))"
     net = f"({pos} - {neg})"
     return (f"(CASE WHEN {net} <= -2 THEN 0 WHEN {net} = -1 THEN 1 WHEN {net} = 0 THEN 2 "
             f"WHEN {net} = 1 THEN 3 ELSE 4 END)")
 
 
-def _scored(text: str) -> str:
+def _scored(text: str, *words) -> str:
     return (f"list_transform({_sentences(text)}, lambda s, i: "
-            f"{{'pos': CAST(i AS INTEGER), 'len': CAST(length(s) AS INTEGER), 'cls': CAST({_class('s')} AS INTEGER)}})")
+            f"{{'pos': CAST(i AS INTEGER), 'len': CAST(length(s) AS INTEGER), 'cls': CAST({_class('s', *words)} AS INTEGER)}})")
 
 
 def _weighted(x: str) -> str:
@@ -58,7 +59,10 @@ def _label(s: str) -> str:
             f"WHEN {s} < 5 THEN 'very_positive' ELSE 'not_understood' END)")
 
 
-_BAD = f"(event_id % {TB.TRUNCATED_MOD} = 0 OR event_id % {TB.ERROR_MOD} = 0 OR event_id % {TB.NO_SOURCE_MOD} = 0)"
+_BAD = (f"(event_id % {TB.TRUNCATED_MOD} = 0 OR event_id % {TB.ERROR_MOD} = 0 OR event_id % {TB.NO_SOURCE_MOD} = 0 "
+        f"OR event_id % {TB.BAD_TIME_MOD} = 0)")
+_TEXT = f"CASE WHEN event_id % {TB.EMPTY_TEXT_MOD} = 0 THEN '' ELSE text END"
+_SENT = "(CASE WHEN p.text = '' THEN -1.0 ELSE s.sentiment END)"
 
 BASE = f"""
 base AS (
@@ -67,10 +71,10 @@ base AS (
   FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
 ),
 posts AS (
-  SELECT CAST(event_id AS VARCHAR) AS id, text, CAST(user_id AS VARCHAR) AS user_id,
+  SELECT CAST(event_id AS VARCHAR) AS id, {_TEXT} AS text, CAST(user_id AS VARCHAR) AS user_id,
          'user_' || CAST(user_id AS VARCHAR) AS username, 'User ' || CAST(user_id AS VARCHAR) AS name,
          event_type AS party, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS createdDate,
-         '' AS in_reply_to_user_id, source, CAST(k % 3 AS INTEGER) AS attachments,
+         CASE WHEN k % 5 = 0 THEN 'r' || CAST(user_id AS VARCHAR) ELSE '' END AS in_reply_to_user_id, source, CAST(k % 3 AS INTEGER) AS attachments,
          list_slice(['t' || CAST(k % 10 AS VARCHAR), event_type, lang], 1, k % 4) AS hashtags,
          date_trunc('millisecond', ts) AS ts_ms, event_id, doc_id, k
   FROM base WHERE NOT {_BAD}
@@ -119,10 +123,10 @@ ORACLE: dict[str, str] = {
     "media_by_hour_party": _q(f"SELECT {H}, party, CAST(sum(attachments) AS BIGINT) AS count FROM hposts "
                               f"WHERE attachments <> 0 GROUP BY ALL"),
     "active_users_by_hour_party": _q(f"SELECT {H}, username, party, count(*) AS count FROM hposts GROUP BY ALL"),
-    "sentiment_by_hour_party": _q(f"SELECT {H}, party, round(avg(s.sentiment), 9) AS sentiment "
+    "sentiment_by_hour_party": _q(f"SELECT {H}, party, round(avg({_SENT}), 9) AS sentiment "
                                   f"FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
     "scored_sentiment_by_hour_party": _q(
-        f"SELECT {H}, party, round(coalesce(avg(CASE WHEN s.sentiment >= 0 THEN s.sentiment END), -1.0), 9) "
+        f"SELECT {H}, party, round(coalesce(avg(CASE WHEN {_SENT} >= 0 THEN {_SENT} END), -1.0), 9) "
         f"AS sentiment FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
     "source_by_hour_party": _q(f"SELECT {H}, party, source, count(*) AS count FROM hposts GROUP BY ALL"),
     "last15_by_party": _q("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
@@ -130,12 +134,13 @@ ORACLE: dict[str, str] = {
     "last15_combined": _q("SELECT CAST(row_number() OVER (ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency, id "
                           "FROM posts ORDER BY ts_ms DESC, id DESC LIMIT 15"),
     "parse_posts": _q("SELECT id, user_id, username, name, party, createdDate, in_reply_to_user_id, source, "
-                      "attachments, s.sentiment, array_to_string(hashtags, ',') AS hashtags, 1 AS n_users, "
+                      f"attachments, {_SENT} AS sentiment, array_to_string(hashtags, ',') AS hashtags, 2 AS n_users, "
                       "CAST(length(text) AS INTEGER) AS text_chars FROM posts p JOIN docsent s USING (doc_id)"),
     "valid_posts": _q("SELECT id, party FROM posts"),
     "rejected_posts": _q(f"SELECT CASE WHEN event_id % {TB.TRUNCATED_MOD} = 0 THEN 'malformed_json' "
                          f"WHEN event_id % {TB.ERROR_MOD} = 0 THEN 'error_envelope' "
-                         f"ELSE 'missing_required_field' END AS reason, count(*) AS n FROM base WHERE {_BAD} "
+                         f"WHEN event_id % {TB.NO_SOURCE_MOD} = 0 THEN 'missing_required_field' "
+                         f"ELSE 'bad_created_at' END AS reason, count(*) AS n FROM base WHERE {_BAD} "
                          f"GROUP BY ALL"),
     "error_envelopes": _q(f"SELECT CASE WHEN k % 2 = 0 THEN '{TB.DISCONNECT_TITLE}' ELSE '{TB.OTHER_ERROR_TITLE}' END "
                           f"AS error_title, CASE WHEN k % 2 = 0 THEN 'stop' ELSE 'reconnect' END AS error_action, "
@@ -144,21 +149,21 @@ ORACLE: dict[str, str] = {
     "party_tag": _q("SELECT party, count(*) AS n FROM posts GROUP BY ALL"),
     "hashtags_of_post": _q("SELECT id, CAST(unnest(generate_series(1, len(hashtags))) AS INTEGER) AS pos, "
                            "unnest(hashtags) AS hashtag FROM posts"),
-    "post_document": _q("SELECT id, user_id, username, party, attachments, user_id AS first_user_id, "
+    "post_document": _q("SELECT id, user_id, username, party, attachments, 'x' || user_id AS first_user_id, "
                         "CAST(len(hashtags) AS INTEGER) AS n_hashtags FROM posts"),
-    "json_roundtrip": _q("SELECT id, username, party, attachments, s.sentiment, "
+    "json_roundtrip": _q(f"SELECT id, username, party, attachments, {_SENT} AS sentiment, "
                          "array_to_string(hashtags, ',') AS hashtags FROM posts p JOIN docsent s USING (doc_id)"),
     "hour_key": _q(f"SELECT {H}, count(*) AS count FROM hposts GROUP BY ALL"),
     "sentences": f"SELECT doc_id, CAST(len(s) AS INTEGER) AS n_sentences, "
                  f"CAST(coalesce(list_sum(list_transform(s, lambda x: length(x))), 0) AS BIGINT) AS total_len "
                  f"FROM (SELECT doc_id, {_sentences('text')} AS s FROM documents)",
     "sentence_scores": f"SELECT doc_id, e.pos AS pos, e.len AS len, e.cls AS cls FROM "
-                       f"(SELECT doc_id, unnest({_scored('text')}) AS e FROM documents)",
+                       f"(SELECT doc_id, unnest({_scored('text', *CHECK_WORDS)}) AS e FROM documents)",
     "doc_sentiment": f"SELECT doc_id, {_weighted('x')} AS sentiment, {_mean('x')} AS mean_sentiment, "
                      f"CAST({_main('x')} AS INTEGER) AS main_sentiment "
-                     f"FROM (SELECT doc_id, {_scored('text')} AS x FROM documents)",
+                     f"FROM (SELECT doc_id, {_scored('text', *CHECK_WORDS)} AS x FROM documents)",
     "sentiment_label": f"SELECT {_label('sentiment')} AS label, count(*) AS n FROM "
-                       f"(SELECT {_weighted('x')} AS sentiment FROM (SELECT {_scored('text')} AS x FROM documents)) "
+                       f"(SELECT {_weighted('x')} AS sentiment FROM (SELECT {_scored('text', *CHECK_WORDS)} AS x FROM documents)) "
                        f"GROUP BY ALL",
     "roster_load": f"WITH {_roster_base()} SELECT * FROM roster",
     "roster_dedup": f"WITH {_roster_base()} SELECT * FROM dedup",
@@ -175,7 +180,19 @@ ORACLE: dict[str, str] = {
                         f"count(*) FILTER (WHERE event_id % {TB.TRUNCATED_MOD} <> 0 AND event_id % {TB.ERROR_MOD} = 0) "
                         f"AS error_envelopes FROM base"),
     "raw_landing": _q("SELECT id, id AS landed_id, user_id AS landed_author_id FROM posts"),
-    "upsert_merge": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
+    # Days before the newer run keep the older run's counts, which are twice the true ones.
+    "upsert_merge": _q(f"SELECT {H}, party, CAST(c * (CASE WHEN day < 15 THEN 2 ELSE 1 END) AS BIGINT) AS count "
+                       f"FROM (SELECT {H}, party, count(*) AS c FROM hposts GROUP BY ALL)"),
+    "last15_documents": _q("SELECT scope, party, array_to_string(list(id ORDER BY ts_ms, id), ',') AS tweet_ids FROM ("
+                           "SELECT 'party' AS scope, party, id, ts_ms, row_number() OVER (PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS rn FROM posts "
+                           "UNION ALL SELECT 'combined', NULL, id, ts_ms, row_number() OVER (ORDER BY ts_ms DESC, id DESC) FROM posts) "
+                           "WHERE rn <= 15 GROUP BY scope, party"),
+    "metric_documents": _q(f"SELECT '{{\"_id\":{{\"year\":' || year || ',\"month\":' || month || ',\"day\":' || day || ',\"hour\":' || hour || "
+                           f"',\"party\":\"' || party || '\"}},\"count\":' || c || '}}' AS document FROM "
+                           f"(SELECT {H}, party, count(*) AS c FROM hposts GROUP BY {H}, party)"),
+    "stream_late_posts": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
+    "stream_last15_combined": _q("SELECT CAST(row_number() OVER (ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency, id "
+                                 "FROM posts ORDER BY ts_ms DESC, id DESC LIMIT 15"),
     "stream_ingest": _q("SELECT id, party, createdDate, user_id, attachments FROM posts"),
     "stream_posts_by_hour": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
     "stream_hashtags_by_hour": _q(f"SELECT {H}, hashtag, count(*) AS count FROM "
@@ -188,7 +205,7 @@ ORACLE: dict[str, str] = {
     "stream_media_by_hour": _q(f"SELECT {H}, party, CAST(sum(attachments) AS BIGINT) AS count FROM hposts "
                                f"WHERE attachments <> 0 GROUP BY ALL"),
     "stream_active_users_by_hour": _q(f"SELECT {H}, username, party, count(*) AS count FROM hposts GROUP BY ALL"),
-    "stream_sentiment_by_hour": _q(f"SELECT {H}, party, round(avg(s.sentiment), 9) AS sentiment "
+    "stream_sentiment_by_hour": _q(f"SELECT {H}, party, round(avg({_SENT}), 9) AS sentiment "
                                    f"FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
     "stream_last15": _q("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
                         "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15"),

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
 def _driver_memory() -> str:
-    """60% of physical memory, between 2 and 16 GiB (local mode runs everything in the driver)."""
+    """60% of physical memory, at least 2 GiB (a local session runs everything in the driver)."""
     if os.environ.get("POSTWAVE_DRIVER_MEMORY"):
         return os.environ["POSTWAVE_DRIVER_MEMORY"]
     try:
         with open("/proc/meminfo") as f:
             kb = int(next(line for line in f if line.startswith("MemTotal")).split()[1])
-        gib = max(2, min(16, int(kb / 1024 / 1024 * 0.6)))
+        gib = max(2, int(kb / 1024 / 1024 * 0.6))
     except (OSError, StopIteration, ValueError):
         gib = 4
     return f"{gib}g"
@@ -24,13 +26,11 @@ def _driver_memory() -> str:
 def cluster_conf(total_input_bytes: int | None = None) -> dict[str, str]:
     """Settings for a large cluster (pass to the session builder or spark-submit).
 
-    AQE decides the reduce-side partition count from the real shuffle sizes (start high, coalesce
-    to ~256 MiB), splits skewed join partitions, and streaming state lives in RocksDB so large
-    hour x key state does not sit on the JVM heap.
+    For batch jobs: AQE decides the reduce-side partition count from the real shuffle sizes (one partition per
+    128 MiB of input to start with, coalesced to ~256 MiB) and splits skewed join partitions. Streams size their
+    state on their own (``state_partitions`` of the stream starters); it lives in RocksDB, off the JVM heap.
     """
-    initial = "8192"
-    if total_input_bytes:
-        initial = str(max(200, min(100_000, total_input_bytes // (128 << 20))))
+    initial = str(max(200, total_input_bytes // (128 << 20))) if total_input_bytes else "8192"
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -40,27 +40,47 @@ def cluster_conf(total_input_bytes: int | None = None) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.shuffle.partitions": initial,
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
 
 
-def build_session(master: str | None = None, app: str = "postwave", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, app: str = "postwave", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Local session with the settings the library assumes (UTC, AQE, no UI)."""
-    master = master or os.environ.get("POSTWAVE_MASTER", "local[8]")
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.ui.enabled", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.driver.memory", _driver_memory()))
-    for k, v in (extra or {}).items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
+    """A session with the settings the library assumes (UTC, AQE, no UI).
+
+    What is set outside (spark-submit, ``PYSPARK_SUBMIT_ARGS``, a running session) stays; only arguments
+    given here go before it. Without either: a local session of 8 threads and 8 shuffle partitions."""
+    given: dict[str, str] = {}
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        given = {k: "" for k, _ in active.sparkContext.getConf().getAll()}
+    elif "PYSPARK_GATEWAY_PORT" in os.environ or "PYSPARK_SUBMIT_ARGS" in os.environ:
+        SparkContext._ensure_initialized()
+        given = dict(SparkConf().getAll())
+    wanted = {
+        "spark.master": os.environ.get("POSTWAVE_MASTER", "local[8]"),
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": _driver_memory(),
+        "spark.ui.enabled": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+    wanted = {k: v for k, v in wanted.items() if k not in given}
+    if master is not None:
+        wanted["spark.master"] = master
+    if shuffle_partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if given.get("spark.master", wanted.get("spark.master", "")).startswith("local") is False:
+        wanted.pop("spark.driver.memory", None)         # a cluster's driver is sized by who submits
+        if shuffle_partitions is None:
+            wanted.pop("spark.sql.shuffle.partitions", None)
+    spark = SparkSession.builder.appName(app).config(map={**wanted, **(extra or {})}).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -85,22 +105,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or conf).rstrip("/")
 
 
-def _local_dir(uri: str) -> str | None:
-    """The local path of a ``file:`` URI or plain path; None for any other file system."""
-    if uri.startswith("file:"):
-        path = uri[len("file:"):]
-        return "/" + path.lstrip("/")
-    if "://" in uri:
-        return None
-    return os.path.abspath(uri)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for stream state, landed tables, etc."""
-    root = checkpoint_root(spark)
-    local = _local_dir(root)
-    if local is not None:
-        os.makedirs(local, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
-    import uuid
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 
 
@@ -17,42 +19,39 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def complete_versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers N of the sub-folders ``v=N`` of ``path`` that hold a committed write (``_SUCCESS``)."""
+def exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    jvm = spark.sparkContext._jvm
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and name[2:].lstrip("-").isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-    return sorted(out)
+    return bool(fs.exists(p))
 
 
-def drop_versions(spark: SparkSession, path: str, keep: int) -> None:
-    """Delete all but the newest ``keep`` committed versions (older ones are never read again)."""
-    jvm = spark.sparkContext._jvm
+def delete(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
-    for v in complete_versions(spark, path)[:-keep]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(p, f"v={v}"), True)
+    fs.delete(p, True)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def names(spark: SparkSession, path: str, prefix: str, committed: bool = False) -> list[str]:
+    """What follows ``prefix`` in the names in folder ``path``; ``committed``: of finished writes (``_SUCCESS``) only."""
     p, fs = _fs(spark, path)
-    return bool(fs.exists(p))
+    if not fs.exists(p):
+        return []
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p) if st.getPath().getName().startswith(prefix)
+            and (not committed or fs.exists(path_of(st.getPath(), "_SUCCESS")))]
 
 
-def drop_older(spark: SparkSession, path: str, prefix: str, current: int) -> None:
-    """Delete the sub-folders ``<prefix>N`` of ``path`` with N < ``current``."""
-    jvm = spark.sparkContext._jvm
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        tail = name[len(prefix):]
-        if name.startswith(prefix) and tail.isdigit() and int(tail) < current:
-            fs.delete(st.getPath(), True)
+def numbered(spark: SparkSession, path: str, prefix: str, committed: bool = False) -> list[int]:
+    return sorted(int(n) for n in names(spark, path, prefix, committed) if n.isdigit())
+
+
+def run_number(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The number of the streaming query of ``checkpoint`` among those that have written table ``path``.
+
+    The query's id is in its checkpoint from its first start on; the table's folder ``_runs`` remembers
+    which number it got. A new checkpoint is a new query with the next number."""
+    text = "\n".join(r.value for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect())
+    query_id = json.loads(text)["id"]
+    known = dict(reversed(n.split("_", 1)) for n in names(spark, f"{path.rstrip('/')}/_runs", ""))
+    if query_id not in known:
+        known[query_id] = str(1 + max(map(int, known.values()), default=-1))
+        ensure_dir(spark, f"{path.rstrip('/')}/_runs/{known[query_id]}_{query_id}")
+    return int(known[query_id])

@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 from postwave.functions.exprs import once
 
 
+#: Spark's file source skips files older than its newest by a week; a backlog may be older.
+NO_AGE_LIMIT = "36500d"
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Batch: one row per line, column ``value``."""
     return spark.read.text(path)
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of lines from files arriving in ``path``."""
-    r = spark.readStream.format("text")
+    """Streaming frame of lines from files arriving in ``path``, however old they are."""
+    r = spark.readStream.format("text").option("maxFileAge", NO_AGE_LIMIT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)

@@ -1,37 +1,33 @@
 """Account roster.
 
-``;``-separated text, header ``screen_name;user_id;name;party;location;created_at``, cells trimmed,
-no quoting (a ``;`` inside a cell splits it, as in the reference). Rows with fewer than six cells go
-to quarantine instead of aborting the load. The header is recognised by content because Spark
-gives no line numbers.
+``;``-separated text, cells trimmed of blanks and control characters, no quoting (a ``;`` inside a
+cell splits it). The first line of each file is its header, whatever it says. Rows with fewer than
+six cells go to quarantine instead of aborting the load.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 # Roster columns in file order.
 ROSTER_COLUMNS = ("screen_name", "user_id", "name", "party", "location", "created_at")
 
 
-def _cells(value_col: str):
-    return F.transform(F.split(F.col(value_col), ";"), lambda s: F.trim(s))
+# Never part of a line: keeps the reader of one-column files from splitting them.
+_NO_SEPARATOR = "\x01"
 
 
-def _is_header(cells) -> F.Column:
-    return (F.get(cells, 0) == F.lit("screen_name")) & (F.get(cells, 1) == F.lit("user_id"))
+def _cells(value_col: str):
+    return F.transform(F.split(F.col(value_col), ";"), lambda s: F.regexp_replace(s, "^[\\x00-\\x20]+|[\\x00-\\x20]+$", ""))
 
 
 def read_roster_lines(spark, path: str) -> DataFrame:
-    """Roster text files under ``path`` as (version, value): a file's version is its rank in file
-    name order, so rows of later files win in ``dedup_roster``. The name -> version table has one
-    row per file (small, broadcast)."""
-    lines = spark.read.text(path).withColumn("_file", F.input_file_name())
-    files = lines.select("_file").distinct()
-    versions = files.withColumn("version", F.row_number().over(Window.orderBy("_file")).cast("int"))
-    return lines.join(F.broadcast(versions), "_file").select("version", "value")
+    """Roster text files under ``path`` as (version, value), without each file's first line. A file's
+    version is its name, so rows of the file last in name order win in ``dedup_roster``."""
+    lines = spark.read.schema("value string").csv(path, header=True, sep=_NO_SEPARATOR, quote="", escape="", comment="",
+                                                  enforceSchema=True, mode="PERMISSIVE")
+    return lines.where("value is not null").select(F.col("_metadata.file_path").alias("version"), "value")
 
 
 def read_roster(spark, path: str) -> DataFrame:
@@ -40,10 +36,10 @@ def read_roster(spark, path: str) -> DataFrame:
 
 
 def load_roster(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """S3: one row per roster line with six or more cells; other columns of ``lines`` are kept."""
+    """S3: one row per roster line (no header) with six or more cells; other columns of ``lines`` are kept."""
     keep = [c for c in lines.columns if c != value_col]
     cells = _cells(value_col)
-    parsed = lines.select(*keep, cells.alias("_c")).where(~_is_header(F.col("_c")))
+    parsed = lines.select(*keep, cells.alias("_c"))
     parsed = parsed.where(F.size("_c") >= len(ROSTER_COLUMNS))
     return parsed.select(*keep, *[F.col("_c")[i].alias(n) for i, n in enumerate(ROSTER_COLUMNS)])
 
@@ -51,7 +47,7 @@ def load_roster(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def roster_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
     cells = _cells(value_col)
     return (lines.select(F.col(value_col).alias("line"), cells.alias("_c"))
-            .where(~_is_header(F.col("_c")) & (F.size("_c") < len(ROSTER_COLUMNS)))
+            .where(F.size("_c") < len(ROSTER_COLUMNS))
             .select("line", F.lit("too_few_cells").alias("reason")))
 
 
@@ -66,9 +62,3 @@ def dedup_roster(roster: DataFrame, order_cols: tuple[str, ...] = ("version",))
     best = roster.groupBy("user_id").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("r"))
     return best.select(*[F.col("r")[c].alias(c) for c in cols])
 
-
-def dedup_roster_window(roster: DataFrame, order_cols: tuple[str, ...] = ("version",)) -> DataFrame:
-    """Same result as ``dedup_roster`` with a window (kept for comparison in tests)."""
-    w = Window.partitionBy("user_id").orderBy(*[F.col(c).desc() for c in order_cols],
-                                              *[F.col(c).desc() for c in ROSTER_COLUMNS])
-    return roster.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*ROSTER_COLUMNS)

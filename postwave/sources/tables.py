@@ -6,7 +6,9 @@ hold neither, so these frames build them from ``events`` + ``documents`` and fro
 every row of the tables, so the parse and everything after it grows with the data.
 
 Which lines are broken is fixed by ``event_id`` (first match wins): ``% 29 = 0`` truncated JSON,
-``% 23 = 0`` an error envelope, ``% 17 = 0`` a post without ``source``.
+``% 23 = 0`` an error envelope, ``% 17 = 0`` a post without ``source`` (half of them with partial
+errors beside it), ``% 31 = 0`` a post whose time can't be read. ``% 37 = 0`` has an empty text. Each post has
+three rules (the second's tag counts, the third has none) and two users (the second is the author); every fifth is a reply.
 """
 
 from __future__ import annotations
@@ -14,15 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postwave.functions.envelope import DISCONNECT_TITLE
 from postwave.functions.timekeys import iso_millis_utc
 
 # Fixed values of the fixture.
 TRUNCATED_MOD, ERROR_MOD, NO_SOURCE_MOD = 29, 23, 17
-DISCONNECT_TITLE = "operational-disconnect"
+BAD_TIME_MOD, EMPTY_TEXT_MOD = 31, 37
+EARLY_TAG = "early"
 OTHER_ERROR_TITLE = "stream-reset"
-ROSTER_HEADER = "screen_name;user_id;name;party;location;created_at"
 POSTS_PER_TASK = 20_000
-MAX_TASKS = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +51,7 @@ def posts_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     n_docs = docs.count()
     n_events = events.count()
-    parts = max(spark.sparkContext.defaultParallelism, min(MAX_TASKS, -(-n_events // POSTS_PER_TASK)))
+    parts = max(spark.sparkContext.defaultParallelism, -(-n_events // POSTS_PER_TASK))
     docs = docs.repartition(parts, "doc_id")
     joined = events.join(docs, docs["doc_id"] == (events["event_id"] % F.lit(n_docs)), "inner")
     return joined.withColumn("k", _k(F.col("props")))
@@ -66,20 +68,25 @@ def _post_json(b: DataFrame) -> Column:
     tags = F.array(tag(F.concat(F.lit("t"), (k % 10).cast("string"))), tag(F.col("event_type")), tag(F.col("lang")))
     data = F.struct(
         sid.alias("id"),
-        F.col("text").alias("text"),
-        iso_millis_utc(F.col("ts")).alias("created_at"),
+        F.when(eid % EMPTY_TEXT_MOD == 0, F.lit("")).otherwise(F.col("text")).alias("text"),
+        F.when(eid % BAD_TIME_MOD == 0, F.lit("yesterday")).otherwise(iso_millis_utc(F.col("ts"))).alias("created_at"),
         uid.alias("author_id"),
         F.when(eid % NO_SOURCE_MOD != 0, F.col("source")).alias("source"),
         F.when(n_att > 0, F.struct(
             F.array(F.concat(F.lit("3_"), sid)).alias("media_keys"),
             F.when(n_att > 1, F.array(F.concat(F.lit("p"), sid))).alias("poll_ids"))).alias("attachments"),
         F.when(n_tags > 0, F.struct(F.slice(tags, F.lit(1), n_tags).alias("hashtags"))).alias("entities"),
+        F.when(k % 5 == 0, F.concat(F.lit("r"), uid)).alias("in_reply_to_user_id"),
     )
     user = F.struct(uid.alias("id"), F.concat(F.lit("user_"), uid).alias("username"),
                     F.concat(F.lit("User "), uid).alias("name"))
-    rule = F.struct((F.lit(1000) + (k % 7)).alias("id"), F.col("event_type").alias("tag"))
-    return F.to_json(F.struct(data.alias("data"), F.struct(F.array(user).alias("users")).alias("includes"),
-                              F.array(rule).alias("matching_rules")))
+    other = F.struct(F.concat(F.lit("x"), uid).alias("id"), F.concat(F.lit("other_"), uid).alias("username"),
+                     F.concat(F.lit("Other "), uid).alias("name"))
+    rule = lambda n, tag: F.struct((F.lit(n) + (k % 7)).alias("id"), tag.alias("tag"))
+    rules = F.array(rule(1000, F.lit(EARLY_TAG)), rule(2000, F.col("event_type")), rule(3000, F.lit(None).cast("string")))
+    partial = F.when((eid % NO_SOURCE_MOD == 0) & (k % 2 == 0), F.array(F.struct(F.lit("Not Found Error").alias("title"))))
+    return F.to_json(F.struct(data.alias("data"), F.struct(F.array(other, user).alias("users")).alias("includes"),
+                              rules.alias("matching_rules"), partial.alias("errors")))
 
 
 def _error_json(b: DataFrame) -> Column:
@@ -111,7 +118,7 @@ def replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3 input built from ``customer``: header, one row per customer (version 1), and a version 2
+    """S3 input built from ``customer`` (header lines are a matter of files): one row per customer (version 1), and a version 2
     that re-lists customers with a negative balance under party ``INDEPENDENT``. Rows of customers
     in nation 0 have only five cells (rejected by the loader).
 
@@ -120,7 +127,7 @@ def roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
                                                      "c_mktsegment")
     uid = F.col("c_custkey").cast("string")
-    cells = lambda party: [F.concat(F.lit(" "), F.col("c_name")), uid, F.col("c_name"), party,
+    cells = lambda party: [F.concat(F.lit("\t "), F.col("c_name")), uid, F.col("c_name"), party,
                            F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")),
                            F.lit("2021-01-01 ")]
     six = F.concat_ws(";", *cells(F.col("c_mktsegment")))
@@ -129,5 +136,4 @@ def roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.when(F.col("c_nationkey") == 0, five).otherwise(six).alias("value"))
     v2 = c.where(F.col("c_acctbal") < 0).select(F.lit(2).alias("version"),
                                                 F.concat_ws(";", *cells(F.lit("INDEPENDENT"))).alias("value"))
-    header = spark.range(1, 3).select(F.col("id").cast("int").alias("version"), F.lit(ROSTER_HEADER).alias("value"))
-    return header.unionByName(v1).unionByName(v2)
+    return v1.unionByName(v2)

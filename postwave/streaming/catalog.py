@@ -2,9 +2,9 @@
 
 Each one lands the envelope lines Spark derives from the whole tables as text files in a fresh
 folder under the shared checkpoint folder, runs the streaming jobs with ``availableNow`` (several
-micro-batches, real checkpoints and sinks), and returns the sink table read back in batch. The
-watermark covers the month the test data spans, because files of one write have no guaranteed
-processing order; late-data dropping is tested separately (tests/test_streaming.py).
+micro-batches, real checkpoints and sinks), and returns the sink table read back in batch.
+``stream_late_posts`` lands the lines unclustered and reads few files per batch with the
+application's own settings, so that most batches hold posts of all hours.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from postwave.sinks.tables import read_last_n
 from postwave.sources import tables
 from postwave.streaming import queries as SQ
 
-CHECK_WATERMARK = "31 days"
-
 
 def land_envelopes(spark: SparkSession, sf_dir: str, n_files: int = 8) -> str:
     """Write the envelope lines as ``n_files`` text files, each holding one range of event time."""
@@ -47,10 +45,9 @@ def _metric(spec: M.MetricSpec):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = _ingested(spark, sf_dir)
         q = SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/{spec.name}", f"{out}/ck_{spec.name}",
-                            watermark=CHECK_WATERMARK, available_now=True)
+                            available_now=True)
         q.awaitTermination()
-        return spark.read.parquet(f"{out}/{spec.name}").select("year", "month", "day", "hour", *spec.keys,
-                                                                spec.measure_name)
+        return SQ.read_metric(spark, f"{out}/{spec.name}", spec).select(*SQ.metric_keys(spec), spec.measure_name)
     return run
 
 
@@ -59,11 +56,27 @@ def q_stream_sentiment_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("sentiment", F.round("sentiment", 9))
 
 
-def q_stream_last15(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_stream_late_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "unclustered")
+    tables.envelope_lines(spark, sf_dir).select("value").repartition(12).write.text(path)
+    out, spec = scratch_path(spark, "late"), M.POSTS_BY_HOUR_PARTY
+    SQ.start_ingest(spark, path, f"{out}/posts", f"{out}/ck_ingest", available_now=True, max_files_per_trigger=4).awaitTermination()
+    SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/{spec.name}", f"{out}/ck", available_now=True, max_files_per_trigger=60).awaitTermination()
+    return SQ.read_metric(spark, f"{out}/{spec.name}", spec).select(*SQ.metric_keys(spec), spec.measure_name)
+
+
+def _last15(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _ingested(spark, sf_dir)
-    q = SQ.start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{out}/ck_last15", available_now=True)
-    q.awaitTermination()
-    return read_last_n(spark, f"{out}/last15").where("scope = 'party'").select("party", "recency", "id")
+    SQ.start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{out}/ck_last15", available_now=True).awaitTermination()
+    return read_last_n(spark, f"{out}/last15")
+
+
+def q_stream_last15_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _last15(spark, sf_dir).where("scope = 'combined'").select("recency", "id")
+
+
+def q_stream_last15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _last15(spark, sf_dir).where("scope = 'party'").select("party", "recency", "id")
 
 
 STREAM_QUERIES = {
@@ -77,4 +90,6 @@ STREAM_QUERIES = {
     "stream_active_users_by_hour": _metric(M.ACTIVE_USERS_BY_HOUR_PARTY),
     "stream_sentiment_by_hour": q_stream_sentiment_by_hour,
     "stream_last15": q_stream_last15,
+    "stream_last15_combined": q_stream_last15_combined,
+    "stream_late_posts": q_stream_late_posts,
 }

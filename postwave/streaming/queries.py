@@ -6,13 +6,17 @@ the metric and last-n queries read that table as a stream. Each query has its ow
 so a restart resumes where it stopped and an executor loss re-runs only the failed batch; all
 sinks are idempotent per batch (``postwave.sinks.tables``).
 
-Event time is ``created_ts`` (the reference stamped processing time); ``watermark`` bounds how
-late a post may arrive and lets Spark drop the state of closed hours. ``processing_time=True``
-gives the reference's processing-time buckets instead.
+Event time is ``created_ts`` (the reference stamped processing time). There is no watermark unless
+asked for: which posts are late depends on how files fall into batches, and late posts are dropped
+(``rows_dropped`` counts them); with one, Spark drops the state of closed hours.
+``processing_time=True`` gives the reference's processing-time buckets instead.
 """
 
 from __future__ import annotations
 
+import json
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +27,7 @@ from postwave.operators import metrics as M
 from postwave.operators import parse
 from postwave.sinks import fs
 from postwave.sinks import tables as sinks
-from postwave.sources.envelopes import stream_lines
+from postwave.sources.envelopes import NO_AGE_LIMIT, replay_envelopes, stream_lines
 
 ENVELOPES_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("text", T.StringType()),
@@ -55,38 +59,57 @@ def _trigger(w, available_now: bool, interval: str | None, name: str | None = No
 def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
                  available_now: bool = False, interval: str | None = None,
                  max_files_per_trigger: int | None = None, name: str | None = None,
-                 strict: bool = False) -> StreamingQuery:
+                 strict: bool = False, replay: bool = False, spread: int = 4) -> StreamingQuery:
     """S1 + K1/K2: envelope files -> one table of every line, partitioned ``kind=post|reject/date=``.
 
     Posts (with the raw envelope in ``json``) and quarantined lines come out of one pass, written
     by Spark's file sink: its ``_spark_metadata`` log makes the table exactly-once for streaming and
     batch readers alike (a retried batch never shows twice). A10: the per-batch counts of lines,
     posts, rejects and error envelopes are observed metrics of the query
-    (``query.lastProgress['observedMetrics']['ingest_counts']``; totals via ``ingest_totals``)."""
+    (``query.lastProgress['observedMetrics']['ingest_counts']``; totals via ``ingest_counts``).
+
+    Rows of a batch are dealt by kind, date and ``spread`` before the write, so that a batch adds at
+    most ``spread`` files per kind and date, however its lines are mixed. ``replay`` reads captured replay lines."""
     lines = stream_lines(spark, source_dir, max_files_per_trigger)
+    if replay:
+        lines = replay_envelopes(lines)
     rows = parse.classify(parse.parse_lines(lines, strict=strict)).withColumn("date", utc_date(F.col("created_ts")))
     rows = rows.observe("ingest_counts", F.count(F.lit(1)).alias("lines"),
                         F.count_if(F.col("kind") == "post").alias("valid"),
                         F.count_if(F.col("kind") == "reject").alias("rejected"),
                         F.count_if(F.col("reason") == "error_envelope").alias("error_envelopes"))
+    rows = rows.repartition("kind", "date", F.pmod(F.xxhash64("json"), F.lit(spread)))
     w = (rows.writeStream.format("parquet").outputMode("append").partitionBy("kind", "date")
          .option("path", table_path).option("checkpointLocation", checkpoint))
     return _trigger(w, available_now, interval, name).start()
 
 
-def ingest_totals(query: StreamingQuery) -> dict[str, int]:
-    """A10: sums of the observed ingest counts over the progress reports Spark keeps for the query
-    (the last ``spark.sql.streaming.numRecentProgressUpdates``, 100 by default). Durable totals
-    come from the ingest table itself (count by ``kind`` / ``reason``)."""
-    total: dict[str, int] = {}
-    for p in query.recentProgress:
-        m = (p.observedMetrics or {}).get("ingest_counts") if hasattr(p, "observedMetrics") else \
-            (p.get("observedMetrics") or {}).get("ingest_counts")
-        if m is None:
-            continue
-        for k in ("lines", "valid", "rejected", "error_envelopes"):
-            total[k] = total.get(k, 0) + int(m[k])
-    return total
+def ingest_counts(spark: SparkSession, table_path: str) -> dict[str, int]:
+    """A10: lines, valid, rejected and error_envelopes of all that an ingest table holds, however long its stream ran."""
+    rows = spark.read.schema(ENVELOPES_SCHEMA).parquet(table_path).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("kind") == "post").alias("valid"),
+        F.count_if(F.col("kind") == "reject").alias("rejected"),
+        F.count_if(F.col("reason") == "error_envelope").alias("error_envelopes"))
+    return rows.first().asDict()
+
+
+def rows_dropped(query: StreamingQuery) -> int:
+    """Late rows that the watermark dropped, over the progress reports Spark keeps."""
+    reports = [json.loads(p.json) for p in query.recentProgress]
+    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for p in reports for s in p["stateOperators"])
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int | None):
+    """Shuffle partitions, hence state stores, of a stream that starts within; Spark fixes them in its checkpoint."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        if n:
+            spark.conf.set(key, str(n))
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def read_posts(spark: SparkSession, table_path: str) -> DataFrame:
@@ -100,9 +123,9 @@ def read_rejects(spark: SparkSession, table_path: str) -> DataFrame:
             .select(F.col("json").alias("line"), "reason", "error_title", "error_action"))
 
 
-def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = "2 hours",
+def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = None,
                  processing_time: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(ENVELOPES_SCHEMA).format("parquet")
+    r = spark.readStream.schema(ENVELOPES_SCHEMA).format("parquet").option("maxFileAge", NO_AGE_LIMIT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     fs.ensure_dir(spark, posts_path)
@@ -115,40 +138,52 @@ def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = "
 
 
 def start_metric(spark: SparkSession, posts_path: str, spec: M.MetricSpec, table_path: str, checkpoint: str,
-                 watermark: str | None = "2 hours", available_now: bool = False, interval: str | None = None,
-                 processing_time: bool = False, name: str | None = None,
-                 output_mode: str = "update", max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 watermark: str | None = None, available_now: bool = False, interval: str | None = None,
+                 processing_time: bool = False, name: str | None = None, output_mode: str = "update",
+                 max_files_per_trigger: int | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """A1-A7 (T1, T2, T4, T8, K3): windowed aggregate, upserted by key per batch.
 
     ``output_mode="update"`` (default) sends only the buckets a batch changed; ``"complete"`` re-sends
     every bucket each trigger, as the reference did (state then never shrinks, watermark or not).
-    Either way the sink replaces by key, so the table ends the same."""
+    Either way the sink replaces by key, so the table ends the same; read it with ``read_metric``."""
     grouped = M.windowed(posts_stream(spark, posts_path, watermark, processing_time, max_files_per_trigger), spec)
-    keys = ["year", "month", "day", "hour", *spec.keys]
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        sinks.upsert_by_key(M.with_hour_key(batch, spec), table_path, keys, epoch_id)
+        run = fs.run_number(batch.sparkSession, table_path, checkpoint)
+        sinks.upsert_by_key(M.with_hour_key(batch, spec), table_path, epoch_id, run)
 
     w = grouped.writeStream.outputMode(output_mode).foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval or (None if available_now else spec.trigger), name).start()
+    with _state_partitions(spark, state_partitions):
+        return _trigger(w, available_now, interval or (None if available_now else spec.trigger), name).start()
+
+
+def metric_keys(spec: M.MetricSpec) -> list[str]:
+    return ["year", "month", "day", "hour", *spec.keys]
+
+
+def read_metric(spark: SparkSession, table_path: str, spec: M.MetricSpec) -> DataFrame | None:
+    """The metric's present value of each key (None before its first batch)."""
+    return sinks.read_upserted(spark, table_path, metric_keys(spec))
 
 
 def start_last_n(spark: SparkSession, posts_path: str, table_path: str, checkpoint: str,
-                 available_now: bool = False, interval: str | None = None, name: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, interval: str | None = None, name: str | None = None,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """A8 + K4 (T3): append stream of (party, id, created_ts) merged into the stored top-n per batch;
     read the result with ``sinks.tables.read_last_n``."""
-    src = posts_stream(spark, posts_path, watermark=None).select("party", "id", "created_ts")
+    src = posts_stream(spark, posts_path, max_files_per_trigger=max_files_per_trigger).select("party", "id", "created_ts")
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        sinks.merge_last_n(batch, table_path, epoch_id)
+        sinks.merge_last_n(batch, table_path, epoch_id, fs.run_number(batch.sparkSession, table_path, checkpoint))
 
     w = src.writeStream.outputMode("append").foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval, name).start()
 
 
-def run_all(spark: SparkSession, source_dir: str, out_dir: str, watermark: str = "2 hours",
-            available_now: bool = False, name_prefix: str = "",
-            interval: str | None = None, strict: bool = False) -> dict[str, StreamingQuery]:
+def run_all(spark: SparkSession, source_dir: str, out_dir: str, watermark: str | None = None,
+            available_now: bool = False, name_prefix: str = "", interval: str | None = None, strict: bool = False,
+            max_files_per_trigger: int | None = None, processing_time: bool = False, output_mode: str = "update",
+            replay: bool = False, state_partitions: int | None = None) -> dict[str, StreamingQuery]:
     """T5: the ingest query plus one query per metric and the last-n query, each checkpointed under
     ``out_dir/checkpoints``. Triggers are each spec's refresh interval unless ``interval`` overrides
     them. Returns the handles by name; stop them with ``stop_all`` (T6)."""
@@ -156,14 +191,15 @@ def run_all(spark: SparkSession, source_dir: str, out_dir: str, watermark: str =
     ck = f"{out}/checkpoints"
     handles = {"ingest": start_ingest(spark, source_dir, f"{out}/posts", f"{ck}/ingest",
                                       available_now=available_now, interval=interval, name=f"{name_prefix}ingest",
-                                      strict=strict)}
+                                      max_files_per_trigger=max_files_per_trigger, strict=strict, replay=replay)}
     if available_now:
         handles["ingest"].awaitTermination()
     for spec in M.APP_SPECS:
         handles[spec.name] = start_metric(spark, f"{out}/posts", spec, f"{out}/{spec.name}", f"{ck}/{spec.name}",
-                                          watermark, available_now, interval, name=f"{name_prefix}{spec.name}")
+                                          watermark, available_now, interval, processing_time, f"{name_prefix}{spec.name}",
+                                          output_mode, max_files_per_trigger, state_partitions)
     handles["last15"] = start_last_n(spark, f"{out}/posts", f"{out}/last15", f"{ck}/last15", available_now,
-                                     interval, name=f"{name_prefix}last15")
+                                     interval, name=f"{name_prefix}last15", max_files_per_trigger=max_files_per_trigger)
     return handles
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postwave.operators import parse
-from tests.envelopes import LITERAL_NO_SOURCE, envelope, user
+from tests.envelopes import envelope, user
 
 
 def run(spark, lines):
@@ -35,8 +35,8 @@ def test_valid_post_columns(spark):
     assert p["hashtags"] == ["x", "x"]                              # empty, missing, null dropped; dups kept
     assert p["attachments"] == 2                                    # number of kinds, not of media
     assert p["in_reply_to_user_id"] == ""                           # default
-    assert p["createdDate"] == "2021-05-09T09:38:08.000Z"
-    assert str(p["created_ts"]) .startswith("2021-05-09 09:38:08")
+    assert p["createdDate"] == "2024-03-07T08:15:30.250Z"
+    assert str(p["created_ts"]) .startswith("2024-03-07 08:15:30")
     assert json.loads(p["json"])["data"]["id"] == "7"
 
 
@@ -61,7 +61,9 @@ def test_defaults_and_no_tag(spark):
     (envelope(rules=[{"id": 1, "tag": None}]), "null_rule_tag"),
     (envelope(users=[{"id": "10", "name": "x"}]), "incomplete_user"),
     (envelope(author="10", users=[user("11")]), "author_not_in_users"),
-    (LITERAL_NO_SOURCE, "missing_required_field"),
+    (envelope(drop=("source",), errors=[{"title": "Not Found Error"}]), "missing_required_field"),
+    (envelope(users=[user("99")], errors=[{"title": "x"}]), "error_envelope"),
+    (envelope(created="yesterday"), "bad_created_at"),
 ])
 def test_reject_reasons(spark, line, reason):
     if '"includes": null' in line:

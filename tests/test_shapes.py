@@ -1,4 +1,4 @@
-"""Input shapes of the reference's own tests and replay file, with invented content."""
+"""Input shapes of the field table in FIXTURES.md."""
 
 import json
 
@@ -14,35 +14,31 @@ def parse_one(spark, line):
     return (posts[0] if posts else None), parsed.collect()[0]["reject_reason"]
 
 
-REPLY = dict(pid="500", text="@someone Danke fuer den Hinweis https://example.org/x", author="77",
-             users=[user("77", "writer", "A Writer"), user("88", "someone", "Some One")],
-             entities={"mentions": [{"start": 0, "end": 8, "username": "someone"}],
-                       "urls": [{"start": 30, "end": 53, "url": "https://example.org/x"}],
-                       "annotations": [{"start": 1, "end": 8, "probability": 0.5, "type": "Person"}]},
-             extra_data={"in_reply_to_user_id": "88"}, rules=[{"id": 10, "tag": "group7"}])
-NO_ENTITIES = dict(pid="501", text="Ein Satz ohne Tags.", author="5", rules=[{"id": 11, "tag": "keywords"}])
-ONE_TAG = dict(pid="502", text="Feier heute #Fest", author="6",
-               entities={"hashtags": [{"start": 12, "end": 17, "tag": "Fest"}]}, rules=[{"id": 12, "tag": "group3"}])
+def test_only_hashtags_of_the_entities_are_read(spark):
+    """Mentions, urls and annotations are ignored, whatever they hold."""
+    for members in ({"mentions": [{"start": 3, "end": 9, "username": "nobody"}]}, {"urls": [{"url": "https://example.org/a"}]},
+                    {"annotations": [{"type": "Place", "probability": 0.25}], "urls": []}):
+        p, r = parse_one(spark, envelope(pid="61", entities=members))
+        assert r is None and p["hashtags"] == []
+        p, r = parse_one(spark, envelope(pid="62", entities={**members, "hashtags": [{"tag": "eins"}, {"start": 1, "end": 5, "tag": "zwei"}]}))
+        assert r is None and p["hashtags"] == ["eins", "zwei"]
 
 
-def test_reference_shapes_with_source_are_posts(spark):
-    p, r = parse_one(spark, envelope(**REPLY))
-    assert r is None and p["hashtags"] == [] and p["in_reply_to_user_id"] == "88" and len(p["users"]) == 2
-    assert p["username"] == "writer" and p["party"] == "group7"
-    p, r = parse_one(spark, envelope(**NO_ENTITIES))
-    assert r is None and p["hashtags"] == [] and p["attachments"] == 0
-    p, r = parse_one(spark, envelope(**ONE_TAG))
-    assert r is None and p["hashtags"] == ["Fest"] and p["party"] == "group3"
+def test_posts_without_entities_or_with_a_reply_id(spark):
+    p, r = parse_one(spark, envelope(pid="63"))
+    assert r is None and p["hashtags"] == [] and p["attachments"] == 0 and p["in_reply_to_user_id"] == ""
+    p, r = parse_one(spark, envelope(pid="64", author="3", users=[user("4"), user("3", "third")], extra_data={"in_reply_to_user_id": "4"}))
+    assert r is None and p["in_reply_to_user_id"] == "4" and p["username"] == "third" and len(p["users"]) == 2
 
 
-def test_reference_shapes_without_source_are_rejects(spark):
-    for shape in (REPLY, NO_ENTITIES, ONE_TAG):
-        p, r = parse_one(spark, envelope(drop=("source",), **shape))
+def test_each_required_field_is_required(spark):
+    for key in ("id", "text", "created_at", "source"):
+        p, r = parse_one(spark, envelope(drop=(key,)))
         assert p is None and r == "missing_required_field"
 
 
 def test_replay_file_shapes(spark):
-    post = envelope(**ONE_TAG)
+    post = envelope(pid="502", entities={"hashtags": [{"tag": "eins"}]})
     err = json.dumps({"errors": [{"title": "operational-disconnect", "disconnect_type": "Upstream",
                                   "detail": "gone", "type": "about:blank"}]})
     lines = [

@@ -32,14 +32,15 @@ def test_stream_equals_batch(spark, tmp_dir):
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 4
     assert os.path.isdir(f"{tmp_dir}/posts/_spark_metadata")
-    totals = SQ.ingest_totals(q)
+    totals = SQ.ingest_counts(spark, f"{tmp_dir}/posts")
     counts = catalog.BATCH_QUERIES["ingest_counts"](spark, SF_SMALL).collect()[0].asDict()
     assert totals == counts
     m = SQ.start_metric(spark, f"{tmp_dir}/posts", M.POSTS_BY_HOUR_PARTY, f"{tmp_dir}/a3", f"{tmp_dir}/ck3",
-                        watermark="31 days", available_now=True)
+                        available_now=True)
     m.awaitTermination()
     batch = catalog.BATCH_QUERIES["posts_by_hour_party"](spark, SF_SMALL)
-    assert rows(spark.read.parquet(f"{tmp_dir}/a3"), A3) == rows(batch, A3)
+    assert rows(SQ.read_metric(spark, f"{tmp_dir}/a3", M.POSTS_BY_HOUR_PARTY), A3) == rows(batch, A3)
+    assert SQ.rows_dropped(m) == 0
     l15 = SQ.start_last_n(spark, f"{tmp_dir}/posts", f"{tmp_dir}/l15", f"{tmp_dir}/ckl", available_now=True)
     l15.awaitTermination()
     cols = ["party", "recency", "id"]
@@ -62,7 +63,7 @@ def test_restart_and_late_rows(spark, tmp_dir):
         SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/ck_i", available_now=True).awaitTermination()
         SQ.start_metric(spark, f"{out}/posts", M.POSTS_BY_HOUR_PARTY, f"{out}/a3", f"{out}/ck_m",
                         watermark="1 hour", available_now=True).awaitTermination()
-        return {r["hour"]: r["count"] for r in spark.read.parquet(f"{out}/a3").collect()}
+        return {r["hour"]: r["count"] for r in SQ.read_metric(spark, f"{out}/a3", M.POSTS_BY_HOUR_PARTY).collect()}
 
     assert run() == {10: 3, 11: 3, 12: 3}
     # restart from the same checkpoints with more rows: an open hour (12), a row inside the
@@ -73,18 +74,107 @@ def test_restart_and_late_rows(spark, tmp_dir):
     assert run() == {10: 3, 11: 4, 12: 4}
 
 
-def test_upsert_batch_is_idempotent(spark, tmp_dir):
-    b1 = spark.createDataFrame([(2024, 1, 1, 1, "a", 5), (2024, 1, 2, 3, "a", 1)], "year int, month int, day int, "
-                               "hour int, party string, count long")
-    b2 = spark.createDataFrame([(2024, 1, 1, 1, "a", 7), (2024, 1, 1, 2, "b", 2)], b1.schema)
-    keys = ["year", "month", "day", "hour", "party"]
+KEYS = ["year", "month", "day", "hour", "party"]
+ROW = "year int, month int, day int, hour int, party string, count long"
+
+
+def test_upsert_batch_is_idempotent_and_compacts(spark, tmp_dir):
     path = f"{tmp_dir}/t"
-    sinks.upsert_by_key(b1, path, keys)
-    sinks.upsert_by_key(b2, path, keys)
-    once = rows(spark.read.parquet(path), A3)
-    sinks.upsert_by_key(b2, path, keys)          # the batch re-run after a failure
-    assert rows(spark.read.parquet(path), A3) == once == [(2024, 1, 1, 1, "a", 7), (2024, 1, 1, 2, "b", 2),
-                                                          (2024, 1, 2, 3, "a", 1)]
+    b1 = spark.createDataFrame([(2024, 1, 1, 1, "a", 5), (2024, 1, 2, 3, "a", 1)], ROW)
+    b2 = spark.createDataFrame([(2024, 1, 1, 1, "a", 7), (2024, 1, 1, 2, "b", 2)], ROW)
+    assert sinks.read_upserted(spark, path, KEYS) is None
+    sinks.upsert_by_key(b1, path, 0)
+    sinks.upsert_by_key(b2, path, 1)
+    want = [(2024, 1, 1, 1, "a", 7), (2024, 1, 1, 2, "b", 2), (2024, 1, 2, 3, "a", 1)]
+    assert rows(sinks.read_upserted(spark, path, KEYS), A3) == want
+    sinks.upsert_by_key(b2, path, 1)              # the batch runs again after a failure
+    os.makedirs(f"{path}/run=0/epoch=2")            # a batch that died leaves a folder without _SUCCESS
+    assert rows(sinks.read_upserted(spark, path, KEYS), A3) == want
+    for epoch in range(2, 14):
+        sinks.upsert_by_key(spark.createDataFrame([(2024, 1, 1, 1, "a", 100 + epoch)], ROW), path, epoch)
+        if epoch % 4 == 1:
+            sinks.compact(spark, path, KEYS)
+        assert dict((r["hour"], r["count"]) for r in sinks.read_upserted(spark, path, KEYS).where("day = 1").collect()) == {1: 100 + epoch, 2: 2}
+    assert sorted(os.listdir(path)) == ["base=0.13", "base=0.9", "run=0"] and len(os.listdir(f"{path}/run=0")) <= 4
+    # a later run goes before all batches of an earlier one
+    sinks.upsert_by_key(spark.createDataFrame([(2024, 1, 1, 1, "a", 3)], ROW), path, 0, run=1)
+    assert rows(sinks.read_upserted(spark, path, KEYS), A3)[0][-1] == 3
+
+
+def test_new_checkpoint_on_an_old_table(spark, tmp_dir):
+    src, out, spec = f"{tmp_dir}/in", tmp_dir, M.POSTS_BY_HOUR_PARTY
+
+    def land(name, posts):
+        write_lines(src, name, posts)
+        SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/ck_i", available_now=True).awaitTermination()
+
+    def metric(ck):
+        SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/a3", f"{out}/{ck}", available_now=True).awaitTermination()
+        return {r["hour"]: r["count"] for r in SQ.read_metric(spark, f"{out}/a3", spec).collect()}
+
+    def last(ck):
+        SQ.start_last_n(spark, f"{out}/posts", f"{out}/l15", f"{out}/{ck}l", available_now=True).awaitTermination()
+        return [r["id"] for r in sinks.read_last_n(spark, f"{out}/l15").where("scope = 'combined'").orderBy("recency").collect()]
+
+    land("f1.txt", [_post(i, 10) for i in range(5)])
+    assert metric("c1") == {10: 5} and last("c1") == ["4", "3", "2", "1", "0"]
+    land("f2.txt", [_post(10 + i, 10 + i % 2, 30) for i in range(7)])
+    assert metric("c2") == {10: 9, 11: 3}           # first start of a new checkpoint: all posts
+    assert last("c2")[:2] == ["15", "13"]
+    land("f3.txt", [_post(30, 12), _post(31, 10)])
+    assert metric("c2") == {10: 10, 11: 3, 12: 1}
+    assert last("c2")[0] == "30" and len(last("c2")) == 14
+
+
+def test_batch_that_died_after_its_write_runs_again(spark, tmp_dir):
+    """The commit of the last batch is taken back, as if the driver had died between write and commit."""
+    src, out, spec = f"{tmp_dir}/in", tmp_dir, M.POSTS_BY_HOUR_PARTY
+    write_lines(src, "f1.txt", [_post(i, 10) for i in range(5)])
+    SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/ck_i", available_now=True).awaitTermination()
+    for _ in range(2):
+        SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/a3", f"{out}/ck", available_now=True).awaitTermination()
+        assert [r["count"] for r in SQ.read_metric(spark, f"{out}/a3", spec).collect()] == [5]
+        for name in os.listdir(f"{out}/ck/commits"):
+            if name.lstrip(".").startswith("0"):
+                os.remove(f"{out}/ck/commits/{name}")
+
+
+def test_late_posts_of_throttled_batches_are_counted(spark, tmp_dir):
+    src, out, spec = f"{tmp_dir}/in", tmp_dir, M.POSTS_BY_HOUR_PARTY
+    for f in range(4):                              # newest hours first
+        write_lines(src, f"f{f}.txt", [_post(100 * f + i, 20 - 5 * f) for i in range(6)] + [envelope(pid=f"b{f}", created="10.30 Uhr")])
+    SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/ck_i", available_now=True, max_files_per_trigger=1).awaitTermination()
+    q = SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/a3", f"{out}/ck", available_now=True, max_files_per_trigger=1)
+    q.awaitTermination()
+    counts = SQ.ingest_counts(spark, f"{out}/posts")
+    counted = SQ.read_metric(spark, f"{out}/a3", spec).agg(F.sum("count")).first()[0]
+    assert counts == {"lines": 28, "valid": 24, "rejected": 4, "error_envelopes": 0} and counted == 24 and SQ.rows_dropped(q) == 0
+    w = SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/w", f"{out}/ck_w", watermark="1 hour", available_now=True, max_files_per_trigger=1)
+    w.awaitTermination()
+    assert SQ.rows_dropped(w) > 0                   # a watermark says what it costs
+
+
+def test_replay_lines_and_processing_time_in_the_application(spark, tmp_dir):
+    import json
+    src = f"{tmp_dir}/in"
+    write_lines(src, "r.txt", [json.dumps({"id": str(i), "tweet": _post(i, 4)}) for i in range(6)] + ["", "{broken"])
+    handles = SQ.run_all(spark, src, f"{tmp_dir}/out", available_now=True, replay=True, processing_time=True, max_files_per_trigger=2,
+                         state_partitions=3, output_mode="complete")
+    for h in handles.values():
+        h.awaitTermination()
+    got = SQ.read_metric(spark, f"{tmp_dir}/out/posts_by_hour_party", M.POSTS_BY_HOUR_PARTY).collect()
+    assert sum(r["count"] for r in got) == 6 and all(r["year"] >= 2025 for r in got)
+    assert len([d for d in os.listdir(f"{tmp_dir}/out/checkpoints/posts_by_hour_party/state/0") if d.isdigit()]) == 3
+
+
+def test_files_per_kind_and_date_are_bounded(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    for f in range(6):
+        write_lines(src, f"f{f}.txt", [envelope(pid=f"{f}-{d}-{i}", created=f"2024-01-{d:02d}T01:00:00Z") for d in range(1, 6) for i in range(9)])
+    SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck", available_now=True, spread=2).awaitTermination()
+    for d in range(1, 6):
+        files = os.listdir(f"{tmp_dir}/posts/kind=post/date=2024-01-{d:02d}")
+        assert len([f for f in files if f.endswith(".parquet")]) <= 2
 
 
 def test_processing_time_mode(spark, tmp_dir):
@@ -93,7 +183,7 @@ def test_processing_time_mode(spark, tmp_dir):
     SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck_i", available_now=True).awaitTermination()
     SQ.start_metric(spark, f"{tmp_dir}/posts", M.POSTS_BY_HOUR_PARTY, f"{tmp_dir}/a3", f"{tmp_dir}/ck_m",
                     watermark=None, available_now=True, processing_time=True).awaitTermination()
-    got = spark.read.parquet(f"{tmp_dir}/a3").collect()
+    got = SQ.read_metric(spark, f"{tmp_dir}/a3", M.POSTS_BY_HOUR_PARTY).collect()
     assert sum(r["count"] for r in got) == 4 and all(r["year"] >= 2025 for r in got)
 
 
@@ -105,7 +195,7 @@ def test_run_all_and_stop(spark, tmp_dir):
         h.awaitTermination()
     SQ.stop_all(spark)
     assert not spark.streams.active
-    assert spark.read.parquet(f"{tmp_dir}/out/posts_by_hour_party").agg(F.sum("count")).collect()[0][0] == 12
+    assert SQ.read_metric(spark, f"{tmp_dir}/out/posts_by_hour_party", M.POSTS_BY_HOUR_PARTY).agg(F.sum("count")).collect()[0][0] == 12
     assert sinks.read_last_n(spark, f"{tmp_dir}/out/last15").where("scope = 'combined'").count() == 12
 
 
@@ -122,7 +212,7 @@ def test_rocksdb_state_store(spark, tmp_dir):
                         watermark="1 hour", available_now=True).awaitTermination()
     finally:
         spark.conf.set(key, old)
-    assert {r["hour"]: r["count"] for r in spark.read.parquet(f"{tmp_dir}/a3").collect()} == {4: 3, 5: 3}
+    assert {r["hour"]: r["count"] for r in SQ.read_metric(spark, f"{tmp_dir}/a3", M.POSTS_BY_HOUR_PARTY).collect()} == {4: 3, 5: 3}
 
 
 def test_run_all_continuous(spark, tmp_dir):
@@ -135,7 +225,7 @@ def test_run_all_continuous(spark, tmp_dir):
         handles["ingest"].processAllAvailable()
         for name in ("posts_by_hour_party", "last15"):
             handles[name].processAllAvailable()
-        got = {r["hour"]: r["count"] for r in spark.read.parquet(f"{tmp_dir}/out/posts_by_hour_party").collect()}
+        got = {r["hour"]: r["count"] for r in SQ.read_metric(spark, f"{tmp_dir}/out/posts_by_hour_party", M.POSTS_BY_HOUR_PARTY).collect()}
         assert got == {0: 3, 1: 3, 2: 3}
         assert all(q.exception() is None for q in handles.values())
     finally:
@@ -151,44 +241,28 @@ def test_complete_mode_same_table(spark, tmp_dir):
         SQ.start_metric(spark, f"{tmp_dir}/posts", M.SOURCE_BY_HOUR_PARTY, f"{tmp_dir}/{mode}",
                         f"{tmp_dir}/ck_{mode}", watermark=None, available_now=True,
                         output_mode=mode).awaitTermination()
-        out[mode] = rows(spark.read.parquet(f"{tmp_dir}/{mode}"), ["year", "month", "day", "hour", "party",
+        out[mode] = rows(SQ.read_metric(spark, f"{tmp_dir}/{mode}", M.SOURCE_BY_HOUR_PARTY), ["year", "month", "day", "hour", "party",
                                                                     "source", "count"])
     assert out["update"] == out["complete"] and sum(r[-1] for r in out["update"]) == 12
 
 
-def test_last_n_versions_survive_a_failed_batch(spark, tmp_dir):
+def test_last_n_survives_a_failed_batch_and_keeps_repeated_posts(spark, tmp_dir):
     schema = "party string, id string, created_ts timestamp"
     t = lambda s: dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=s)
     path = f"{tmp_dir}/l15"
+    whole = []
     for epoch in range(5):
-        batch = spark.createDataFrame([("p", str(epoch * 10 + i), t(epoch * 10 + i)) for i in range(10)], schema)
-        sinks.merge_last_n(batch, path, epoch)
-    # a batch that died after starting its write leaves an uncommitted folder behind
-    os.makedirs(f"{path}/v=5")
-    open(f"{path}/v=5/part-garbage.parquet", "w").close()
-    got = sinks.read_last_n(spark, path).where("scope = 'party'").orderBy("recency").collect()
-    assert [r["id"] for r in got] == [str(i) for i in range(49, 34, -1)]
-    # the retry of batch 5 reads version 4 and commits version 5
-    sinks.merge_last_n(spark.createDataFrame([("p", "50", t(50))], schema), path, 5)
-    got = sinks.read_last_n(spark, path).where("scope = 'party'").orderBy("recency").collect()
-    assert [r["id"] for r in got][:2] == ["50", "49"] and len(got) == 15
-    assert sorted(os.listdir(path)) == ["v=3", "v=4", "v=5"]
-
-
-def test_upsert_rerun_uses_staged_rows(spark, tmp_dir):
-    schema = "year int, month int, day int, hour int, party string, count long"
-    keys = ["year", "month", "day", "hour", "party"]
-    path = f"{tmp_dir}/t"
-    sinks.upsert_by_key(spark.createDataFrame([(2024, 1, 1, h, "a", 1) for h in range(3)], schema), path, keys, 0)
-    b1 = spark.createDataFrame([(2024, 1, 1, 1, "a", 9)], schema)
-    sinks.upsert_by_key(b1, path, keys, 1)
-    want = rows(spark.read.parquet(path), A3)
-    # simulate a crash inside batch 1's overwrite: the day folder is gone, batch 1 runs again
-    import shutil
-    shutil.rmtree(f"{path}/year=2024/month=1/day=1")
-    assert os.path.isdir(f"{path}__staged/epoch=1")
-    sinks.upsert_by_key(b1, path, keys, 1)
-    assert rows(spark.read.parquet(path), A3) == want == [(2024, 1, 1, 0, "a", 1), (2024, 1, 1, 1, "a", 9),
-                                                          (2024, 1, 1, 2, "a", 1)]
-    sinks.upsert_by_key(spark.createDataFrame([(2024, 1, 2, 0, "b", 2)], schema), path, keys, 2)
-    assert os.listdir(f"{path}__staged") == ["epoch=2"]
+        some = [("p", str(epoch * 10 + i), t(epoch * 10 + i)) for i in range(10)] + [("p", "3", t(3)), ("q", str(epoch), t(100))]
+        whole += some
+        sinks.merge_last_n(spark.createDataFrame(some, schema), path, epoch)
+    os.makedirs(f"{path}/run=0/epoch=5")             # a batch that died leaves a folder without _SUCCESS
+    more = [("p", "50", t(50)), ("p", "50", t(50)), ("p", "49", t(49))]
+    for _ in range(2):                              # batch 5 runs, and runs again
+        sinks.merge_last_n(spark.createDataFrame(more, schema), path, 5)
+        from postwave.operators import lastn
+        batch = spark.createDataFrame(whole + more, schema)
+        got = sinks.read_last_n(spark, path)
+        cols = ["party", "recency", "id"]
+        assert rows(got.where("scope = 'party'"), cols) == rows(lastn.last_n_by_party(batch), cols)
+        assert rows(got.where("scope = 'combined'"), cols[1:]) == rows(lastn.last_n_combined(batch), cols[1:])
+    assert sorted(os.listdir(f"{path}/run=0")) == ["epoch=3", "epoch=4", "epoch=5"]
