@@ -1,7 +1,7 @@
 """Main text of web pages: the maximum-scoring run of a page's words and tags.
 
 A page is a sequence of words and tags. Words score positive, tags negative; words inside elements
-that hold boilerplate score negative. One linear scan finds the contiguous run of the best sum; the
+that hold boilerplate score negative, up to a bound for a run of them. One linear scan finds the contiguous run of the best sum; the
 text of its words outside boilerplate elements is the page's main text.
 
 The weights come from labelled pages: pages whose authors marked the main content with an ``article``
@@ -47,6 +47,9 @@ BOILER_NAMES = frozenset("ad ads adv advert adverts advertisement advertising sp
 #: Names after which even an article inside is no main content.
 REMARKS = frozenset(("comment", "comments", "reply", "replies", "disqus", "respond"))
 PRIOR = 50.0
+#: A run of boilerplate words costs no more than this, so that an advert doesn't cut a short page in two; what parts
+#: regions are tags. Inside marked content tags and boilerplate cost only a small part.
+RUN_COST, IN_CONTENT = 3.0, 0.02
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)"
@@ -87,7 +90,7 @@ def prior(feature: str) -> tuple[float, float]:
 
 
 def scan(page: str) -> tuple[list[tuple], bool]:
-    """Tokens of a page: ("w", text, stack of element features) or ("t", name, ends a block); and whether
+    """Tokens of a page: ("w", text, stack of element features) or ("t", name, ends a block, stack before it); and whether
     the page marks its main content. The stack is a linked list (parent, features, in content, marked)."""
     out: list[tuple] = []
     stack: list[tuple[str, tuple]] = []
@@ -106,7 +109,7 @@ def scan(page: str) -> tuple[list[tuple], bool]:
         if not name:
             continue
         name = name.lower()
-        out.append(("t", name, name not in INLINE))
+        out.append(("t", name, name not in INLINE, node))
         if m.group("end") or m.group("end2"):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
@@ -131,7 +134,7 @@ def observe(page: str) -> dict[str, list[float]]:
     if not marked:
         return counts
     inside = False
-    for kind, value, more in tokens:
+    for kind, value, more, *_ in tokens:
         if kind == "w":
             n = len(value.split())
             inside = more[2] and not more[3]
@@ -218,18 +221,23 @@ def main_text(page: str, w: dict[str, float]) -> str:
 
     best = total = 0.0
     start, chosen = 0, (0, 0)
-    for k, (kind, value, more) in enumerate(tokens):
+    run = 0.0                         # what boilerplate words since the last word of content have cost
+    for k, (kind, value, more, *node) in enumerate(tokens):
         if total <= 0:
             total, start = 0.0, k
         if kind == "w":
             n = len(value.split())
-            total += n * (1.0 if (s := word_score(more)) >= 0 else s) if n else 0.0
+            if n and (s := word_score(more)) >= 0:
+                total, run = total + n, 0.0
+            elif n:
+                cost = min(-n * s * (IN_CONTENT if more[2] else 1.0), RUN_COST - run)
+                total, run = total - cost, run + cost
         else:
-            total += w.get(f"T:{value}", -0.3)
+            total += w.get(f"T:{value}", -0.3) * (IN_CONTENT if node[0][2] else 1.0)
         if total > best:
             best, chosen = total, (start, k + 1)
     blocks, now = [], []
-    for kind, value, more in tokens[chosen[0]:chosen[1]]:
+    for kind, value, more, *_ in tokens[chosen[0]:chosen[1]]:
         if kind == "w":
             if word_score(more) >= 0:
                 now.append(value)
