@@ -172,8 +172,11 @@ def q_raw_landing(spark, sf_dir):
 
 
 def q_last15_documents(spark, sf_dir):
-    p = posts(spark, sf_dir).select("party", "id", "created_ts")
-    docs = lastn.as_lists(lastn.last_n_by_party(p)).unionByName(lastn.as_lists(lastn.last_n_combined(p), None))
+    """Both scopes as documents; the overall list is within the parties' lists (a few rows, checkpointed as they are read twice)."""
+    checkpoint_root(spark)
+    by_party = lastn.last_n_by_party(posts(spark, sf_dir)).checkpoint(eager=True)
+    combined = lastn.last_n_combined(by_party.withColumnRenamed("ts", "created_ts"))
+    docs = lastn.as_lists(by_party).unionByName(lastn.as_lists(combined, None))
     return docs.select("scope", "party", F.array_join("tweetIds", ",").alias("tweet_ids"))
 
 
