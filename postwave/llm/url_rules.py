@@ -24,6 +24,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postwave.llm.common import stored
+
 BAD = "label:bad"
 #: Segments of the path and query names that give tokens: bounds the token set of a url, not the urls.
 PATH_TOKENS, QUERY_TOKENS = 4, 4
@@ -134,7 +136,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules: tuple[HostRule, ...] = RUL
     """page_id, host, path, rule, verdict, mined_rule, confidence for every page."""
     urls = parsed(pages, id_col, url_col)
     mined = mined_rules if mined_rules is not None else mine(urls, labels, **mining)
-    hits = match(urls, mined).withColumnRenamed("tokens", "set")
+    # Stored first: the join below then sees its true size and may split hot token sets of the pages.
+    hits = stored(match(urls, mined).withColumnRenamed("tokens", "set"), "url-hits")
     given = fitting_rule(F.col("host"), F.col("path"), rules)
     out = urls.withColumn("given", given).join(hits, F.col("tokens") == F.col("set"), "left")
     verdict = F.coalesce(F.col("given.verdict"), F.when(F.col("mined").isNotNull(), "block").otherwise("allow"))
