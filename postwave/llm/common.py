@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -58,6 +59,13 @@ def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of finished jobs now, not when the driver next collects its
+    garbage: first Python's (its DataFrames hold the JVM's), then the JVM's."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``limit`` bytes in each part (one row at least)."""
     for batch in batches:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postwave.llm.common import ready, slices, stored
+from postwave.llm.common import ready, release, slices, stored
 
 SEEDS, MEAN_GAP, MIN_LINES, MAX_LINES = 3, 2, 2, 16
 MASK = (1 << 64) - 1
@@ -120,6 +120,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opt
     ready(docs.sparkSession)
     names = docs.columns
     marked = stored(repeats(docs, id_col, text_col, **options), "lines-marked")
+    release(docs.sparkSession)
     bad = stored(unequal(marked, text_col), "lines-unequal")
     if not bad.isEmpty():
         # Chunks of a hash that stands for different bytes stay: take these spans out before the rewrite.

@@ -10,9 +10,10 @@ Two texts are linked if their weighted Jaccard similarity is ``similarity`` or m
    those of its shingles that two texts or more hold.
 3. A text whose shared shingles hold less than ``similarity`` of its weight can't have a partner, and goes
    no further; this loses no pair. The others get consistent weighted samples, ``bands`` of ``rows``.
-4. Texts of one band value are linked to the least of them, pairs verified on the full weighted vectors.
-   Where a band value still holds several components, its texts of different components are compared too,
-   so that no candidate link between different texts is lost and no group is expanded into all pairs.
+4. Texts of one band value are compared with two of them on the full weighted vectors, in three rounds: those not
+   yet in the component of the first ones with others. Where a band value still holds several components (such as
+   texts of a common passage that are otherwise unlike), its texts are grouped anew by two neighbouring band values, which
+   unlike texts share far less often, and compared likewise until a round links nothing more. No group is expanded into all pairs.
 5. Connected components of the links, then of their copies, give each document the class of the least id.
 
 Defined cases: null and empty texts count as equal and are one class; texts without a word are one
@@ -32,10 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postwave.llm import blocks as B
-from postwave.llm.common import stored
+from postwave.llm.common import release, stored
 from postwave.llm.components import components
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 16, 3
+#: Texts of a group's largest component that its other texts are compared with in a round.
+LEADERS = 2
+#: Rounds within groups of one band value, before those of two.
+COARSE_ROUNDS = 3
+#: Shingles times samples that are drawn at once.
+SAMPLE_CELLS = 1 << 18
 #: Fixed odd multipliers of the words of a shingle.
 MULTIPLY = np.random.default_rng(77).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -71,21 +78,24 @@ def shingles(raw: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarr
 
 def signatures(keys: np.ndarray, weights: np.ndarray, bands: int, rows: int) -> list[int]:
     """The band values of a text's shingles by improved consistent weighted sampling."""
-    out, log_w = [], np.log(weights)
-    for band in range(bands):
-        value = np.uint64(band + 1)
-        for row in range(rows):
-            z1 = B.mix(keys ^ np.uint64(0x9E3779B97F4A7C15 * (band * rows + row + 1) & (2**64 - 1)))
-            z2 = B.mix(z1 + np.uint64(0x632BE59BD9B4E019))
-            z3 = B.mix(z2 + np.uint64(0x632BE59BD9B4E019))
-            u = [((z >> np.uint64(s)) & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32 + 2.0**-33 for z in (z1, z2) for s in (0, 32)]
-            beta = (z3 >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            r, c = -np.log(u[0] * u[1]), -np.log(u[2] * u[3])
-            t = np.floor(log_w / r + beta)
-            k = int(np.argmin(np.log(c) - r * (t - beta) - r))
-            value = B.mix(np.array([value * np.uint64(3) ^ keys[k] ^ B.mix(np.array([np.int64(t[k])]).view(np.uint64))[0]]))[0]
-        out.append(int(np.int64(value)))
-    return out
+    log_w = np.log(weights)
+    seeds = B.mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    step = max(1, SAMPLE_CELLS // max(1, len(keys)))
+    drawn = []
+    for k in range(0, len(seeds), step):                # a long text's samples in parts, to bound the memory
+        z1 = B.mix(keys[None, :] ^ seeds[k:k + step, None])
+        z2 = B.mix(z1 + np.uint64(0x632BE59BD9B4E019))
+        beta = (B.mix(z2 + np.uint64(0x632BE59BD9B4E019)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        u = [((z >> np.uint64(s)) & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32 + 2.0**-33 for z in (z1, z2) for s in (0, 32)]
+        r, c = -np.log(u[0] * u[1]), -np.log(u[2] * u[3])
+        t = np.floor(log_w / r + beta)
+        best = np.argmin(np.log(c) - r * (t - beta) - r, axis=1)
+        drawn.append(keys[best] ^ B.mix(t[np.arange(len(best)), best].astype(np.int64).view(np.uint64)))
+    samples = np.concatenate(drawn).reshape(bands, rows)
+    value = np.arange(1, bands + 1, dtype=np.uint64)
+    for row in range(rows):
+        value = B.mix(value * np.uint64(3) ^ samples[:, row])
+    return value.view(np.int64).tolist()
 
 
 def weigh(df: np.ndarray, tf: np.ndarray, n: int) -> np.ndarray:
@@ -212,32 +222,71 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     bits = B.bucket_bits(blocks.count())
     blocks = blocks.join(copies, F.col("block") == F.col("out_block"), "left").drop("out_block")
     shared = stored(frequencies(blocks, words, bits), "neardup-frequencies")
+    release(docs.sparkSession)
     found = stored(candidates(blocks, shared, n_texts, words, similarity, bands, rows), "neardup-candidates")
+    release(docs.sparkSession)
     vectors = found.select("digest", "keys", "weights")
     banded = stored(found.select("digest", F.posexplode("bands").alias("band", "value")), "neardup-bands")
-    least = (banded.groupBy("band", "value").agg(F.min("digest").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select(F.col("band").alias("lb"), F.col("value").alias("lv"), "a"))
-    together = stored(banded.join(least, (F.col("band") == F.col("lb")) & (F.col("value") == F.col("lv"))).select("band", "value", "digest", "a"), "neardup-together")
-    pairs = together.where("a <> digest").select("a", F.col("digest").alias("b")).distinct()
-    links = stored(verify(pairs, vectors, similarity), "neardup-links")
-    roots = components(links, "neardup-first")
-    # Texts of one band value that are still in different components.
-    rooted = (together.join(roots, F.col("digest") == F.col("node"), "left")
-              .select("band", "value", "digest", F.coalesce("root", "digest").alias("root")))
-    open_ = (rooted.groupBy("band", "value").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2")
-             .select(F.col("band").alias("ob"), F.col("value").alias("ov")))
-    contested = stored(rooted.join(open_, (F.col("band") == F.col("ob")) & (F.col("value") == F.col("ov"))).select("band", "value", "digest", "root"), "neardup-contested")
-    other = contested.withColumnsRenamed({"band": "b2", "value": "v2", "digest": "b", "root": "root2"})
-    more = (contested.withColumnRenamed("digest", "a")
-            .join(other, (F.col("band") == F.col("b2")) & (F.col("value") == F.col("v2")) & (F.col("root") < F.col("root2")))
-            .select("a", "b").distinct().join(pairs.withColumnsRenamed({"a": "pa", "b": "pb"}),
-                                              (F.least("a", "b") == F.col("pa")) & (F.greatest("a", "b") == F.col("pb")), "left_anti"))
-    again = stored(verify(more, vectors, similarity), "neardup-more-links")
-    if not again.isEmpty():
-        roots = components(links.union(again), "neardup-second")
+    groups = banded.select(F.xxhash64("band", "value").alias("group"), "digest")
+    roots, left = linked(groups, vectors, similarity, None, "one", LEADERS, COARSE_ROUNDS)
+    # Groups that still hold several components: their texts are grouped anew by two neighbouring band values.
+    open_ = left.select("digest").distinct().withColumnRenamed("digest", "od")
+    own = banded.join(open_, F.col("digest") == F.col("od"), "left_semi")
+    values = own.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("band", "value"))).alias("values"))
+    pair = lambda k: F.xxhash64(k, F.element_at("values", k), F.element_at("values", (k + 1) % bands))
+    finer = values.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), pair)).alias("group"), "digest")
+    roots, _ = linked(finer, vectors, similarity, roots, "two", 1, None)
     return _members(members, roots)
 
 
+def linked(groups: DataFrame, vectors: DataFrame, similarity: float, roots: DataFrame | None, name: str,
+           n_leaders: int, rounds: int | None) -> tuple[DataFrame, DataFrame]:
+    """The components that links within groups make, and the groups (group, digest) that held several before the last round.
+
+    In each round every group's largest component names ``n_leaders`` of its texts, others in each round; all texts of
+    the group's other components are compared with them. The work of a round is in proportion to the rows, whatever
+    the size of a group, and rounds end when one links nothing (a component grows in every other), or after ``rounds``."""
+    spark = vectors.sparkSession
+    shared = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("group").alias("g"))
+    groups = stored(groups.join(shared, F.col("group") == F.col("g")).select("group", "digest"), f"neardup-{name}-groups")
+    if roots is None:
+        roots = spark.createDataFrame([], "node binary, root binary")
+    turn = 0
+    while True:
+        rooted = (groups.join(roots, F.col("digest") == F.col("node"), "left").select("group", "digest", F.coalesce("root", "digest").alias("root")))
+        leaders = F.array(*[F.min_by("digest", F.xxhash64("digest", "group", F.lit(turn * n_leaders + k))) for k in range(n_leaders)])
+        parts = (rooted.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n"), leaders.alias("leaders"))
+                 .groupBy("group").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", F.xxhash64("root", F.lit(turn)), "root", "leaders")).alias("most"))
+                 .where("parts > 1").select(F.col("group").alias("g"), F.col("most.root").alias("chosen"), F.col("most.leaders").alias("leaders")))
+        groups = stored(rooted.join(parts, F.col("group") == F.col("g")).select("group", "digest", "root", "chosen", "leaders"), f"neardup-{name}-{turn}")
+        pairs = groups.where("root <> chosen").select(F.explode(F.array_distinct("leaders")).alias("a"), F.col("digest").alias("b")).distinct()
+        new = stored(verify(pairs, vectors, similarity), f"neardup-{name}-links-{turn}")
+        release(spark)
+        groups, turn = groups.select("group", "digest"), turn + 1
+        if new.isEmpty():
+            return roots, groups
+        # Only the new links' ends move on: from their roots so far to the roots of these.
+        roots = merged_roots(roots, components(rooted_links(new, roots), f"neardup-{name}"), name)
+        if turn == rounds:
+            return roots, groups
+
+
+def rooted_links(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The links, each end by its root so far."""
+    a = roots.withColumnsRenamed({"node": "na", "root": "ra"})
+    b = roots.withColumnsRenamed({"node": "nb", "root": "rb"})
+    return (links.join(a, F.col("a") == F.col("na"), "left").join(b, F.col("b") == F.col("nb"), "left")
+            .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct())
+
+
+def merged_roots(roots: DataFrame, onward: DataFrame, name: str) -> DataFrame:
+    """node, root of all that have been linked: old nodes by way of their root, and the ends of the new links."""
+    on = onward.withColumnsRenamed({"node": "n", "root": "r"})
+    old = roots.join(on, F.col("root") == F.col("n"), "left").select("node", F.coalesce("r", "root").alias("root"))
+    new = onward.join(roots.select(F.col("node").alias("known")), F.col("node") == F.col("known"), "left_anti")
+    return stored(old.unionByName(new), f"neardup-{name}-roots")
+
+
 def _members(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Each document with the least id of its class."""
     rooted = stored(members.join(roots, F.col("digest") == F.col("node"), "left").select("id", "digest", F.coalesce("root", "digest").alias("root")), "neardup-rooted")
