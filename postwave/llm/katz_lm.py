@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postwave.llm import blocks as B
-from postwave.llm.common import stored
+from postwave.llm.common import release, stored
 
 K = 5
+#: Text of a block: the larger, the fewer n-grams are sent more than once.
+BLOCK_BYTES = 6 << 20
 BEGIN, UNKNOWN = np.uint64(1 << 62), np.uint64(1 << 63)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,6 +55,21 @@ def unpack_values(raw: bytes) -> np.ndarray:
     return values[np.ascontiguousarray(planes.T).view("<u4").ravel()]
 
 
+def lower_packed(values: np.ndarray) -> bytes:
+    """Probabilities of the level below: for single words, which it follows from, the word's count."""
+    return pack_planes(values) if values.dtype == np.int64 else pack_values(values)
+
+
+def lower_values(raw: bytes, c: dict | None) -> np.ndarray:
+    """What ``lower_packed`` packed; ``c`` (level 1) turns counts into probabilities."""
+    return unpack_values(raw) if c is None else of_words(unpack_planes(raw).astype(np.int64), c)
+
+
+def of_words(count: np.ndarray, c: dict) -> np.ndarray:
+    """Level 1: probability of a word by its count."""
+    return np.where(count > 0, of_count(c["d"], count) / max(c["total"], 1) * c["scale"], c["unknown"])
+
+
 def pack_planes(x: np.ndarray) -> bytes:
     return B.pack(np.ascontiguousarray(x).astype("<u8").view(np.uint8).reshape(-1, 8).T)
 
@@ -104,14 +121,13 @@ class Replay:
     def words(self, ids: np.ndarray, counts: np.ndarray, c: dict) -> None:
         """Level 1: numbers and counts of the keys."""
         self.wid, self.wc = ids[self.key_of], counts[self.key_of]
-        p = of_count(c["d"], self.wc) / max(c["total"], 1) * c["scale"]
-        self.p = np.where(self.wc > 0, p, c["unknown"])[self.codes]
+        self.p = of_words(self.wc, c)[self.codes]
         before = np.append(0, self.codes[:-1] + 1)
         self.history = np.where(self.first, 0, before)
         self.hid = np.append(BEGIN, self.wid)
         self.hc = np.append(c["documents"], self.wc)
 
-    def requests(self, most: int, bits: int) -> None:
+    def requests(self, most: int, bits: int, level: int) -> None:
         """The distinct n-grams of the next level whose history was seen, in the order in which they are sent."""
         self.at = np.flatnonzero(self.hc[self.history] > 0)
         pair = self.history[self.at] * self.n_words + self.codes[self.at]
@@ -125,7 +141,7 @@ class Replay:
         bucket = B.mix(hid + (B.mix(wid) % parts) * ODD) >> np.uint64(64 - bits)
         self.order = np.lexsort((wid, hid, bucket))
         o = self.order
-        self.sent = {"h": hid[o], "w": wid[o], "n": n[o], "lower": self.lower[o], "split": (parts > 1)[o]}
+        self.sent = {"h": hid[o], "w": wid[o], "n": n[o], "lower": (self.wc[w] if level == 2 else self.lower)[o], "split": (parts > 1)[o]}
         self.edges = np.searchsorted(bucket[o], np.arange((1 << bits) + 1, dtype=np.uint64))
 
     def answered(self, d: np.ndarray, counts: np.ndarray, alpha: np.ndarray, scaled: np.ndarray, ids: np.ndarray | None, documents: int) -> None:
@@ -165,7 +181,7 @@ def replay(raw: list[bytes], held: list[bool], answers: list[dict], consts: list
         if n == 1:
             r.words(np.concatenate([B.unpack_sorted(x["ids"]) for x in got]), np.concatenate([B.unpack(x["counts"], "<i8") for x in got]), consts[0])
             continue
-        r.requests(most, bits)
+        r.requests(most, bits, n)
         counts = np.concatenate([B.unpack(x["counts"], "<i8") for x in got]) if got else np.zeros(0, np.int64)
         scaled = np.concatenate([B.unpack(x["scaled"], bool) for x in got]) if got else np.zeros(0, bool)
         alpha = np.zeros(len(counts))
@@ -202,14 +218,14 @@ def _send_grams(level: int, consts: list[dict], most: int, bits: int):
         for batch in batches:
             for block, raw, held, answers, _ in _blocks_of(batch, level - 1):
                 r = replay(raw, held, answers, consts, most, bits)
-                r.requests(most, bits)
+                r.requests(most, bits, level)
                 s, at = r.sent, r.edges
                 full = [b for b in range(1 << bits) if at[b] < at[b + 1]]
                 cut = lambda k, b: s[k][at[b]:at[b + 1]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()),
                      pa.array([B.pack_sorted(cut("h", b)) for b in full], pa.binary()), pa.array([pack_planes(cut("w", b)) for b in full], pa.binary()),
-                     pa.array([B.pack(cut("n", b).astype("<i8")) for b in full], pa.binary()), pa.array([pack_values(cut("lower", b)) for b in full], pa.binary()),
+                     pa.array([B.pack(cut("n", b).astype("<i8")) for b in full], pa.binary()), pa.array([lower_packed(cut("lower", b)) for b in full], pa.binary()),
                      pa.array([B.pack(np.unique(cut("h", b)[cut("split", b)])) for b in full], pa.binary())], [x.split()[0] for x in SENT.split(", ")])
     return run
 
@@ -218,7 +234,7 @@ TABLE = ("bucket int, h binary, w binary, n binary, lower binary, split binary,
          "total long, distinct long, counts_of_counts array<long>")
 
 
-def _merge(words: bool):
+def _merge(words: bool, single: dict | None = None):
     def run(group: pa.Table) -> pa.Table:
         cols = {c: group.column(c).to_pylist() for c in ("block", "h", "w", "n", "lower", "split")}
         hs = [B.unpack_sorted(x) for x in cols["h"]]
@@ -243,7 +259,7 @@ def _merge(words: bool):
                "total": int(count.sum()), "distinct": int((count > 0).sum()), "counts_of_counts": [int((count == r).sum()) for r in range(1, K + 2)]}
         if not words:
             out["w"] = pack_planes(w[order][at])
-            out["lower"] = pack_values(np.concatenate([unpack_values(x) for x in cols["lower"]])[order][at])
+            out["lower"] = pack_values(np.concatenate([lower_values(x, single) for x in cols["lower"]])[order][at])
             out["split"] = B.pack(np.unique(np.concatenate([B.unpack(x, "<u8") for x in cols["split"]])))
         kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
         return pa.table({f.split()[0]: pa.array([out[f.split()[0]]], kinds[f.split()[1]]) for f in TABLE.split(", ")})
@@ -323,7 +339,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
 
     Learns from documents whose crc32(id as text) mod ``folds`` isn't 0; n-grams up to ``order`` words."""
     held = F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string")) % folds == 0, F.lit(False))
-    blocks = B.build(docs, id_col, text_col, "katz-blocks", {"held": held}).drop("digests")
+    blocks = B.build(docs, id_col, text_col, "katz-blocks", {"held": held}, BLOCK_BYTES).drop("digests")
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
     documents = blocks.select(F.sum(F.size(F.filter("held", lambda x: ~x))).alias("n"), F.count(F.lit(1)).alias("blocks")).first()
     bits = B.bucket_bits(documents["blocks"] * 2)
@@ -333,7 +349,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     for level in range(1, order + 1):
         src = _with_answers(blocks.drop("ids"), answers)
         sent = src.mapInArrow(_send_words(bits) if level == 1 else _send_grams(level, consts, most, bits), SENT)
-        table = stored(sent.groupBy("bucket").applyInArrow(_merge(level == 1), TABLE), f"katz-ngrams/level={level}")
+        merge = _merge(level == 1, consts[0] if level == 2 else None)
+        table = stored(sent.groupBy("bucket").applyInArrow(merge, TABLE), f"katz-ngrams/level={level}")
+        release(docs.sparkSession)
         got = table.agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"),
                         *[F.sum(F.col("counts_of_counts")[r]).alias(f"n{r}") for r in range(K + 1)]).first()
         d = discounts([got[f"n{r}"] or 0 for r in range(K + 1)])
