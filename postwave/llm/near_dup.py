@@ -13,8 +13,11 @@ Two texts are linked if their weighted Jaccard similarity is ``similarity`` or m
 4. Texts of one band value are compared with two of them on the full weighted vectors, in three rounds: those not
    yet in the component of the first ones with others. Where a band value still holds several components (such as
    texts of a common passage that are otherwise unlike), its texts are grouped anew by two neighbouring band values, which
-   unlike texts share far less often, and compared likewise until a round links nothing more. No group is expanded into all pairs.
-5. Connected components of the links, then of their copies, give each document the class of the least id.
+   unlike texts share far less often, and compared likewise until a round links nothing more.
+5. What these rounds leave is settled exactly: all texts of band values that still hold several components are joined by
+   their prefixes, the rarest shingles that any partner must share one of, and every pair of different components that
+   the bounds don't rule out is compared. So no candidate link between different texts is lost.
+6. Connected components of the links, then of their copies, give each document the class of the least id.
 
 Defined cases: null and empty texts count as equal and are one class; texts without a word are one
 class each per distinct text; rows that repeat an id and text are one document; null ids are
@@ -152,7 +155,7 @@ def frequencies(blocks: DataFrame, words: int, bits: int) -> DataFrame:
 
 
 def candidates(blocks: DataFrame, shared: DataFrame, n_texts: int, words: int, similarity: float, bands: int, rows: int) -> DataFrame:
-    """id, digest, keys, weights, bands of each text that can have a partner."""
+    """id, digest, keys, weights, counts, bands of each text that can have a partner."""
     answers = shared.groupBy("block").agg(F.collect_list(F.struct("keys", "df")).alias("answers")).withColumnRenamed("block", "ab")
     src = blocks.join(answers, F.col("block") == F.col("ab")).select("ids", "digests", "sizes", "data", "out", "answers")
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
@@ -175,18 +178,20 @@ def candidates(blocks: DataFrame, shared: DataFrame, n_texts: int, words: int, s
                 common = np.bincount(doc, weights=np.where(df > 1, w, 0.0), minlength=len(raw))
                 chosen = np.flatnonzero((total > 0) & (common >= (similarity - 1e-9) * total))
                 begin, end = np.searchsorted(doc, chosen), np.searchsorted(doc, chosen, "right")
-                values, keys, weights = [], [], []
+                values, keys, weights, counts = [], [], [], []
                 for a, b in zip(begin.tolist(), end.tolist()):
                     values.append(signatures(h[a:b], w[a:b], bands, rows))
                     keys.append(h[a:b].tobytes())
                     weights.append(w[a:b].tobytes())
+                    counts.append(tf[a:b].astype("<i4").tobytes())
                 take = pa.array(chosen)
                 ids = batch.column(0).slice(i, 1).flatten().take(take)
                 digests = batch.column(1).slice(i, 1).flatten().take(take)
                 yield pa.RecordBatch.from_arrays([ids, digests, pa.array(keys, pa.binary()), pa.array(weights, pa.binary()),
-                                                  pa.array(values, pa.list_(pa.int64()))], ["id", "digest", "keys", "weights", "bands"])
+                                                  pa.array(counts, pa.binary()), pa.array(values, pa.list_(pa.int64()))],
+                                                 ["id", "digest", "keys", "weights", "counts", "bands"])
 
-    return src.mapInArrow(run, f"id {kind}, digest binary, keys binary, weights binary, bands array<long>")
+    return src.mapInArrow(run, f"id {kind}, digest binary, keys binary, weights binary, counts binary, bands array<long>")
 
 
 def weighted_jaccard(k1: np.ndarray, w1: np.ndarray, k2: np.ndarray, w2: np.ndarray) -> float:
@@ -236,7 +241,60 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     pair = lambda k: F.xxhash64(k, F.element_at("values", k), F.element_at("values", (k + 1) % bands))
     finer = values.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), pair)).alias("group"), "digest")
     roots, _ = linked(finer, vectors, similarity, roots, "two", 1, None)
-    return _members(members, roots)
+    return _members(members, settled(found, left, vectors, roots, n_texts, similarity))
+
+
+def prefix(keys: np.ndarray, weights: np.ndarray, counts: np.ndarray, n: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that a partner must share one of, and the weight that stands before each, in the order of df, then key.
+
+    Those after them weigh less than ``similarity`` of the text, so two texts without a common shingle in both prefixes
+    can't be similar. df comes back exactly from weight and count, so that the order is the same in all texts."""
+    df = np.rint(n * np.exp(-2.0 * math.log(n) * (weights / counts - 1.0))).astype(np.int64)
+    order = np.lexsort((keys, df))
+    own = weights[order]
+    before = np.cumsum(own) - own
+    total = float(own.sum())
+    use = (total - before >= (similarity - 1e-6) * total) & (df[order] > 1)
+    return keys[order][use], before[use]
+
+
+def settled(found: DataFrame, groups: DataFrame, vectors: DataFrame, roots: DataFrame, n_texts: int, similarity: float) -> DataFrame:
+    """The roots after all texts of groups with several components have been joined exactly."""
+    spark = found.sparkSession
+    rooted = groups.join(roots, F.col("digest") == F.col("node"), "left").select("group", "digest", F.coalesce("root", "digest").alias("root"))
+    several = rooted.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(F.col("group").alias("g"))
+    open_ = stored(rooted.join(several, F.col("group") == F.col("g"), "left_semi").select(F.col("digest").alias("od"), "root").distinct(), "neardup-open")
+    if open_.isEmpty():
+        return roots
+    src = found.join(open_, F.col("digest") == F.col("od")).select("digest", "root", "keys", "weights", "counts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vs = [(np.frombuffer(k, np.uint64), np.frombuffer(w), np.frombuffer(c, "<i4")) for k, w, c in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+            got = [prefix(*v, n_texts, similarity) for v in vs]
+            sizes = [len(k) for k, _ in got]
+            if not sum(sizes):
+                continue
+            take = pa.array(np.repeat(np.arange(len(got)), sizes))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.repeat([float(w.sum()) for _, w, _ in vs], sizes)),
+                 pa.array(np.concatenate([k for k, _ in got]).view(np.int64)), pa.array(np.concatenate([b for _, b in got]))],
+                ["digest", "root", "total", "key", "before"])
+
+    rows = stored(src.mapInArrow(run, "digest binary, root binary, total double, key long, before double"), "neardup-prefixes")
+    # A shingle of one component's prefixes only can't link it to another.
+    crossing = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(F.col("key").alias("ck"))
+    rows = stored(rows.join(crossing, F.col("key") == F.col("ck"), "left_semi"), "neardup-crossing")
+    one = rows.select(F.col("key").alias("k1"), F.col("digest").alias("a"), F.col("root").alias("r1"), F.col("total").alias("t1"), F.col("before").alias("b1"))
+    two = rows.select(F.col("key").alias("k2"), F.col("digest").alias("b"), F.col("root").alias("r2"), F.col("total").alias("t2"), F.col("before").alias("b2"))
+    # By the first common shingle of similar texts, what follows it in either must make up their common weight.
+    enough = F.least(F.col("t1") - F.col("b1"), F.col("t2") - F.col("b2")) >= (F.col("t1") + F.col("t2")) * F.lit((similarity - 1e-6) / (1.0 + similarity))
+    pairs = one.join(two, (F.col("k1") == F.col("k2")) & (F.col("r1") < F.col("r2")) & enough).select("a", "b").distinct()
+    new = stored(verify(pairs, vectors, similarity), "neardup-settled-links")
+    release(spark)
+    if new.isEmpty():
+        return roots
+    return merged_roots(roots, components(rooted_links(new, roots), "neardup-settled"), "settled")
 
 
 def linked(groups: DataFrame, vectors: DataFrame, similarity: float, roots: DataFrame | None, name: str,

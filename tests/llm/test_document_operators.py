@@ -204,6 +204,24 @@ def test_near_duplicates_match_brute_force(spark):
     assert near_dup.classes(clashing(spark, [])).collect() == []
 
 
+def test_near_copies_within_a_large_passage_group_are_all_found(spark):
+    rnd = random.Random(23)
+    vocab = [f"w{k}" for k in range(2000)]
+    passage, rows = " ".join(rnd.choices(vocab, k=70)), []
+    for _ in range(150):                                                 # pairs of near copies; texts of different pairs share the passage only
+        own = rnd.choices(vocab, k=40)
+        for c in range(2):
+            copy = list(own)
+            if c:
+                copy[rnd.randrange(5, 20)] = copy[rnd.randrange(22, 35)] = "edited"
+            rows.append((len(rows), passage + " " + " ".join(copy)))
+    found = {}
+    for r in near_dup.classes(clashing(spark, rows)).collect():
+        found.setdefault(r.class_id, set()).add(r.doc_id)
+    want = brute_classes(rows)
+    assert len(want) > 100 and {frozenset(v) for v in found.values()} == want
+
+
 def test_consistent_weighted_samples_estimate_weighted_jaccard():
     import numpy as np
 
