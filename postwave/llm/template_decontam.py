@@ -3,9 +3,11 @@
 Texts are canonicalised: numbers, names (words inside a sentence with one capital, then small letters) and units after numbers
 become typed placeholders, the rest lower-case words without punctuation. Windows of ``window``
 tokens of benchmark items are hash-joined with those of all documents. A document holds an item if it
-has at least ``min_share`` of the item's windows and its slot values are consistent: over all matched
+has at least ``min_share`` of the item's windows in an occurrence whose slot values are consistent: over its matched
 windows each value of the item stands for one value of the document and each of these for one of the
-item, so that a re-parameterised question counts and unlike texts of the same template don't.
+item, so that a re-parameterised question counts and unlike texts of the same template don't. Occurrences are
+the hits of one aligned start, those of a run of neighbouring starts (a copy with words put in or left out) and those
+of the whole document; one consistent occurrence is enough, whatever else the document holds.
 
 Cost: one pass over the documents; only rows of matched windows leave it. The benchmark side joins as
 Spark sees fit (broadcast under its size threshold, else shuffled by window hash); window hashes are
@@ -21,7 +23,7 @@ benchmark or documents table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postwave.llm.common import stored
@@ -89,29 +91,42 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         found = (coded.select("doc_id", "text_hash", F.posexplode(window_hashes(F.col("tokens"), F.lit(w))).alias("p", "h"))
                  .join(wanted.where(F.col("width") == w), "h"))
         hits = found if hits is None else hits.unionByName(found)
-    hits = stored(hits.select("doc_id", "text_hash", "p", "item_id", "item", "q", "n_windows", "n_slots"), "decontam-hits")
-    whole = (hits.groupBy("doc_id", "text_hash", "item_id", "item").agg(F.count_distinct("q").alias("n_hits"), F.max("n_windows").alias("n_windows"))
+    hits = stored(occurrences(hits.select("doc_id", "text_hash", "p", "item_id", "item", "q", "n_windows", "n_slots")), "decontam-hits")
+    whole = (hits.groupBy("doc_id", "text_hash", "item_id", "item", "occurrence").agg(F.count_distinct("q").alias("n_hits"), F.max("n_windows").alias("n_windows"))
              .where(F.col("n_hits") >= F.lit(min_share) * F.col("n_windows")))
     odd = inconsistent(base, items, hits)
-    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")) & (F.col("i") == F.col("item"))
-    return whole.join(odd, same, "left_anti").drop("item")
+    same = (F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")) & (F.col("i") == F.col("item"))
+            & (F.col("o") == F.col("occurrence")))
+    return (whole.join(odd, same, "left_anti").groupBy("doc_id", "text_hash", "item_id", "item")
+            .agg(F.max("n_hits").alias("n_hits"), F.max("n_windows").alias("n_windows")).drop("item"))
+
+
+def occurrences(hits: DataFrame) -> DataFrame:
+    """The hits under each occurrence they are part of: the document, their start, and the run of starts not half an item apart."""
+    start = F.col("p") - F.col("q")
+    by_start = Window.partitionBy("doc_id", "text_hash", "item").orderBy(start)
+    gap = start - F.lag(start).over(by_start)
+    runs = (hits.distinct().withColumn("begins", F.when(gap * 2 > F.col("n_windows"), 1).otherwise(0))
+            .withColumn("run", F.sum("begins").over(by_start)))
+    labels = F.array(F.lit("all"), F.concat(F.lit("start "), start.cast("string")), F.concat(F.lit("run "), F.col("run").cast("string")))
+    return runs.withColumn("occurrence", F.explode(labels)).drop("begins", "run")
 
 
 def inconsistent(base: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
-    """d, t, i: documents (id, text hash) and items whose slot values don't map one to one."""
-    slotted = stored(hits.where("n_slots > 0").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), "item", "p", "q").distinct(), "decontam-slots")
+    """d, t, i, o: documents (id, text hash), items and occurrences whose slot values don't map one to one."""
+    slotted = stored(hits.where("n_slots > 0").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("occurrence").alias("o"), "item", "p", "q").distinct(), "decontam-slots")
     texts = base.withColumn("text_hash", F.xxhash64("text"))
     keys = slotted.select("d", "t").distinct()
     values = (texts.join(keys, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
               .select("d", "t", _words(valued(F.col("text"))).alias("values")).dropDuplicates(["d", "t"]))
     pairs = (slotted.join(items.select(F.col("item").alias("i"), F.col("q").alias("iq"), F.explode("slots").alias("slot")),
                           (F.col("item") == F.col("i")) & (F.col("q") == F.col("iq")))
-             .select("d", "t", "i", (F.col("p") + F.col("slot.k")).alias("at"), F.col("slot.value").alias("item_value")).distinct()
+             .select("d", "t", "i", "o", (F.col("p") + F.col("slot.k")).alias("at"), F.col("slot.value").alias("item_value")).distinct()
              .withColumnsRenamed({"d": "pd", "t": "pt"}))
     met = (pairs.join(values, F.col("pd").eqNullSafe(F.col("d")) & (F.col("pt") == F.col("t")))
-           .select("d", "t", "i", "item_value", F.get("values", F.col("at")).alias("doc_value")).distinct())
-    return (met.groupBy("d", "t", "i").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("item_value").alias("a"), F.count_distinct("doc_value").alias("b"))
-            .where("n <> a or n <> b").select("d", "t", "i"))
+           .select("d", "t", "i", "o", "item_value", F.get("values", F.col("at")).alias("doc_value")).distinct())
+    return (met.groupBy("d", "t", "i", "o").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("item_value").alias("a"), F.count_distinct("doc_value").alias("b"))
+            .where("n <> a or n <> b").select("d", "t", "i", "o"))
 
 
 def clean_stage(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -253,6 +253,16 @@ def test_decontamination_finds_verbatim_and_reparameterised_items(spark):
     assert template_decontam.matches(docs, bench.limit(0)).collect() == [] and template_decontam.matches(docs.limit(0), bench).collect() == []
 
 
+def test_decontamination_judges_each_copy_by_itself(spark):
+    other = ITEM.replace("Anna", "Clara").replace("Bob", "Dave").replace("12", "97").replace("5 km", "8 km").replace(" 3 ", " 14 ")
+    broken = ITEM.replace("Anna has 12", "Clara has 97").replace("gives 5", "gives 8")
+    longer = ITEM.replace("rope to", "rope and wire to")                 # words put in: two starts, one copy
+    rows = [(1, f"We read. {ITEM} {other}"), (2, f"We read. {other} In between words. {ITEM} {broken}"), (3, f"We read. {broken} {broken}"),
+            (4, f"We read. {longer} {'far away and more ' * 30} {other.replace('97', '41')}")]
+    bench = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
+    assert {r.doc_id for r in template_decontam.matches(clashing(spark, rows), bench).collect()} == {1, 2, 4}
+
+
 def test_decontamination_against_verbatim_search(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in template_decontam.matches(docs, bench).collect()}
