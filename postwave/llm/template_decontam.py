@@ -9,14 +9,18 @@ item, so that a re-parameterised question counts and unlike texts of the same te
 the hits of one aligned start, those of a run of neighbouring starts (a copy with words put in or left out) and those
 of the whole document; one consistent occurrence is enough, whatever else the document holds.
 
+Besides, each window of an item, also one of mostly placeholders and those of items of fewer than ``min_tokens``, joins
+by its literal lower-case words; a start at which all windows of the item stand in these words is a copy, whatever is
+marked in it. An item without a window by template needs ``min_share`` of them. The first word of an item is taken as a name and as a plain word, as what stands before it decides.
+
 Cost: one pass over the documents; only rows of matched windows leave it. The benchmark side joins as
 Spark sees fit (broadcast under its size threshold, else shuffled by window hash); window hashes are
 spread evenly, and a window that a third of all documents hold only multiplies rows by the items that
-hold it too. Windows of mostly placeholders identify nothing and are left out. Slot values are only
+hold it too. Windows of mostly placeholders identify nothing by their template and only join literally. Slot values are only
 read again for documents that matched a window with slots.
 
 Defined cases: null and empty texts hold nothing; an item of fewer tokens than ``window`` is one window
-of its own length, and one of fewer than ``min_tokens`` is never matched; an item found twice in a document
+of its own length, and one of fewer than ``min_tokens`` is only matched literally; one without a word never; an item found twice in a document
 is one pair; rows that repeat a document's id and text are one document; null item ids are kept as null; an empty
 benchmark or documents table gives an empty result; extra columns are ignored.
 """
@@ -39,7 +43,7 @@ def valued(text: Column) -> Column:
     t = F.translate(F.coalesce(text, F.lit("")), NUMBER + UNIT + NAME + POINT, "    ")
     has_number = t.rlike("\\p{N}")
     t = F.when(has_number, F.regexp_replace(t, "(\\p{N})[.,](\\p{N})", f"$1{POINT}$2")).otherwise(t)
-    t = F.regexp_replace(t, "([\\p{L}\\p{N},;] )(\\p{Lu}[\\p{Ll}\\p{M}]+)", f"$1{NAME}$2")
+    t = F.regexp_replace(t, "(?<=[\\p{L}\\p{N},;] )(\\p{Lu}[\\p{Ll}\\p{M}]+)", f"{NAME}$1")
     with_number = F.regexp_replace(F.concat(F.lower(F.regexp_replace(t, f"[\\p{{N}}{POINT}]+", f" {NUMBER}$0 ")), F.lit(" ")),
                                    f"({NUMBER}[\\p{{N}}{POINT}]+) +({UNITS})([^\\p{{L}}\\p{{M}}])", f"$1 {UNIT}$2$3")
     t = F.when(has_number, with_number).otherwise(F.lower(t))
@@ -50,6 +54,11 @@ def canonical(valued_text: Column) -> Column:
     return F.regexp_replace(valued_text, "([\x01-\x03])[^ ]+", "$1")
 
 
+def literal(valued_text: Column) -> Column:
+    """The same tokens without marks."""
+    return F.translate(valued_text, NUMBER + UNIT + NAME, "")
+
+
 def _words(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
 
@@ -62,19 +71,38 @@ def window_hashes(tokens: Column, width: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, min_tokens: int) -> DataFrame:
-    """item_id, item (hash of id and text), width, q, h, n_windows, slots (offset, mark, value) of each window."""
+    """item_id, item (hash of id and text), width, kind, q, h, n_windows, exact (all windows count only), slots (offset, mark, value) of each window.
+
+    kind: 0 template, 1 template of the first window with the item's first word as a name, 2 literal."""
     t = F.col(f"`{text_col}`").cast("string")
-    items = (benchmark.select(F.col(f"`{id_col}`").alias("item_id"), valued(t).alias("valued")).distinct()
-             .withColumn("item", F.xxhash64("item_id", "valued"))
+    items = (benchmark.select(F.col(f"`{id_col}`").alias("item_id"), valued(t).alias("valued"),
+                              F.coalesce(t, F.lit("")).rlike("^[^\\p{L}\\p{M}\\p{N}]*\\p{Lu}[\\p{Ll}\\p{M}]+").alias("may_be_name")).distinct()
+             .withColumn("item", F.xxhash64("item_id", "valued", "may_be_name"))
              .withColumn("values", _words(F.col("valued"))).withColumn("tokens", _words(canonical(F.col("valued"))))
-             .where(F.size("tokens") >= min_tokens).withColumn("width", F.least(F.size("tokens"), F.lit(window))))
-    rows = items.select("item_id", "item", "width", "values", "tokens", F.posexplode(window_hashes(F.col("tokens"), F.col("width"))).alias("q", "h"))
+             .withColumn("words", _words(literal(F.col("valued"))))
+             .where(F.size("tokens") > 0).withColumn("width", F.least(F.size("tokens"), F.lit(window))))
+    first = F.get("values", F.lit(0))
+    named = (items.where(F.col("may_be_name") & ~first.rlike("^[\x01-\x03]")).withColumn("kind", F.lit(1))
+             .withColumn("values", F.concat(F.array(F.concat(F.lit(NAME), first)), F.expr("slice(values, 2, size(values))")))
+             .withColumn("tokens", F.concat(F.array(F.lit(NAME)), F.expr("slice(tokens, 2, width - 1)"))))
+    rows = (items.withColumn("kind", F.lit(0)).unionByName(named).where(F.size("values") >= min_tokens)
+            .unionByName(items.withColumn("kind", F.lit(2)).withColumn("tokens", F.col("words")).withColumn("values", F.col("words"))))
+    rows = rows.select("item_id", "item", "kind", "width", "values", F.posexplode(window_hashes(F.col("tokens"), F.col("width"))).alias("q", "h"))
     slot = F.filter(F.transform(F.sequence(F.lit(0), F.col("width") - 1),
                                 lambda k: F.struct(k.alias("k"), F.get("values", F.col("q") + k).alias("value"))),
                     lambda s: s["value"].rlike("^[\x01-\x03]"))
     rows = rows.withColumn("slots", slot).where(F.size("slots") * 2 <= F.col("width"))
-    n = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows")).withColumnRenamed("item", "of_item")
-    return rows.join(n, F.col("item") == F.col("of_item")).select("item_id", "item", "width", "q", "h", "n_windows", "slots")
+    n = (rows.groupBy("item").agg(F.count_distinct(F.when(F.col("kind") < 2, F.col("q"))).alias("n_coded"),
+                                  F.count_distinct(F.when(F.col("kind") == 2, F.col("q"))).alias("n_words")).withColumnRenamed("item", "of_item"))
+    return (rows.join(n, F.col("item") == F.col("of_item"))
+            .select("item_id", "item", "kind", "width", "q", "h", F.when(F.col("kind") == 2, F.col("n_words")).otherwise(F.col("n_coded")).alias("n_windows"),
+                    ((F.col("kind") == 2) & (F.col("n_coded") > 0)).alias("exact"), "slots"))
+
+
+def document_windows(doc: Column, words: Column, width: int) -> Column:
+    """The hashes of all windows by template, then those by words where these differ, else null."""
+    coded, plain = window_hashes(doc, F.lit(width)), window_hashes(words, F.lit(width))
+    return F.concat(coded, F.zip_with(coded, plain, lambda c, p: F.when(c != p, p)))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -84,27 +112,34 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     widths = sorted({r.width for r in items.select("width").distinct().collect()})     # at most window values
     text = F.col(f"`{text_col}`").cast("string")
     base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
-    coded = base.select("doc_id", F.xxhash64("text").alias("text_hash"), _words(canonical(valued(F.col("text")))).alias("tokens"))
-    wanted = items.select("item_id", "item", "width", "q", "h", "n_windows", F.size("slots").alias("n_slots"))
+    coded = base.select("doc_id", F.xxhash64("text").alias("text_hash"), valued(F.col("text")).alias("valued"))
+    coded = coded.select("doc_id", "text_hash", _words(canonical(F.col("valued"))).alias("tokens"), _words(literal(F.col("valued"))).alias("words"))
+    wanted = items.select("item_id", "item", "kind", "width", "q", "h", "n_windows", "exact", F.size("slots").alias("n_slots"))
     hits = None
     for w in widths or [window]:
-        found = (coded.select("doc_id", "text_hash", F.posexplode(window_hashes(F.col("tokens"), F.lit(w))).alias("p", "h"))
-                 .join(wanted.where(F.col("width") == w), "h"))
+        n = F.size("tokens") - w + 1
+        found = (coded.select("doc_id", "text_hash", n.alias("n"), F.posexplode(document_windows(F.col("tokens"), F.col("words"), w)).alias("p", "h"))
+                 .join(wanted.where(F.col("width") == w), "h").withColumn("p", F.col("p") % F.col("n")))
         hits = found if hits is None else hits.unionByName(found)
-    hits = stored(occurrences(hits.select("doc_id", "text_hash", "p", "item_id", "item", "q", "n_windows", "n_slots")), "decontam-hits")
-    whole = (hits.groupBy("doc_id", "text_hash", "item_id", "item", "occurrence").agg(F.count_distinct("q").alias("n_hits"), F.max("n_windows").alias("n_windows"))
-             .where(F.col("n_hits") >= F.lit(min_share) * F.col("n_windows")))
+    hits = stored(occurrences(hits.select("doc_id", "text_hash", "p", "item_id", "item", "kind", "q", "n_windows", "exact", "n_slots")), "decontam-hits")
+    whole = (hits.groupBy("doc_id", "text_hash", "item_id", "item", "of_words", "exact", "occurrence")
+             .agg(F.count_distinct("q").alias("n_hits"), F.max("n_windows").alias("n_windows"))
+             .where(F.when(F.col("exact"), (F.col("n_hits") == F.col("n_windows")) & F.col("occurrence").startswith("start"))
+                    .otherwise(F.col("n_hits") >= F.lit(min_share) * F.col("n_windows"))))
     odd = inconsistent(base, items, hits)
     same = (F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")) & (F.col("i") == F.col("item"))
-            & (F.col("o") == F.col("occurrence")))
-    return (whole.join(odd, same, "left_anti").groupBy("doc_id", "text_hash", "item_id", "item")
-            .agg(F.max("n_hits").alias("n_hits"), F.max("n_windows").alias("n_windows")).drop("item"))
+            & (F.col("o") == F.col("occurrence")) & ~F.col("of_words"))
+    # Of a copy that both ways show, the template's figures are given.
+    best = F.min(F.struct("of_words", -F.col("n_hits"), "n_hits", "n_windows"))
+    return (whole.join(odd, same, "left_anti").groupBy("doc_id", "text_hash", "item_id", "item").agg(best.alias("best"))
+            .select("doc_id", "text_hash", "item_id", "best.n_hits", "best.n_windows"))
 
 
 def occurrences(hits: DataFrame) -> DataFrame:
     """The hits under each occurrence they are part of: the document, their start, and the run of starts not half an item apart."""
     start = F.col("p") - F.col("q")
-    by_start = Window.partitionBy("doc_id", "text_hash", "item").orderBy(start)
+    hits = hits.withColumn("of_words", F.col("kind") == 2)
+    by_start = Window.partitionBy("doc_id", "text_hash", "item", "of_words").orderBy(start)
     gap = start - F.lag(start).over(by_start)
     runs = (hits.distinct().withColumn("begins", F.when(gap * 2 > F.col("n_windows"), 1).otherwise(0))
             .withColumn("run", F.sum("begins").over(by_start)))
@@ -114,13 +149,13 @@ def occurrences(hits: DataFrame) -> DataFrame:
 
 def inconsistent(base: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
     """d, t, i, o: documents (id, text hash), items and occurrences whose slot values don't map one to one."""
-    slotted = stored(hits.where("n_slots > 0").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("occurrence").alias("o"), "item", "p", "q").distinct(), "decontam-slots")
+    slotted = stored(hits.where("n_slots > 0").select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.col("occurrence").alias("o"), "item", "kind", "p", "q").distinct(), "decontam-slots")
     texts = base.withColumn("text_hash", F.xxhash64("text"))
     keys = slotted.select("d", "t").distinct()
     values = (texts.join(keys, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
               .select("d", "t", _words(valued(F.col("text"))).alias("values")).dropDuplicates(["d", "t"]))
-    pairs = (slotted.join(items.select(F.col("item").alias("i"), F.col("q").alias("iq"), F.explode("slots").alias("slot")),
-                          (F.col("item") == F.col("i")) & (F.col("q") == F.col("iq")))
+    pairs = (slotted.join(items.select(F.col("item").alias("i"), F.col("kind").alias("ik"), F.col("q").alias("iq"), F.explode("slots").alias("slot")),
+                          (F.col("item") == F.col("i")) & (F.col("kind") == F.col("ik")) & (F.col("q") == F.col("iq")))
              .select("d", "t", "i", "o", (F.col("p") + F.col("slot.k")).alias("at"), F.col("slot.value").alias("item_value")).distinct()
              .withColumnsRenamed({"d": "pd", "t": "pt"}))
     met = (pairs.join(values, F.col("pd").eqNullSafe(F.col("d")) & (F.col("pt") == F.col("t")))

@@ -263,6 +263,17 @@ def test_decontamination_judges_each_copy_by_itself(spark):
     assert {r.doc_id for r in template_decontam.matches(clashing(spark, rows), bench).collect()} == {1, 2, 4}
 
 
+def test_decontamination_finds_every_verbatim_copy(spark):
+    items = ["New York City Hall Opens Its Doors Again After Long Repairs", "12 + 7 = 19 and 3 + 4 = 7", "1 2 3 4 5 6 7 8 9 10 11 12", "So it goes",
+             "Tom Kim Ann Bob Eve Sue", "Carl met 3 old men"]
+    before = ["", "We read ", "We read, ", "They Said ", "And then. ", "(", "The New "]
+    rows = [(100 * k + j, f"{b}{t}{end}") for k, t in enumerate(items) for j, b in enumerate(before) for end in [" and more words here."]]
+    rows += [(100 * k + 50, f"we read {t.lower()} again") for k, t in enumerate(items)] + [(900, "1 3 5 7 9 11 13 15 17 19 21 23 25"), (901, "so he goes and Ann met Tom"), (902, "We read Eva met 8 old men")]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(100 * k + j, k) for k in range(len(items)) for j in [*range(len(before)), 50]} | {(902, 5)}
+    assert {(r.doc_id, r.item_id) for r in template_decontam.matches(clashing(spark, rows), bench).collect()} == want
+
+
 def test_decontamination_against_verbatim_search(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in template_decontam.matches(docs, bench).collect()}
