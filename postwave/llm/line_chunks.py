@@ -1,9 +1,9 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by repeated neighbouring lines.
 
-Each text's lines that aren't blank are hashed; a rolling hash over neighbouring line hashes decides
-where chunks end, so that text before a passage doesn't shift the chunks within it. Several seeds of
-the rolling hash give several chunkings, as a short passage may lie across one's boundaries. Chunks of
-two lines or more that occur more than once anywhere are repeated: the first occurrence (smallest
+Each text's lines that aren't blank are hashed. Chunks are all pairs of neighbouring lines and all single lines
+of ``long_words`` words or more. Every passage of two lines or more is made of pairs, so whatever stands
+around it, each of its lines lies in a repeated chunk; this holds for any longer chunk too. Chunks
+that occur more than once anywhere are repeated: the first occurrence (smallest
 document id, then text hash, then place) stays, the lines of the others go. A line of the smallest document that
 holds it is never removed, so every line's text survives once.
 
@@ -15,7 +15,7 @@ a third of all documents hold is one row per task before the shuffle; the join o
 repeated hashes may be split by Spark, as it is a plain equi-join.
 
 Defined cases: null texts stay null; blank lines are no part of chunks and stay, but for those within a removed chunk; a
-text of one line has no chunk; rows that repeat a document's id and text are one document and are treated
+text of one line has no chunk but a long line; rows that repeat a document's id and text are one document and are treated
 alike; repeats within one document go too; a null id counts as the smallest; extra columns pass through; an empty table
 gives an empty result.
 """
@@ -32,40 +32,24 @@ from pyspark.sql import functions as F
 
 from postwave.llm.common import ready, release, slices, stored
 
-SEEDS, MEAN_GAP, MIN_LINES, MAX_LINES = 3, 2, 2, 16
-MASK = (1 << 64) - 1
+#: Words from which a line is a chunk by itself.
+LONG_WORDS = 50
 
 
-def chunks(text: str, seeds: int = SEEDS, gap: int = MEAN_GAP, least: int = MIN_LINES, most: int = MAX_LINES) -> list[tuple[int, int, bytes]]:
-    """First line, line after the last (places among all lines) and hash of each chunk of each chunking."""
+def chunks(text: str, long_words: int = LONG_WORDS) -> list[tuple[int, int, bytes]]:
+    """First line, line after the last (places among all lines) and hash of each pair of neighbouring lines and each long line."""
     lines = text.split("\n")
-    if len(lines) < least:
-        return []
     at = [k for k, x in enumerate(lines) if x and not x.isspace()]
-    if len(at) < least:
-        return []
     digests = [xxhash.xxh3_128_digest(lines[k].encode("utf-8", "surrogatepass")) for k in at]
-    own = [int.from_bytes(d[:8], "little") for d in digests]
-    out = {}
-    for seed in range(seeds):
-        mul = 0x9E3779B97F4A7C15 + 2 * seed
-        begin = 0
-        for k in range(1, len(at) + 1):
-            end = k == len(at)
-            if not end:
-                rolling = ((own[k - 1] * mul + own[k]) & MASK) * 0xD6E8FEB86659FD93 & MASK
-                end = (rolling >> 32) % gap == 0 and k - begin >= least or k - begin >= most
-            if end:
-                if k - begin >= least:
-                    out[at[begin], at[k - 1] + 1] = xxhash.xxh3_128_digest(b"".join(digests[begin:k]))
-                begin = k
-    return [(a, b, h) for (a, b), h in out.items()]
+    out = [(a, b + 1, xxhash.xxh3_128_digest(x + y)) for a, b, x, y in zip(at, at[1:], digests, digests[1:])]
+    out += [(k, k + 1, xxhash.xxh3_128_digest(d)) for k, d in zip(at, digests) if len(lines[k]) >= 2 * long_words - 1 and len(lines[k].split()) >= long_words]
+    return out
 
 
 def chunk_rows(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     """doc_id, text_hash, first, after, h of each chunk of each document."""
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("text_hash"),
-                      F.col(f"`{text_col}`").cast("string").alias("__text")).where(F.col("__text").contains("\n"))
+                      F.col(f"`{text_col}`").cast("string").alias("__text")).where("__text is not null")
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

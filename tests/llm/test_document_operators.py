@@ -141,6 +141,24 @@ def test_line_chunks_remove_repeats_and_nothing_else(spark):
     assert by_id[None] == "\n".join(passage)                            # the least id comes first
 
 
+def test_line_chunks_remove_every_line_of_short_passages(spark):
+    rnd = random.Random(9)
+    planted = [[f"passage {n} {g} line {k}" for k in range(n)] for n in (2, 3, 4, 5, 8) for g in range(6)]
+    planted += [[" ".join(f"long{g}w{k}" for k in range(51))] for g in range(6)]
+    rows = []
+    for p in planted:
+        for _ in range(3):
+            own = [f"own {rnd.random()}" for _ in range(6)]
+            cut = rnd.randint(0, 6)
+            rows.append((len(rows), "\n".join(own[:cut] + p + own[cut:])))
+    rows += [(1000, planted[-1][0]), (1001, "short line\nx"), (1002, "y\nshort line\nz")]
+    out = line_chunks.dedup(clashing(spark, rows)).collect()
+    after = Counter(x for r in out for x in lines_of(r.text))
+    before = Counter(x for _, t in rows for x in lines_of(t))
+    gone = {x for p in planted for x in p}
+    assert after == Counter({x: 1 if x in gone else n for x, n in before.items()})
+
+
 def test_line_chunks_of_equal_hash_but_other_bytes_stay(spark, monkeypatch):
     rows = [(1, "a b\nc d\ne f"), (2, "a b\nc d\ne f"), (3, "g h\ni j")]
     src = clashing(spark, rows)
