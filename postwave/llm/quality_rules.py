@@ -2,7 +2,7 @@
 
 A text that compresses far better than prose of its length repeats itself; one that hardly
 compresses holds random characters. Both are judged on the whole text and on each full chunk of
-``chunk_bytes``, with limits that depend on the length, as short texts compress worse.
+``chunk_bytes``, the last of which ends where the text ends and may overlap the one before it, with limits that depend on the length, as short texts compress worse.
 
 Defined cases: a null or empty text has no words, fails the base rule and is not compressed
 (ratio null). Texts under the first band have no ratio limits. Repeated rows are judged one by one;
@@ -106,7 +106,8 @@ def ratios(text: bytes, bands: Bands, zstd: zstandard.ZstdCompressor) -> tuple[f
         return None, None, None, True
     whole = len(zstd.compress(text)) / n
     c = bands.chunk_bytes
-    parts = [len(zstd.compress(text[i:i + c])) / c for i in range(0, n - c + 1, c)]
+    starts = [*range(0, n - c + 1, c), *([n - c] if n > c and n % c else [])]
+    parts = [len(zstd.compress(text[i:i + c])) / c for i in starts]
     limits = [row for row in bands.whole if row[0] <= n]
     good = not limits or limits[-1][1] <= whole <= limits[-1][2]
     if parts:

@@ -81,6 +81,17 @@ def test_quality_rules_bands_and_stage(spark):
     assert quality_rules.judge(clashing(spark, [])).collect() == []
 
 
+def test_quality_rules_judge_the_end_of_a_text(spark):
+    rnd = random.Random(4)
+    clean = " ".join(r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60).collect()).encode("ascii", "ignore").decode()[:4097]
+    noise = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=4095))
+    bands, zstd = quality_rules.Bands(), zstandard.ZstdCompressor(level=3)
+    for tail, k in ((noise, 2), ("buy now here " * 192, 1)):
+        whole, *chunk, good = quality_rules.ratios((clean + tail).encode(), bands, zstd)
+        assert not good and not bands.chunk[0] <= chunk[k - 1] <= bands.chunk[1]
+        assert bands.whole[-2][1] <= whole <= bands.whole[-2][2]             # the whole text doesn't show it
+
+
 def test_labelled_good_documents_are_kept(spark):
     d = quality_rules.judge(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
