@@ -1,7 +1,7 @@
 """URL filters: given host and path rules, then association rules mined from labels by Spark's FP-growth.
 
-A url becomes a set of tokens: host labels, the last two host labels together, the first path
-segments without digits, the file extension and the names of query parameters. FP-growth finds token sets frequent among
+A url becomes a set of tokens: host labels, the last two host labels together, all path
+segments without digits, the file extension and the names of all query parameters. FP-growth finds token sets frequent among
 labelled pages; the rules "tokens => bad" with enough support, confidence and lift remain, less those
 that a rule with fewer of the same tokens and no less confidence makes needless. Rules are matched
 through an inverted index: each lies under its rarest token, distinct token sets are joined to it by
@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from postwave.llm.common import stored
 
 BAD = "label:bad"
-#: Segments of the path and query names that give tokens: bounds the token set of a url, not the urls.
-PATH_TOKENS, QUERY_TOKENS = 4, 4
 
 
 @dataclass(frozen=True)
@@ -69,9 +67,9 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     found = F.concat(
         F.transform(labels, lambda x: F.concat(F.lit("h:"), x)),
         F.when(F.size(labels) > 1, F.array(F.concat(F.lit("d:"), domain))).otherwise(F.array().cast("array<string>")),
-        F.transform(F.slice(parts, 1, PATH_TOKENS), lambda x: F.concat(F.lit("p:"), x)),
+        F.transform(parts, lambda x: F.concat(F.lit("p:"), x)),
         F.when(ext != "", F.array(F.concat(F.lit("e:"), ext))).otherwise(F.array().cast("array<string>")),
-        F.transform(F.slice(names, 1, QUERY_TOKENS), lambda x: F.concat(F.lit("q:"), x)))
+        F.transform(names, lambda x: F.concat(F.lit("q:"), x)))
     return F.array_sort(F.array_distinct(found))
 
 

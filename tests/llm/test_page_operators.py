@@ -74,6 +74,18 @@ def test_mined_rules_match_brute_force(spark):
     assert len(got) == len(rows)
 
 
+def test_mined_rules_see_late_segments_and_parameters(spark):
+    rows, labels = [], []
+    for k in range(120):
+        path = "/a/b/c/d/" + ("casino" if k % 3 == 0 else "news")
+        query = "?m=1&n=2&o=3&p=4&" + ("promo=1" if k % 3 == 1 else "page=1")
+        rows.append((k, f"http://site.org{path}/{k}{query}", None))
+        labels.append((k, 1 if k % 3 == 2 else 0, 0))
+    lab = spark.createDataFrame(labels[:90], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages(spark, rows), lab).collect()}
+    assert got == {k: "allow" if k % 3 == 2 else "block" for k in range(120)}
+
+
 def test_url_query_uses_no_python_workers(spark):
     plan = LLM_QUERIES["op1_url_rules"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
