@@ -12,6 +12,9 @@ at most ``fit_pages`` pages, the smallest by a hash of the id.
 Blocks: block elements and ``br`` end a block; inline elements don't part words. White space in
 a block becomes one blank, blocks are trimmed, empty ones left out, and joined by a line end.
 
+Only script, style, textarea and title run to their end tag or the page's end. Other elements whose content is no
+text (svg, iframe, object, select, noscript, template, head) end with their end tag or with what they stand in; math is text.
+
 Defined cases: null and empty html give an empty text; a page of plain text is one block of content; unclosed, unmatched
 and cut-off tags are tolerated; a "<" that begins no tag is text; repeated rows are read one by one;
 ties between runs go to the first, longest; with no labelled page the priors alone hold; extra columns
@@ -32,10 +35,16 @@ from pyspark.sql import functions as F
 from postwave.llm.common import ready, slices
 
 #: Element names of HTML.
-RAW = "script style noscript template textarea title svg math iframe object select head"
+RAW = "script style textarea title"
+#: Elements whose content is no text of the page; one without an end tag, or closed by "/>", holds nothing.
+DROPPED = frozenset("noscript template svg iframe object select head annotation annotation-xml".split())
+#: Elements that may stand in a head; others, and text, end it. Elements that end an svg or select left open.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+BREAKS = frozenset("article aside blockquote body dd div dl dt footer h1 h2 h3 h4 h5 h6 header li main nav ol p pre section table ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+                   "small span strike strong sub sup time tt u var wbr math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow "
+                   "ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics path g circle rect line polyline polygon ellipse use defs symbol".split())
 CONTENT = frozenset(("article", "main"))
 BOILER = frozenset("nav footer aside form button dialog menu".split())
 #: Words in class, id and role that name boilerplate.
@@ -58,6 +67,7 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
+DROPPED_END = re.compile("</(" + "|".join(sorted(DROPPED, key=len, reverse=True)) + r")(?=[\s/>])", re.I)
 ATTR = re.compile(r"(?:^|[\s\"'])(class|id|role|aria-label|style|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?:^|[\s\"'])(hidden|aria-hidden\s*=\s*[\"']?true)", re.I)
 NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 SPACE = re.compile(r"\s+")
@@ -96,10 +106,16 @@ def scan(page: str) -> tuple[list[tuple], bool]:
     stack: list[tuple[str, tuple]] = []
     node: tuple = (None, (), False, False)
     marked = False
+    off = None                        # place in the stack of the element whose content is dropped
+    ends = {m.group(1).lower(): m.start() for m in DROPPED_END.finditer(page)}
     for m in TOKEN.finditer(page):
-        kind = m.lastgroup
         if m.group("text") is not None:
             text = m.group("text")
+            if off is not None:
+                if stack[-1][0] != "head" or text.isspace():
+                    continue
+                node, off = stack[off][1], None
+                stack.pop()
             if out and out[-1][0] == "w" and out[-1][2] is node:
                 out[-1] = ("w", out[-1][1] + text, node)
             else:
@@ -109,15 +125,34 @@ def scan(page: str) -> tuple[list[tuple], bool]:
         if not name:
             continue
         name = name.lower()
-        out.append(("t", name, name not in INLINE, node))
         if m.group("end") or m.group("end2"):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    node = stack[k][1]
-                    del stack[k:]
-                    break
-        elif name not in VOID:
-            attrs = m.group("attrs") or m.group("attrs2") or ""
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            if off is not None and k is not None and k < off:           # the end of what the dropped element stands in
+                node, off = stack[off][1], None
+            if off is None and name not in DROPPED:
+                out.append(("t", name, name not in INLINE, node))
+            if k is not None:
+                node = stack[k][1]
+                del stack[k:]
+                if off is not None and k <= off:
+                    off = None
+            continue
+        if off is not None:
+            outer = stack[off][0]
+            if (name == "body" or off == len(stack) - 1 and name not in HEAD if outer == "head"
+                    else outer in ("svg", "select") and name in BREAKS and all(x != "foreignobject" for x, _ in stack[off:])):
+                node = stack[off][1]
+                del stack[off:]
+                off = None
+        if off is None and name not in DROPPED:
+            out.append(("t", name, name not in INLINE, node))
+        attrs = m.group("attrs") or m.group("attrs2") or ""
+        if name in DROPPED or name == "math":
+            if attrs.endswith("/") or name not in ("head", "math") and ends.get(name, -1) < m.end():
+                continue
+            if off is None and name in DROPPED:
+                off = len(stack)
+        if name not in VOID:
             own = features(name, attrs)
             remark = any(f[2:] in REMARKS for f in own if f[:2] == "n:")
             begins = not remark and ("t:article" in own or "t:main" in own) and not node[3]

@@ -163,6 +163,23 @@ def test_main_text(page, text):
     assert text is None or got == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<article><p>one <svg class="i"/> two three</p><p>four</p></article>', "one two three\nfour"),
+    ("<html><head><title>t</title><p>all the text</p>", "all the text"),
+    ("<html><head><meta charset=utf-8><noscript><img src=x></noscript>all the text", "all the text"),
+    ("<html><head><title>t</title><body><p>all the text</p></html>", "all the text"),
+    ("<article><p>one <svg><path d='m'> two</p><p>four</p></article>", "one two\nfour"),
+    ("<article><p>one <svg><text>label</text><path d='m'/></svg> two</p><p>four</p></article>", "one two\nfour"),
+    ("<article><iframe src=x><p>one two</p><object data=y /><p>three</p></article>", "one two\nthree"),
+    ("<article><p>one <svg> <p>two three</p><svg><g>label</g></svg><p>four</p></article>", "one\ntwo three\nfour"),
+    ("<article><p>one</p><select><option>a<option>b</select><noscript><p>turn on</p></noscript><p>two</p></article>", "one\ntwo"),
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</p></article>", "so x=1 holds"),
+    ("<p>one</p><template><p>no</p></template><p>two</p><script>var a='<p>no</p>'", "one\ntwo"),
+])
+def test_elements_without_an_end_tag_cut_nothing(page, text):
+    assert html_extract.main_text(page, html_extract.weights({})) == text
+
+
 def test_html_extraction_over_the_pages(spark):
     def truth(page):
         body = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.S).group(1)
