@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postwave.llm import (html_extract, importance, katz_lm, line_chunks, near_dup, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
+from postwave.llm import (html_extract, importance, katz_lm, knn_join, line_chunks, near_dup, quality_rules, sentencepiece_bpe, template_decontam, url_rules,
                           warc_bundles)
 
 
@@ -64,6 +64,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_join.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_template_decontamination": op2_template_decontamination,
@@ -75,6 +79,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_katz_lm": op8_katz_lm,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_html_extraction": op10_html_extraction,
+    "op13_knn_join": op13_knn_join,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -96,4 +101,15 @@ LLM_ORACLE: dict[str, str] = {
                CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM bits""",
+    "op13_knn_join": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(d.v AS DOUBLE[])) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+        r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 }
