@@ -120,91 +120,70 @@ def _with_ids(blocks: DataFrame, frequent: DataFrame) -> DataFrame:
 
 
 class DoubleArray:
-    """A trie of phrases of equal length: ``check[base[s] + x] == s`` where state s goes on with symbol x (from 1), to state ``base[s] + x``."""
+    """A trie of phrases of equal length: ``check[base[s] + x] == s`` where state s goes on with x, to state ``base[s] + x``.
+
+    Words are numbered within the trie and spelt by the hexadecimal digits of their numbers (from 1), so that a state has 16 children at most, and
+    its children a window of their own: the arrays are built by sorting alone and can't grow beyond a few slots per phrase."""
 
     def __init__(self, phrases: np.ndarray):
-        """``phrases``: distinct rows of word ids, in order."""
+        """``phrases``: distinct rows of word ids."""
         self.symbols = np.unique(phrases)
         rows = np.searchsorted(self.symbols, phrases).astype(np.int64) + 1
         self.phrases, self.length = rows.shape
-        self.base, self.check = np.zeros(2, np.int64), np.full(2, -1, np.int64)
-        self.check[0] = 0
-        state = np.zeros(len(rows), np.int64)
+        self.digits = max(1, -(-int(len(self.symbols)).bit_length() // 4))
+        # Slot 0 is the root; the slots up to 15 stay free, where the base 0 of accepting states leads.
+        end, state, bases, checks = 16, np.zeros(len(rows), np.int64), [], []
         for level in range(self.length):
-            state = self._place(state, rows[:, level])
+            for shift in range(4 * self.digits - 4, -1, -4):
+                steps, back = np.unique(state * 16 + ((rows[:, level] >> shift) & 15), return_inverse=True)
+                parents, digit = steps >> 4, steps & 15
+                first = np.flatnonzero(np.diff(parents, prepend=-1))
+                sizes = np.diff(np.append(first, len(steps)))
+                widths = digit[first + sizes - 1] - digit[first] + 1
+                base = end + np.cumsum(widths) - widths - digit[first]
+                slots = np.repeat(base, sizes) + digit
+                bases.append((parents[first], base))
+                checks.append((slots, parents))
+                end += int(widths.sum())
+                state = slots[back]
+        self.base, self.check, self.phrase = np.zeros(end + 16, np.int32), np.full(end + 16, -1, np.int32), np.full(end + 16, -1, np.int32)
+        for at, base in bases:
+            self.base[at] = base
+        for at, parents in checks:
+            self.check[at] = parents
         #: The phrase of an accepting state.
-        self.phrase = np.full(len(self.base), -1, np.int32)
         self.phrase[state] = np.arange(len(rows))
 
-    def _place(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Gives each state of this level a base where all its symbols are free; returns the rows' next states."""
-        pairs, back = np.unique(state * (len(self.symbols) + 2) + symbol, return_inverse=True)
-        states, symbols = pairs // (len(self.symbols) + 2), pairs % (len(self.symbols) + 2)
-        starts = np.flatnonzero(np.diff(states, prepend=-1))
-        sizes = np.diff(np.append(starts, len(states)))
-        span = len(self.symbols) + 2
-        self._grow(len(self.base) + len(pairs) * 2 + span)
-        used = self.check >= 0
-        free_from, end = 1, int(np.flatnonzero(used)[-1]) + 1
-        # Large sets first; where a few dozen neighbouring bases don't fit, behind all that is used.
-        for k in np.argsort(-sizes, kind="stable"):
-            s, xs = int(states[starts[k]]), symbols[starts[k]:starts[k] + sizes[k]]
-            if len(xs) == 1:
-                while used[free_from]:
-                    free_from += 1
-                b = free_from - int(xs[0])
-                if b < 0:
-                    b = self._fit(used, xs, 0, end)
-            else:
-                b = self._fit(used, xs, max(0, free_from - int(xs[0])), end)
-            need = b + int(xs[-1]) + 2
-            if need > len(used):
-                self._grow(need + span)
-                used = np.concatenate([used, np.zeros(len(self.base) - len(used), bool)])
-            used[b + xs] = True
-            self.base[s], self.check[b + xs] = b, s
-            end = max(end, need - 1)
-        last = int(np.flatnonzero(self.check >= 0)[-1]) + 1
-        self.base, self.check = self.base[:last + span], self.check[:last + span]
-        return (self.base[states] + symbols)[back]
-
-    @staticmethod
-    def _fit(used: np.ndarray, xs: np.ndarray, b: int, end: int) -> int:
-        if len(xs) <= 64:
-            for at in range(b, min(b + 512, end), 64):
-                tries = np.arange(at, at + 64)
-                inside = tries[:, None] + xs
-                fits = ~used[np.minimum(inside, len(used) - 1)].any(axis=1)
-                if fits.any():
-                    return at + int(fits.argmax())
-        return max(0, end - int(xs[0]))
-
-    def _grow(self, n: int) -> None:
-        if n > len(self.base):
-            more = n - len(self.base)
-            self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
-            self.check = np.concatenate([self.check, np.full(more, -1, np.int64)])
-
-    def packed(self) -> dict:
-        return {"symbols": self.symbols, "base": self.base.astype(np.int32), "check": self.check.astype(np.int32), "phrase": self.phrase, "length": self.length, "phrases": self.phrases}
-
-
-def advance(trie: dict, text: np.ndarray) -> np.ndarray:
-    """The phrase (its number in the trie, or -1) that starts at each position of a text of the trie's symbols (0: none)."""
-    n, out = len(text), np.full(len(text), -1, np.int32)
-    base, check = trie["base"], trie["check"]
-    at = np.flatnonzero(text)
-    state = np.zeros(len(at), np.int64)
-    for level in range(trie["length"]):
-        if level:
-            fits = at + level < n
+    def step(self, state: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which states go on with the words x, and to which states (of those that do)."""
+        alive = np.flatnonzero(x)
+        state, x = state[alive], x[alive]
+        for shift in range(4 * self.digits - 4, -1, -4):
+            to = self.base[state] + ((x >> shift) & 15)
+            goes = self.check[to] == state
+            alive, state, x = alive[goes], to[goes], x[goes]
+        return alive, state
+
+    def accepted(self, syms: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The phrase (its number, or -1) that starts at each position; ``codes``: places in ``syms`` (sorted word ids) from 1, or 0.
+
+        All positions advance at once, word by word; the first word's states are found once for each word of ``syms``."""
+        place = np.minimum(np.searchsorted(self.symbols, syms), len(self.symbols) - 1)
+        number = np.concatenate([[0], np.where(self.symbols[place] == syms, place + 1, 0)]).astype(np.int32)
+        alive, state = self.step(np.zeros(len(number), np.int32), number)
+        begin = np.zeros(len(number), np.int32)
+        begin[alive] = state
+        state = begin[codes]
+        at = np.flatnonzero(state)
+        state = state[at]
+        for level in range(1, self.length):
+            fits = at + level < len(codes)
             at, state = at[fits], state[fits]
-        x = text[at + level]
-        to = base[state] + x
-        alive = (x > 0) & (check[to] == state)
-        at, state = at[alive], to[alive]
-    out[at] = trie["phrase"][state]
-    return out
+            alive, state = self.step(state, number[codes[at + level]])
+            at = at[alive]
+        out = np.full(len(codes), -1, np.int32)
+        out[at] = self.phrase[state]
+        return out
 
 
 def _spread(keys: np.ndarray, bits: int, back: bool = False) -> np.ndarray:
@@ -241,7 +220,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["kind", "trie", "path", "sender", "keys", "counts"])
 
 
-def _scan(texts: DataFrame, number: int, trie: dict, bits: int, n_words: int, least: int, only: bool, propose: bool) -> DataFrame:
+def _scan(texts: DataFrame, number: int, trie: DoubleArray, bits: int, n_words: int, least: int, only: bool, propose: bool) -> DataFrame:
     """One pass with one trie: counts of its phrases, and proposals of phrases one word longer.
 
     ``only``: the trie holds all phrases of its length, so what follows must be in it as well."""
@@ -251,7 +230,7 @@ def _scan(texts: DataFrame, number: int, trie: dict, bits: int, n_words: int, le
         from pyspark import TaskContext
 
         trie, sender = held.value, TaskContext.get().partitionId()
-        counts = np.zeros(trie["phrases"], np.int64)
+        counts = np.zeros(trie.phrases, np.int64)
         keys: list[np.ndarray] = []
         sums: list[np.ndarray] = []
         size = 0
@@ -266,15 +245,13 @@ def _scan(texts: DataFrame, number: int, trie: dict, bits: int, n_words: int, le
             for i in range(b.num_rows):
                 syms = unpack_sorted(b.column(0)[i].as_py()).astype(np.int64)
                 codes = unpack(b.column(1)[i].as_py(), np.int32)
-                place = np.searchsorted(trie["symbols"], syms)
-                known = trie["symbols"][np.minimum(place, len(trie["symbols"]) - 1)] == syms
-                phrase = advance(trie, np.concatenate([[0], np.where(known, place + 1, 0)]).astype(np.int32)[codes])
+                phrase = trie.accepted(syms, codes)
                 at = np.flatnonzero(phrase >= 0)
                 counts += np.bincount(phrase[at], minlength=len(counts))
                 if not propose:
                     continue
-                at = at[at + trie["length"] < len(codes)]
-                after = codes[at + trie["length"]]
+                at = at[at + trie.length < len(codes)]
+                after = codes[at + trie.length]
                 fits = (after > 0) & ((phrase[at + 1] >= 0) if only else True)
                 at, after = at[fits], after[fits]
                 if len(at):
@@ -355,9 +332,7 @@ def phrases(docs: DataFrame, least: int = 30, longest: int = LONGEST, text_col:
             # One bounded trie at a time: built on the driver, broadcast, released after its pass.
             rows = np.array(level.where(F.col("trie") == number).select("w").toArrow().column("w").combine_chunks().flatten()).reshape(-1, n - 1)
             rows = rows[np.lexsort(rows.T[::-1])]
-            if n == 2 and not propose:
-                break
-            built = DoubleArray(rows).packed()
+            built = DoubleArray(rows)
             bits = max(RANGE_BITS, int(len(rows) * (n_words + 1) + n_words).bit_length())
             width = {number: max(RANGE_BITS, len(rows).bit_length())}
             sums = _gathered(_scan(texts, number, built, bits, n_words, least, n_tries == 1, propose), bits, width, tasks, least, "phrase-sums")
