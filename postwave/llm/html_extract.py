@@ -4,6 +4,10 @@ A page is a sequence of words and tags. Words score positive, tags negative; wor
 that hold boilerplate score negative, up to a bound for a run of them. One linear scan finds the contiguous run of the best sum; the
 text of its words outside boilerplate elements is the page's main text.
 
+A name alone makes no boilerplate: names of ``html`` and ``body``, names that say what a page has or lacks (``no-sidebar``, ``has-header``), and
+those of an element that holds most of the page's words, most of them not in links (a wrapper, which may be a ``form``; remarks of readers excepted), count for nothing, and
+names of lists of links (related, share, widget and the like) only where links or few words stand in them.
+
 The weights come from labelled pages: pages whose authors marked the main content with an ``article``
 or ``main`` element. Each feature (a tag, an element's name, a token of its class, id or role) gets the
 log odds of being in the marked content, over given prior counts for well-known names. ``fit`` reads
@@ -55,6 +59,13 @@ BOILER_NAMES = frozenset("ad ads adv advert adverts advertisement advertising sp
                          "complementary form alert skip".split())
 #: Names after which even an article inside is no main content.
 REMARKS = frozenset(("comment", "comments", "reply", "replies", "disqus", "respond"))
+#: Parts of a class name that say whether a page has something, not what the element is.
+STATES = frozenset(("no", "not", "non", "without", "has", "have", "with", "hide", "is"))
+#: Names of boxes of links and buttons; elements with this many words or more, few of them in links, are none.
+LINK_NAMES = frozenset("related recommended widget search header skip social share sharing menu pagination pager".split())
+PROSE_WORDS, PROSE_LINKS = 8, 0.3
+#: Share of a page's words from which an element is a wrapper of the page.
+WRAPPER = 0.6
 PRIOR = 50.0
 #: A run of boilerplate words costs no more than this, so that an advert doesn't cut a short page in two; what parts
 #: regions are tags. Inside marked content tags and boilerplate cost only a small part.
@@ -83,13 +94,26 @@ def features(name: str, attrs: str) -> tuple[str, ...]:
                 got.append("hidden")
             elif key.lower() == "itemprop":
                 got += ["t:article"] * (value == "articlebody")
-            elif key.lower() != "style":
-                got += [f"n:{x}" for x in re.findall(r"[a-z]+", value)]
+            elif key.lower() != "style" and name not in ("html", "body"):
+                for one in value.split():
+                    parts = re.findall(r"[a-z]+", one)
+                    got += [f"n:{x}" for x in parts if STATES.isdisjoint(parts) or x not in BOILER_NAMES]
                 if key.lower() == "role" and value == "main":
                     got.append("t:main")
     return tuple(dict.fromkeys(got))
 
 
+class Node:
+    """An open element: its parent, features, whether it stands in marked content or in remarks, and the words below it."""
+
+    __slots__ = ("parent", "own", "inside", "remark", "link", "fresh", "words", "linked", "score")
+
+    def __init__(self, parent: Node | None, own: tuple[str, ...] = (), inside: bool = False, remark: bool = False, link: bool = False):
+        self.parent, self.own, self.inside, self.remark, self.link = parent, own, inside, remark, link
+        self.fresh: tuple[str, ...] = ()        # features that no element around it has
+        self.words, self.linked, self.score = 0, 0, 0.0
+
+
 def prior(feature: str) -> tuple[float, float]:
     """Pseudo-counts of words inside and outside main content."""
     if feature == "hidden" or feature[2:] in (BOILER if feature[0] == "t" else BOILER_NAMES):
@@ -99,50 +123,63 @@ def prior(feature: str) -> tuple[float, float]:
     return 1.0, 1.0
 
 
-def scan(page: str) -> tuple[list[tuple], bool]:
-    """Tokens of a page: ("w", text, stack of element features) or ("t", name, ends a block, stack before it); and whether
-    the page marks its main content. The stack is a linked list (parent, features, in content, marked)."""
+def scan(page: str) -> tuple[list[tuple], bool, list[Node]]:
+    """Tokens of a page: ("w", text, element) or ("t", name, ends a block, element before it); whether the page marks its main
+    content; and its elements in order, the page itself first. Each token takes constant time but for elements that it closes."""
     out: list[tuple] = []
-    stack: list[tuple[str, tuple]] = []
-    node: tuple = (None, (), False, False)
+    stack: list[tuple[str, Node]] = []          # names of open elements, and what they stand in
+    node = Node(None)
+    nodes = [node]
     marked = False
     off = None                        # place in the stack of the element whose content is dropped
     ends = {m.group(1).lower(): m.start() for m in DROPPED_END.finditer(page)}
+    names: dict[str, int] = {}                  # how many elements of a name, and with a feature, are open
+    shown: dict[str, int] = {}
+
+    def close(k: int) -> None:
+        """Takes the elements from place k on off the stack."""
+        nonlocal node
+        for name, above in reversed(stack[k:]):
+            names[name] -= 1
+            for f in node.own:
+                shown[f] -= 1
+            node = above
+        del stack[k:]
+
     for m in TOKEN.finditer(page):
         if m.group("text") is not None:
             text = m.group("text")
             if off is not None:
                 if stack[-1][0] != "head" or text.isspace():
                     continue
-                node, off = stack[off][1], None
-                stack.pop()
+                close(off)
+                off = None
             if out and out[-1][0] == "w" and out[-1][2] is node:
-                out[-1] = ("w", out[-1][1] + text, node)
+                out[-1][1].append(text)
             else:
-                out.append(("w", text, node))
+                out.append(("w", [text], node))
             continue
         name = m.group("name") or m.group("name2")
         if not name:
             continue
         name = name.lower()
         if m.group("end") or m.group("end2"):
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name) if names.get(name) else None
             if off is not None and k is not None and k < off:           # the end of what the dropped element stands in
-                node, off = stack[off][1], None
+                close(off)
+                off = None
             if off is None and name not in DROPPED:
                 out.append(("t", name, name not in INLINE, node))
             if k is not None:
-                node = stack[k][1]
-                del stack[k:]
+                close(k)
                 if off is not None and k <= off:
                     off = None
             continue
         if off is not None:
             outer = stack[off][0]
             if (name == "body" or off == len(stack) - 1 and name not in HEAD if outer == "head"
-                    else outer in ("svg", "select") and name in BREAKS and all(x != "foreignobject" for x, _ in stack[off:])):
-                node = stack[off][1]
-                del stack[off:]
+                    else outer in ("svg", "select") and name in BREAKS and not names.get("foreignobject")):
+                close(off)
                 off = None
         if off is None and name not in DROPPED:
             out.append(("t", name, name not in INLINE, node))
@@ -155,34 +192,49 @@ def scan(page: str) -> tuple[list[tuple], bool]:
         if name not in VOID:
             own = features(name, attrs)
             remark = any(f[2:] in REMARKS for f in own if f[:2] == "n:")
-            begins = not remark and ("t:article" in own or "t:main" in own) and not node[3]
+            begins = not remark and ("t:article" in own or "t:main" in own) and not node.remark
             marked = marked or begins
             stack.append((name, node))
-            node = (node, own, node[2] or begins, node[3] or remark)
-    return out, marked
+            names[name] = names.get(name, 0) + 1
+            node = Node(node, own, node.inside or begins, node.remark or remark, node.link or name in ("a", "button"))
+            node.fresh = tuple(f for f in own if not shown.get(f))
+            for f in own:
+                shown[f] = shown.get(f, 0) + 1
+            nodes.append(node)
+    out = [("w", "".join(t[1]), t[2]) if t[0] == "w" else t for t in out]
+    for t in out:
+        if t[0] == "w" and (n := len(t[1].split())):
+            t[2].words += n
+            t[2].linked += n if t[2].link else 0
+    for x in reversed(nodes[1:]):
+        x.parent.words += x.words
+        x.parent.linked += x.linked
+    return out, marked, nodes
 
 
 def observe(page: str) -> dict[str, list[float]]:
     """Words inside and outside the marked content under each feature, and tags ("T:name") likewise."""
-    tokens, marked = scan(page)
+    tokens, marked, nodes = scan(page)
     counts: dict[str, list[float]] = {}
     if not marked:
         return counts
+    at = {id(x): k for k, x in enumerate(nodes)}
+    words = [[0, 0] for _ in nodes]
     inside = False
     for kind, value, more, *_ in tokens:
         if kind == "w":
             n = len(value.split())
-            inside = more[2] and not more[3]
-            if not n:
-                continue
-            seen, node = set(), more
-            while node[0] is not None:
-                seen.update(node[1])
-                node = node[0]
-            for f in seen:
-                counts.setdefault(f, [0.0, 0.0])[not inside] += n
+            inside = more.inside and not more.remark
+            words[at[id(more)]][not inside] += n
         else:
             counts.setdefault(f"T:{value}", [0.0, 0.0])[not inside] += 1
+    for k in range(len(nodes) - 1, 0, -1):
+        above = words[at[id(nodes[k].parent)]]
+        for i in (0, 1):
+            above[i] += words[k][i]
+            if words[k][i]:
+                for f in nodes[k].fresh:
+                    counts.setdefault(f, [0.0, 0.0])[i] += words[k][i]
     return counts
 
 
@@ -231,50 +283,74 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_p
     return weights({r.feature: (r.a, r.b) for r in counted.collect()})
 
 
-def main_text(page: str, w: dict[str, float]) -> str:
-    """The text of the best run of the page."""
-    tokens, marked = scan(page)
-    scores: dict[int, float] = {}
-    keep: list[object] = []           # nodes stay alive while their ids are keys
-
-    def word_score(node: tuple) -> float:
-        got = scores.get(id(node))
-        if got is None:
-            if node[0] is None:
-                got = -4.0 if marked else 1.0
-            else:
-                above = word_score(node[0])
-                own = min((w[f] for f in node[1] if f in w), default=1.0)
-                if "t:header" in node[1] and not node[2]:
-                    own = min(own, -2.0)
-                begins = node[2] and not node[0][2]
-                got = own if begins else min(above, own) if own < 0 else above if not (marked and not node[2]) else min(above, -4.0)
-                got = min(got, -2.0) if node[3] else got
-            scores[id(node)] = got
-            keep.append(node)
-        return got
-
-    best = total = 0.0
+def _own_score(x: Node, w: dict[str, float], all_words: int) -> float:
+    """The score of an element's words by its own features alone."""
+    wrapper = x.words >= WRAPPER * all_words and 2 * x.linked < x.words
+    prose = x.words >= PROSE_WORDS and x.linked < PROSE_LINKS * x.words
+
+    def counts(f: str) -> bool:
+        if f not in w:
+            return False
+        if w[f] >= 0 or f[2:] in REMARKS or f == "hidden" or f[:2] == "t:" and f != "t:form":
+            return True
+        return not wrapper and not (prose and f[:2] == "n:" and f[2:] in LINK_NAMES)
+
+    own = min((w[f] for f in x.own if counts(f)), default=1.0)
+    return min(own, -2.0) if "t:header" in x.own and not x.inside and not wrapper else own
+
+
+def score(nodes: list[Node], w: dict[str, float], marked: bool) -> None:
+    """The word score of each element, parents first."""
+    nodes[0].score = -4.0 if marked else 1.0
+    for x in nodes[1:]:
+        own, above = _own_score(x, w, nodes[0].words), x.parent.score
+        if x.inside and not x.parent.inside:
+            x.score = own
+        elif own < 0:
+            x.score = min(above, own)
+        else:
+            x.score = above if x.inside or not marked else min(above, -4.0)
+        if x.remark:
+            x.score = min(x.score, -2.0)
+
+
+def best_run(gains: list[tuple[float, float]]) -> tuple[int, int]:
+    """Begin and end of the run of the greatest sum (first, then longest): one scan.
+
+    Each token has its gain and what it adds to the cost of its run of boilerplate words (0 for others, below 0: a word of content, which ends such a run);
+    a run of them costs ``RUN_COST`` at most, counted from where it begins."""
+    best = total = run = 0.0
     start, chosen = 0, (0, 0)
-    run = 0.0                         # what boilerplate words since the last word of content have cost
-    for k, (kind, value, more, *node) in enumerate(tokens):
+    for k, (gain, cost) in enumerate(gains):
         if total <= 0:
             total, start = 0.0, k
-        if kind == "w":
-            n = len(value.split())
-            if n and (s := word_score(more)) >= 0:
-                total, run = total + n, 0.0
-            elif n:
-                cost = min(-n * s * (IN_CONTENT if more[2] else 1.0), RUN_COST - run)
-                total, run = total - cost, run + cost
+        if cost > 0:
+            cost = min(cost, RUN_COST - run)
+            total, run = total - cost, run + cost
         else:
-            total += w.get(f"T:{value}", -0.3) * (IN_CONTENT if node[0][2] else 1.0)
+            total += gain
+            run = 0.0 if cost < 0 else run
         if total > best:
             best, chosen = total, (start, k + 1)
+    return chosen
+
+
+def main_text(page: str, w: dict[str, float]) -> str:
+    """The text of the best run of the page."""
+    tokens, marked, nodes = scan(page)
+    score(nodes, w, marked)
+    gains = []
+    for kind, value, more, *node in tokens:
+        if kind == "w":
+            n = len(value.split())
+            gains.append((0.0, 0.0) if not n else (float(n), -1.0) if more.score >= 0 else (0.0, -n * more.score * (IN_CONTENT if more.inside else 1.0)))
+        else:
+            gains.append((w.get(f"T:{value}", -0.3) * (IN_CONTENT if node[0].inside else 1.0), 0.0))
+    begin, end = best_run(gains)
     blocks, now = [], []
-    for kind, value, more, *_ in tokens[chosen[0]:chosen[1]]:
+    for kind, value, more, *_ in tokens[begin:end]:
         if kind == "w":
-            if word_score(more) >= 0:
+            if more.score >= 0:
                 now.append(value)
         elif more and now:
             blocks.append("".join(now))

@@ -86,7 +86,6 @@ class Model:
         self.end = next((i for i, p in enumerate(pieces) if p[2] == CONTROL and p[0] == "</s>"), None)
         self.pieces = pieces
         self.bytes_at = {int(p[0][3:5], 16): i for i, p in enumerate(pieces) if p[2] == BYTE} if trainer.get(35) else {}
-        self.of_byte = {i: b for b, i in self.bytes_at.items()}
         self.ids = {p[0]: i for i, p in enumerate(pieces) if p[2] == NORMAL}
         scores = sorted({pieces[i][1] for i in self.ids.values()}, reverse=True)
         rank_of = {s: r for r, s in enumerate(scores)}
@@ -117,7 +116,11 @@ class Model:
             if len(text) == 1:
                 self.of_char[ord(text)] = i
         self.numbers = np.array([str(i) for i in range(len(pieces))], object)
-        self.spellings = np.array([" \u2047 " if k == UNKNOWN else "" if k == CONTROL else p.replace(BLANK, " ") for p, _, k in pieces], object)
+        # For decoding, by decimal id: the text of pieces other than bytes; bytes; ids that have no text.
+        self.text_of = {str(i): " \u2047 " if k == UNKNOWN else "" if k == CONTROL else p.replace(BLANK, " ") for i, (p, _, k) in enumerate(pieces) if k != BYTE}
+        self.byte_of = {str(i): int(p[3:5], 16) for i, (p, _, k) in enumerate(pieces) if k == BYTE}
+        self.silent = {str(i) for i, (_, _, k) in enumerate(pieces) if k == CONTROL}
+        self.blank_first = {str(i) for i, (p, _, k) in enumerate(pieces) if k == NORMAL and p[:1] == BLANK}
         tall = [p for p in self.ids if len(p) > 1]
         self.line_cuts = self.dummy and not any("\n" in p for p in tall)
         self.word_cuts = not any(BLANK in p.lstrip(BLANK) for p in tall)
@@ -133,7 +136,7 @@ class Model:
         if not runs or BLANK not in self.ids or min(self.rank[self.ids[BLANK * n]] for n in runs) <= rest:
             return 0
         k = max(runs)
-        own = [""] + self.merge([BLANK * n for n in range(1, 4 * k + 1)])[0]
+        own = [""] + self.merge([BLANK * n for n in range(1, 4 * k + 1)])
         block = str(self.ids[BLANK * k])
         return k if all(own[n] == f"{block} {own[n - k]}" for n in range(k + 1, 4 * k + 1)) else 0
 
@@ -171,10 +174,10 @@ class Model:
             open_ = open_[~hit[open_] & (at != -1)]
         return np.where(hit, self.to[slot], 0), np.where(hit, self.to_rank[slot], NONE)
 
-    def merge(self, segments: list[str]) -> tuple[list[str], list[str]]:
-        """Ids (decimal, joined by blanks) and spelling of each segment (not empty), merged in common rounds."""
+    def merge(self, segments: list[str]) -> list[str]:
+        """Ids (decimal, joined by blanks) of each segment (not empty), merged in common rounds."""
         if not segments:
-            return [], []
+            return []
         flat = "".join(segments)
         sym = self.of_char[np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
         lengths = np.fromiter(map(len, segments), np.int64, len(segments))
@@ -216,36 +219,36 @@ class Model:
         rare = np.flatnonzero(sym >= len(self.pieces))
         sym[rare] = self.unk
         numbers = self.numbers[sym].tolist()
-        spelt = self.spellings[sym].tolist()
         for i, c in zip(rare.tolist(), char[rare].tolist()):
             if self.bytes_at:
                 numbers[i] = " ".join(str(self.bytes_at[x]) for x in flat[c].encode())
-                spelt[i] = flat[c]
             elif i and word[i - 1] == word[i] and numbers[i - 1] in ("", str(self.unk)):
-                numbers[i] = spelt[i] = ""                 # neighbouring unknown characters are one id
+                numbers[i] = ""                            # neighbouring unknown characters are one id
         bounds = np.append(np.flatnonzero(np.append(True, word[1:] != word[:-1])), len(word)).tolist()
         edges = list(zip(bounds, bounds[1:]))
         ids = [" ".join(numbers[a:b]) for a, b in edges]
-        texts = ["".join(spelt[a:b]) for a, b in edges]
         if not self.bytes_at and len(rare):
             ids = [" ".join(x.split()) for x in ids]
-        return ids, texts
-
-    def spell(self, ids: list[int]) -> str:
-        """The text of ids, before the dummy prefix goes."""
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.of_byte:
-                raw.append(self.of_byte[i])
-                continue
-            if raw:
-                out.append(_lossy(bytes(raw)))
-                raw = bytearray()
-            piece, _, kind = self.pieces[i]
-            out.append(" \u2047 " if kind == UNKNOWN else "" if kind == CONTROL else piece)
-        if raw:
-            out.append(_lossy(bytes(raw)))
-        return "".join(out).replace(BLANK, " ")
+        return ids
+
+    def decode(self, ids: list[str]) -> str:
+        """The text of decimal ids: pieces with their blanks, runs of bytes as UTF-8, control ids as nothing, the unknown id as its mark; the blank
+        that the dummy prefix put before the first piece goes."""
+        if self.byte_of and not self.byte_of.keys().isdisjoint(ids):
+            out, raw = [], bytearray()
+            for i in ids:
+                if i in self.byte_of:
+                    raw.append(self.byte_of[i])
+                    continue
+                if raw:
+                    out.append(_lossy(bytes(raw)))
+                    raw = bytearray()
+                out.append(self.text_of[i])
+            text = "".join(out) + _lossy(bytes(raw))
+        else:
+            text = "".join(map(self.text_of.__getitem__, ids))
+        first = next((i for i in ids if i not in self.silent), None)
+        return text[1:] if self.dummy and first in self.blank_first else text
 
 
 def _lossy(raw: bytes) -> str:
@@ -279,7 +282,6 @@ class Coder:
             raise ValueError("a piece holds a blank after another character: words can't be cut apart")
         self.model, self.kept = model, kept
         self.known: dict[str, str] = {}         # key to ids
-        self.spelt: dict[str, str] = {}         # ids to text
         self.run = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
         self.odd = (BLANK, self.MARK, "  ", "\n ", " \n")
 
@@ -311,7 +313,7 @@ class Coder:
     def encode(self, texts: list[str]) -> list[list[str]]:
         """For each text its segments' ids, as strings of decimal ids."""
         if len(self.known) > self.kept:
-            self.known, self.spelt = {}, {}
+            self.known = {}
         flat: list[str] = []
         ends = [0]
         for t in texts:
@@ -320,20 +322,10 @@ class Coder:
             ends.append(len(flat))
         new = list(set(flat).difference(self.known))
         if new:
-            ids, spelt = self.model.merge([self.segment(k) for k in new])
-            self.known.update(zip(new, ids))
-            self.spelt.update(zip(ids, spelt))
+            self.known.update(zip(new, self.model.merge([self.segment(k) for k in new])))
         got = list(map(self.known.__getitem__, flat))
         return [got[a:b] for a, b in zip(ends, ends[1:])]
 
-    def decode(self, segments: list[str]) -> str:
-        """The text of one text's segments of ids."""
-        text = "".join(map(self.spelt.__getitem__, segments))
-        return text[1:] if self.model.dummy and text[:1] == " " else text
-
-
-OUT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-
 
 def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                   keep: tuple[str, ...] = (), with_ids: bool = False, with_text: bool = False,
@@ -358,7 +350,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 joined = " ".join(segments + end)
                 n.append(joined.count(" ") + bool(joined))
                 if digests or with_text:
-                    text = coder.decode(segments)
+                    text = coder.model.decode(joined.split(" ")) if joined else ""
                 if digests:
                     ids_hex.append(hashlib.sha256(joined.encode()).hexdigest())
                     text_hex.append(hashlib.sha256(text.encode()).hexdigest())

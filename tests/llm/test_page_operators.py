@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -218,3 +219,44 @@ def test_oracle(spark, name):
     df = LLM_QUERIES[name](spark, SF)
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({LLM_ORACLE[name]})").fetchall()
     assert Counter(map(tuple, df.collect())) == Counter(want)
+
+
+PROSE = "The quick brown fox jumps over the lazy dog and then it runs away from the farm again."
+
+
+@pytest.mark.parametrize("page,kept,gone", [
+    (f'<body class="single post no-sidebar"><h1>Head</h1><p>{PROSE}</p></body>', 1, ""),
+    (f'<body><div class="elementor-widget-container"><p>{PROSE}</p><p>{PROSE}</p></div></body>', 2, ""),
+    (f'<form id=aspnetForm><div><h1>Head</h1><p>{PROSE}</p></div></form>', 1, ""),
+    (f'<article><p>{PROSE}</p><p class="related-work">{PROSE}</p></article>', 2, ""),
+    (f'<article><p>{PROSE}</p><div class="related"><a href=x>Other news of the day</a> <a href=y>More news to read here</a></div></article>', 1, "news"),
+    (f'<body><div class=post><p>{PROSE}</p></div><div class="comments"><p>{"reader says so " * 60}</p></div></body>', 1, "reader"),
+    (f'<body><div class=post><p>{PROSE}</p></div><footer><p>{"legal words here " * 60}</p></footer></body>', 1, "legal"),
+])
+def test_names_weigh_but_do_not_exclude_alone(page, kept, gone):
+    got = html_extract.main_text(page, html_extract.weights({}))
+    assert got.count(PROSE) == kept and (not gone or gone not in got)
+
+
+def test_deep_and_unmatched_pages_take_linear_time():
+    import time
+    for page, words in (("<div>" * 20_000 + "word " * 30 + "</div>" * 20_000, 30), ("<div>" * 20_000 + "</p>" * 20_000, 0),
+                        ("<svg>" + "<g>" * 20_000 + "<li>one", None), ("<article>" + "<div class=x>a b " * 5_000, 10_000)):
+        began = time.time()
+        got = html_extract.main_text(page, html_extract.weights({}))
+        html_extract.observe("<article>" + page)
+        assert time.time() - began < 10 and (words is None or len(got.split()) == words)
+
+
+def test_the_chosen_run_is_the_best_of_all_runs():
+    rnd = random.Random(9)
+    for _ in range(300):
+        gains = [rnd.choice([(float(rnd.randint(1, 9)), -1.0), (0.0, rnd.random() * 4), (-rnd.random() * 3, 0.0), (0.0, 0.0)]) for _ in range(rnd.randint(0, 25))]
+        run, worth = 0.0, []
+        for gain, cost in gains:                        # a run of boilerplate words costs RUN_COST at most
+            paid = min(cost, html_extract.RUN_COST - run) if cost > 0 else 0.0
+            run = run + paid if cost > 0 else 0.0 if cost < 0 else run
+            worth.append(gain - paid)
+        begin, end = html_extract.best_run(gains)
+        every = [sum(worth[a:b]) for a in range(len(worth)) for b in range(a + 1, len(worth) + 1)]
+        assert abs(sum(worth[begin:end]) - max([0.0, *every])) < 1e-9
