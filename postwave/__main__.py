@@ -24,6 +24,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--processing-time", action="store_true", help="hours of arrival instead of event time")
     ap.add_argument("--output-mode", choices=("update", "complete"), default="update")
     ap.add_argument("--state-partitions", type=int, default=None, help="state stores of each metric stream")
+    ap.add_argument("--spread", type=int, default=None, help="files of a batch per kind and date at most; default: by their size")
+    ap.add_argument("--merged-delay", default=None, help="metrics without state: posts later than this, e.g. '1 hour', are added as corrections")
+    ap.add_argument("--keyed-last-n", action="store_true", help="last 15 as keyed state")
+    ap.add_argument("--fold-every", type=int, default=None, help="batches after which a metric's table is folded")
     ap.add_argument("--replay", action="store_true", help="the input holds captured replay lines")
     ap.add_argument("--interval", default=None, help="override every trigger interval, e.g. '30 seconds'")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
@@ -34,7 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     handles = run_all(spark, args.source, args.out, watermark=args.watermark, available_now=args.available_now,
                       interval=args.interval, strict=args.strict, max_files_per_trigger=args.files_per_trigger,
                       processing_time=args.processing_time, output_mode=args.output_mode, replay=args.replay,
-                      state_partitions=args.state_partitions)
+                      state_partitions=args.state_partitions, spread=args.spread, merged_delay=args.merged_delay, keyed_last_n=args.keyed_last_n,
+                      **({"fold_every": args.fold_every} if args.fold_every else {}))
     try:
         if args.available_now:
             for q in handles.values():

@@ -49,20 +49,21 @@ def sentence_class(sentence: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_
     return (F.least(F.greatest(net, F.lit(-2)), F.lit(2)) + 2).cast("int")
 
 
-def scored_sentences(text: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> Column:
-    """array<struct<pos:int, len:int, cls:int>>, one element per sentence."""
-    return F.transform(sentences(text), lambda s, i: F.struct(
-        (i + 1).alias("pos"), F.char_length(s).alias("len"), sentence_class(s, positive, negative).alias("cls")))
+def scored_sentences(text: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS, classify=None) -> Column:
+    """array<struct<pos:int, len:int, cls:int>>, one element per sentence. ``classify`` (sentence -> class, such as
+    ``sentence_model.SentenceModel.classify``) takes the place of the word lists."""
+    classify = classify or (lambda s: sentence_class(s, positive, negative))
+    return F.transform(sentences(text), lambda s, i: F.struct((i + 1).alias("pos"), F.char_length(s).alias("len"), classify(s).alias("cls")))
 
 
-def sentiment_parts(text: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> Column:
+def sentiment_parts(text: Column, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS, classify=None) -> Column:
     """One fold over the sentences: struct<n, wsum, lsum, csum, main_len, main_cls>.
 
     Stage it as a column (``select``) and derive the means from that column: every mean reads the
     parts several times, and an un-staged fold would be re-run for each read.
     """
-    scored = F.transform(sentences(text), lambda s: F.struct(F.char_length(s).alias("len"),
-                                                             sentence_class(s, positive, negative).alias("cls")))
+    classify = classify or (lambda s: sentence_class(s, positive, negative))
+    scored = F.transform(sentences(text), lambda s: F.struct(F.char_length(s).alias("len"), classify(s).alias("cls")))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("wsum"), F.lit(0).cast("bigint").alias("lsum"),
                     F.lit(0).cast("bigint").alias("csum"), F.lit(0).alias("main_len"), F.lit(-1).alias("main_cls"))
 
@@ -94,11 +95,11 @@ def main_from_parts(parts: Column) -> Column:
 
 def with_sentiment(df: DataFrame, text_col: str = "text", weighted: str | None = "sentiment",
                    mean: str | None = None, main: str | None = None,
-                   positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> DataFrame:
+                   positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS, classify=None) -> DataFrame:
     """Adds the chosen sentiment columns; the text is scored once. Word lists (lower case) may be
     replaced; they travel inside the plan as hash sets, so their size is the caller's bound. Any other
     scorer's output can equally replace the ``sentiment`` column of the posts before the metrics."""
-    staged = df.withColumn("_sp", sentiment_parts(F.col(text_col), positive, negative))
+    staged = df.withColumn("_sp", sentiment_parts(F.col(text_col), positive, negative, classify))
     outs = []
     if weighted:
         outs.append(weighted_from_parts(F.col("_sp")).alias(weighted))

@@ -11,14 +11,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-ZONE_SUFFIX = "(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+#: A zone at the end of a time (not of a date, whose ``-01`` is a day).
+ZONE_SUFFIX = "[T ]\\S*\\s*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+DATE_ONLY = "^[+-]?[0-9]{4,6}(-[0-9]{1,2}){0,2}$"
 
 
 def parse_created_at(created_at: Column) -> Column:
-    """ISO-8601 text (``2024-03-07T08:15:30.250Z``) to TIMESTAMP; text without a zone is UTC (not
+    """ISO-8601 text (``2024-03-07T08:15:30.250Z``) to TIMESTAMP; a time without a zone and a date alone are UTC (not
     the session zone); unparsable text gives null."""
-    text = F.when(created_at.rlike(ZONE_SUFFIX), created_at).otherwise(F.concat(created_at, F.lit("Z")))
-    return F.try_to_timestamp(text)
+    text = F.trim(created_at)
+    day = F.timestamp_seconds(F.unix_date(text.try_cast("date")).cast("long") * 86400)
+    timed = F.when(text.rlike(ZONE_SUFFIX), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(text.rlike(DATE_ONLY), day).otherwise(F.try_to_timestamp(timed))
 
 
 def utc_date(ts: Column) -> Column:

@@ -45,13 +45,47 @@ def _measure(spec: MetricSpec) -> Column:
 
 def windowed(posts: DataFrame, spec: MetricSpec, time_col: str = "created_ts") -> DataFrame:
     """The grouped frame with the ``window`` struct kept (the streaming form needs it)."""
+    return _grouped(posts, spec, time_col).agg(_measure(spec))
+
+
+def windowed_partials(posts: DataFrame, spec: MetricSpec, time_col: str = "created_ts") -> DataFrame:
+    """Like ``windowed``, with the measure's sums, ``_rows`` and ``_latest`` (the greatest time, in microseconds)."""
+    return _grouped(posts, spec, time_col).agg(*partials(spec), F.count(F.lit(1)).alias("_rows"), F.max(F.unix_micros(F.col(time_col))).alias("_latest"))
+
+
+def _grouped(posts: DataFrame, spec: MetricSpec, time_col: str):
     df = posts
     if spec.where:
         df = df.where(spec.where)
     if spec.explode:
         arr, elem = spec.explode
         df = df.withColumn(elem, F.explode(F.col(arr)))
-    return df.groupBy(F.window(F.col(time_col), spec.window).alias("window"), *spec.keys).agg(_measure(spec))
+    return df.groupBy(F.window(F.col(time_col), spec.window).alias("window"), *spec.keys)
+
+
+def partials(spec: MetricSpec) -> list[Column]:
+    """The measure as sums that can be added up over batches (see ``from_partials``)."""
+    if spec.measure == "count":
+        return [F.count(F.lit(1)).alias("_n")]
+    kind, col = spec.measure.split(":", 1)
+    value = F.when(F.col(col) >= 0, F.col(col)) if kind == "avg_scored" else F.col(col)
+    return [F.sum(value).alias("_s")] if kind == "sum" else [F.sum(value).alias("_s"), F.count(value).alias("_n")]
+
+
+def partial_columns(spec: MetricSpec) -> list[str]:
+    return ["_n"] if spec.measure == "count" else ["_s"] if spec.measure.startswith("sum:") else ["_s", "_n"]
+
+
+def from_partials(spec: MetricSpec) -> Column:
+    """The measure from its added-up sums."""
+    if spec.measure == "count":
+        value = F.col("_n")
+    elif spec.measure.startswith("sum:"):
+        value = F.col("_s")
+    else:
+        value = F.when(F.col("_n") > 0, F.col("_s") / F.col("_n"))
+        value = F.coalesce(value, F.lit(-1.0)) if spec.measure.startswith("avg_scored:") else value
+    return value.alias(spec.measure_name)
 
 
 def with_hour_key(df: DataFrame, spec: MetricSpec) -> DataFrame:

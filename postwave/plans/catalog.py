@@ -13,11 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postwave.functions import sentence_model
 from postwave.functions import sentiment as S
 from postwave.functions.timekeys import hour_key
 from postwave.operators import lastn, metrics as M, parse
 from postwave.operators.rules import roster_rules
 from postwave.operators.upsert import upsert_merge
+from postwave.plans import sql_surface
 from postwave.session import checkpoint_root
 from postwave.sources import envelopes, roster, tables
 
@@ -122,6 +124,16 @@ def q_sentence_scores(spark, sf_dir):
     return d.select("doc_id", F.col("x.pos").alias("pos"), F.col("x.len").alias("len"), F.col("x.cls").alias("cls"))
 
 
+def q_trained_sentence_scores(spark, sf_dir):
+    """Sentence classes of a model fitted on labelled documents (toxic: 0, poor: 2, else 4)."""
+    labels = tables.read_table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 2).otherwise(4).alias("cls"))
+    docs = _documents(spark, sf_dir)
+    model = sentence_model.fit(sentence_model.labelled_sentences(docs, labels))
+    parts = docs.select("doc_id", F.posexplode(S.sentences(F.col("text"))).alias("pos", "s"))
+    scored = parts.select("doc_id", (F.col("pos") + 1).alias("pos"), model.scores(F.col("s")).alias("x"))
+    return scored.select("doc_id", "pos", (F.array_position("x", F.array_max("x")) - 1).cast("int").alias("cls"), F.array_max("x").alias("score"))
+
+
 def q_doc_sentiment(spark, sf_dir):
     d = S.with_sentiment(_documents(spark, sf_dir), "text", "sentiment", "mean_sentiment", "main_sentiment",
                          positive=CHECK_WORDS[0], negative=CHECK_WORDS[1])
@@ -145,6 +157,22 @@ def q_roster_dedup(spark, sf_dir):
     return _roster(spark, sf_dir)
 
 
+def q_roster_file_order(spark, sf_dir):
+    """Roster files that list each account three times, in no order, read in many small splits: the later line wins."""
+    path = f"{checkpoint_root(spark)}/roster-{uuid.uuid4().hex}"
+    tables.land_roster_files(spark, sf_dir, path)
+    key, small = "spark.sql.files.maxPartitionBytes", "16384"
+    old = spark.conf.get(key)
+    spark.conf.set(key, small)
+    try:
+        lines = roster.line_numbers(roster.read_roster_lines(spark, path))
+    finally:
+        spark.conf.set(key, old)
+    listed = roster.load_roster(lines)
+    kept = roster.dedup_roster(listed, ("version", "block", "at"))
+    return kept.select("user_id", "party").join(listed.select("user_id", "party", "line"), ["user_id", "party"])
+
+
 def q_roster_rules(spark, sf_dir):
     return roster_rules(_roster(spark, sf_dir))
 
@@ -180,6 +208,14 @@ def q_last15_documents(spark, sf_dir):
     return docs.select("scope", "party", F.array_join("tweetIds", ",").alias("tweet_ids"))
 
 
+def q_metric_from_sql(spark, sf_dir):
+    """A metric that no MetricSpec can say (posts, distinct users and mean scored sentiment by source), declared in SQL text."""
+    sql_surface.register(spark, posts(spark, sf_dir))
+    return spark.sql("""
+        SELECT year, month, day, hour, party, source, count(*) AS posts, count(DISTINCT username) AS users, round(avg(scored(sentiment)), 9) AS mean_sentiment
+        FROM hourly_posts(DATE'1900-01-01', DATE'2999-12-31') GROUP BY year, month, day, hour, party, source""")
+
+
 def q_metric_documents(spark, sf_dir):
     spec = M.POSTS_BY_HOUR_PARTY
     return M.as_documents(M.metric_from_spec(posts(spark, sf_dir), spec), spec, as_json=True)
@@ -224,15 +260,18 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hour_key": q_hour_key,
     "sentences": q_sentences,
     "sentence_scores": q_sentence_scores,
+    "trained_sentence_scores": q_trained_sentence_scores,
     "doc_sentiment": q_doc_sentiment,
     "sentiment_label": q_sentiment_label,
     "roster_load": q_roster_load,
     "roster_dedup": q_roster_dedup,
+    "roster_file_order": q_roster_file_order,
     "roster_rules": q_roster_rules,
     "replay_unwrap": q_replay_unwrap,
     "ingest_counts": q_ingest_counts,
     "raw_landing": q_raw_landing,
     "last15_documents": q_last15_documents,
     "metric_documents": q_metric_documents,
+    "metric_from_sql": q_metric_from_sql,
     "upsert_merge": q_upsert_merge,
 }

@@ -7,6 +7,7 @@ building, parsing and validation are checked against SQL that never sees an enve
 
 from __future__ import annotations
 
+from postwave.functions import sentence_model as SM
 from postwave.functions import sentiment as S
 from postwave.plans.catalog import CHECK_WORDS
 from postwave.sources import tables as TB
@@ -112,6 +113,33 @@ dedup AS (
 )"""
 
 
+def _trained() -> str:
+    """Naive Bayes over hashed words and word pairs, fitted and applied in SQL."""
+    words = f"regexp_extract_all(lower(s), '{S.TOKEN_PATTERN}')"
+    feats = (f"list_concat({words}, list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))")
+    bucket = f"CAST('0x' || substr(md5(f), 1, {SM.HEX_DIGITS}) AS INTEGER)"
+    return f"""
+    WITH lab AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 2 ELSE 4 END AS cls FROM labels),
+    sample AS (SELECT text, cls FROM documents JOIN lab USING (doc_id) WHERE text IS NOT NULL ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT {SM.SAMPLE_TEXTS}),
+    sent AS (SELECT cls, unnest({_sentences('text')}) AS s FROM sample),
+    counted AS (SELECT cls, {bucket} AS bucket, count(*) AS n FROM (SELECT cls, unnest({feats}) AS f FROM sent) GROUP BY ALL),
+    classes AS (SELECT CAST(unnest(range(0, {SM.CLASSES})) AS INTEGER) AS cls),
+    totals AS (SELECT cls, (SELECT coalesce(sum(n), 0) FROM counted c WHERE c.cls = classes.cls) AS total FROM classes),
+    prior AS (SELECT cls, CAST(round({SM.SCALE} * (ln((SELECT count(*) FROM sent x WHERE x.cls = classes.cls) + 1.0::DOUBLE)
+              - ln((SELECT count(*) FROM sent) + {SM.CLASSES}::DOUBLE))) AS BIGINT) AS w FROM classes),
+    weights AS (SELECT t.cls, b.bucket, CAST(round({SM.SCALE} * (ln(coalesce(c.n, 0) + 1.0::DOUBLE) - ln(t.total + {SM.BUCKETS}::DOUBLE))) AS BIGINT) AS w
+                FROM totals t CROSS JOIN (SELECT CAST(unnest(range(0, {SM.BUCKETS})) AS INTEGER) AS bucket) b LEFT JOIN counted c ON c.cls = t.cls AND c.bucket = b.bucket),
+    lines AS (SELECT doc_id, unnest(x) AS s, CAST(unnest(range(1, len(x) + 1)) AS INTEGER) AS pos FROM (SELECT doc_id, {_sentences('text')} AS x FROM documents)),
+    found AS (SELECT doc_id, pos, {bucket} AS bucket FROM (SELECT doc_id, pos, unnest({feats}) AS f FROM lines)),
+    sums AS (SELECT doc_id, pos, w.cls, sum(w.w) AS w FROM found JOIN weights w USING (bucket) GROUP BY ALL),
+    scored AS (SELECT l.doc_id, l.pos, p.cls, CAST(p.w + coalesce(s.w, 0) AS BIGINT) AS score
+               FROM lines l CROSS JOIN prior p LEFT JOIN sums s ON s.doc_id = l.doc_id AND s.pos = l.pos AND s.cls = p.cls)
+    SELECT doc_id, pos, cls, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY score DESC, cls) AS rn FROM scored) WHERE rn = 1"""
+
+
+_LAST15_BY_PARTY = ("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
+                    "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15")
+
 ORACLE: dict[str, str] = {
     "posts_by_hour_party": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
     "hashtags_by_hour": _q(f"SELECT {H}, hashtag, count(*) AS count FROM "
@@ -159,6 +187,7 @@ ORACLE: dict[str, str] = {
                  f"FROM (SELECT doc_id, {_sentences('text')} AS s FROM documents)",
     "sentence_scores": f"SELECT doc_id, e.pos AS pos, e.len AS len, e.cls AS cls FROM "
                        f"(SELECT doc_id, unnest({_scored('text', *CHECK_WORDS)}) AS e FROM documents)",
+    "trained_sentence_scores": _trained(),
     "doc_sentiment": f"SELECT doc_id, {_weighted('x')} AS sentiment, {_mean('x')} AS mean_sentiment, "
                      f"CAST({_main('x')} AS INTEGER) AS main_sentiment "
                      f"FROM (SELECT doc_id, {_scored('text', *CHECK_WORDS)} AS x FROM documents)",
@@ -167,6 +196,11 @@ ORACLE: dict[str, str] = {
                        f"GROUP BY ALL",
     "roster_load": f"WITH {_roster_base()} SELECT * FROM roster",
     "roster_dedup": f"WITH {_roster_base()} SELECT * FROM dedup",
+    "roster_file_order": "WITH l AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_mktsegment || ' ' || v AS party, "
+                         "md5(CAST(c_custkey AS VARCHAR) || ':' || v) AS o, "
+                         "row_number() OVER (PARTITION BY c_custkey % 3 ORDER BY md5(CAST(c_custkey AS VARCHAR) || ':' || v)) AS line "
+                         "FROM customer, (SELECT unnest(['0', '1', '2']) AS v)) "
+                         "SELECT user_id, party, line FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY o DESC) AS rn FROM l) WHERE rn = 1",
     "roster_rules": f"WITH {_roster_base()}, pos AS (SELECT user_id, screen_name, "
                     f"CAST((row_number() OVER (ORDER BY user_id, screen_name) - 1) // 20 + 1 AS INTEGER) AS chunk, "
                     f"row_number() OVER (ORDER BY user_id, screen_name) AS rn FROM dedup) "
@@ -179,6 +213,12 @@ ORACLE: dict[str, str] = {
                         f"count(*) FILTER (WHERE {_BAD}) AS rejected, "
                         f"count(*) FILTER (WHERE event_id % {TB.TRUNCATED_MOD} <> 0 AND event_id % {TB.ERROR_MOD} = 0) "
                         f"AS error_envelopes FROM base"),
+    "stream_progress": _q(f"SELECT count(*) AS lines, count(*) FILTER (WHERE NOT {_BAD}) AS valid, count(*) FILTER (WHERE {_BAD}) AS rejected, "
+                          f"count(*) FILTER (WHERE event_id % {TB.TRUNCATED_MOD} <> 0 AND event_id % {TB.ERROR_MOD} = 0) AS error_envelopes, "
+                          f"CAST(0 AS BIGINT) AS dropped, CAST(0 AS BIGINT) AS failed FROM base"),
+    "stream_state_audit": _q(f"SELECT {H}, party, count(*) AS in_state, count(*) AS in_table FROM hposts GROUP BY ALL"),
+    "metric_from_sql": _q(f"SELECT {H}, party, source, CAST(count(*) AS BIGINT) AS posts, CAST(count(DISTINCT username) AS BIGINT) AS users, "
+                          f"round(avg(CASE WHEN {_SENT} >= 0 THEN {_SENT} END), 9) AS mean_sentiment FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
     "raw_landing": _q("SELECT id, id AS landed_id, user_id AS landed_author_id FROM posts"),
     # Days before the newer run keep the older run's counts, which are twice the true ones.
     "upsert_merge": _q(f"SELECT {H}, party, CAST(c * (CASE WHEN day < 15 THEN 2 ELSE 1 END) AS BIGINT) AS count "
@@ -191,6 +231,7 @@ ORACLE: dict[str, str] = {
                            f"',\"party\":\"' || party || '\"}},\"count\":' || c || '}}' AS document FROM "
                            f"(SELECT {H}, party, count(*) AS c FROM hposts GROUP BY {H}, party)"),
     "stream_late_posts": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
+    "stream_late_corrections": _q(f"SELECT {H}, party, count(*) AS count FROM hposts GROUP BY ALL"),
     "stream_last15_combined": _q("SELECT CAST(row_number() OVER (ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency, id "
                                  "FROM posts ORDER BY ts_ms DESC, id DESC LIMIT 15"),
     "stream_ingest": _q("SELECT id, party, createdDate, user_id, attachments FROM posts"),
@@ -207,6 +248,6 @@ ORACLE: dict[str, str] = {
     "stream_active_users_by_hour": _q(f"SELECT {H}, username, party, count(*) AS count FROM hposts GROUP BY ALL"),
     "stream_sentiment_by_hour": _q(f"SELECT {H}, party, round(avg({_SENT}), 9) AS sentiment "
                                    f"FROM hposts p JOIN docsent s USING (doc_id) GROUP BY ALL"),
-    "stream_last15": _q("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
-                        "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15"),
+    "stream_last15_state": _q(_LAST15_BY_PARTY),
+    "stream_last15": _q(_LAST15_BY_PARTY),
 }

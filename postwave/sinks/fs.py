@@ -55,3 +55,25 @@ def run_number(spark: SparkSession, path: str, checkpoint: str) -> int:
         known[query_id] = str(1 + max(map(int, known.values()), default=-1))
         ensure_dir(spark, f"{path.rstrip('/')}/_runs/{known[query_id]}_{query_id}")
     return int(known[query_id])
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """``path`` with this text, seen whole or not at all: written beside it, then renamed."""
+    p, fs = _fs(spark, path)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.tmp")
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(aside, p):
+        raise OSError(f"cannot rename to {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

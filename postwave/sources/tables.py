@@ -137,3 +137,16 @@ def roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     v2 = c.where(F.col("c_acctbal") < 0).select(F.lit(2).alias("version"),
                                                 F.concat_ws(";", *cells(F.lit("INDEPENDENT"))).alias("value"))
     return v1.unionByName(v2)
+
+
+def land_roster_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Roster files with a header built from ``customer``: three files by c_custkey, each with three lines per customer (their
+    parties end in 0, 1, 2) in the order of a digest."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    uid = F.col("c_custkey").cast("string")
+    rows = c.select("*", F.explode(F.array(*[F.lit(v) for v in "012"])).alias("v")).select(
+        (F.col("c_custkey") % 3).alias("file"), F.md5(F.concat_ws(":", uid, "v").cast("binary")).alias("order"),
+        F.concat_ws(";", "c_name", uid, "c_name", F.concat_ws(" ", "c_mktsegment", "v"), F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")),
+                    F.lit("2021-01-01")).alias("value"))
+    placed = rows.repartition(3, "file").sortWithinPartitions("file", "order").select("file", "value")
+    placed.write.partitionBy("file").option("header", True).option("sep", "\x01").option("quote", "").csv(path)

@@ -16,6 +16,7 @@ from postwave.operators import metrics as M
 from postwave.session import scratch_path
 from postwave.sinks.tables import read_last_n
 from postwave.sources import tables
+from postwave.streaming import progress
 from postwave.streaming import queries as SQ
 
 
@@ -79,6 +80,57 @@ def q_stream_last15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _last15(spark, sf_dir).where("scope = 'party'").select("party", "recency", "id")
 
 
+def q_stream_last15_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without any order of time arrive in two lots; the second is met after a restart from the checkpoint."""
+    path, out = scratch_path(spark, "lots"), scratch_path(spark, "keyed")
+    lines = tables.envelope_lines(spark, sf_dir).select("value").repartition(12)
+    later = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for lot in (lines.where(~later), lines.where(later)):
+        lot.write.mode("append").text(path)
+        SQ.start_ingest(spark, path, f"{out}/posts", f"{out}/ck_ingest", available_now=True, max_files_per_trigger=4).awaitTermination()
+        SQ.start_last_n_state(spark, f"{out}/posts", f"{out}/last15", f"{out}/ck", available_now=True,
+                              max_files_per_trigger=60, state_partitions=4).awaitTermination()
+    return SQ.read_last_n_state(spark, f"{out}/last15").where("scope = 'party'").select("party", "recency", "id")
+
+
+def q_stream_late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch holds posts of all hours and a watermark of one hour follows the newest: what is behind it is added as corrections."""
+    path = scratch_path(spark, "unclustered")
+    tables.envelope_lines(spark, sf_dir).select("value").repartition(12).write.text(path)
+    out, spec = scratch_path(spark, "merged"), M.POSTS_BY_HOUR_PARTY
+    SQ.start_ingest(spark, path, f"{out}/posts", f"{out}/ck_ingest", available_now=True, max_files_per_trigger=4).awaitTermination()
+    SQ.start_metric_merged(spark, f"{out}/posts", spec, f"{out}/{spec.name}", f"{out}/ck", "1 hour", available_now=True, max_files_per_trigger=20,
+                           fold_every=4).awaitTermination()
+    return SQ.read_metric_merged(spark, f"{out}/{spec.name}", spec)
+
+
+def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 from the stored progress: the ingest stream reads two lots of files, with a restart between them."""
+    path, out = scratch_path(spark, "lots"), scratch_path(spark, "progress")
+    lines = tables.envelope_lines(spark, sf_dir).select("value").repartition(10)
+    later = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    log = progress.ProgressLog(spark, f"{out}/progress", fold_every=4).attach()
+    try:
+        for lot in (lines.where(~later), lines.where(later)):
+            lot.write.mode("append").text(path)
+            q = SQ.start_ingest(spark, path, f"{out}/posts", f"{out}/ck_ingest", available_now=True, max_files_per_trigger=2)
+            q.awaitTermination()
+            progress.wait_for(spark, f"{out}/progress", q)
+    finally:
+        log.detach()
+    got = progress.totals(spark, f"{out}/progress").where(F.col("query") == str(q.id))
+    return got.select("lines", "valid", "rejected", "error_envelopes", F.col("rows_dropped").alias("dropped"), F.col("failed").cast("long").alias("failed"))
+
+
+def q_stream_state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of a metric's stream, read back after a restart, beside the metric table's rows of the same keys."""
+    src, out, spec = land_envelopes(spark, sf_dir), scratch_path(spark, "audit"), M.POSTS_BY_HOUR_PARTY
+    for files in (3, 2):                            # the second start goes on from the checkpoint
+        SQ.start_ingest(spark, src, f"{out}/posts", f"{out}/ck_ingest", available_now=True, max_files_per_trigger=files).awaitTermination()
+        SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/{spec.name}", f"{out}/ck", available_now=True, state_partitions=4).awaitTermination()
+    return SQ.audit_state(spark, f"{out}/ck", f"{out}/{spec.name}", spec)
+
+
 STREAM_QUERIES = {
     "stream_ingest": q_stream_ingest,
     "stream_posts_by_hour": _metric(M.POSTS_BY_HOUR_PARTY),
@@ -91,5 +143,9 @@ STREAM_QUERIES = {
     "stream_sentiment_by_hour": q_stream_sentiment_by_hour,
     "stream_last15": q_stream_last15,
     "stream_last15_combined": q_stream_last15_combined,
+    "stream_last15_state": q_stream_last15_state,
     "stream_late_posts": q_stream_late_posts,
+    "stream_late_corrections": q_stream_late_corrections,
+    "stream_progress": q_stream_progress,
+    "stream_state_audit": q_stream_state_audit,
 }

@@ -1,11 +1,12 @@
-"""Every registered query against its DuckDB oracle on the smallest test tables."""
-
-import math
+"""Every registered query of the library against its DuckDB oracle on the smallest test tables (those of ``llm`` have tests of their own)."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from postwave.plans.catalog import BATCH_QUERIES
+from postwave.plans.oracle import ORACLE
+from postwave.streaming.catalog import STREAM_QUERIES
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -20,21 +21,22 @@ def duck():
     return con
 
 
+QUERIES = {**BATCH_QUERIES, **STREAM_QUERIES}
+
+
 def norm(v):
-    if isinstance(v, float):
-        return repr(round(v, 9))
-    if hasattr(v, "item"):
-        return norm(v.item())
-    return repr(v)
+    return repr(round(v, 9)) if isinstance(v, float) else repr(v)
 
 
-def table(pdf):
-    cols = sorted(pdf.columns)
-    return cols, sorted(tuple(norm(r[c]) for c in cols) for _, r in pdf.iterrows())
+def table(arrow):
+    """Column names and sorted rows of an Arrow table; nulls stay apart from NaN."""
+    cols = sorted(arrow.column_names)
+    return cols, sorted(zip(*[[norm(v) for v in arrow.column(c).to_pylist()] for c in cols]))
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry(spark):
@@ -43,10 +45,10 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    got = table(E.queries()[name](spark, SF_SMALL).toPandas())
-    want = table(duck.sql(E.oracle_sql()[name]).df())
+    got = table(QUERIES[name](spark, SF_SMALL).toArrow())
+    want = table(duck.sql(ORACLE[name]).to_arrow_table())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]

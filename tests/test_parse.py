@@ -146,3 +146,18 @@ def test_strict_mode_rejects_non_string_fields(spark):
     assert lenient == {0: None, 1: None, 2: None}
     p = parse.posts(parse.parse_lines(df.where("n = 2"), strict=True)).collect()[0]
     assert p["hashtags"] == ["h"] and p["attachments"] == 1 and p["in_reply_to_user_id"] is None
+
+
+def test_times_without_zone_are_utc_in_any_session_zone(spark):
+    from postwave.functions.timekeys import parse_created_at
+    cases = {"2024-01-01": 1704067200, "2024-01": 1704067200, "2024": 1704067200, "2024-01-01T00:00:00": 1704067200, "2024-01-01 00:00:00": 1704067200,
+             "2024-01-01T00:00:00Z": 1704067200, "2024-01-01T02:00:00+02:00": 1704067200, "2024-01-01T00:00:00.000-01": 1704070800,
+             "2024-01-01 09:00:00 +09:00": 1704067200, " 2024-01-01 ": 1704067200, "2024-13-01": None, "10.30 Uhr": None, "": None}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("Asia/Tokyo", "America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(c,) for c in cases], "c string").select("c", F.unix_seconds(parse_created_at(F.col("c"))).alias("s"))
+            assert {r["c"]: r["s"] for r in df.collect()} == cases
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

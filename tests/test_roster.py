@@ -74,3 +74,25 @@ def test_hot_key_spreads_over_partitions(spark):
     sizes = [r["n"] for r in pos.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert max(sizes) < 1000          # the 1,000 "hot" rows do not sit in one partition
     assert sorted(r["position"] for r in pos.collect()) == list(range(3000))
+
+
+def test_later_line_wins_over_many_splits(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/r")
+    lines = [f"name{i};{i % 97};N{i};P{(i * 7919) % 1000};Ort;2020" for i in range(2000)]
+    for name, part in (("a.csv", lines[:1200]), ("b.csv", lines[1200:])):
+        with open(f"{tmp_dir}/r/{name}", "w") as f:
+            f.write("\n".join([HEADER, *part]) + "\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = {r["user_id"]: r["screen_name"] for r in roster.read_roster(spark, f"{tmp_dir}/r").collect()}
+        assert got == {str(i % 97): f"name{i}" for i in range(2000)}
+        read = roster.read_roster_lines(spark, f"{tmp_dir}/r")
+        assert read.rdd.getNumPartitions() > 10
+        numbers = {r["value"].split(";")[0]: r["line"] for r in roster.line_numbers(read).collect()}
+        assert numbers == {f"name{i}": (i if i < 1200 else i - 1200) + 1 for i in range(2000)}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -50,3 +50,40 @@ def test_custom_word_lists(spark):
     r = S.with_sentiment(df, "text", "w", positive=("sonnig",), negative=("regen",)).collect()[0]
     # "Sonnig heute." -> +1 -> class 3 (len 13); "Regen morgen!" -> -1 -> class 1 (len 13)
     assert r["w"] == (3 * 13 + 1 * 13) / 26
+
+
+def test_trained_classes_against_counting(spark):
+    """Naive Bayes by hand over a small sample; held-out sentences get their classes."""
+    import hashlib
+    import math
+    import re
+
+    from postwave.functions import sentence_model as SM
+
+    good, bad = ["schöner Tag heute", "sehr schöner Abend", "heute schöner Abend!"], ["übler Regen", "sehr übler Tag", "übler Regen heute?"]
+    texts = spark.createDataFrame([(i, ". ".join(s)) for i, s in enumerate([good, bad, [], ["neutral hier"]])], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 4), (1, 0), (3, 2), (9, 1)], "doc_id long, cls int")
+    model = SM.fit(SM.labelled_sentences(texts, labels))
+
+    def buckets(s):
+        w = re.findall(r"[^\W\d_]+", s.lower())
+        return [int(hashlib.md5(f.encode()).hexdigest()[:SM.HEX_DIGITS], 16) for f in w + [f"{a} {b}" for a, b in zip(w, w[1:])]]
+
+    sample = [(4, s) for s in good] + [(0, s) for s in bad] + [(2, "neutral hier")]
+    n = {c: [b for k, s in sample if k == c for b in buckets(s)] for c in range(5)}
+
+    def scores(s):
+        out = []
+        for c in range(5):
+            prior = math.log(sum(k == c for k, _ in sample) + 1.0) - math.log(len(sample) + 5.0)
+            out.append(round(SM.SCALE * prior) + sum(round(SM.SCALE * (math.log(n[c].count(b) + 1.0) - math.log(len(n[c]) + SM.BUCKETS))) for b in buckets(s)))
+        return out
+
+    asked = ["ein schöner Abend", "Regen, übler Regen", "", "123", "neutral"]
+    got = spark.createDataFrame([(s,) for s in asked], "s string").select("s", model.scores(F.col("s")).alias("x"), model.classify(F.col("s")).alias("c")).collect()
+    assert [r["x"] for r in got] == [scores(s) for s in asked]
+    assert [r["c"] for r in got] == [max(range(5), key=lambda c: (x[c], -c)) for x in map(scores, asked)] and [r["c"] for r in got][:2] == [4, 0]
+    parts = S.with_sentiment(spark.createDataFrame([("ein schöner Abend. Regen, übler Regen.",)], "text string"), mean="m", classify=model.classify).first()
+    assert parts["m"] == 2.0
+    plan = spark.createDataFrame([("x",)], "s string").select(model.classify(F.col("s")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Join" not in plan

@@ -40,7 +40,6 @@ def test_stream_equals_batch(spark, tmp_dir):
     m.awaitTermination()
     batch = catalog.BATCH_QUERIES["posts_by_hour_party"](spark, SF_SMALL)
     assert rows(SQ.read_metric(spark, f"{tmp_dir}/a3", M.POSTS_BY_HOUR_PARTY), A3) == rows(batch, A3)
-    assert SQ.rows_dropped(m) == 0
     l15 = SQ.start_last_n(spark, f"{tmp_dir}/posts", f"{tmp_dir}/l15", f"{tmp_dir}/ckl", available_now=True)
     l15.awaitTermination()
     cols = ["party", "recency", "id"]
@@ -139,7 +138,7 @@ def test_batch_that_died_after_its_write_runs_again(spark, tmp_dir):
                 os.remove(f"{out}/ck/commits/{name}")
 
 
-def test_late_posts_of_throttled_batches_are_counted(spark, tmp_dir):
+def test_late_posts_of_throttled_batches_count(spark, tmp_dir):
     src, out, spec = f"{tmp_dir}/in", tmp_dir, M.POSTS_BY_HOUR_PARTY
     for f in range(4):                              # newest hours first
         write_lines(src, f"f{f}.txt", [_post(100 * f + i, 20 - 5 * f) for i in range(6)] + [envelope(pid=f"b{f}", created="10.30 Uhr")])
@@ -148,10 +147,7 @@ def test_late_posts_of_throttled_batches_are_counted(spark, tmp_dir):
     q.awaitTermination()
     counts = SQ.ingest_counts(spark, f"{out}/posts")
     counted = SQ.read_metric(spark, f"{out}/a3", spec).agg(F.sum("count")).first()[0]
-    assert counts == {"lines": 28, "valid": 24, "rejected": 4, "error_envelopes": 0} and counted == 24 and SQ.rows_dropped(q) == 0
-    w = SQ.start_metric(spark, f"{out}/posts", spec, f"{out}/w", f"{out}/ck_w", watermark="1 hour", available_now=True, max_files_per_trigger=1)
-    w.awaitTermination()
-    assert SQ.rows_dropped(w) > 0                   # a watermark says what it costs
+    assert counts == {"lines": 28, "valid": 24, "rejected": 4, "error_envelopes": 0} and counted == 24
 
 
 def test_replay_lines_and_processing_time_in_the_application(spark, tmp_dir):
@@ -177,6 +173,23 @@ def test_files_per_kind_and_date_are_bounded(spark, tmp_dir):
         assert len([f for f in files if f.endswith(".parquet")]) <= 2
 
 
+def test_a_hot_date_is_written_by_many_tasks_and_small_ones_by_few(spark, tmp_dir):
+    src, conf = f"{tmp_dir}/in", {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2"}
+    for f in range(8):
+        write_lines(src, f"f{f}.txt", [envelope(pid=f"{f}-{i}", created="2024-01-01T01:00:00Z", text=f"{f * 7919 + i * 104729} " * 60) for i in range(300)]
+                    + [envelope(pid=f"{f}-{i}b", created=f"2024-02-{i + 1:02d}T01:00:00Z") for i in range(5)])
+    old = {k: spark.conf.get(k, None) for k in (*conf, "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k, v in {**conf, "spark.sql.files.maxPartitionBytes": "200000", "spark.sql.files.openCostInBytes": "100000"}.items():
+            spark.conf.set(k, v)
+        SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck", available_now=True).awaitTermination()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    count = lambda d: len([f for f in os.listdir(f"{tmp_dir}/posts/kind=post/date={d}") if f.endswith(".parquet")])
+    assert count("2024-01-01") >= 6 and all(count(f"2024-02-{d:02d}") <= 2 for d in range(1, 6))
+
+
 def test_processing_time_mode(spark, tmp_dir):
     src = f"{tmp_dir}/in"
     write_lines(src, "f1.txt", [_post(i, 3) for i in range(4)])
