@@ -163,17 +163,46 @@ def test_line_chunks_remove_repeats_and_nothing_else(spark):
     assert by_id[None] == "\n".join(passage)                            # the least id comes first
 
 
-def test_line_chunks_remove_every_line_of_short_passages(spark):
-    rnd = random.Random(9)
-    planted = [[f"passage {n} {g} line {k}" for k in range(n)] for n in (2, 3, 4, 5, 8) for g in range(6)]
+def direct_line_dedup(rows):
+    """The rule of line_chunks over lists: anchors, occurrences that go, extension beside them."""
+    docs = sorted({(i is not None, i or 0, t) for i, t in rows if t is not None})
+    lines = {d: lines_of(d[2]) for d in docs}
+    met = {}
+    for d in docs:
+        for a, b, h in line_chunks.anchors(*line_chunks.line_table(d[2])):
+            met.setdefault(h, []).append((d, a, b))
+    gone = {d: set() for d in docs}
+    pairs = []
+    for found in met.values():
+        for d, a, b in sorted(found, key=lambda x: (x[0][:2], x[1]))[1:]:
+            gone[d].update(range(a, b))
+            pairs.append((min(found, key=lambda x: (x[0][:2], x[1])), (d, a, b)))
+    more = {d: set() for d in docs}
+    for (kd, ka, kb), (d, a, b) in pairs:
+        for k, at, step in ((ka - 1, a - 1, -1), (kb, b, 1)):
+            n = 0
+            while 0 <= k < len(lines[kd]) and 0 <= at < len(lines[d]) and at not in gone[d] and n < line_chunks.LEAST_WORDS and lines[kd][k] == lines[d][at]:
+                more[d].add(at)
+                n += len(lines[d][at].split())
+                k, at = k + step, at + step
+    return {(d[1] if d[0] else None, d[2]): [x for k, x in enumerate(lines[d]) if k not in gone[d] and k not in more[d]] for d in docs}
+
+
+def passage_rows(seed, sizes):
+    rnd = random.Random(seed)
+    planted = [[f"passage {n} {g} line {k} " + "and more " * (g % 2) for k in range(n)] for n in sizes for g in range(6)]
     planted += [[" ".join(f"long{g}w{k}" for k in range(51))] for g in range(6)]
     rows = []
     for p in planted:
         for _ in range(3):
-            own = [f"own {rnd.random()}" for _ in range(6)]
+            own = [f"own {rnd.random()} line {rnd.random()}" for _ in range(6)]
             cut = rnd.randint(0, 6)
             rows.append((len(rows), "\n".join(own[:cut] + p + own[cut:])))
-    rows += [(1000, planted[-1][0]), (1001, "short line\nx"), (1002, "y\nshort line\nz")]
+    return planted, rows + [(1000, planted[-1][0]), (1001, "short line\nx"), (1002, "y\nshort line\nz")]
+
+
+def test_line_chunks_remove_every_line_of_passages_of_twenty_words(spark):
+    planted, rows = passage_rows(9, (4, 5, 8, 30))
     out = line_chunks.dedup(clashing(spark, rows)).collect()
     after = Counter(x for r in out for x in lines_of(r.text))
     before = Counter(x for _, t in rows for x in lines_of(t))
@@ -181,12 +210,42 @@ def test_line_chunks_remove_every_line_of_short_passages(spark):
     assert after == Counter({x: 1 if x in gone else n for x, n in before.items()})
 
 
+def test_line_chunks_against_lists(spark):
+    rnd = random.Random(4)
+    rows = passage_rows(3, (2, 3, 4, 6))[1]
+    pool = [" ".join(rnd.choices("a b c dd ee ff".split(), k=rnd.randint(1, 9))) for _ in range(12)]
+    rows += [(2000 + k, "\n".join(rnd.choice(pool) + rnd.choice(["", "", "\n\n"]) for _ in range(rnd.randint(1, 40)))) for k in range(40)]
+    rows += [(2000, rows[-3][1]), (None, rows[-5][1]), (3000, "same line here and there\n" * 40)]
+    want = direct_line_dedup(rows)
+    got = line_chunks.dedup(clashing(spark, rows)).collect()
+    for r, n in Counter((r.doc_id, r.text) for r in got).items():
+        assert [x for i, t in rows if i == r[0] for x in [want[i, t]]].count(lines_of(r[1])) >= n
+    assert len(got) == len(rows)
+
+
+def test_line_chunks_leave_short_generic_lines(spark):
+    own = lambda d: "\n".join(f"own words {d} {k} of this text" for k in range(3))
+    rows = [(d, f"{own(d)}\n{pair}\n{own(-d)}") for d, pair in enumerate(["Yes.\nNo.", "Yes.\nNo.", "  }\n}", "  }\n}"], 1)]
+    assert {r.doc_id: r.text for r in line_chunks.dedup(clashing(spark, rows)).collect()} == dict(rows)
+
+
+def test_line_chunk_boundaries_resist_shifts():
+    rnd = random.Random(2)
+    lines = [f"line {rnd.random()}" for _ in range(400)]
+    digests = lambda some: line_chunks.line_table("\n".join(some))[0]
+    ends = set(line_chunks.boundaries(digests(lines), 400))
+    for extra in range(1, 6):
+        moved = {e - extra for e in line_chunks.boundaries(digests([f"new {k}" for k in range(extra)] + lines), 400 + extra)}
+        assert {e for e in ends if e > 40} == {e for e in moved if e > 40}
+
+
 def test_line_chunks_of_equal_hash_but_other_bytes_stay(spark, monkeypatch):
-    rows = [(1, "a b\nc d\ne f"), (2, "a b\nc d\ne f"), (3, "g h\ni j")]
+    same = "\n".join(f"{x} words of a line that is long enough" for x in "abc")
+    rows = [(1, same), (2, same), (3, "g h\ni j")]
     src = clashing(spark, rows)
     marked = line_chunks.repeats(src)
     assert line_chunks.unequal(marked, "text").collect() == []
-    forged = marked.withColumn("text", marked.text).selectExpr("*").replace("a b\nc d\ne f", "x\ny\nz", "text").where("doc_id = 2")
+    forged = marked.withColumn("text", marked.text).selectExpr("*").replace(same, "x\ny\nz", "text").where("doc_id = 2")
     assert line_chunks.unequal(forged.unionByName(marked.where("doc_id = 1")), "text").count() >= 1
     assert line_chunks.dedup(clashing(spark, [])).collect() == []
 
