@@ -365,6 +365,38 @@ def test_decontamination_judges_each_copy_by_itself(spark):
     assert {r.doc_id for r in template_decontam.matches(clashing(spark, rows), bench).collect()} == {1, 2, 4}
 
 
+def test_short_items_that_texts_hold_by_chance_empty_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    word = docs.selectExpr("explode(split(lower(text), ' ')) w").groupBy("w").count().orderBy("count", ascending=False).first().w
+    bench = spark.createDataFrame(list(enumerate(["True", "The", "2 + 2 = 4", word, f"{word} {word} {word}", "of the in", "So it goes."])), "item_id long, text string")
+    assert template_decontam.clean_stage(docs, bench).count() == docs.count()
+    more = docs.unionByName(docs.limit(1).selectExpr("999L doc_id", "'He said so it goes, then.' text", "lang", "source", "n_chars"))
+    assert [(r.doc_id, r.item_id) for r in template_decontam.matches(more, bench).collect()] == [(999, 6)]
+
+
+def test_planted_templates_with_new_values(spark):
+    """Items with their numbers, names and units changed one for one are found, with one value changed in one place only they are not."""
+    rnd = random.Random(8)
+    vocab = [a + b + c for a in ("ba", "ko", "ti", "ru", "se", "lom") for b in ("na", "vi", "do") for c in ("sk", "l", "mp")]
+    names = ["Anna", "Boris", "Clara", "Dilek", "Emil", "Fatma"]
+    items, rows, want = [], [], set()
+    for k in range(25):
+        words = rnd.choices(vocab, k=22)
+        first, second = rnd.sample(names, 2)
+        for at, slot in ((4, "{a}"), (9, "{x} {u}"), (13, "{b}"), (17, "{y} {u}"), (20, "{a}")):
+            words[at] = slot
+        text = "we saw " + " ".join(words)
+        fill = dict(a=first, b=second, x=10 + k, y=50 + k, u="km")
+        items.append((k, text.format(**fill)))
+        other = dict(a="Gerda", b="Hasan", x=1000 + k, y=7, u="days")
+        rows.append((2 * k, "Filler words of nothing. " + text.format(**other) + " and so on it went"))
+        want.add((2 * k, k))
+        torn = text.replace("{a}", "Ilse", 1).format(**other)          # one of two mentions of the name differs
+        rows.append((2 * k + 1, "Filler words of nothing. " + torn + " and so on it went"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in template_decontam.matches(clashing(spark, rows), bench).collect() if r.n_hits == r.n_windows} == want
+
+
 def test_decontamination_finds_every_verbatim_copy(spark):
     items = ["New York City Hall Opens Its Doors Again After Long Repairs", "12 + 7 = 19 and 3 + 4 = 7", "1 2 3 4 5 6 7 8 9 10 11 12", "So it goes",
              "Tom Kim Ann Bob Eve Sue", "Carl met 3 old men"]
