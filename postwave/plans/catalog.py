@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postwave.functions import sentence_model
+from postwave.functions import sentence_ends, sentence_model
 from postwave.functions import sentiment as S
 from postwave.functions.timekeys import hour_key
 from postwave.operators import lastn, metrics as M, parse
@@ -119,6 +119,14 @@ def q_sentences(spark, sf_dir):
                                 lambda a, x: a + x).alias("total_len"))
 
 
+def q_sentences_learned(spark, sf_dir):
+    """Sentences that end where the documents' own abbreviations don't stand."""
+    docs = _documents(spark, sf_dir)
+    d = docs.select("doc_id", sentence_ends.split(F.col("text"), sentence_ends.fit(docs)).alias("s"))
+    return d.select("doc_id", F.size("s").alias("n_sentences"),
+                    F.aggregate(F.transform("s", lambda x: F.char_length(x)), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total_len"))
+
+
 def q_sentence_scores(spark, sf_dir):
     d = _documents(spark, sf_dir).select("doc_id", F.explode(S.scored_sentences(F.col("text"), *CHECK_WORDS)).alias("x"))
     return d.select("doc_id", F.col("x.pos").alias("pos"), F.col("x.len").alias("len"), F.col("x.cls").alias("cls"))
@@ -259,6 +267,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_roundtrip": q_json_roundtrip,
     "hour_key": q_hour_key,
     "sentences": q_sentences,
+    "sentences_learned": q_sentences_learned,
     "sentence_scores": q_sentence_scores,
     "trained_sentence_scores": q_trained_sentence_scores,
     "doc_sentiment": q_doc_sentiment,

@@ -7,6 +7,7 @@ building, parsing and validation are checked against SQL that never sees an enve
 
 from __future__ import annotations
 
+from postwave.functions import sentence_ends as SE
 from postwave.functions import sentence_model as SM
 from postwave.functions import sentiment as S
 from postwave.plans.catalog import CHECK_WORDS
@@ -137,6 +138,28 @@ def _trained() -> str:
     SELECT doc_id, pos, cls, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY score DESC, cls) AS rn FROM scored) WHERE rn = 1"""
 
 
+def _learned_sentences() -> str:
+    """Abbreviations by log-likelihood ratio, then the sentences, in SQL."""
+    q = lambda x: x.replace("'", "''")
+    mark = "chr(2)"
+    toks = (f"list_filter(string_split(regexp_replace(coalesce(text, ''), '[\r\n' || {mark} || ']+', ' ' || {mark} || ' ', 'g'), ' '), lambda t: t <> '')")
+    word = lambda t: f"lower(regexp_replace(regexp_replace({t}, '{q(SE.OPENING)}', ''), '\.$', ''))"
+    return f"""
+    WITH t AS (SELECT unnest({toks}) AS t FROM documents),
+    c AS (SELECT {word('t')} AS word, count(*) FILTER (ends_with(t, '.')) AS n_with, count(*) FILTER (NOT ends_with(t, '.')) AS n_without
+          FROM t WHERE t <> {mark} GROUP BY 1 HAVING word <> ''),
+    p AS (SELECT sum(n_with)::DOUBLE / sum(n_with + n_without) AS p FROM c),
+    s AS (SELECT word, 2 * (n_with * ln({SE.ALWAYS} / p) + n_without * ln((1 - {SE.ALWAYS}::DOUBLE) / (1 - p)))
+                 * exp(-length(regexp_replace(word, '[^\p{{L}}]', '', 'g'))) * (length(word) - length(replace(word, '.', '')) + 1)
+                 * power(length(regexp_replace(word, '[^\p{{L}}]', '', 'g'))::DOUBLE, -n_without::DOUBLE) AS score
+          FROM c, p WHERE n_with > 0 AND n_with + n_without >= {SE.LEAST_COUNT} AND regexp_matches(word, '\p{{L}}')),
+    a AS (SELECT coalesce(list(word), []) AS words FROM (SELECT word FROM s WHERE score >= {SE.LEAST_SCORE} ORDER BY score DESC, word LIMIT {SE.MOST})),
+    x AS (SELECT doc_id, list_filter(list_transform(string_split(array_to_string(list_transform({toks}, lambda t:
+                 CASE WHEN regexp_matches(t, '{q(SE.END)}') AND NOT (ends_with(t, '.') AND list_contains(a.words, {word('t')})) THEN t || {mark} ELSE t END), ' '), {mark}),
+                 lambda s: trim(s)), lambda s: s <> '') AS s FROM documents, a)
+    SELECT doc_id, CAST(len(s) AS INTEGER) AS n_sentences, CAST(coalesce(list_sum(list_transform(s, lambda x: length(x))), 0) AS BIGINT) AS total_len FROM x"""
+
+
 _LAST15_BY_PARTY = ("SELECT party, recency, id FROM (SELECT party, id, CAST(row_number() OVER "
                     "(PARTITION BY party ORDER BY ts_ms DESC, id DESC) AS INTEGER) AS recency FROM posts) WHERE recency <= 15")
 
@@ -188,6 +211,7 @@ ORACLE: dict[str, str] = {
     "sentence_scores": f"SELECT doc_id, e.pos AS pos, e.len AS len, e.cls AS cls FROM "
                        f"(SELECT doc_id, unnest({_scored('text', *CHECK_WORDS)}) AS e FROM documents)",
     "trained_sentence_scores": _trained(),
+    "sentences_learned": _learned_sentences(),
     "doc_sentiment": f"SELECT doc_id, {_weighted('x')} AS sentiment, {_mean('x')} AS mean_sentiment, "
                      f"CAST({_main('x')} AS INTEGER) AS main_sentiment "
                      f"FROM (SELECT doc_id, {_scored('text', *CHECK_WORDS)} AS x FROM documents)",

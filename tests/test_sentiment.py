@@ -87,3 +87,19 @@ def test_trained_classes_against_counting(spark):
     assert parts["m"] == 2.0
     plan = spark.createDataFrame([("x",)], "s string").select(model.classify(F.col("s")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Join" not in plan
+
+
+def test_sentence_ends_learn_abbreviations(spark):
+    from postwave.functions import sentence_ends as SE
+
+    texts = [f"Herr Dr. Weber kam z.B. am Tag {k}. Er sah ca. 3.5 km weit! War das gut? Ja sagte er, ja." for k in range(30)] + [None, "", "  \n ", "Der Tag war lang. Und der Weg war weit."]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    learned = SE.fit(df)
+    assert {"dr", "z.b", "ca"} <= set(learned) and not {"tag", "ja", "lang", "weit"} & set(learned)
+    assert SE.fit(df, most=1) != learned and len(SE.fit(df, most=1)) == 1 and SE.fit(df.limit(0)) == []
+    asked = ["Herr Dr. Weber kam z.B. am Montag. Er sah (ca. 3.5 km) weit!\nWar das gut? Ja", "x", None, "\n\n", 'Er rief "Halt!" Dann "Dr. Weber."']
+    got = spark.createDataFrame([(t,) for t in asked], "text string").select(SE.split(F.col("text"), learned).alias("s"))
+    assert [r["s"] for r in got.collect()] == [["Herr Dr. Weber kam z.B. am Montag.", "Er sah (ca. 3.5 km) weit!", "War das gut?", "Ja"], ["x"], [], [],
+                                               ['Er rief "Halt!"', 'Dann "Dr. Weber."']]
+    plan = df.select(SE.split(F.col("text"), learned))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
