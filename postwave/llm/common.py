@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from postwave.session import checkpoint_root
+from postwave.sinks.fs import delete
 
 #: Bytes of text that a vectorised step handles at once; a longer text is handled alone.
 SLICE_BYTES = 1 << 21
@@ -51,12 +52,41 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to a scratch table and read back: cuts the lineage, survives lost executors."""
     path = scratch(df.sparkSession, name)
     w = df.write.option("compression", "zstd")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    w.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes scratch tables (as ``stored`` returned them) that nothing will read again."""
+    for t in tables:
+        path = getattr(t, "_scratch", None)
+        if path is not None:
+            delete(t.sparkSession, path)
+
+
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` written once, dealt by ``key`` into a file for each of as many buckets as there are shuffle partitions: joins on the key don't move it again.
+
+    The session's catalog knows the table until ``forget``; its files lie in the scratch folder."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table, path = f"{name}_{uuid.uuid4().hex}", scratch(spark, name)
+    df.repartition(n, key).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, key).sortBy(key).saveAsTable(table)
+    out = spark.table(table)
+    out._scratch, out._table = path, table
+    return out
+
+
+def forget(table: DataFrame) -> None:
+    """Takes a bucketed table out of the catalog and deletes its files."""
+    table.sparkSession.sql(f"DROP TABLE IF EXISTS {table._table}")
+    discard(table)
 
 
 def release(spark: SparkSession) -> None:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postwave.llm import blocks as B
-from postwave.llm.common import release, stored
+from postwave.llm.common import bucketed, discard, forget, release, stored
 from postwave.llm.components import components
 
 WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 16, 3
@@ -220,17 +220,19 @@ def verify(pairs: DataFrame, vectors: DataFrame, similarity: float) -> DataFrame
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY,
             bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, digest, class_id (least id of the class), kept (the document is its class's) of every document."""
-    blocks = B.build(docs, id_col, text_col, "neardup-blocks")
-    members, copies = _representatives(blocks)
+    packed = B.build(docs, id_col, text_col, "neardup-blocks")
+    members, copies = _representatives(packed)
     members = stored(members.distinct(), "neardup-members")
     n_texts = members.select("digest").distinct().count()
-    bits = B.bucket_bits(blocks.count())
-    blocks = blocks.join(copies, F.col("block") == F.col("out_block"), "left").drop("out_block")
+    bits = B.bucket_bits(packed.count())
+    blocks = packed.join(copies, F.col("block") == F.col("out_block"), "left").drop("out_block")
     shared = stored(frequencies(blocks, words, bits), "neardup-frequencies")
     release(docs.sparkSession)
     found = stored(candidates(blocks, shared, n_texts, words, similarity, bands, rows), "neardup-candidates")
+    discard(packed, copies, shared)
     release(docs.sparkSession)
-    vectors = found.select("digest", "keys", "weights")
+    # Every round joins pairs with the vectors: dealt by digest once, these stay where they are.
+    vectors = bucketed(found.select("digest", "keys", "weights"), "neardup_vectors", "digest")
     banded = stored(found.select("digest", F.posexplode("bands").alias("band", "value")), "neardup-bands")
     groups = banded.select(F.xxhash64("band", "value").alias("group"), "digest")
     roots, left = linked(groups, vectors, similarity, None, "one", LEADERS, COARSE_ROUNDS)
@@ -241,7 +243,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     pair = lambda k: F.xxhash64(k, F.element_at("values", k), F.element_at("values", (k + 1) % bands))
     finer = values.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), pair)).alias("group"), "digest")
     roots, _ = linked(finer, vectors, similarity, roots, "two", 1, None)
-    return _members(members, settled(found, left, vectors, roots, n_texts, similarity))
+    roots = settled(found, left, vectors, roots, n_texts, similarity)
+    forget(vectors)
+    return _members(members, roots)
 
 
 def prefix(keys: np.ndarray, weights: np.ndarray, counts: np.ndarray, n: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -306,7 +310,7 @@ def linked(groups: DataFrame, vectors: DataFrame, similarity: float, roots: Data
     the size of a group, and rounds end when one links nothing (a component grows in every other), or after ``rounds``."""
     spark = vectors.sparkSession
     shared = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("group").alias("g"))
-    groups = stored(groups.join(shared, F.col("group") == F.col("g")).select("group", "digest"), f"neardup-{name}-groups")
+    before = groups = stored(groups.join(shared, F.col("group") == F.col("g")).select("group", "digest"), f"neardup-{name}-groups")
     if roots is None:
         roots = spark.createDataFrame([], "node binary, root binary")
     turn = 0
@@ -320,7 +324,8 @@ def linked(groups: DataFrame, vectors: DataFrame, similarity: float, roots: Data
         pairs = groups.where("root <> chosen").select(F.explode(F.array_distinct("leaders")).alias("a"), F.col("digest").alias("b")).distinct()
         new = stored(verify(pairs, vectors, similarity), f"neardup-{name}-links-{turn}")
         release(spark)
-        groups, turn = groups.select("group", "digest"), turn + 1
+        discard(before)
+        before, groups, turn = groups, groups.select("group", "digest"), turn + 1
         if new.isEmpty():
             return roots, groups
         # Only the new links' ends move on: from their roots so far to the roots of these.
