@@ -2,6 +2,10 @@
 
 Each stage takes all that its predecessor kept, in the columns of ``documents``; the last returns ids and
 digests. The stages before it only drop documents, but for line dedup, which shortens texts.
+
+Defined cases are those of the operators: a null or empty text fails the quality rules (too few words); a text whose lines all go in line dedup stays as
+an empty one, and empty texts are one class of near-duplicates; rows that repeat a document are judged alike; columns beyond those of
+``documents`` pass to the last stage; an empty table, or an empty benchmark, goes through.
 """
 
 from __future__ import annotations

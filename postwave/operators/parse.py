@@ -131,3 +131,20 @@ DOCUMENT_SCHEMA = ("id string, text string, user_id string, username string, nam
 def from_document_json(js: DataFrame) -> DataFrame:
     """P16 parse back."""
     return js.select(F.from_json("doc_json", DOCUMENT_SCHEMA).alias("d")).select("d.*")
+
+
+#: Settings under which a VARIANT is written shredded: its frequent fields as Parquet columns of their own.
+SHREDDING = {"spark.sql.variant.writeShredding.enabled": "true", "spark.sql.variant.inferShreddingSchema": "true"}
+
+
+def write_raw_landing(posts_df: DataFrame, path: str) -> None:
+    """K2 as Parquet, the parsed envelopes shredded: what is read of them later (``$.data.author_id``) is one column chunk, not the whole value."""
+    conf = posts_df.sparkSession.conf
+    old = {k: conf.get(k) for k in SHREDDING}
+    try:
+        for k, v in SHREDDING.items():
+            conf.set(k, v)
+        raw_landing(posts_df).write.option("compression", "zstd").parquet(path)
+    finally:
+        for k, v in old.items():
+            conf.set(k, v)

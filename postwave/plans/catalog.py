@@ -199,9 +199,9 @@ def q_ingest_counts(spark, sf_dir):
 
 
 def q_raw_landing(spark, sf_dir):
-    """K2: envelopes landed with a parsed copy (VARIANT) beside the raw text, read back from the table."""
+    """K2: envelopes landed with a parsed copy (VARIANT, shredded) beside the raw text, read back from the table."""
     path = f"{checkpoint_root(spark)}/raw-{uuid.uuid4().hex}"
-    parse.raw_landing(posts(spark, sf_dir)).write.option("compression", "zstd").parquet(path)
+    parse.write_raw_landing(posts(spark, sf_dir), path)
     p = spark.read.parquet(path)
     return p.select("id", F.variant_get("parsed", "$.data.id", "string").alias("landed_id"),
                     F.variant_get("parsed", "$.data.author_id", "string").alias("landed_author_id"))

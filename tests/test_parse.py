@@ -161,3 +161,18 @@ def test_times_without_zone_are_utc_in_any_session_zone(spark):
             assert {r["c"]: r["s"] for r in df.collect()} == cases
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_raw_landing_is_shredded_and_fields_are_read_alone(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    lines = spark.createDataFrame([(envelope(pid=str(i), author=str(100 + i), text="words " * 50),) for i in range(300)], "value string")
+    parse.write_raw_landing(parse.posts(parse.parse_lines(lines)), f"{tmp_dir}/raw")
+    names = {pq.ParquetFile(f).schema.column(k).path for f in glob.glob(f"{tmp_dir}/raw/*.parquet") for k in range(len(pq.ParquetFile(f).schema))}
+    assert any(n.startswith("parsed.typed_value.data.typed_value.author_id.") for n in names)
+    read = spark.read.parquet(f"{tmp_dir}/raw").select("id", F.variant_get("parsed", "$.data.author_id", "string").alias("author"))
+    assert {(r["id"], r["author"]) for r in read.collect()} == {(str(i), str(100 + i)) for i in range(300)}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "parsed:struct<0:string>" in plan and "parsed:variant" not in plan and "json" not in plan
