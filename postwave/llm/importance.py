@@ -32,6 +32,8 @@ from postwave.llm import blocks as B
 from postwave.llm.common import encoded, ready, slices, stored
 
 BITS, RANGES = 20, 32
+#: Rows that one sum of the tree adds up.
+FAN = 64
 PSEUDO = (3.0, 20.0)
 
 
@@ -66,6 +68,9 @@ def model(src: DataFrame, bits: int) -> np.ndarray:
     width = (1 << bits) // RANGES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        sender = TaskContext.get().partitionId()
         total = np.zeros((2, 2, 1 << bits), np.int64)
         for part in slices(batches, "__text"):
             is_target = np.array(part.column(1).to_pylist(), bool)
@@ -74,15 +79,22 @@ def model(src: DataFrame, bits: int) -> np.ndarray:
                 t = is_target[doc]
                 total[0, k] += np.bincount(bucket[t], weights=n[t], minlength=1 << bits).astype(np.int64)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array([B.pack(total[:, :, r * width:(r + 1) * width].astype("<i8")) for r in range(RANGES)], pa.binary())],
-                                             ["range", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array([sender] * RANGES, pa.int64()), pa.array([B.pack(total[:, :, r * width:(r + 1) * width].astype("<i8")) for r in range(RANGES)], pa.binary())],
+                                             ["range", "sender", "counts"])
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(B.unpack(x, "<i8") for x in group.column("counts").to_pylist())
-        return pa.table({"range": group.column("range").slice(0, 1), "counts": pa.array([B.pack(total)], pa.binary())})
-
-    schema = "range int, counts binary"
-    rows = src.mapInArrow(count, schema).groupBy("range").applyInArrow(add, schema).collect()      # RANGES rows of fixed size
+        return pa.table({"range": group.column("range").slice(0, 1), "sender": group.column("sender").slice(0, 1), "counts": pa.array([B.pack(total)], pa.binary())})
+
+    schema = "range int, sender long, counts binary"
+    sums, tasks = src.mapInArrow(count, schema), src.rdd.getNumPartitions()
+    while True:
+        # A tree of sums: a group has the rows of FAN tasks at most.
+        sums = sums.withColumn("sender", F.floor(F.col("sender") / FAN).cast("long")).groupBy("range", "sender").applyInArrow(add, schema)
+        if tasks <= FAN:
+            break
+        tasks = -(-tasks // FAN)
+    rows = sums.collect()                                                                           # RANGES rows of fixed size
     out = np.zeros((2, 2, 1 << bits), np.int64)
     for r in rows:
         out[:, :, r["range"] * width:(r["range"] + 1) * width] = B.unpack(r["counts"], "<i8").reshape(2, 2, width)

@@ -23,7 +23,9 @@ def model_path() -> str:
 
 
 def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    """Labels are the given rules' verdicts on the pages they cover (most of them block, so no lift can be great): the labels table is
+    of documents, not of pages."""
+    return url_rules.judge(table(spark, sf_dir, "pages"), min_lift=1.2)
 
 
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

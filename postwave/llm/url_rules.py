@@ -1,5 +1,8 @@
 """URL filters: given host and path rules, then association rules mined from labels by Spark's FP-growth.
 
+Labels belong to pages: those that the caller gives by page id, or, without any, what the given rules say of the pages that they cover, so that the
+mined rules carry the given ones' verdicts on to pages alike that no rule covers.
+
 A url becomes a set of tokens: host labels, the last two host labels together, all path
 segments without digits, the file extension and the names of all query parameters. FP-growth finds token sets frequent among
 labelled pages; the rules "tokens => bad" with enough support, confidence and lift remain, less those
@@ -97,11 +100,21 @@ def mine(urls: DataFrame, labels: DataFrame, label_id: str = "doc_id", bad: Colu
     bad = bad if bad is not None else (F.col("quality") == 0) | (F.col("toxic") == 1)
     judged = (labels.select(F.col(f"`{label_id}`").alias("page_id"), bad.alias("bad")).where("page_id is not null and bad is not null")
               .groupBy("page_id").agg(F.max("bad").alias("bad")))
-    rows = (urls.select("page_id", "tokens").join(judged, "page_id")
-            .select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
+    return mine_labelled(urls.select("page_id", "tokens").join(judged, "page_id"), min_support, min_count, min_confidence, min_lift)
+
+
+def covered(urls: DataFrame, rules: tuple[HostRule, ...]) -> DataFrame:
+    """tokens, bad of the urls that a given rule fits."""
+    given = fitting_rule(F.col("host"), F.col("path"), rules)
+    return urls.select("tokens", given.alias("given")).where("given is not null").select("tokens", (F.col("given.verdict") == "block").alias("bad"))
+
+
+def mine_labelled(labelled: DataFrame, min_support: float = 0.002, min_count: int = 8, min_confidence: float = 0.6, min_lift: float = 1.5) -> DataFrame:
+    """Like ``mine``, from rows of tokens and bad."""
+    rows = (labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
             .where(F.size("items") > 0))
     n = rows.count()
-    spark = urls.sparkSession
+    spark = labelled.sparkSession
     if n == 0:
         return spark.createDataFrame([], "antecedent array<string>, confidence double, support double, lift double, anchor string")
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_count / n)), minConfidence=min_confidence).fit(rows)
@@ -129,11 +142,15 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return hits.groupBy("tokens").agg(F.min_by(F.struct("confidence", "support", F.array_join("antecedent", " ").alias("text")), best).alias("mined"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: tuple[HostRule, ...] = RULES, id_col: str = "page_id",
+def judge(pages: DataFrame, labels: DataFrame | None = None, rules: tuple[HostRule, ...] = RULES, id_col: str = "page_id",
           url_col: str = "url", mined_rules: DataFrame | None = None, **mining) -> DataFrame:
-    """page_id, host, path, rule, verdict, mined_rule, confidence for every page."""
-    urls = parsed(pages, id_col, url_col)
-    mined = mined_rules if mined_rules is not None else mine(urls, labels, **mining)
+    """page_id, host, path, rule, verdict, mined_rule, confidence for every page; without ``labels`` the given rules' verdicts are the labels."""
+    # Stored once: mining, matching and judging read the tokens again.
+    urls = stored(parsed(pages, id_col, url_col), "url-tokens")
+    if mined_rules is not None:
+        mined = mined_rules
+    else:
+        mined = mine_labelled(covered(urls, rules), **mining) if labels is None else mine(urls, labels, **mining)
     # Stored first: the join below then sees its true size and may split hot token sets of the pages.
     hits = stored(match(urls, mined).withColumnRenamed("tokens", "set"), "url-hits")
     given = fitting_rule(F.col("host"), F.col("path"), rules)

@@ -13,7 +13,8 @@ Bundles are written below a folder that all executors share, by tasks, under nam
 manifest names only those of successful attempts, so a lost executor leaves at worst unused files.
 
 Defined cases: null html is an empty payload; a null url leaves its header out; control characters in
-a url are percent-encoded; rows that repeat a page id are records of their own with that id; a null
+a url or an id are percent-encoded; rows that repeat a page id are records of their own with that id, and with record ids of their own
+unless their payloads are equal too (then they are one record, met twice); a null
 page id gives a record that isn't named (it reads back as null) and never is the one referred to
 while another has a number; extra columns are ignored; an empty table writes no bundle.
 """
@@ -23,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import posixpath
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -33,10 +35,12 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postwave.llm.common import ready, scratch
+from postwave.llm.common import ready, scratch, stored
 
 SEEKABLE_MAGIC, SKIPPABLE_MAGIC = 0x8F92EAB1, 0x184D2A5E
 FRAME_BYTES, BUNDLE_BYTES = 1 << 18, 256 << 20
+#: Compressed bytes that a task reads.
+RANGE_BYTES = 4 << 20
 NAMES = uuid.UUID("6d2f3a0e-4b7c-4f7e-9a51-0f6f5f0c9a11")
 
 MANIFEST = ("path string, page_id string, record_type string, frame long, frame_start long, frame_bytes long, "
@@ -60,23 +64,33 @@ def revisits(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_byt
                       F.when(again, F.col("first_id")).alias("refers_to"))
 
 
-def _urn(page: str | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(NAMES, page or '')}>"
+def _urn(page: str, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(NAMES, f'{page} {digest}')}>"
+
+
+def _safe(text: str, also: str = "") -> str:
+    """Without control characters (and those of ``also``): percent-encoded."""
+    return "".join(c if c >= " " and c != "\x7f" and c not in also else f"%{ord(c):02X}" for c in text)
+
+
+def _page(header: str | None) -> str | None:
+    """The id that a header holds."""
+    return None if header is None else re.sub("%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), header)
 
 
 def record(page: str | None, url: str | None, payload: bytes | None, size: int, digest: str, refers: str | None,
-           date: str) -> bytes:
-    """One WARC/1.1 record; ``payload`` is ignored for a revisit."""
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers is not None else 'response'}", f"WARC-Record-ID: {_urn(page)}"]
+           date: str, unnamed: str = "") -> bytes:
+    """One WARC/1.1 record; ``payload`` is ignored for a revisit; ``unnamed`` tells records without an id apart."""
+    urn = f"<urn:uuid:{uuid.uuid5(NAMES, unnamed)}>" if page is None else _urn(page, digest)
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if refers is not None else 'response'}", f"WARC-Record-ID: {urn}"]
     if page is not None:
-        head.append(f"X-Page-ID: {page}")
+        head.append(f"X-Page-ID: {_safe(page, '%')}")
     if url is not None:
-        safe = "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in url)
-        head.append(f"WARC-Target-URI: {safe}")
+        head.append(f"WARC-Target-URI: {_safe(url)}")
     head += [f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}"]
     if refers is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                 f"WARC-Refers-To: {_urn(refers)}", f"X-Refers-To-Page: {refers}"]
+                 f"WARC-Refers-To: {_urn(refers, digest)}", f"X-Refers-To-Page: {_safe(refers, '%')}"]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     if refers is None:
         block += payload or b""
@@ -101,8 +115,8 @@ def records(data: bytes) -> Iterator[dict]:
             payload = block[block.index(b"\r\n\r\n") + 4:]
             if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest or len(payload) != int(head["X-Payload-Length"]):
                 raise ValueError(f"payload of {head['WARC-Record-ID']} does not match its digest")
-        yield {"page_id": head.get("X-Page-ID"), "payload_bytes": int(head["X-Payload-Length"]), "payload_digest": digest,
-               "record_type": head["WARC-Type"], "refers_to": head.get("X-Refers-To-Page"), "payload": payload}
+        yield {"page_id": _page(head.get("X-Page-ID")), "payload_bytes": int(head["X-Payload-Length"]), "payload_digest": digest,
+               "record_type": head["WARC-Type"], "refers_to": _page(head.get("X-Refers-To-Page")), "payload": payload}
 
 
 class Bundle:
@@ -183,7 +197,8 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
                 bundle = bundle or Bundle(folder, TaskContext.get().partitionId(), level)
                 digest = base64.b32encode(bytes.fromhex(x["sha1"])).decode()
                 bundle.add(x["page_id"], "response" if x["refers_to"] is None else "revisit",
-                           record(x["page_id"], x["url"], x["payload"], x["payload_bytes"], digest, x["refers_to"], date))
+                           record(x["page_id"], x["url"], x["payload"], x["payload_bytes"], digest, x["refers_to"], date,
+                                  f"{bundle.uri} {len(bundle.sizes)} {len(bundle.rows)}"))
                 if len(bundle.data) >= frame_bytes:
                     ready += bundle.frame()
                     if bundle.at >= bundle_bytes:
@@ -202,22 +217,25 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
-def read(manifest: DataFrame) -> DataFrame:
-    """All records of the bundles that the manifest names, frame by frame by their seek tables."""
+def read(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """All records of the bundles that the manifest names, frame by frame by their seek tables; a task reads about ``range_bytes`` of one bundle."""
     ready(manifest.sparkSession)
+    ranges = manifest.groupBy("path", F.floor(F.col("frame_start") / range_bytes).alias("part")).agg(F.min("frame").alias("first"), F.max("frame").alias("last"))
+    ranges = stored(ranges.select("path", "first", "last"), "warc-ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zstd = zstandard.ZstdDecompressor()
         for batch in batches:
-            for uri in batch.column(0).to_pylist():
+            for uri, first, last in zip(*(c.to_pylist() for c in batch.columns)):
                 fs, path = pafs.FileSystem.from_uri(uri)
                 with fs.open_input_file(path) as source:
-                    for start, n, size in seek_table(source):
+                    for start, n, size in seek_table(source)[first:last + 1]:
                         source.seek(start)
                         data = zstd.decompress(source.read(n), max_output_size=size)
                         yield _batch([tuple(r.values()) for r in records(data)], RECORD)
 
-    return manifest.select("path").distinct().mapInArrow(run, RECORD)
+    # A given number of partitions: these rows are few, what they stand for isn't.
+    return ranges.repartition(max(1, ranges.count())).mapInArrow(run, RECORD)
 
 
 def fetch(manifest: DataFrame, wanted: DataFrame, id_col: str = "page_id") -> DataFrame:

@@ -87,6 +87,18 @@ def test_mined_rules_see_late_segments_and_parameters(spark):
     assert got == {k: "allow" if k % 3 == 2 else "block" for k in range(120)}
 
 
+def test_rules_are_mined_from_the_given_rules_verdicts(spark):
+    src = spark.read.parquet(f"{SF.replace('0.01', '0.1')}/pages.parquet")
+    got = url_rules.judge(src, min_lift=1.2).collect()
+    mined = {r.mined_rule for r in got if r.mined_rule}
+    assert mined and all(r.verdict == ("block" if r.mined_rule else "allow") for r in got if r.rule is None)
+    assert any(r.verdict == "block" and r.rule is None for r in got)
+    seen = [({*r.tokens}, expected(r.url)[3]) for r in url_rules.parsed(src, "page_id", "url").collect() if expected(r.url)[3]]
+    for rule in mined:                                  # each is as sure on the covered pages as it claims
+        hold = [v == "block" for t, v in seen if {*rule.split(" ")} <= t]
+        assert sum(hold) >= 0.6 * len(hold) > 0 and all(r.confidence == pytest.approx(sum(hold) / len(hold)) for r in got if r.mined_rule == rule)
+
+
 def test_url_query_uses_no_python_workers(spark):
     plan = LLM_QUERIES["op1_url_rules"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
@@ -260,3 +272,21 @@ def test_the_chosen_run_is_the_best_of_all_runs():
         begin, end = html_extract.best_run(gains)
         every = [sum(worth[a:b]) for a in range(len(worth)) for b in range(a + 1, len(worth) + 1)]
         assert abs(sum(worth[begin:end]) - max([0.0, *every])) < 1e-9
+
+
+def test_archive_ids_are_unique_and_read_in_ranges(spark):
+    rows = [("a\r\nX-Page-ID: forged", "u", f"payload {k}" * 50) for k in range(3)] + [(None, "u", "x"), (None, "v", "y"), ("50%41", None, "z"), ("b", None, "z")]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    manifest = warc_bundles.write(df, frame_bytes=200)
+    back = warc_bundles.read(manifest, range_bytes=300)
+    assert back.rdd.getNumPartitions() > 1
+    got = back.collect()
+    assert Counter(r.page_id for r in got) == Counter(r[0] for r in rows)
+    assert {r.page_id: r.refers_to for r in got if r.record_type == "revisit"} == {"b": "50%41"}
+    urns = []
+    for row in manifest.select("path").distinct().collect():
+        with pafs.FileSystem.from_uri(row.path)[0].open_input_file(pafs.FileSystem.from_uri(row.path)[1]) as f:
+            for start, n, size in warc_bundles.seek_table(f):
+                f.seek(start)
+                urns += re.findall(rb"WARC-Record-ID: (\S+)", zstandard.ZstdDecompressor().decompress(f.read(n), max_output_size=size))
+    assert len(urns) == len(set(urns)) == len(rows)
