@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postwave.llm import blocks as B
-from postwave.llm.common import release, stored
+from postwave.llm.common import discard, release, stored
 
 K = 5
 #: Text of a block: the larger, the fewer n-grams are sent more than once.
@@ -363,6 +363,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
             consts.append({"d": d, "total": total, "distinct": got["distinct"] or 0, "documents": documents["n"] or 0,
                            "unknown": unknown, "scale": (1.0 - unknown) / (dc / total) if total else 1.0})
             answers.append(stored(table.select("bucket", "n", "blocks", "places").mapInArrow(_answer_words, ANSWER), "katz-answers-1"))
+            discard(table)
             continue
         consts.append({"d": d})
         parts = table.select("bucket", "h", "n", "lower", "split").mapInArrow(_split_sums(d), "bucket int, h long, c long, dc double, low double")
@@ -370,8 +371,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         sums = parts.groupBy("h").agg(F.sum("c").alias("c"), F.sum("dc").alias("dc"), F.sum("low").alias("low")).withColumnRenamed("h", "sh")
         sums = (parts.select("bucket", "h").join(sums, F.col("h") == F.col("sh")).groupBy("bucket").agg(F.collect_list(F.struct("h", "c", "dc", "low")).alias("sums"))
                 .withColumnRenamed("bucket", "sb"))
-        src = table.select("bucket", "h", "n", "lower", "blocks", "places").join(stored(sums, f"katz-sums-{level}"), F.col("bucket") == F.col("sb"), "left").drop("sb")
+        sums = stored(sums, f"katz-sums-{level}")
+        src = table.select("bucket", "h", "n", "lower", "blocks", "places").join(sums, F.col("bucket") == F.col("sb"), "left").drop("sb")
         answers.append(stored(src.mapInArrow(_answer_grams(d, level == order), ANSWER), f"katz-answers-{level}"))
+        discard(table, parts, sums)
+        del src, sent
+        release(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = consts[0]
