@@ -143,16 +143,16 @@ def _learned_sentences() -> str:
     q = lambda x: x.replace("'", "''")
     mark = "chr(2)"
     toks = (f"list_filter(string_split(regexp_replace(coalesce(text, ''), '[\r\n' || {mark} || ']+', ' ' || {mark} || ' ', 'g'), ' '), lambda t: t <> '')")
-    word = lambda t: f"lower(regexp_replace(regexp_replace({t}, '{q(SE.OPENING)}', ''), '\.$', ''))"
+    word = lambda t: f"lower(regexp_replace(regexp_replace({t}, '{q(SE.OPENING)}', ''), '\\.$', ''))"
     return f"""
     WITH t AS (SELECT unnest({toks}) AS t FROM documents),
     c AS (SELECT {word('t')} AS word, count(*) FILTER (ends_with(t, '.')) AS n_with, count(*) FILTER (NOT ends_with(t, '.')) AS n_without
           FROM t WHERE t <> {mark} GROUP BY 1 HAVING word <> ''),
     p AS (SELECT sum(n_with)::DOUBLE / sum(n_with + n_without) AS p FROM c),
     s AS (SELECT word, 2 * (n_with * ln({SE.ALWAYS} / p) + n_without * ln((1 - {SE.ALWAYS}::DOUBLE) / (1 - p)))
-                 * exp(-length(regexp_replace(word, '[^\p{{L}}]', '', 'g'))) * (length(word) - length(replace(word, '.', '')) + 1)
-                 * power(length(regexp_replace(word, '[^\p{{L}}]', '', 'g'))::DOUBLE, -n_without::DOUBLE) AS score
-          FROM c, p WHERE n_with > 0 AND n_with + n_without >= {SE.LEAST_COUNT} AND regexp_matches(word, '\p{{L}}')),
+                 * exp(-length(regexp_replace(word, '[^\\p{{L}}]', '', 'g'))) * (length(word) - length(replace(word, '.', '')) + 1)
+                 * power(length(regexp_replace(word, '[^\\p{{L}}]', '', 'g'))::DOUBLE, -n_without::DOUBLE) AS score
+          FROM c, p WHERE n_with > 0 AND n_with + n_without >= {SE.LEAST_COUNT} AND regexp_matches(word, '\\p{{L}}')),
     a AS (SELECT coalesce(list(word), []) AS words FROM (SELECT word FROM s WHERE score >= {SE.LEAST_SCORE} ORDER BY score DESC, word LIMIT {SE.MOST})),
     x AS (SELECT doc_id, list_filter(list_transform(string_split(array_to_string(list_transform({toks}, lambda t:
                  CASE WHEN regexp_matches(t, '{q(SE.END)}') AND NOT (ends_with(t, '.') AND list_contains(a.words, {word('t')})) THEN t || {mark} ELSE t END), ' '), {mark}),
