@@ -324,20 +324,21 @@ def phrases(docs: DataFrame, least: int = 30, longest: int = LONGEST, text_col:
         if not size:
             break
         n_tries = -(-size // trie_phrases)
+        # A phrase's number is its place in its trie; a trie's phrases are few enough for one task's sort.
         level = level.withColumn("trie", F.pmod(F.xxhash64("w"), F.lit(n_tries)).cast("int"))
-        level = stored(level, "phrase-level") if n_tries > 1 else level
+        level = stored(level.withColumn("at", F.row_number().over(Window.partitionBy("trie").orderBy("w")).cast("long") - 1), "phrase-level")
         propose = n <= longest
         next_level, counts = [], []
         for number in range(n_tries):
             # One bounded trie at a time: built on the driver, broadcast, released after its pass.
-            rows = np.array(level.where(F.col("trie") == number).select("w").toArrow().column("w").combine_chunks().flatten()).reshape(-1, n - 1)
-            rows = rows[np.lexsort(rows.T[::-1])]
+            named = level.where(F.col("trie") == number).select("at", "w")
+            t = named.toArrow().combine_chunks()
+            rows = np.array(t.column("w").combine_chunks().flatten()).reshape(-1, n - 1)[np.argsort(t.column("at").to_numpy())]
             built = DoubleArray(rows)
             bits = max(RANGE_BITS, int(len(rows) * (n_words + 1) + n_words).bit_length())
             width = {number: max(RANGE_BITS, len(rows).bit_length())}
+            del t, rows
             sums = _gathered(_scan(texts, number, built, bits, n_words, least, n_tries == 1, propose), bits, width, tasks, least, "phrase-sums")
-            named = spark.createDataFrame(pa.table({"at": np.arange(len(rows), dtype=np.int64), "w": pa.ListArray.from_arrays(
-                pa.array(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)), pa.array(rows.ravel()))}))
             if n > 2:
                 counts.append(sums.where(F.col("kind") == COUNTED).join(named, F.col("key") == F.col("at")).select("w", F.col("count").alias("f")))
             if propose:
@@ -350,7 +351,6 @@ def phrases(docs: DataFrame, least: int = 30, longest: int = LONGEST, text_col:
         level = next_level[0]
         for part in next_level[1:]:
             level = level.unionByName(part)
-        level = stored(level, "phrase-level")
         release(spark)
     return words, stored(found, "phrases"), totals
 
