@@ -279,3 +279,34 @@ def test_last_n_survives_a_failed_batch_and_keeps_repeated_posts(spark, tmp_dir)
         assert rows(got.where("scope = 'party'"), cols) == rows(lastn.last_n_by_party(batch), cols)
         assert rows(got.where("scope = 'combined'"), cols[1:]) == rows(lastn.last_n_combined(batch), cols[1:])
     assert sorted(os.listdir(f"{path}/run=0")) == ["epoch=3", "epoch=4", "epoch=5"]
+
+
+def test_ingest_holds_little_disk(spark, tmp_dir, monkeypatch):
+    """Lines land gzipped, in more files if there are more; files that ingest has read go, and so do its shuffles."""
+    from postwave.session import shuffles_dropped
+    from postwave.sources import tables
+
+    spark.createDataFrame([(i, dt.datetime(2024, 1, 1, i % 24), 7, "view", '{"k": 3}') for i in range(60)],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, props string").write.parquet(f"{tmp_dir}/events.parquet")
+    spark.createDataFrame([(i, "good text " * 50, "en", "web") for i in range(5)], "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    monkeypatch.setattr(tables, "POSTS_PER_TASK", 6)
+    src, whole = f"{tmp_dir}/in", sorted(r.value for r in tables.envelope_lines(spark, tmp_dir).collect())
+    assert tables.land_envelope_files(spark, tmp_dir, src, 4) == 10
+    landed = [f for f in os.listdir(src) if f.endswith(".txt.gz")]
+    assert 8 <= len(landed) <= 10 and not [f for f in os.listdir(src) if f.endswith(".txt")]
+    assert sorted(r.value for r in spark.read.text(src).collect()) == whole
+    for lot in (0, 1):
+        tables.land_envelope_files(spark, tmp_dir, f"{tmp_dir}/lots", 2, by_time=False, lot=lot)
+    assert sorted(r.value for r in spark.read.text(f"{tmp_dir}/lots").collect()) == whole
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == before
+    SQ.start_ingest(spark, src, f"{tmp_dir}/posts", f"{tmp_dir}/ck", available_now=True, max_files_per_trigger=2, consume=True).awaitTermination()
+    assert len([f for f in os.listdir(src) if f.endswith(".gz")]) <= 2            # the last batch's, whose turn would come with the next
+    assert SQ.ingest_counts(spark, f"{tmp_dir}/posts")["lines"] == 60
+    written = [f for _, _, files in os.walk(f"{tmp_dir}/posts") for f in files if f.endswith(".parquet")]
+    assert written and all(f.endswith(".zstd.parquet") for f in written)
