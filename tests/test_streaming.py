@@ -1,6 +1,8 @@
 import datetime as dt
+import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from postwave.operators import metrics as M
@@ -310,3 +312,32 @@ def test_ingest_holds_little_disk(spark, tmp_dir, monkeypatch):
     assert SQ.ingest_counts(spark, f"{tmp_dir}/posts")["lines"] == 60
     written = [f for _, _, files in os.walk(f"{tmp_dir}/posts") for f in files if f.endswith(".parquet")]
     assert written and all(f.endswith(".zstd.parquet") for f in written)
+
+
+@pytest.mark.parametrize("by_time", [True, False])
+def test_lines_land_in_turns(spark, tmp_dir, monkeypatch, by_time):
+    """Many lines land part by part, each deleted when it has been read: the folder never holds more than a turn's, and no line is lost or comes twice."""
+    from postwave.sources import tables
+    from postwave.streaming import catalog as streams
+
+    events = [(i, None if i % 20 == 0 else dt.datetime(2024, 1, 1, i % 24, i), 7, "view", '{"k": 3}') for i in range(58)]
+    events += [events[5], (None, dt.datetime(2024, 1, 1), 7, "view", '{"k": 3}')]           # a key twice, one null: it has no document
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string").write.parquet(f"{tmp_dir}/events.parquet")
+    spark.createDataFrame([(i, f"good text {i}", "en", "web") for i in range(5)], "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    monkeypatch.setattr(tables, "POSTS_PER_TASK", 6)
+    monkeypatch.setattr(streams, "FILES_PER_BATCH", 3)
+    whole = sorted(r.value for r in tables.envelope_lines(spark, tmp_dir).collect())
+    src, out, turns, spans = f"{tmp_dir}/in", f"{tmp_dir}/out", [], []
+    for files in streams._landed(spark, tmp_dir, src, 4, by_time):
+        assert 0 < len([f for f in os.listdir(src) if f.endswith(".gz")]) <= files == 3
+        turns.append([r.value for r in spark.read.text(src).collect()])
+        times = sorted(t for t in (json.loads(v).get("data", {}).get("created_at", "") for v in turns[-1] if v.endswith("}")) if t.startswith("2024"))
+        spans.append((times[0], times[-1]))
+        streams._ingest(spark, src, out, 2)
+    assert len(turns) == 4 and max(map(len, turns)) < 30 and sorted(v for t in turns for v in t) == whole
+    if by_time:
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert os.listdir(src) == [] and SQ.ingest_counts(spark, f"{out}/posts")["lines"] == len(whole) == 59
+    want = rows(catalog.posts(spark, tmp_dir).select("id", "createdDate"), ["id", "createdDate"])
+    assert rows(SQ.read_posts(spark, f"{out}/posts").select("id", "createdDate"), ["id", "createdDate"]) == want
