@@ -101,6 +101,28 @@ def classify(parsed: DataFrame, value_col: str = "value", keep_null_tags: bool =
         F.when(is_err, E.error_action(title)).alias("error_action")))
 
 
+def _quoted(text: Column) -> Column:
+    """``text`` as a JSON string, quotes included (its own brackets stand within them)."""
+    return F.btrim(F.to_json(F.array(text)), F.lit("[]"))
+
+
+def text_once(classified: DataFrame) -> DataFrame:
+    """For a table: ``json`` is stored as what stands before and after its text (``json_before``, ``json_after``), since ``text`` holds that already;
+    a line that doesn't hold its text as ``_quoted`` gives it (escaped otherwise, or a reject) stays whole in ``json``. ``whole_json`` puts it together."""
+    names = [c for c in classified.columns if c != "json"]
+    staged = classified.withColumn("_q", _quoted(F.col("text")))
+    staged = staged.withColumn("_at", F.when(F.col("text").isNotNull(), F.instr("json", F.col("_q"))).otherwise(0))
+    found = F.col("_at") > 0
+    return staged.select(
+        *names, F.when(~found, F.col("json")).alias("json"), F.when(found, F.substring("json", 1, F.col("_at") - 1)).alias("json_before"),
+        F.when(found, F.substr("json", F.col("_at") + F.length("_q"))).alias("json_after"))
+
+
+def whole_json() -> Column:
+    """The raw line of a row that ``text_once`` has made."""
+    return F.coalesce("json", F.concat("json_before", _quoted(F.col("text")), "json_after")).alias("json")
+
+
 def raw_landing(posts_df: DataFrame) -> DataFrame:
     """K2: id, raw envelope text, and the envelope parsed once more as VARIANT."""
     return posts_df.select("id", "json", F.try_parse_json("json").alias("parsed"))

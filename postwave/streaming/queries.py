@@ -43,7 +43,8 @@ ENVELOPES_SCHEMA = T.StructType([
     T.StructField("party", T.StringType()), T.StructField("createdDate", T.StringType()),
     T.StructField("in_reply_to_user_id", T.StringType()), T.StructField("source", T.StringType()),
     T.StructField("sentiment", T.DoubleType()), T.StructField("attachments", T.IntegerType()),
-    T.StructField("json", T.StringType()), T.StructField("created_ts", T.TimestampType()),
+    T.StructField("json", T.StringType()), T.StructField("json_before", T.StringType()),
+    T.StructField("json_after", T.StringType()), T.StructField("created_ts", T.TimestampType()),
     T.StructField("reason", T.StringType()), T.StructField("error_title", T.StringType()),
     T.StructField("error_action", T.StringType()),
     T.StructField("kind", T.StringType()), T.StructField("date", T.DateType()),
@@ -67,7 +68,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
                  consume: bool = False) -> StreamingQuery:
     """S1 + K1/K2: envelope files -> one table of every line, partitioned ``kind=post|reject/date=``.
 
-    Posts (with the raw envelope in ``json``) and quarantined lines come out of one pass, written
+    Posts (with the raw envelope, its text stored once: ``parse.text_once``) and quarantined lines come out of one pass, written
     by Spark's file sink: its ``_spark_metadata`` log makes the table exactly-once for streaming and
     batch readers alike (a retried batch never shows twice). A10: the per-batch counts of lines,
     posts, rejects and error envelopes are observed metrics of the query
@@ -76,7 +77,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
     Rows of a batch are rebalanced by kind and date before the write: adaptive execution splits a date by its size (live traffic has
     one date, which any number of tasks then writes) and puts small ones together, so files come in the advisory size however lines are
     mixed. ``spread`` instead deals each kind and date to that many tasks. ``replay`` reads captured replay lines. ``consume`` deletes the files of committed batches.
-    A batch's shuffle is deleted when the batch is done, and the table is written with zstd: it holds each text twice (``text``, ``json``)."""
+    A batch's shuffle is deleted when the batch is done, and the table is written with zstd; read it with ``read_posts``, ``read_rejects`` or ``posts_stream``."""
     lines = stream_lines(spark, source_dir, max_files_per_trigger, consume)
     if replay:
         lines = replay_envelopes(lines)
@@ -85,7 +86,9 @@ def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoi
                         F.count_if(F.col("kind") == "post").alias("valid"),
                         F.count_if(F.col("kind") == "reject").alias("rejected"),
                         F.count_if(F.col("reason") == "error_envelope").alias("error_envelopes"))
-    rows = rows.repartition("kind", "date", F.pmod(F.xxhash64("json"), F.lit(spread))) if spread else rows.hint("rebalance", "kind", "date")
+    rows = parse.text_once(rows)
+    line = F.xxhash64("json", "json_before", "text", "json_after")
+    rows = rows.repartition("kind", "date", F.pmod(line, F.lit(spread))) if spread else rows.hint("rebalance", "kind", "date")
     w = (rows.writeStream.format("parquet").outputMode("append").partitionBy("kind", "date").option("compression", "zstd")
          .option("path", table_path).option("checkpointLocation", checkpoint))
     with shuffles_dropped(spark):
@@ -121,15 +124,26 @@ def state_partitions_of(spark: SparkSession, n: int | None):
         spark.conf.set(key, old)
 
 
+def _post_columns() -> list:
+    return [parse.whole_json() if c == "json" else c for c in parse.POST_COLUMNS]
+
+
 def read_posts(spark: SparkSession, table_path: str) -> DataFrame:
     """Batch read of the posts in an ingest table (partition pruning on ``kind``)."""
     return (spark.read.schema(ENVELOPES_SCHEMA).parquet(table_path).where(F.col("kind") == "post")
-            .select(*parse.POST_COLUMNS, "date"))
+            .select(*_post_columns(), "date"))
 
 
 def read_rejects(spark: SparkSession, table_path: str) -> DataFrame:
     return (spark.read.schema(ENVELOPES_SCHEMA).parquet(table_path).where(F.col("kind") == "reject")
-            .select(F.col("json").alias("line"), "reason", "error_title", "error_action"))
+            .select(parse.whole_json().alias("line"), "reason", "error_title", "error_action"))
+
+
+def drop_read(spark: SparkSession, table_path: str) -> None:
+    """Deletes the rows of an ingest table, once every stream that reads it has committed them. Ingest and readers go on from their checkpoints:
+    the sink's log still names the old files, so no row comes again. For tables kept for their readers alone; ``read_posts`` no longer works."""
+    for kind in fs.names(spark, table_path, "kind="):
+        fs.delete(spark, f"{table_path}/kind={kind}")
 
 
 def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = None,
@@ -138,7 +152,7 @@ def posts_stream(spark: SparkSession, posts_path: str, watermark: str | None = N
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     fs.ensure_dir(spark, posts_path)
-    df = r.load(posts_path).where(F.col("kind") == "post").select(*parse.POST_COLUMNS)
+    df = r.load(posts_path).where(F.col("kind") == "post").select(*_post_columns())
     if processing_time:
         df = df.withColumn("created_ts", F.current_timestamp())
     if watermark:

@@ -341,3 +341,23 @@ def test_lines_land_in_turns(spark, tmp_dir, monkeypatch, by_time):
     assert os.listdir(src) == [] and SQ.ingest_counts(spark, f"{out}/posts")["lines"] == len(whole) == 59
     want = rows(catalog.posts(spark, tmp_dir).select("id", "createdDate"), ["id", "createdDate"])
     assert rows(SQ.read_posts(spark, f"{out}/posts").select("id", "createdDate"), ["id", "createdDate"]) == want
+
+
+def test_table_holds_each_text_once(spark, tmp_dir):
+    """The ingest table stores a line's text once and gives back every line as it was, however its text is escaped."""
+    src, texts = f"{tmp_dir}/in", ["", "plain [words]", 'quo"te \\ and / slash', "tab\tline\nend", "grün € \U0001f600  ", "]", '"', "id", "a" * 5000]
+    made = [envelope(pid=str(i), text=t, created="2024-01-01T10:00:00.000Z") for i, t in enumerate(texts)]             # \u escapes
+    plain = [json.dumps(json.loads(v), ensure_ascii=False, separators=(",", ":")).replace('"id":"', '"id":"1', 1) for v in made]
+    slashes = [plain[2].replace("/", "\\/").replace('"id":"1', '"id":"2', 1)]
+    broken = [plain[1][:60], "{}", json.dumps({"errors": [{"title": "x"}]})]
+    write_lines(src, "f.txt", made + plain + slashes + broken)
+    for spread in (None, 2):
+        table = f"{tmp_dir}/posts{spread}"
+        SQ.start_ingest(spark, src, table, f"{tmp_dir}/ck{spread}", available_now=True, spread=spread).awaitTermination()
+        posts = SQ.read_posts(spark, table)
+        assert sorted(r.json for r in posts.collect()) == sorted(made + plain + slashes)
+        assert {(r.json, r.text) for r in posts.collect()} == {(v, json.loads(v)["data"]["text"]) for v in made + plain + slashes}
+        assert sorted(r.line for r in SQ.read_rejects(spark, table).collect()) == sorted(broken)
+        stored = spark.read.parquet(table).where("kind = 'post'")
+        assert stored.where("json is null").count() >= len(plain)
+        assert stored.where("text like 'aaa%' and (json like '%aaa%' or json_before like '%aaa%' or json_after like '%aaa%')").count() == 0
