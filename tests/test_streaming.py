@@ -361,3 +361,28 @@ def test_table_holds_each_text_once(spark, tmp_dir):
         stored = spark.read.parquet(table).where("kind = 'post'")
         assert stored.where("json is null").count() >= len(plain)
         assert stored.where("text like 'aaa%' and (json like '%aaa%' or json_before like '%aaa%' or json_after like '%aaa%')").count() == 0
+
+
+@pytest.mark.parametrize("name", ["posts_by_hour", "last15", "progress", "state_audit"])
+def test_posts_go_after_each_turn(spark, tmp_dir, monkeypatch, name):
+    """Over several turns the posts on the disk are a turn's at most, and the result is that of one turn."""
+    from postwave.sources import tables
+    from postwave.streaming import catalog as streams
+
+    events = [(i, dt.datetime(2024, 1, 1, i % 24, i), 7, "view" if i % 3 else "buy", '{"k": 3}') for i in range(58)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string").write.parquet(f"{tmp_dir}/events.parquet")
+    spark.createDataFrame([(i, f"good text {i}", "en", "web") for i in range(5)], "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    query = streams.STREAM_QUERIES[f"stream_{name}"]
+    one = sorted(map(tuple, query(spark, tmp_dir).collect()), key=str)
+    monkeypatch.setattr(tables, "POSTS_PER_TASK", 10)
+    monkeypatch.setattr(streams, "FILES_PER_BATCH", 5)
+    held, drop = [], SQ.drop_read
+
+    def drop_read(spark, path):
+        held.append(sum(f.endswith(".parquet") for _, _, files in os.walk(path.removeprefix("file:")) for f in files))
+        drop(spark, path)
+        assert not [n for n in os.listdir(path.removeprefix("file:")) if n.startswith("kind=")]
+    monkeypatch.setattr(SQ, "drop_read", drop_read)
+    assert sorted(map(tuple, query(spark, tmp_dir).collect()), key=str) == one and one
+    assert len([n for n in held if n]) >= 2
