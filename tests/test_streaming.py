@@ -386,3 +386,30 @@ def test_posts_go_after_each_turn(spark, tmp_dir, monkeypatch, name):
     monkeypatch.setattr(SQ, "drop_read", drop_read)
     assert sorted(map(tuple, query(spark, tmp_dir).collect()), key=str) == one and one
     assert len([n for n in held if n]) >= 2
+
+
+@pytest.mark.parametrize("lot", [None, 0])
+def test_turns_grow_in_number_not_in_size(spark, tmp_dir, monkeypatch, lot):
+    """More events make more turns: each holds a batch of files, beyond eight turns too, and a lot takes half of the events before their texts are shuffled."""
+    from postwave.sources import tables
+    from postwave.streaming import catalog as streams
+
+    events = [(i, dt.datetime(2024, 1, 1, i % 24, i % 60, i // 60), 7, "view", '{"k": 3}') for i in range(200)] + [(None, None, 7, "view", '{"k": 3}')]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string").write.parquet(f"{tmp_dir}/events.parquet")
+    spark.createDataFrame([(i, f"good text {i}", "en", "web") for i in range(7)], "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    monkeypatch.setattr(tables, "POSTS_PER_TASK", 2 if lot is None else 1)
+    monkeypatch.setattr(streams, "FILES_PER_BATCH", 10)
+    whole = sorted(r.value for r in tables.envelope_lines(spark, tmp_dir).collect())
+    sizes, lines = [], []
+    for _ in streams._landed(spark, tmp_dir, f"{tmp_dir}/in", 8, by_time=lot is None, lot=lot):
+        lines += [r.value for r in spark.read.text(f"{tmp_dir}/in").collect()]
+        sizes.append(len(lines) - sum(sizes))
+    assert len(sizes) == 11 and sum(sizes) == len(lines)
+    if lot is None:
+        assert sorted(lines) == whole and max(sizes) <= 30
+    else:
+        held = [tables.posts_base(spark, tmp_dir, lot=v).count() for v in (0, 1)]
+        assert held[0] == len(lines) and sum(held) == len(whole) and min(held) > 60
+        tables.land_envelope_files(spark, tmp_dir, f"{tmp_dir}/in", 2, by_time=False, lot=1)
+        assert sorted(lines + [r.value for r in spark.read.text(f"{tmp_dir}/in").collect()]) == whole
