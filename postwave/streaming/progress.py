@@ -3,7 +3,8 @@
 Spark keeps a query's last progress reports in the driver's memory only. ``ProgressLog`` is a ``StreamingQueryListener`` that stores each batch's
 report as it comes: rows read, late rows that a watermark dropped, rows of state, the observed counts (lines, valid, rejected, error envelopes),
 and the message of a query that failed. One small file per batch, in a folder per query; after every ``FOLD_EVERY`` files they are put together into one, so
-files don't pile up. A query keeps its id when it restarts, so its totals go on.
+files don't pile up. Who reads meanwhile takes the small files' texts at once (they go when they are put together) and the others, which stay, by Spark.
+A query keeps its id when it restarts, so its totals go on.
 
 A report is stored after its batch was committed: if the driver dies in between, that one report is missing, and it would be the only one
 (``ingest_counts`` counts the ingest table itself).
@@ -14,6 +15,7 @@ from __future__ import annotations
 import json
 import time
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -98,11 +100,32 @@ def wait_for(spark: SparkSession, path: str, query: StreamingQuery, seconds: flo
     return True
 
 
+def _stored(spark: SparkSession, path: str) -> list[str]:
+    folders = [f"{path.rstrip('/')}/query={q}" for q in fs.names(spark, path, "query=")]
+    return sorted(f"{folder}/{n}" for folder in folders for n in fs.names(spark, folder, "") if n.endswith(".json") and not n.startswith("_"))
+
+
+def _snapshot(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files that stay (put together) and the lines of the small ones (fewer than ``fold_every`` a query), all of one moment: read until nothing changed meanwhile."""
+    while True:
+        files = _stored(spark, path)
+        small = [f for f in files if not f.rpartition("/")[2].startswith("upto-")]
+        try:
+            lines = [line for f in small for line in fs.read_text(spark, f).splitlines() if line]
+        except Py4JJavaError as e:
+            if "FileNotFoundException" not in str(e.java_exception):
+                raise
+            continue
+        if _stored(spark, path) == files:
+            return [f for f in files if f not in small], lines
+
+
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """One row per query and batch (and per failed run); a batch that ran twice counts as it ran last."""
-    if not fs.names(spark, path, "query="):
-        return spark.createDataFrame([], SCHEMA)
-    rows = spark.read.schema(SCHEMA).json(f"{path.rstrip('/')}/query=*/*.json")
+    kept, lines = _snapshot(spark, path)
+    rows = spark.createDataFrame([(line,) for line in lines], "line string").select(F.from_json("line", SCHEMA).alias("r")).select("r.*")
+    if kept:
+        rows = rows.unionByName(spark.read.schema(SCHEMA).json(kept))
     rest = [c.split()[0] for c in SCHEMA.split(", ") if c.split()[0] not in ("query", "batch")]
     key = F.when(F.col("batch").isNull(), F.col("run"))
     latest = rows.groupBy("query", "batch", key.alias("_failed_run")).agg(F.max_by(F.struct(*rest), F.coalesce("time", F.lit(""))).alias("r"))

@@ -112,6 +112,32 @@ def test_progress_outlives_the_reports_that_spark_keeps(spark, tmp_dir):
         spark.conf.set(key, old)
 
 
+def test_progress_is_read_while_reports_are_put_together(spark, tmp_dir):
+    """What was listed is still read after the log has put the files together; a folder without a report yet is no error."""
+    import threading
+
+    path = f"{tmp_dir}/progress"
+    log = progress.ProgressLog(spark, path, fold_every=4)
+    report = lambda i: log._store("q", str(i), {"query": "q", "batch": i, "time": f"{i:03d}", "rows_read": 1, "lines": 2})
+    lines = lambda rows: rows.agg(F.sum("lines")).first()[0]
+    os.makedirs(f"{path}/query=q")
+    assert progress.read_progress(spark, path).count() == 0
+    for i in range(3):
+        report(i)
+    before = progress.read_progress(spark, path)
+    for i in range(3, 9):                               # put together at 3 and at 7
+        report(i)
+    assert lines(before) == 6 and lines(progress.read_progress(spark, path)) == 18
+    assert sorted(os.path.basename(f) for f in os.listdir(f"{path}/query=q") if not f.startswith(".")) == ["8.json", "upto-3.json", "upto-7.json"]
+
+    writer = threading.Thread(target=lambda: [report(i) for i in range(9, 40)])
+    writer.start()
+    seen = []
+    while writer.is_alive():
+        seen.append(lines(progress.read_progress(spark, path)))
+    assert lines(progress.read_progress(spark, path)) == 80 and seen == sorted(seen) and seen[0] >= 18
+
+
 def test_failed_run_is_noted(spark, tmp_dir):
     import pytest
     src = f"{tmp_dir}/in"
