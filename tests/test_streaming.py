@@ -413,3 +413,37 @@ def test_turns_grow_in_number_not_in_size(spark, tmp_dir, monkeypatch, lot):
         assert held[0] == len(lines) and sum(held) == len(whole) and min(held) > 60
         tables.land_envelope_files(spark, tmp_dir, f"{tmp_dir}/in", 2, by_time=False, lot=1)
         assert sorted(lines + [r.value for r in spark.read.text(f"{tmp_dir}/in").collect()]) == whole
+
+
+@pytest.mark.parametrize("docs", [5, 40])
+def test_next_turn_lands_beside_and_texts_are_shuffled_once(spark, tmp_dir, monkeypatch, docs):
+    """While a turn is read the next one lands beside it; of several turns the posts are dealt with their documents, and not shuffled again to be written."""
+    import time
+
+    from postwave.sources import tables
+    from postwave.streaming import catalog as streams
+
+    events = [(i, dt.datetime(2024, 1, 1, i % 24, i), 7, "view", '{"k": 3}') for i in range(58)]
+    events += [events[5], (None, dt.datetime(2024, 1, 1), 7, "view", '{"k": 3}'), (70, None, None, None, None)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string").write.parquet(f"{tmp_dir}/events.parquet")
+    texts = [(i % docs, f"good text {i}", "en", "web") for i in range(docs + 1)]             # one document twice
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_dir}/documents.parquet")
+    cols = ["event_id", "doc_id", "text", "ts", "k"]
+    dealt = tables.posts_base(spark, tmp_dir, parts=4)
+    assert sorted(map(str, rows(dealt, cols))) == sorted(map(str, rows(tables.posts_base(spark, tmp_dir), cols)))
+    in_part = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(in_part) == 4 and max(in_part) < 40                                          # five documents don't make it fewer
+    plan = tables._lines(dealt)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "RoundRobinPartitioning" not in plan and plan.count("Exchange hashpartitioning") <= 2
+
+    monkeypatch.setattr(tables, "POSTS_PER_TASK", 6)
+    monkeypatch.setattr(streams, "FILES_PER_BATCH", 4)
+    src, beside, got = f"{tmp_dir}/in", 0, []
+    for i, _ in enumerate(streams._landed(spark, tmp_dir, src, 4)):
+        until = time.monotonic() + 20
+        while i < 2 and not os.path.exists(f"{src}-next-None-{i + 1}/_SUCCESS") and time.monotonic() < until:
+            time.sleep(0.1)
+        beside += os.path.exists(f"{src}-next-None-{i + 1}/_SUCCESS")
+        got += [r.value for r in spark.read.text(src).collect()]
+    assert beside == 2 and sorted(got) == sorted(r.value for r in tables.envelope_lines(spark, tmp_dir).collect())
+    assert not [n for n in os.listdir(tmp_dir) if n.startswith("in-next")] and os.listdir(src) == []
